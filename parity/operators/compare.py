@@ -173,6 +173,27 @@ class KeyedComparison:
     def differences(self) -> DataFrame:
         return self.rows().where(F.col("status") != C.MATCH)
 
+    def only_in_source(self) -> DataFrame:
+        """Source rows with no destination row of the same key (left anti join;
+        NULL keys never match, so their rows are included)."""
+        d = (self.dest.df.select(*[c.alias(f"__j{i}") for i, c in enumerate(self._dkc)])
+             .where(~C.any_null([F.col(f"__j{i}") for i in range(len(self.on))])).distinct())
+        cond = None
+        for i, c in enumerate(self._skc):
+            e = c == F.col(f"__j{i}")
+            cond = e if cond is None else cond & e
+        return self.src.df.join(d, cond, "left_anti").select(*self.src.names)
+
+    def only_in_destination(self) -> DataFrame:
+        """Destination rows with no source row of the same key (right anti)."""
+        s = (self.src.df.select(*[c.alias(f"__k{i}") for i, c in enumerate(self._skc)])
+             .where(~C.any_null([F.col(f"__k{i}") for i in range(len(self.on))])).distinct())
+        cond = None
+        for i, c in enumerate(self._dkc):
+            e = c == F.col(f"__k{i}")
+            cond = e if cond is None else cond & e
+        return self.dest.df.join(s, cond, "left_anti").select(*self.dest.names)
+
     def _salt(self, df: DataFrame, prefix: str, parts: int) -> Column:
         keys = [F.col(f"{prefix}{i}") for i in range(len(self.on))]
         return (F.when(C.any_null(keys), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(parts)) + 1)
