@@ -13,8 +13,6 @@ Nothing is collected: a caller may ``write`` the keys straight to a table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,14 +27,34 @@ VOL, CON, CAT, FORM, OBG, REF, DUP = "VOL", "CON", "CAT", "FORM", "OBG", "REF",
 SUBTYPES = (VOL, CON, CAT, FORM, REF, OBG, DUP)
 
 
-@dataclass
 class CheckResult:
-    subtype: str
-    verdict: DataFrame
-    keys: DataFrame
-    rows: DataFrame | None = None
-    description: str = ""
-    comparison: object = field(default=None, repr=False)
+    """Lazy outputs of one check; each DataFrame is built on first access
+    (building a plan runs the analyzer, so unused outputs cost nothing)."""
+
+    def __init__(self, subtype: str, verdict, keys, rows=None, description: str = "", comparison=None):
+        self.subtype = subtype
+        self.description = description
+        self.comparison = comparison
+        self._make = {"verdict": verdict, "keys": keys, "rows": rows}
+        self._built: dict[str, DataFrame | None] = {}
+
+    def _get(self, what: str):
+        if what not in self._built:
+            make = self._make[what]
+            self._built[what] = make() if callable(make) else make
+        return self._built[what]
+
+    @property
+    def verdict(self) -> DataFrame:
+        return self._get("verdict")
+
+    @property
+    def keys(self) -> DataFrame:
+        return self._get("keys")
+
+    @property
+    def rows(self) -> DataFrame | None:
+        return self._get("rows")
 
 
 def _spec(x) -> str:
@@ -67,12 +85,15 @@ def volume(spark: SparkSession, src, dest, src_filter=None, dest_filter=None, pa
     """Row counts of two filtered relations; OK iff equal."""
     s, sb = where(spark, relation(spark, src, tables), src_filter, params)
     d, db = where(spark, relation(spark, dest, tables), dest_filter, params)
-    sc = s.agg(F.count(F.lit(1)).alias("src_count"))
-    dc = d.agg(F.count(F.lit(1)).alias("dest_count"))
-    verdict = (sc.crossJoin(dc)
-               .withColumn("result", F.when(F.col("src_count") == F.col("dest_count"), C.OK).otherwise(C.NOK))
-               .withColumn("execution_parameter", F.lit(report(params, sb, db))))
-    return CheckResult(VOL, verdict, _no_keys(spark),
+
+    def verdict():
+        sc = s.agg(F.count(F.lit(1)).alias("src_count"))
+        dc = d.agg(F.count(F.lit(1)).alias("dest_count"))
+        return (sc.crossJoin(dc)
+                .withColumn("result", F.when(F.col("src_count") == F.col("dest_count"), C.OK).otherwise(C.NOK))
+                .withColumn("execution_parameter", F.lit(report(params, sb, db))))
+
+    return CheckResult(VOL, verdict, lambda: _no_keys(spark),
                        description=_describe(VOL, src=src, dest=dest, src_filter=src_filter,
                                              dest_filter=dest_filter))
 
@@ -95,15 +116,20 @@ def _compare(spark, subtype, src, dest, join_key, src_select, dest_select, src_f
         if subtype == REF:
             raise ValueError("a referential check needs a join key")
         cmp = CrossComparison(s, d, tuple(kf))
-    verdict = cmp.verdict().withColumn("execution_parameter", F.lit(report(params, s.bound, d.bound)))
-    try:
-        rows = cmp.differences()
-    except ValueError:
-        rows = None          # keyless compare of two row-level sides: counts only
+    param_text = report(params, s.bound, d.bound)
+
+    def verdict():
+        return cmp.verdict().withColumn("execution_parameter", F.lit(param_text))
+
+    def rows():
+        try:
+            return cmp.differences()
+        except ValueError:
+            return None      # keyless compare of two row-level sides: counts only
     desc = _describe(subtype, src=src, dest=dest, join_key=join_key, src_select=src_select,
                      dest_select=dest_select, src_filter=src_filter, dest_filter=dest_filter,
                      src_group_by=src_group_by, dest_group_by=dest_group_by, key_fields=key_fields)
-    return CheckResult(subtype, verdict, cmp.keys(), rows, desc, cmp)
+    return CheckResult(subtype, verdict, cmp.keys, rows, desc, cmp)
 
 
 def content(spark: SparkSession, src, dest, join_key=None, src_select=None, dest_select=None,
@@ -131,18 +157,26 @@ def violations(spark: SparkSession, src, predicate, key_fields=None, params=None
     mandatory-fill rule); grouped by the key fields with their count."""
     df, b = where(spark, relation(spark, src, tables), predicate, params)
     kf = _keys_list(key_fields)
-    if kf:
-        groups = df.groupBy(*kf).agg(F.count(F.lit(1)).alias("count"))
-    else:
-        groups = df.agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > 0)
-    # the verdict needs no grouping: one counting pass, partial counts per task
-    verdict = (df.agg(F.count(F.lit(1)).alias("n_violations"))
-               .withColumn("result", F.when(F.col("n_violations") > 0, C.NOK).otherwise(C.OK))
-               .withColumn("execution_parameter", F.lit(report(params, b))))
-    keys = (groups.select(C.key_text(kf, sep=C.KEY_SEP_GROUPED).alias("key_fields"))
-            if kf else _no_keys(spark))
-    return CheckResult(subtype, verdict, keys, groups,
-                       _describe(subtype, src=src, filter=predicate, key_fields=key_fields))
+
+    def groups():
+        if kf:
+            return df.groupBy(*kf).agg(F.count(F.lit(1)).alias("count"))
+        return df.agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > 0)
+
+    def verdict():
+        # no grouping needed: one counting pass, partial counts per task
+        return (df.agg(F.count(F.lit(1)).alias("n_violations"))
+                .withColumn("result", F.when(F.col("n_violations") > 0, C.NOK).otherwise(C.OK))
+                .withColumn("execution_parameter", F.lit(report(params, b))))
+
+    def keys():
+        if not kf:
+            return _no_keys(spark)
+        return res.rows.select(C.key_text(kf, sep=C.KEY_SEP_GROUPED).alias("key_fields"))
+
+    res = CheckResult(subtype, verdict, keys, groups,
+                      _describe(subtype, src=src, filter=predicate, key_fields=key_fields))
+    return res
 
 
 def catalogue(spark, src, predicate, key_fields=None, params=None, tables=None) -> CheckResult:
@@ -179,11 +213,18 @@ def duplicates(spark: SparkSession, src, key_fields, filter=None, group_by=None,
     cols = unique(_keys_list(group_by if group_by not in ("1 = 1",) else None) + _keys_list(key_fields))
     if not cols:
         raise ValueError("duplicate check needs key fields")
-    groups = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("count"))
-              .where(F.col("count") > 1))
-    verdict = (groups.agg(F.count(F.lit(1)).alias("n_duplicate_groups"))
-               .withColumn("result", F.when(F.col("n_duplicate_groups") > 0, C.NOT_OK).otherwise(C.OK))
-               .withColumn("execution_parameter", F.lit(report(params, b))))
-    keys = groups.select(C.key_text(cols, sep=C.KEY_SEP_GROUPED).alias("key_fields"))
-    return CheckResult(DUP, verdict, keys, groups,
-                       _describe(DUP, src=src, filter=filter, group_by=group_by, key_fields=key_fields))
+
+    def groups():
+        return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > 1)
+
+    def verdict():
+        return (res.rows.agg(F.count(F.lit(1)).alias("n_duplicate_groups"))
+                .withColumn("result", F.when(F.col("n_duplicate_groups") > 0, C.NOT_OK).otherwise(C.OK))
+                .withColumn("execution_parameter", F.lit(report(params, b))))
+
+    def keys():
+        return res.rows.select(C.key_text(cols, sep=C.KEY_SEP_GROUPED).alias("key_fields"))
+
+    res = CheckResult(DUP, verdict, keys, groups,
+                      _describe(DUP, src=src, filter=filter, group_by=group_by, key_fields=key_fields))
+    return res

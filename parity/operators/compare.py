@@ -213,26 +213,24 @@ class KeyedComparison:
     def _collapsed_dest(self) -> DataFrame:
         return self.dest.df.groupBy(*self._keys(self._dkc), _tuple(self._dv).alias("t")).agg(_count_rows("cd"))
 
-    def _split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        keys = [F.col(k) for k in self._kn]
-        return df.where(~C.any_null(keys)), df.where(C.any_null(keys))
-
-    def _joined(self):
-        """(k, t) -> cs, cd over non-NULL keys; plus the NULL-key parts."""
-        a_s, s_null = self._split(self._collapsed_src())
-        a_d, d_null = self._split(self._collapsed_dest())
-        j = a_s.join(a_d, self._kn + ["t"], "full_outer")
-        return j, s_null, d_null, a_d
-
     # -- summary --------------------------------------------------------------
     def summary(self) -> DataFrame:
+        """Counts per (status, side) without building pairs.
+
+        NULL keys need no special branch: the using-column equi-join never
+        matches them, and the collapse has already folded equal NULL-key
+        rows into one row per tuple.  After the join, ``nk`` tells a
+        source NULL-key group from a destination one so they are not merged
+        by the per-key grouping."""
         if self.mode == "reference":
             return self._reference_summary()
         n = len(self.src.names)
-        j, s_null, d_null, _ = self._joined()
-        j = j.select(*self._kn, _tuple_null(n).alias("tn"),
+        j = self._collapsed_src().join(self._collapsed_dest(), self._kn + ["t"], "full_outer")
+        keys = [F.col(k) for k in self._kn]
+        nk = F.when(C.any_null(keys), F.when(F.col("cs").isNotNull(), 1).otherwise(2)).otherwise(0)
+        j = j.select(*self._kn, nk.alias("nk"), _tuple_null(n).alias("tn"),
                      F.coalesce("cs", F.lit(0)).alias("cs"), F.coalesce("cd", F.lit(0)).alias("cd"))
-        per_key = j.groupBy(*self._kn).agg(
+        per_key = j.groupBy(*self._kn, "nk").agg(
             F.sum("cs").alias("ns"), F.sum("cd").alias("nd"),
             F.sum(F.col("cs") * F.col("cd")).alias("m"),
             F.sum(F.when(F.col("tn"), F.col("cs") * F.col("cd")).otherwise(0)).alias("m0"),
@@ -240,28 +238,16 @@ class KeyedComparison:
             F.sum(F.when(F.col("tn"), F.col("cd")).otherwise(0)).alias("d0"))
         both = (F.col("ns") > 0) & (F.col("nd") > 0)
         zero = F.lit(0).cast("bigint")
-        contrib = per_key.select(
-            F.when(both, F.col("m") - F.col("m0")).otherwise(zero).alias("match_both"),
-            F.when(both, F.col("m0")).otherwise(zero).alias("a_both"),
-            F.when(both, F.col("ns") * F.col("nd") - F.col("m")).otherwise(zero).alias("nm_both"),
-            F.when(F.col("nd") == 0, F.col("ns") - F.col("s0")).otherwise(zero).alias("nm_src"),
-            F.when(F.col("nd") == 0, F.col("s0")).otherwise(zero).alias("a_src"),
-            F.when(F.col("ns") == 0, F.col("nd") - F.col("d0")).otherwise(zero).alias("nm_dest"),
-            F.when(F.col("ns") == 0, F.col("d0")).otherwise(zero).alias("a_dest"))
-        tn = _tuple_null(n)
-        src_null = s_null.select(
-            zero.alias("match_both"), zero.alias("a_both"), zero.alias("nm_both"),
-            F.when(~tn, F.col("cs")).otherwise(zero).alias("nm_src"),
-            F.when(tn, F.col("cs")).otherwise(zero).alias("a_src"),
-            zero.alias("nm_dest"), zero.alias("a_dest"))
-        dest_null = d_null.select(
-            zero.alias("match_both"), zero.alias("a_both"), zero.alias("nm_both"),
-            zero.alias("nm_src"), zero.alias("a_src"),
-            F.when(~tn, F.col("cd")).otherwise(zero).alias("nm_dest"),
-            F.when(tn, F.col("cd")).otherwise(zero).alias("a_dest"))
-        cols = ["match_both", "a_both", "nm_both", "nm_src", "a_src", "nm_dest", "a_dest"]
-        totals = contrib.unionByName(src_null).unionByName(dest_null).agg(
-            *[F.sum(c).alias(c) for c in cols])
+        cols = {
+            "match_both": F.when(both, F.col("m") - F.col("m0")),
+            "a_both": F.when(both, F.col("m0")),
+            "nm_both": F.when(both, F.col("ns") * F.col("nd") - F.col("m")),
+            "nm_src": F.when(F.col("nd") == 0, F.col("ns") - F.col("s0")),
+            "a_src": F.when(F.col("nd") == 0, F.col("s0")),
+            "nm_dest": F.when(F.col("ns") == 0, F.col("nd") - F.col("d0")),
+            "a_dest": F.when(F.col("ns") == 0, F.col("d0")),
+        }
+        totals = per_key.agg(*[F.sum(F.coalesce(e, zero)).alias(c) for c, e in cols.items()])
         return _summary_from_totals(totals, [
             (C.MATCH, C.SIDE_BOTH, "match_both"), (C.ONLY_A, C.SIDE_BOTH, "a_both"),
             (C.NO_MATCH, C.SIDE_BOTH, "nm_both"), (C.NO_MATCH, C.SIDE_SRC, "nm_src"),
@@ -273,26 +259,22 @@ class KeyedComparison:
             _count_rows(n), F.count_if(C.all_null(vals)).alias(n0))
 
     def _reference_summary(self) -> DataFrame:
-        a_s, s_null = self._split(self._ref_counts(self.src.df, self._skc, self._sv, "ns", "s0"))
-        a_d, d_null = self._split(self._ref_counts(self.dest.df, self._dkc, self._dv, "nd", "d0"))
+        # one row per key and side; NULL keys never match, so they stay one-sided
+        a_s = self._ref_counts(self.src.df, self._skc, self._sv, "ns", "s0")
+        a_d = self._ref_counts(self.dest.df, self._dkc, self._dv, "nd", "d0")
         j = a_s.join(a_d, self._kn, "full_outer").select(
             *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("ns", "s0", "nd", "d0")])
         both = (F.col("ns") > 0) & (F.col("nd") > 0)
         zero = F.lit(0).cast("bigint")
-        cols = ["match_both", "a_both", "b_both", "a_src", "a_dest", "b_dest"]
-        contrib = j.select(
-            F.when(both, (F.col("ns") - F.col("s0")) * (F.col("nd") - F.col("d0"))).otherwise(zero).alias("match_both"),
-            F.when(both, F.col("ns") * F.col("d0")).otherwise(zero).alias("a_both"),
-            F.when(both, F.col("s0") * (F.col("nd") - F.col("d0"))).otherwise(zero).alias("b_both"),
-            F.when(F.col("nd") == 0, F.col("ns")).otherwise(zero).alias("a_src"),
-            F.when(F.col("ns") == 0, F.col("d0")).otherwise(zero).alias("a_dest"),
-            F.when(F.col("ns") == 0, F.col("nd") - F.col("d0")).otherwise(zero).alias("b_dest"))
-        src_null = s_null.select(zero.alias("match_both"), zero.alias("a_both"), zero.alias("b_both"),
-                                 F.col("ns").alias("a_src"), zero.alias("a_dest"), zero.alias("b_dest"))
-        dest_null = d_null.select(zero.alias("match_both"), zero.alias("a_both"), zero.alias("b_both"),
-                                  zero.alias("a_src"), F.col("d0").alias("a_dest"),
-                                  (F.col("nd") - F.col("d0")).alias("b_dest"))
-        totals = contrib.unionByName(src_null).unionByName(dest_null).agg(*[F.sum(c).alias(c) for c in cols])
+        cols = {
+            "match_both": F.when(both, (F.col("ns") - F.col("s0")) * (F.col("nd") - F.col("d0"))),
+            "a_both": F.when(both, F.col("ns") * F.col("d0")),
+            "b_both": F.when(both, F.col("s0") * (F.col("nd") - F.col("d0"))),
+            "a_src": F.when(F.col("nd") == 0, F.col("ns")),
+            "a_dest": F.when(F.col("ns") == 0, F.col("d0")),
+            "b_dest": F.when(F.col("ns") == 0, F.col("nd") - F.col("d0")),
+        }
+        totals = j.agg(*[F.sum(F.coalesce(e, zero)).alias(c) for c, e in cols.items()])
         return _summary_from_totals(totals, [
             (C.MATCH, C.SIDE_BOTH, "match_both"), (C.ONLY_A, C.SIDE_BOTH, "a_both"),
             (C.ONLY_B, C.SIDE_BOTH, "b_both"), (C.ONLY_A, C.SIDE_SRC, "a_src"),
@@ -314,36 +296,30 @@ class KeyedComparison:
 
     def _content_keys(self, kf: list[str]) -> DataFrame:
         n = len(self.src.names)
-        # source records grouped by (key, tuple, key fields); one row per distinct combination
+        # distinct source records as (key, tuple, key fields)
         s = self.src.df.select(*self._keys(self._skc), _tuple(self._sv).alias("t"),
                                F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf")).distinct()
         a_d = self._collapsed_dest()
-        a_d_nn, d_null = self._split(a_d)
-        nd = a_d_nn.groupBy(*self._kn).agg(F.sum("cd").alias("nd"))
-        s_nn, s_null = self._split(s)
-        with_cd = s_nn.join(a_d_nn, self._kn + ["t"], "left").join(nd, self._kn, "left")
+        nd = a_d.groupBy(*self._kn).agg(F.sum("cd").alias("nd"))
+        # equi-joins: a NULL key finds nothing, so its record counts as one-sided
+        with_cd = s.join(a_d, self._kn + ["t"], "left").join(nd, self._kn, "left")
         cd = F.coalesce(F.col("cd"), F.lit(0))
-        offending = (F.col("nd").isNull() | (F.col("nd") > cd) | ((cd > 0) & _tuple_null(n)))
+        offending = F.col("nd").isNull() | (F.col("nd") > cd) | ((cd > 0) & _tuple_null(n))
         kf_cols = [F.col(f"kf.{c}") for c in kf]
-        src_keys = (with_cd.where(offending).select(C.key_text(kf, kf_cols).alias("key_fields"))
-                    .unionByName(s_null.select(C.key_text(kf, kf_cols).alias("key_fields"))))
+        src_keys = with_cd.where(offending).select(C.key_text(kf, kf_cols).alias("key_fields"))
         # destination-only records carry no source values: their key text is all IS NULL
-        src_k = s_nn.select(*self._kn)
-        dest_only = (a_d_nn.select(*self._kn).join(src_k, self._kn, "left_anti")
-                     .unionByName(d_null.select(*self._kn)))
+        dest_only = nd.select(*self._kn).join(s.select(*self._kn), self._kn, "left_anti")
         null_text = dest_only.select(F.lit(C.null_key_text(kf)).alias("key_fields"))
         return src_keys.unionByName(null_text).distinct()
 
     def _reference_keys(self, kf: list[str]) -> DataFrame:
-        # source-only records (no destination row with the key, or a NULL key)
+        # source-only records: no destination row with the key (NULL keys never match)
         s = self.src.df.select(*self._keys(self._skc),
                                F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf")).distinct()
-        d_keys = (self.dest.df.select(*self._keys(self._dkc))
-                  .where(~C.any_null([F.col(k) for k in self._kn])).distinct())
-        s_nn, s_null = self._split(s)
+        d_keys = self.dest.df.select(*self._keys(self._dkc)).distinct()
         kf_cols = [F.col(f"kf.{c}") for c in kf]
-        src_only = s_nn.join(d_keys, self._kn, "left_anti").unionByName(s_null)
-        src_keys = src_only.select(C.key_text(kf, kf_cols).alias("key_fields"))
+        src_keys = (s.join(d_keys, self._kn, "left_anti")
+                    .select(C.key_text(kf, kf_cols).alias("key_fields")))
         # destination-only records whose mapped key fields are all NULL
         mapping = dict(self.on)
         mapped = [mapping.get(c, c) for c in kf]
@@ -352,10 +328,8 @@ class KeyedComparison:
             raise ValueError(f"key fields {missing} are not columns of the destination")
         cand = (self.dest.df.where(C.all_null([F.col(c) for c in mapped]))
                 .select(*self._keys(self._dkc)).distinct())
-        s_k = (self.src.df.select(*self._keys(self._skc))
-               .where(~C.any_null([F.col(k) for k in self._kn])).distinct())
-        cand_nn, cand_null = self._split(cand)
-        dest_only = cand_nn.join(s_k, self._kn, "left_anti").unionByName(cand_null)
+        s_k = self.src.df.select(*self._keys(self._skc)).distinct()
+        dest_only = cand.join(s_k, self._kn, "left_anti")
         null_text = dest_only.select(F.lit(C.null_key_text(kf)).alias("key_fields"))
         return src_keys.unionByName(null_text).distinct()
 

@@ -56,8 +56,8 @@ SEGMENT_WITH_NULLS_SQL = "(SELECT c_custkey, NULLIF(c_mktsegment, 'BUILDING') AS
 ALLOWED_PART_TYPES = ("PROMO", "SMALL", "LARGE")
 
 
-def _views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return testdata.register_views(spark, sf_dir)
+def _views(spark: SparkSession, sf_dir: str, *names: str) -> None:
+    testdata.register_views(spark, sf_dir, names)
 
 
 def _dest_orders(spark: SparkSession) -> DataFrame:
@@ -67,18 +67,18 @@ def _dest_orders(spark: SparkSession) -> DataFrame:
 # ----------------------------------------------------------------- volume --
 
 def vol_orders_lineitem(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "orders", "lineitem")
     return checks.volume(spark, "orders", "(SELECT DISTINCT l_orderkey FROM lineitem)").verdict
 
 
 def vol_bound_param(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "orders")
     return checks.volume(spark, "orders", "orders", "o_orderstatus = ?", "o_orderstatus=?",
                          params={"o_orderstatus": "F"}).verdict
 
 
 def vol_params_report(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "orders")
     return checks.volume(spark, "orders", "orders",
                          "o_orderstatus = ? AND O_ORDERPRIORITY = ?", "o_orderstatus = ?",
                          params={"ref_date": "2025-12-31", "o_orderpriority": "1-URGENT",
@@ -88,7 +88,7 @@ def vol_params_report(spark, sf_dir):
 # ---------------------------------------------------------------- content --
 
 def _flagship(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "orders")
     return checks.content(spark, "orders", _dest_orders(spark), "o_orderkey = o_orderkey",
                           "o_orderkey, o_orderstatus", "o_orderkey, o_orderstatus",
                           key_fields="o_orderkey")
@@ -116,7 +116,7 @@ def con_keys(spark, sf_dir):
 
 
 def con_keyed_agg(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "lineitem")
     return checks.content(spark, "lineitem", "lineitem", "l_orderkey = l_orderkey",
                           "l_orderkey, SUM(l_linenumber)", "l_orderkey, SUM(l_linenumber)",
                           dest_filter="l_returnflag <> 'N'",
@@ -124,14 +124,14 @@ def con_keyed_agg(spark, sf_dir):
 
 
 def con_renamed_key(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "orders", "events")
     return checks.content(spark, "orders", "events", "o_custkey = user_id",
                           "o_custkey, COUNT(1)", "user_id, COUNT(1)",
                           src_group_by="o_custkey", dest_group_by="user_id").comparison.summary()
 
 
 def con_composite_dupkeys(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "lineitem")
     return checks.content(spark, "lineitem", "lineitem",
                           "l_orderkey = l_orderkey AND l_linenumber = l_linenumber",
                           "l_orderkey, l_linenumber, l_returnflag", "l_orderkey, l_linenumber, l_returnflag",
@@ -139,30 +139,30 @@ def con_composite_dupkeys(spark, sf_dir):
 
 
 def con_star(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "nation")
     return checks.content(spark, "nation", NATION_RENAMED_SQL, "n_nationkey = n_nationkey",
                           "*", "*").comparison.summary()
 
 
 def con_cross_agg(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "orders", "customer")
     return checks.content(spark, "orders", "customer", None,
                           "COUNT(DISTINCT o_custkey)", "COUNT(DISTINCT c_custkey)").comparison.rows()
 
 
 def con_cross_rows(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "region")
     return checks.content(spark, "region", "region", None, "r_regionkey", "COUNT(1) - 1").comparison.rows()
 
 
 def con_cross_empty(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "orders", "lineitem")
     return checks.content(spark, "orders", "lineitem", None, "o_orderstatus", "l_linestatus",
                           src_filter="o_totalprice < 0").verdict
 
 
 def con_cross_multiset(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "orders", "lineitem")
     return checks.content(spark, "orders", LINESTATUS_WITH_NULLS_SQL, None,
                           "o_orderstatus", "l_linestatus").verdict
 
@@ -170,12 +170,12 @@ def con_cross_multiset(spark, sf_dir):
 # -------------------------------------------------------------- reference --
 
 def ref_documents_labels(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "documents", "labels")
     return checks.reference(spark, "documents", "labels", "doc_id = doc_id", "doc_id", "doc_id").comparison.summary()
 
 
 def _f_orders_vs_lineitem(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "orders", "lineitem")
     return checks.reference(spark, "orders", "(SELECT DISTINCT l_orderkey FROM lineitem)",
                             "o_orderkey = l_orderkey", "o_orderkey", "l_orderkey",
                             src_filter="o_orderstatus = 'F'")
@@ -190,13 +190,13 @@ def ref_dest_only(spark, sf_dir):
 
 
 def ref_orphan_keys(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "orders", "lineitem")
     return checks.reference(spark, "orders", "lineitem", "o_orderkey = l_orderkey", "o_orderkey",
                             "l_orderkey", key_fields="o_orderkey").keys
 
 
 def ref_null_keys(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "customer")
     return checks.reference(spark, CUSTOMER_NULL_KEYS_SQL, CUSTOMER_NULL_KEYS_SQL, "k = k",
                             "k, c_name", "k, c_name").comparison.summary()
 
@@ -204,7 +204,7 @@ def ref_null_keys(spark, sf_dir):
 # ---------------------------------------------------- catalogue / format --
 
 def cat_returnflag(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "lineitem")
     return checks.catalogue(spark, "lineitem", "l_returnflag NOT IN ('A', 'R')",
                             "l_returnflag, l_linestatus").rows
 
@@ -217,12 +217,12 @@ def cat_catalogue_table(spark, sf_dir):
 
 
 def form_brand(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "part")
     return checks.format_check(spark, "part", "p_brand NOT LIKE 'Brand#__'", "p_brand").rows
 
 
 def _segment(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "customer")
     return checks.mandatory(spark, SEGMENT_WITH_NULLS_SQL, "c_mktsegment IS NULL", "c_mktsegment")
 
 
@@ -237,39 +237,39 @@ def violation_keys(spark, sf_dir):
 # ------------------------------------------------------------- duplicates --
 
 def dup_lineitem(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "lineitem")
     return checks.duplicates(spark, "lineitem", "l_orderkey, l_linenumber").rows
 
 
 def dup_extra_group(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "lineitem")
     return checks.duplicates(spark, "lineitem", "l_orderkey, l_linenumber", group_by="l_linenumber").rows
 
 
 def dup_documents_text(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "documents")
     return checks.duplicates(spark, "documents", "text, lang").rows
 
 
 def dup_filtered(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "orders")
     return checks.duplicates(spark, "orders", "o_custkey, o_orderdate", filter="o_orderstatus = 'O'").rows
 
 
 def dup_keys(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "lineitem")
     return checks.duplicates(spark, "lineitem", "l_orderkey, l_linenumber").keys
 
 
 # ---------------------------------------------------- subquery relations --
 
 def union_trim_source(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "orders", "lineitem")
     return checks.volume(spark, "lineitem", UNION_TRIM_SQL, src_filter=UNION_TRIM_SRC_FILTER).verdict
 
 
 def union_trim_rows(spark, sf_dir):
-    _views(spark, sf_dir)
+    _views(spark, sf_dir, "orders", "lineitem")
     from parity.sources.relation import relation
     return relation(spark, UNION_TRIM_SQL).groupBy("direcao").agg(F.count(F.lit(1)).alias("n"))
 
