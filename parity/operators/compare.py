@@ -295,43 +295,45 @@ class KeyedComparison:
         return self._content_keys(kf)
 
     def _content_keys(self, kf: list[str]) -> DataFrame:
+        """A source record (key k, tuple t) takes part in a difference unless
+        every destination row of k carries exactly t and t is not all NULL.
+        Per destination key, min(t) = max(t) says "one tuple only", so one
+        aggregate per side and one full outer join on the key decide every
+        record; destination-only keys add the all-NULL key text."""
         n = len(self.src.names)
-        # distinct source records as (key, tuple, key fields)
         s = self.src.df.select(*self._keys(self._skc), _tuple(self._sv).alias("t"),
                                F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf")).distinct()
-        a_d = self._collapsed_dest()
-        nd = a_d.groupBy(*self._kn).agg(F.sum("cd").alias("nd"))
-        # equi-joins: a NULL key finds nothing, so its record counts as one-sided
-        with_cd = s.join(a_d, self._kn + ["t"], "left").join(nd, self._kn, "left")
-        cd = F.coalesce(F.col("cd"), F.lit(0))
-        offending = F.col("nd").isNull() | (F.col("nd") > cd) | ((cd > 0) & _tuple_null(n))
+        d = (self.dest.df.select(*self._keys(self._dkc), _tuple(self._dv).alias("dt"))
+             .groupBy(*self._kn).agg(F.min("dt").alias("tmin"), F.max("dt").alias("tmax"),
+                                     F.lit(True).alias("__in_dest")))
+        j = s.join(d, [s[k] == d[k] for k in self._kn], "full_outer")
+        in_src = F.col("t").isNotNull()
+        clean = (F.col("__in_dest").isNotNull() & (F.col("tmin") == F.col("t")) & (F.col("tmax") == F.col("t"))
+                 & ~_tuple_null(n))
         kf_cols = [F.col(f"kf.{c}") for c in kf]
-        src_keys = with_cd.where(offending).select(C.key_text(kf, kf_cols).alias("key_fields"))
-        # destination-only records carry no source values: their key text is all IS NULL
-        dest_only = nd.select(*self._kn).join(s.select(*self._kn), self._kn, "left_anti")
-        null_text = dest_only.select(F.lit(C.null_key_text(kf)).alias("key_fields"))
-        return src_keys.unionByName(null_text).distinct()
+        text = F.when(in_src, C.key_text(kf, kf_cols)).otherwise(F.lit(C.null_key_text(kf)))
+        return j.where(~in_src | ~clean).select(text.alias("key_fields")).distinct()
 
     def _reference_keys(self, kf: list[str]) -> DataFrame:
-        # source-only records: no destination row with the key (NULL keys never match)
-        s = self.src.df.select(*self._keys(self._skc),
-                               F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf")).distinct()
-        d_keys = self.dest.df.select(*self._keys(self._dkc)).distinct()
-        kf_cols = [F.col(f"kf.{c}") for c in kf]
-        src_keys = (s.join(d_keys, self._kn, "left_anti")
-                    .select(C.key_text(kf, kf_cols).alias("key_fields")))
-        # destination-only records whose mapped key fields are all NULL
+        """Source-only records give their key text; destination-only records
+        whose mapped key fields are all NULL give the all-NULL key text.  One
+        full outer join of the distinct source keys with a per-key
+        destination flag."""
         mapping = dict(self.on)
         mapped = [mapping.get(c, c) for c in kf]
         missing = [c for c in mapped if c not in self.dest.df.columns]
         if missing:
             raise ValueError(f"key fields {missing} are not columns of the destination")
-        cand = (self.dest.df.where(C.all_null([F.col(c) for c in mapped]))
-                .select(*self._keys(self._dkc)).distinct())
-        s_k = self.src.df.select(*self._keys(self._skc)).distinct()
-        dest_only = cand.join(s_k, self._kn, "left_anti")
-        null_text = dest_only.select(F.lit(C.null_key_text(kf)).alias("key_fields"))
-        return src_keys.unionByName(null_text).distinct()
+        s = self.src.df.select(*self._keys(self._skc),
+                               F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf")).distinct()
+        d = (self.dest.df.select(*self._keys(self._dkc), C.all_null([F.col(c) for c in mapped]).alias("mn"))
+             .groupBy(*self._kn).agg(F.max("mn").alias("mapped_null")))
+        j = s.join(d, [s[k] == d[k] for k in self._kn], "full_outer")
+        in_src, in_dest = F.col("kf").isNotNull(), F.col("mapped_null").isNotNull()
+        kf_cols = [F.col(f"kf.{c}") for c in kf]
+        text = F.when(in_src, C.key_text(kf, kf_cols)).otherwise(F.lit(C.null_key_text(kf)))
+        keep = (in_src & ~in_dest) | (~in_src & F.col("mapped_null"))
+        return j.where(keep).select(text.alias("key_fields")).distinct()
 
 
 # --------------------------------------------------------------- keyless --

@@ -1,0 +1 @@
+"""Plans: the suite runner and the registered scenarios."""

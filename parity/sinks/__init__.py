@@ -1,0 +1 @@
+"""Sinks: control/result tables and their history."""
