@@ -142,14 +142,27 @@ class KeyedComparison:
         self._skc, self._dkc = sk, dk
 
     # -- pair level ---------------------------------------------------------
-    def rows(self) -> DataFrame:
+    def rows(self, collapse: bool = True) -> DataFrame:
+        """Joined pairs with ``<c>_src`` / ``<c>_dest``, ``status``, ``side``
+        and ``pairs`` -- how many record pairs the row stands for.
+
+        With ``collapse`` (default) identical records of a side are folded
+        into one row with a count before the join, so copies and keys that
+        repeat on both sides cost one row per distinct (source, destination)
+        record pair instead of every m*n combination; on unique keys every
+        row has ``pairs = 1``.  ``collapse=False`` joins the records as they
+        are (one shuffle less; for keys known to be unique)."""
         n = len(self.src.names)
         s = self.src.df.select(*[c.alias(f"__k{i}") for i, c in enumerate(self._skc)],
-                               *[F.col(c).alias(f"__sv{j}") for j, c in enumerate(self.src.names)],
-                               F.lit(True).alias("__in_src"))
+                               *[F.col(c).alias(f"__sv{j}") for j, c in enumerate(self.src.names)])
         d = self.dest.df.select(*[c.alias(f"__j{i}") for i, c in enumerate(self._dkc)],
-                                *[F.col(c).alias(f"__dv{j}") for j, c in enumerate(self.dest.names)],
-                                F.lit(True).alias("__in_dest"))
+                                *[F.col(c).alias(f"__dv{j}") for j, c in enumerate(self.dest.names)])
+        if collapse:
+            s = s.groupBy(*s.columns).agg(F.count(F.lit(1)).alias("__cs"))
+            d = d.groupBy(*d.columns).agg(F.count(F.lit(1)).alias("__cd"))
+        else:
+            s = s.withColumn("__cs", F.lit(1).cast("long"))
+            d = d.withColumn("__cd", F.lit(1).cast("long"))
         parts = _shuffle_partitions(self.src.df)
         s = s.withColumn("__salt", self._salt(s, "__k", parts))
         d = d.withColumn("__dsalt", self._salt(d, "__j", parts))
@@ -163,12 +176,13 @@ class KeyedComparison:
             status = C.reference_status(sv, dv)
         else:
             status = C.content_status(list(zip(sv, dv)), sv, dv)
-        side = (F.when(F.col("__in_src") & F.col("__in_dest"), C.SIDE_BOTH)
-                .when(F.col("__in_src"), C.SIDE_SRC).otherwise(C.SIDE_DEST))
+        in_src, in_dest = F.col("__cs").isNotNull(), F.col("__cd").isNotNull()
+        side = F.when(in_src & in_dest, C.SIDE_BOTH).when(in_src, C.SIDE_SRC).otherwise(C.SIDE_DEST)
+        pairs = F.coalesce(F.col("__cs"), F.lit(1)) * F.coalesce(F.col("__cd"), F.lit(1))
         out = []
         for i, (a, b) in enumerate(zip(self.src.names, self.dest.names)):
             out += [sv[i].alias(f"{a}_src"), dv[i].alias(f"{b}_dest")]
-        return j.select(*out, status.alias("status"), side.alias("side"))
+        return j.select(*out, status.alias("status"), side.alias("side"), pairs.cast("long").alias("pairs"))
 
     def differences(self) -> DataFrame:
         return self.rows().where(F.col("status") != C.MATCH)
@@ -195,6 +209,8 @@ class KeyedComparison:
         return self.dest.df.join(s, cond, "left_anti").select(*self.dest.names)
 
     def _salt(self, df: DataFrame, prefix: str, parts: int) -> Column:
+        """0 for rows with a full key; rows with a NULL key part (which can
+        never match) are spread over ``parts`` buckets by a hash of the row."""
         keys = [F.col(f"{prefix}{i}") for i in range(len(self.on))]
         return (F.when(C.any_null(keys), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(parts)) + 1)
                 .otherwise(F.lit(0)).cast("int"))
@@ -297,28 +313,29 @@ class KeyedComparison:
     def _content_keys(self, kf: list[str]) -> DataFrame:
         """A source record (key k, tuple t) takes part in a difference unless
         every destination row of k carries exactly t and t is not all NULL.
-        Per destination key, min(t) = max(t) says "one tuple only", so one
-        aggregate per side and one full outer join on the key decide every
-        record; destination-only keys add the all-NULL key text."""
+        Per destination key, min(t) = max(t) says "one tuple only", so the
+        decision needs one row per destination key.  Source records (copies
+        folded) meet it in a left outer join, whose skewed partitions AQE can
+        split; destination-only keys come from an anti join of one row per
+        key on each side and add the all-NULL key text."""
         n = len(self.src.names)
         s = self.src.df.select(*self._keys(self._skc), _tuple(self._sv).alias("t"),
                                F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf")).distinct()
         d = (self.dest.df.select(*self._keys(self._dkc), _tuple(self._dv).alias("dt"))
-             .groupBy(*self._kn).agg(F.min("dt").alias("tmin"), F.max("dt").alias("tmax"),
-                                     F.lit(True).alias("__in_dest")))
-        j = s.join(d, [s[k] == d[k] for k in self._kn], "full_outer")
-        in_src = F.col("t").isNotNull()
-        clean = (F.col("__in_dest").isNotNull() & (F.col("tmin") == F.col("t")) & (F.col("tmax") == F.col("t"))
+             .groupBy(*self._kn).agg(F.min("dt").alias("tmin"), F.max("dt").alias("tmax")))
+        j = s.join(d, self._kn, "left")
+        clean = (F.col("tmin").isNotNull() & (F.col("tmin") == F.col("t")) & (F.col("tmax") == F.col("t"))
                  & ~_tuple_null(n))
         kf_cols = [F.col(f"kf.{c}") for c in kf]
-        text = F.when(in_src, C.key_text(kf, kf_cols)).otherwise(F.lit(C.null_key_text(kf)))
-        return j.where(~in_src | ~clean).select(text.alias("key_fields")).distinct()
+        src_keys = j.where(~clean).select(C.key_text(kf, kf_cols).alias("key_fields"))
+        dest_only = d.select(*self._kn).join(s.select(*self._kn).distinct(), self._kn, "left_anti")
+        null_text = dest_only.select(F.lit(C.null_key_text(kf)).alias("key_fields"))
+        return src_keys.unionByName(null_text).distinct()
 
     def _reference_keys(self, kf: list[str]) -> DataFrame:
-        """Source-only records give their key text; destination-only records
-        whose mapped key fields are all NULL give the all-NULL key text.  One
-        full outer join of the distinct source keys with a per-key
-        destination flag."""
+        """Source-only records give their key text (anti join of distinct
+        source records against distinct destination keys); destination-only
+        records whose mapped key fields are all NULL give the all-NULL text."""
         mapping = dict(self.on)
         mapped = [mapping.get(c, c) for c in kf]
         missing = [c for c in mapped if c not in self.dest.df.columns]
@@ -328,12 +345,12 @@ class KeyedComparison:
                                F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf")).distinct()
         d = (self.dest.df.select(*self._keys(self._dkc), C.all_null([F.col(c) for c in mapped]).alias("mn"))
              .groupBy(*self._kn).agg(F.max("mn").alias("mapped_null")))
-        j = s.join(d, [s[k] == d[k] for k in self._kn], "full_outer")
-        in_src, in_dest = F.col("kf").isNotNull(), F.col("mapped_null").isNotNull()
         kf_cols = [F.col(f"kf.{c}") for c in kf]
-        text = F.when(in_src, C.key_text(kf, kf_cols)).otherwise(F.lit(C.null_key_text(kf)))
-        keep = (in_src & ~in_dest) | (~in_src & F.col("mapped_null"))
-        return j.where(keep).select(text.alias("key_fields")).distinct()
+        src_keys = s.join(d, self._kn, "left_anti").select(C.key_text(kf, kf_cols).alias("key_fields"))
+        dest_only = (d.where(F.col("mapped_null")).select(*self._kn)
+                     .join(s.select(*self._kn).distinct(), self._kn, "left_anti"))
+        null_text = dest_only.select(F.lit(C.null_key_text(kf)).alias("key_fields"))
+        return src_keys.unionByName(null_text).distinct()
 
 
 # --------------------------------------------------------------- keyless --
