@@ -21,6 +21,7 @@ from parity.functions.params import report
 from parity.functions.text import parse_join_key, split_list, unique
 from parity.operators.compare import CrossComparison, KeyedComparison
 from parity.operators.side import prepare
+from parity.sources.local import literal_frame
 from parity.sources.relation import relation, where
 
 VOL, CON, CAT, FORM, OBG, REF, DUP = "VOL", "CON", "CAT", "FORM", "OBG", "REF", "DUP"
@@ -67,7 +68,7 @@ def _describe(subtype: str, **parts) -> str:
 
 
 def _no_keys(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "key_fields string")
+    return literal_frame(spark, [], "key_fields string")
 
 
 def _keys_list(key_fields) -> list[str]:

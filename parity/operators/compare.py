@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 
 from parity.functions import columns as C
 from parity.operators.side import Side
+from parity.sources.local import literal_frame
 
 
 # ---------------------------------------------------------------- helpers --
@@ -304,7 +305,7 @@ class KeyedComparison:
         """Distinct key text of the records behind the differences, one column
         ``key_fields``.  Empty when no key fields were given."""
         if not self.key_fields:
-            return self.src.df.sparkSession.createDataFrame([], "key_fields string")
+            return literal_frame(self.src.df.sparkSession, [], "key_fields string")
         kf = list(self.key_fields)
         if self.mode == "reference":
             return self._reference_keys(kf)
@@ -417,7 +418,7 @@ class CrossComparison:
 
     def keys(self) -> DataFrame:
         if not self.key_fields:
-            return self.src.df.sparkSession.createDataFrame([], "key_fields string")
+            return literal_frame(self.src.df.sparkSession, [], "key_fields string")
         kf = list(self.key_fields)
         _, a_d = self._collapsed()
         nd = a_d.agg(F.coalesce(F.sum("cd"), F.lit(0)).alias("nd"))

@@ -16,6 +16,7 @@ from parity.functions import columns as C
 from parity.operators import checks
 from parity.operators.checks import outside_catalogue
 from parity.sources import testdata
+from parity.sources.local import literal_frame
 
 # A faulty copy of ``orders``: every 50th key lost, status nulled on every
 # 41st and overwritten on every 37th, every 500th row re-inserted under a
@@ -211,7 +212,7 @@ def cat_returnflag(spark, sf_dir):
 
 def cat_catalogue_table(spark, sf_dir):
     part = testdata.read(spark, sf_dir, "part")
-    allowed = spark.createDataFrame([(t,) for t in ALLOWED_PART_TYPES], "p_type string")
+    allowed = literal_frame(spark, [(t,) for t in ALLOWED_PART_TYPES], "p_type string")
     bad = outside_catalogue(part, "p_type", allowed)
     return bad.groupBy("p_type").agg(F.count(F.lit(1)).alias("count"))
 

@@ -25,6 +25,7 @@ from parity.functions.params import placeholders
 from parity.operators import checks
 from parity.operators.ids import with_sequential_ids
 from parity.sources.definitions import with_defaults
+from parity.sources.local import literal_frame
 
 ERROR = "ERROR"  # result of a check whose plan could not be built
 
@@ -56,7 +57,7 @@ class Definition:
 
 
 def definitions_frame(spark: SparkSession, defs: list[Definition]) -> DataFrame:
-    return spark.createDataFrame([d.as_tuple() for d in defs], schemas.DEFINITIONS)
+    return literal_frame(spark, [d.as_tuple() for d in defs], schemas.DEFINITIONS)
 
 
 def validate(defs: list[Definition], params=None) -> list[str]:
@@ -169,9 +170,9 @@ def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict
     if result_frames:
         results = _union(result_frames).withColumn("TIMESTAMP", ts)
     else:
-        results = spark.createDataFrame([], schemas.RESULTS)
+        results = literal_frame(spark, [], schemas.RESULTS)
     details = (_union(detail_frames) if detail_frames
-               else spark.createDataFrame([], "RESULT_ID long, KEY_FIELDS string"))
+               else literal_frame(spark, [], "RESULT_ID long, KEY_FIELDS string"))
     return SuiteRun(results, details, now)
 
 

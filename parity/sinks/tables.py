@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from parity import schemas
 from parity.plans.suite import SuiteRun
+from parity.sources.local import literal_frame
 
 RESULTS_TABLE = "test_out_results"
 DETAILS_TABLE = "test_out_results_details"
@@ -63,7 +64,7 @@ def max_id(spark: SparkSession, table: str, column: str) -> DataFrame:
 
 def add_set_member(spark: SparkSession, set_id: int, test_id: int,
                    table: str = "test_rel_set_parameter") -> None:
-    append(spark.createDataFrame([(set_id, test_id)], schemas.SET_MEMBERS), table)
+    append(literal_frame(spark, [(set_id, test_id)], schemas.SET_MEMBERS), table)
 
 
 def record(run: SuiteRun, results_table: str = RESULTS_TABLE, details_table: str = DETAILS_TABLE):
@@ -71,8 +72,8 @@ def record(run: SuiteRun, results_table: str = RESULTS_TABLE, details_table: str
     spark = run.results.sparkSession
     # ids come from the tables as they are before this run; materialise the
     # bases first so appending the results does not move the details' base
-    rbase = spark.createDataFrame([(max_id(spark, results_table, "RESULT_ID").first()[0],)], "max_id long")
-    dbase = spark.createDataFrame([(max_id(spark, details_table, "DETAILS_ID").first()[0],)], "max_id long")
+    rbase = literal_frame(spark, [(max_id(spark, results_table, "RESULT_ID").first()[0],)], "max_id long")
+    dbase = literal_frame(spark, [(max_id(spark, details_table, "DETAILS_ID").first()[0],)], "max_id long")
     results, details = run.with_ids(rbase, dbase)
     append(results, results_table)
     append(details, details_table)
