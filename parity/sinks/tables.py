@@ -83,4 +83,6 @@ def record(run: SuiteRun, results_table: str = RESULTS_TABLE, details_table: str
 def history(spark: SparkSession, results_table: str = RESULTS_TABLE,
             details_table: str = DETAILS_TABLE) -> DataFrame:
     from parity.plans.suite import history as _history
+    for t in (results_table, details_table):
+        spark.catalog.refreshTable(t)       # appends may come from another session (streams)
     return _history(spark.table(results_table), spark.table(details_table))
