@@ -1,3 +1,3 @@
 """Sources: relations of a check, test tables, check definitions."""
 
-from parity.sources.relation import relation, where  # noqa: F401
+from parity.sources.relation import columns_of, relation, where  # noqa: F401

@@ -70,3 +70,12 @@ def where(spark: SparkSession, df: DataFrame, predicate, params=None) -> tuple[D
         return df.where(bound.text), bound
     safe = bound.text.replace("{", "{{").replace("}", "}}")
     return spark.sql("SELECT * FROM {rel} WHERE " + safe, args=bound.args, rel=df), bound
+
+
+def columns_of(df: DataFrame, exclude=(), stop_before: str | None = None) -> list[str]:
+    """Column names of a relation from its schema (no job runs), without the
+    ``exclude`` names, cut just before ``stop_before`` when it is present."""
+    names = [c for c in df.columns if c and c not in set(exclude)]
+    if stop_before in names:
+        names = names[:names.index(stop_before)]
+    return names

@@ -63,3 +63,11 @@ def test_bound_filter_runs_with_typed_values(spark):
     assert [r.k for r in out.collect()] == [2]
     with pytest.raises(ValueError):
         where(spark, df, "s = ?", {})
+
+
+def test_columns_of(spark):
+    from parity.sources import columns_of
+    df = spark.createDataFrame([(1, 2, 3, 4)], "a int, b int, c int, d int")
+    assert columns_of(df) == ["a", "b", "c", "d"]
+    assert columns_of(df, exclude=["b"], stop_before="d") == ["a", "c"]
+    assert columns_of(df, stop_before="zz") == ["a", "b", "c", "d"]
