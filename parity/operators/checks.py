@@ -32,8 +32,10 @@ class CheckResult:
     """Lazy outputs of one check; each DataFrame is built on first access
     (building a plan runs the analyzer, so unused outputs cost nothing)."""
 
-    def __init__(self, subtype: str, verdict, keys, rows=None, description: str = "", comparison=None):
+    def __init__(self, subtype: str, verdict, keys, rows=None, description: str = "", comparison=None,
+                 key_fields=()):
         self.subtype = subtype
+        self.key_fields = tuple(key_fields)
         self.description = description
         self.comparison = comparison
         self._make = {"verdict": verdict, "keys": keys, "rows": rows}
@@ -130,7 +132,7 @@ def _compare(spark, subtype, src, dest, join_key, src_select, dest_select, src_f
     desc = _describe(subtype, src=src, dest=dest, join_key=join_key, src_select=src_select,
                      dest_select=dest_select, src_filter=src_filter, dest_filter=dest_filter,
                      src_group_by=src_group_by, dest_group_by=dest_group_by, key_fields=key_fields)
-    return CheckResult(subtype, verdict, cmp.keys, rows, desc, cmp)
+    return CheckResult(subtype, verdict, cmp.keys, rows, desc, cmp, kf)
 
 
 def content(spark: SparkSession, src, dest, join_key=None, src_select=None, dest_select=None,
@@ -176,7 +178,7 @@ def violations(spark: SparkSession, src, predicate, key_fields=None, params=None
         return res.rows.select(C.key_text(kf, sep=C.KEY_SEP_GROUPED).alias("key_fields"))
 
     res = CheckResult(subtype, verdict, keys, groups,
-                      _describe(subtype, src=src, filter=predicate, key_fields=key_fields))
+                      _describe(subtype, src=src, filter=predicate, key_fields=key_fields), key_fields=kf)
     return res
 
 
@@ -227,5 +229,6 @@ def duplicates(spark: SparkSession, src, key_fields, filter=None, group_by=None,
         return res.rows.select(C.key_text(cols, sep=C.KEY_SEP_GROUPED).alias("key_fields"))
 
     res = CheckResult(DUP, verdict, keys, groups,
-                      _describe(DUP, src=src, filter=filter, group_by=group_by, key_fields=key_fields))
+                      _describe(DUP, src=src, filter=filter, group_by=group_by, key_fields=key_fields),
+                      key_fields=cols)
     return res

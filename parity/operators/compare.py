@@ -99,19 +99,22 @@ def _shuffle_partitions(df: DataFrame) -> int:
 _STATUS_SCHEMA = "status string, side string, n bigint"
 
 
+# The count arithmetic below is written as SQL expressions over internal
+# column names: one parse per expression instead of dozens of driver calls.
+
 def _summary_from_totals(totals: DataFrame, entries: list[tuple[str, str, str]]) -> DataFrame:
     """One-row frame of named totals -> rows (status, side, n) with n > 0."""
-    arr = F.array(*[F.struct(F.lit(st).alias("status"), F.lit(sd).alias("side"),
-                             F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("n"))
-                    for st, sd, c in entries])
-    return totals.select(F.inline(arr)).where(F.col("n") > 0)
+    structs = ", ".join(f"named_struct('status', '{st}', 'side', '{sd}', 'n', CAST(coalesce({c}, 0) AS BIGINT))"
+                        for st, sd, c in entries)
+    return totals.selectExpr(f"inline(array({structs}))").where("n > 0")
 
 
 def verdict_of(summary: DataFrame, bad_word: str = C.NOK) -> DataFrame:
     """``n_differences`` and ``result`` from a (status, side, n) summary; one row always."""
-    n = F.coalesce(F.sum(F.when(F.col("status") != C.MATCH, F.col("n"))), F.lit(0)).cast("bigint")
-    return (summary.agg(n.alias("n_differences"))
-            .withColumn("result", F.when(F.col("n_differences") > 0, bad_word).otherwise(C.OK)))
+    return (summary.selectExpr(f"CASE WHEN status <> '{C.MATCH}' THEN n END AS n")
+            .agg(F.expr("CAST(coalesce(sum(n), 0) AS BIGINT)").alias("n_differences"))
+            .selectExpr("n_differences",
+                        f"CASE WHEN n_differences > 0 THEN '{bad_word}' ELSE '{C.OK}' END AS result"))
 
 
 # ---------------------------------------------------------------- keyed --
@@ -243,28 +246,27 @@ class KeyedComparison:
             return self._reference_summary()
         n = len(self.src.names)
         j = self._collapsed_src().join(self._collapsed_dest(), self._kn + ["t"], "full_outer")
-        keys = [F.col(k) for k in self._kn]
-        nk = F.when(C.any_null(keys), F.when(F.col("cs").isNotNull(), 1).otherwise(2)).otherwise(0)
-        j = j.select(*self._kn, nk.alias("nk"), _tuple_null(n).alias("tn"),
-                     F.coalesce("cs", F.lit(0)).alias("cs"), F.coalesce("cd", F.lit(0)).alias("cd"))
-        per_key = j.groupBy(*self._kn, "nk").agg(
-            F.sum("cs").alias("ns"), F.sum("cd").alias("nd"),
-            F.sum(F.col("cs") * F.col("cd")).alias("m"),
-            F.sum(F.when(F.col("tn"), F.col("cs") * F.col("cd")).otherwise(0)).alias("m0"),
-            F.sum(F.when(F.col("tn"), F.col("cs")).otherwise(0)).alias("s0"),
-            F.sum(F.when(F.col("tn"), F.col("cd")).otherwise(0)).alias("d0"))
-        both = (F.col("ns") > 0) & (F.col("nd") > 0)
-        zero = F.lit(0).cast("bigint")
+        any_null_key = " OR ".join(f"{k} IS NULL" for k in self._kn)
+        tuple_null = " AND ".join(f"t.v{i} IS NULL" for i in range(n))
+        j = j.selectExpr(*self._kn,
+                         f"CASE WHEN {any_null_key} THEN (CASE WHEN cs IS NOT NULL THEN 1 ELSE 2 END) ELSE 0 END AS nk",
+                         f"({tuple_null}) AS tn", "coalesce(cs, 0) AS cs", "coalesce(cd, 0) AS cd")
+        per_key = j.groupBy(*self._kn, "nk").agg(*[F.expr(e).alias(a) for a, e in (
+            ("ns", "sum(cs)"), ("nd", "sum(cd)"), ("m", "sum(cs * cd)"),
+            ("m0", "sum(CASE WHEN tn THEN cs * cd ELSE 0 END)"),
+            ("s0", "sum(CASE WHEN tn THEN cs ELSE 0 END)"),
+            ("d0", "sum(CASE WHEN tn THEN cd ELSE 0 END)"))])
+        both = "ns > 0 AND nd > 0"
         cols = {
-            "match_both": F.when(both, F.col("m") - F.col("m0")),
-            "a_both": F.when(both, F.col("m0")),
-            "nm_both": F.when(both, F.col("ns") * F.col("nd") - F.col("m")),
-            "nm_src": F.when(F.col("nd") == 0, F.col("ns") - F.col("s0")),
-            "a_src": F.when(F.col("nd") == 0, F.col("s0")),
-            "nm_dest": F.when(F.col("ns") == 0, F.col("nd") - F.col("d0")),
-            "a_dest": F.when(F.col("ns") == 0, F.col("d0")),
+            "match_both": f"CASE WHEN {both} THEN m - m0 END",
+            "a_both": f"CASE WHEN {both} THEN m0 END",
+            "nm_both": f"CASE WHEN {both} THEN ns * nd - m END",
+            "nm_src": "CASE WHEN nd = 0 THEN ns - s0 END",
+            "a_src": "CASE WHEN nd = 0 THEN s0 END",
+            "nm_dest": "CASE WHEN ns = 0 THEN nd - d0 END",
+            "a_dest": "CASE WHEN ns = 0 THEN d0 END",
         }
-        totals = per_key.agg(*[F.sum(F.coalesce(e, zero)).alias(c) for c, e in cols.items()])
+        totals = per_key.agg(*[F.expr(f"sum(coalesce({e}, 0))").alias(c) for c, e in cols.items()])
         return _summary_from_totals(totals, [
             (C.MATCH, C.SIDE_BOTH, "match_both"), (C.ONLY_A, C.SIDE_BOTH, "a_both"),
             (C.NO_MATCH, C.SIDE_BOTH, "nm_both"), (C.NO_MATCH, C.SIDE_SRC, "nm_src"),
@@ -279,19 +281,18 @@ class KeyedComparison:
         # one row per key and side; NULL keys never match, so they stay one-sided
         a_s = self._ref_counts(self.src.df, self._skc, self._sv, "ns", "s0")
         a_d = self._ref_counts(self.dest.df, self._dkc, self._dv, "nd", "d0")
-        j = a_s.join(a_d, self._kn, "full_outer").select(
-            *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("ns", "s0", "nd", "d0")])
-        both = (F.col("ns") > 0) & (F.col("nd") > 0)
-        zero = F.lit(0).cast("bigint")
+        j = a_s.join(a_d, self._kn, "full_outer").selectExpr(
+            *[f"coalesce({c}, 0) AS {c}" for c in ("ns", "s0", "nd", "d0")])
+        both = "ns > 0 AND nd > 0"
         cols = {
-            "match_both": F.when(both, (F.col("ns") - F.col("s0")) * (F.col("nd") - F.col("d0"))),
-            "a_both": F.when(both, F.col("ns") * F.col("d0")),
-            "b_both": F.when(both, F.col("s0") * (F.col("nd") - F.col("d0"))),
-            "a_src": F.when(F.col("nd") == 0, F.col("ns")),
-            "a_dest": F.when(F.col("ns") == 0, F.col("d0")),
-            "b_dest": F.when(F.col("ns") == 0, F.col("nd") - F.col("d0")),
+            "match_both": f"CASE WHEN {both} THEN (ns - s0) * (nd - d0) END",
+            "a_both": f"CASE WHEN {both} THEN ns * d0 END",
+            "b_both": f"CASE WHEN {both} THEN s0 * (nd - d0) END",
+            "a_src": "CASE WHEN nd = 0 THEN ns END",
+            "a_dest": "CASE WHEN ns = 0 THEN d0 END",
+            "b_dest": "CASE WHEN ns = 0 THEN nd - d0 END",
         }
-        totals = j.agg(*[F.sum(F.coalesce(e, zero)).alias(c) for c, e in cols.items()])
+        totals = j.agg(*[F.expr(f"sum(coalesce({e}, 0))").alias(c) for c, e in cols.items()])
         return _summary_from_totals(totals, [
             (C.MATCH, C.SIDE_BOTH, "match_both"), (C.ONLY_A, C.SIDE_BOTH, "a_both"),
             (C.ONLY_B, C.SIDE_BOTH, "b_both"), (C.ONLY_A, C.SIDE_SRC, "a_src"),

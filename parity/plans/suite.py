@@ -91,14 +91,46 @@ def run_check(spark: SparkSession, d: Definition, params=None, tables=None) -> c
     raise ValueError(f"unknown check code {d.SUBTYPE_ID!r}")
 
 
-@dataclass
 class SuiteRun:
     """Lazy outputs of a suite run.  ``results`` has the RESULTS columns,
-    ``details`` the DETAILS columns (ids assigned by ``with_ids``)."""
-
-    results: DataFrame
-    details: DataFrame          # RESULT_ID, KEY_FIELDS
-    timestamp: _dt.datetime
+    ``details`` (RESULT_ID, KEY_FIELDS); each is built on first use, so
+    asking for the verdicts never plans the key extraction."""
+
+    def __init__(self, spark: SparkSession, checks_: list, timestamp: _dt.datetime):
+        self._spark = spark
+        self._checks = checks_            # (position, definition, CheckResult | error message)
+        self.timestamp = timestamp
+        self._results: DataFrame | None = None
+        self._details: DataFrame | None = None
+
+    @property
+    def results(self) -> DataFrame:
+        if self._results is None:
+            frames = [self._verdict(pos, d, res) for pos, d, res in self._checks]
+            ts = F.lit(self.timestamp).cast("timestamp")
+            self._results = (_union(frames).withColumn("TIMESTAMP", ts) if frames
+                             else literal_frame(self._spark, [], schemas.RESULTS))
+        return self._results
+
+    @property
+    def details(self) -> DataFrame:
+        if self._details is None:
+            frames = [_details(res, self._verdict(pos, d, res), F.lit(pos).cast("long"))
+                      for pos, d, res in self._checks
+                      if isinstance(res, checks.CheckResult) and res.subtype != checks.VOL]
+            self._details = (_union(frames) if frames
+                             else literal_frame(self._spark, [], "RESULT_ID long, KEY_FIELDS string"))
+        return self._details
+
+    def _verdict(self, pos: int, d: Definition, res) -> DataFrame:
+        rid = F.lit(pos).cast("long").alias("RESULT_ID")
+        test_id = F.lit(d.TEST_ID).cast("int").alias("TEST_ID")
+        if isinstance(res, checks.CheckResult):
+            return res.verdict.select(rid, test_id, F.lit(res.description).alias("QUERY"),
+                                      F.col("result").alias("RESULT"),
+                                      F.col("execution_parameter").alias("EXECUTION_PARAMETER"))
+        return self._spark.range(1).select(rid, test_id, F.lit(f"{d.SUBTYPE_ID}: {res}").alias("QUERY"),
+                                           F.lit(ERROR).alias("RESULT"), F.lit("N/A").alias("EXECUTION_PARAMETER"))
 
     def final_results(self, result_base: DataFrame | None = None) -> DataFrame:
         """Results with RESULT_ID offset by the one-row ``result_base`` (the
@@ -132,12 +164,13 @@ class SuiteRun:
 
 
 def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict: bool = True) -> SuiteRun:
-    """Build the plans of every definition (in TEST_ID order).
+    """Prepare every definition's check (in TEST_ID order); plans are built
+    when the results or details are asked for.
 
     ``strict`` rejects the whole run when a definition is invalid (unknown
     code, missing parameter) before anything executes; otherwise such a
-    check, or one whose plan fails to build, yields an ``ERROR`` result
-    carrying the message.
+    check, or one whose relations cannot be resolved, yields an ``ERROR``
+    result carrying the message.
     """
     if isinstance(definitions, DataFrame):
         rows = with_defaults(definitions).orderBy("TEST_ID").collect()   # control table: small
@@ -147,43 +180,31 @@ def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict
     problems = validate(defs, params)
     if strict and problems:
         raise ValueError("; ".join(problems))
-    now = _dt.datetime.now().replace(microsecond=0)
-    result_frames, detail_frames = [], []
+    prepared = []
     for pos, d in enumerate(defs, start=1):
-        rid = F.lit(pos).cast("long")
         try:
             res = run_check(spark, d, params, tables)
-            verdict = res.verdict.select(
-                rid.alias("RESULT_ID"), F.lit(d.TEST_ID).cast("int").alias("TEST_ID"),
-                F.lit(res.description).alias("QUERY"), F.col("result").alias("RESULT"),
-                F.col("execution_parameter").alias("EXECUTION_PARAMETER"))
-            if res.subtype != checks.VOL:
-                detail_frames.append(_details(res, verdict, rid))
+            res.verdict  # analysis errors (unknown columns, bad SQL) surface here
         except Exception as e:  # noqa: BLE001 -- recorded as the check's result
-            message = (str(e).strip().splitlines() or [type(e).__name__])[0]
-            verdict = spark.range(1).select(
-                rid.alias("RESULT_ID"), F.lit(d.TEST_ID).cast("int").alias("TEST_ID"),
-                F.lit(f"{d.SUBTYPE_ID}: {message}").alias("QUERY"), F.lit(ERROR).alias("RESULT"),
-                F.lit("N/A").alias("EXECUTION_PARAMETER"))
-        result_frames.append(verdict)
-    ts = F.lit(now).cast("timestamp")
-    if result_frames:
-        results = _union(result_frames).withColumn("TIMESTAMP", ts)
-    else:
-        results = literal_frame(spark, [], schemas.RESULTS)
-    details = (_union(detail_frames) if detail_frames
-               else literal_frame(spark, [], "RESULT_ID long, KEY_FIELDS string"))
-    return SuiteRun(results, details, now)
+            res = (str(e).strip().splitlines() or [type(e).__name__])[0]
+        prepared.append((pos, d, res))
+    return SuiteRun(spark, prepared, _dt.datetime.now().replace(microsecond=0))
 
 
 def _details(res: checks.CheckResult, verdict: DataFrame, rid) -> DataFrame:
-    """Distinct offending keys; a failed check with no key text gets one
-    empty-key row so the failure is visible in the details too."""
+    """Distinct offending keys.  A failed check with no key text gets one
+    empty-key row so the failure is visible in the details too: always when
+    it has no key fields, and for a referential check whose differences are
+    all destination-only rows with a key."""
+    empty_row = verdict.where(F.col("RESULT") != C.OK).select(rid.alias("RESULT_ID"), F.lit("").alias("KEY_FIELDS"))
+    has_keys = bool(res.key_fields)
+    if not has_keys:
+        return empty_row
     keys = res.keys.select(rid.alias("RESULT_ID"), F.col("key_fields").alias("KEY_FIELDS"))
+    if res.subtype != checks.REF:
+        return keys          # a bad verdict always leaves at least one key row
     n_keys = keys.agg(F.count(F.lit(1)).alias("__nk"))
-    empty = (verdict.where(F.col("RESULT") != C.OK).crossJoin(n_keys).where(F.col("__nk") == 0)
-             .select(rid.alias("RESULT_ID"), F.lit("").alias("KEY_FIELDS")))
-    return keys.unionByName(empty)
+    return keys.unionByName(empty_row.crossJoin(n_keys).where(F.col("__nk") == 0).drop("__nk"))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
