@@ -312,6 +312,47 @@ class KeyedComparison:
             return self._reference_keys(kf)
         return self._content_keys(kf)
 
+    def _key_positions(self, kf: list[str]) -> list[int] | None:
+        """Positions of the key fields among the source join columns, when
+        every key field is one and the join needs no casts (so the key's own
+        values give the key text); else None."""
+        if not all(c in self._sk for c in kf):
+            return None
+        st = {f.name: f.dataType for f in self.src.df.schema.fields}
+        dt = {f.name: f.dataType for f in self.dest.df.schema.fields}
+        if any(st[a] != dt[b] for a, b in self.on):
+            return None
+        return [self._sk.index(c) for c in kf]
+
+    def _content_keys_by_key(self, kf: list[str], pos: list[int]) -> DataFrame:
+        """Key fields = join keys: decide per key.  The key is clean iff both
+        sides carry one tuple only, the same one, and it is not all NULL;
+        one aggregate per side (min/max of the tuple, partial map-side) and
+        a join of two one-row-per-key frames that are already co-partitioned."""
+        n = len(self.src.names)
+        s = (self.src.df.select(*self._keys(self._skc), _tuple(self._sv).alias("t"))
+             .groupBy(*self._kn).agg(F.min("t").alias("smin"), F.max("t").alias("smax")))
+        d = (self.dest.df.select(*self._keys(self._dkc), _tuple(self._dv).alias("t"))
+             .groupBy(*self._kn).agg(F.min("t").alias("dmin"), F.max("t").alias("dmax")))
+        j = s.join(d, [s[k] == d[k] for k in self._kn], "full_outer")
+        tuple_null = " AND ".join(f"smin.v{i} IS NULL" for i in range(n))
+        clean = F.expr(f"smin = smax AND dmin = smin AND dmax = smin AND NOT ({tuple_null})")
+        in_src = F.col("smin").isNotNull()
+        kf_cols = [s[self._kn[i]] for i in pos]
+        text = F.when(in_src, C.key_text(kf, kf_cols)).otherwise(F.lit(C.null_key_text(kf)))
+        return j.where(~in_src | F.col("dmin").isNull() | ~clean).select(text.alias("key_fields")).distinct()
+
+    def _reference_keys_by_key(self, kf: list[str], pos: list[int], mapped: list[str]) -> DataFrame:
+        s = self.src.df.select(*self._keys(self._skc)).groupBy(*self._kn).agg(F.lit(True).alias("in_src"))
+        d = (self.dest.df.select(*self._keys(self._dkc), C.all_null([F.col(c) for c in mapped]).alias("mn"))
+             .groupBy(*self._kn).agg(F.max("mn").alias("mapped_null")))
+        j = s.join(d, [s[k] == d[k] for k in self._kn], "full_outer")
+        in_src, in_dest = F.col("in_src").isNotNull(), F.col("mapped_null").isNotNull()
+        kf_cols = [s[self._kn[i]] for i in pos]
+        text = F.when(in_src, C.key_text(kf, kf_cols)).otherwise(F.lit(C.null_key_text(kf)))
+        keep = (in_src & ~in_dest) | (~in_src & F.col("mapped_null"))
+        return j.where(keep).select(text.alias("key_fields")).distinct()
+
     def _content_keys(self, kf: list[str]) -> DataFrame:
         """A source record (key k, tuple t) takes part in a difference unless
         every destination row of k carries exactly t and t is not all NULL.
@@ -320,6 +361,9 @@ class KeyedComparison:
         folded) meet it in a left outer join, whose skewed partitions AQE can
         split; destination-only keys come from an anti join of one row per
         key on each side and add the all-NULL key text."""
+        pos = self._key_positions(kf)
+        if pos is not None:
+            return self._content_keys_by_key(kf, pos)
         n = len(self.src.names)
         s = self.src.df.select(*self._keys(self._skc), _tuple(self._sv).alias("t"),
                                F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf")).distinct()
@@ -343,6 +387,9 @@ class KeyedComparison:
         missing = [c for c in mapped if c not in self.dest.df.columns]
         if missing:
             raise ValueError(f"key fields {missing} are not columns of the destination")
+        pos = self._key_positions(kf)
+        if pos is not None:
+            return self._reference_keys_by_key(kf, pos, mapped)
         s = self.src.df.select(*self._keys(self._skc),
                                F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf")).distinct()
         d = (self.dest.df.select(*self._keys(self._dkc), C.all_null([F.col(c) for c in mapped]).alias("mn"))

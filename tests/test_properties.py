@@ -19,8 +19,9 @@ def _differs(x, y):
     return x != y  # Python None == None mirrors NULL-safe equality
 
 
-def _brute(src, dst, mode):
-    """(status, side) -> pairs, and the offending key texts, by enumeration."""
+def _brute(src, dst, mode, key_col=0, key_name="k"):
+    """(status, side) -> pairs, and the offending key texts (of the source
+    column ``key_col``), by enumeration."""
     out, keys = Counter(), set()
 
     def status(s, d):
@@ -33,8 +34,9 @@ def _brute(src, dst, mode):
             return C.ONLY_B
         return C.MATCH
 
-    def text(k):
-        return "k IS NULL" if k is None else f"k='{k}'"
+    def text(row):
+        v = row[key_col] if row else None
+        return f"{key_name} IS NULL" if v is None else f"{key_name}='{v}'"
 
     matched_d = set()
     for s in src:
@@ -42,19 +44,19 @@ def _brute(src, dst, mode):
         if not partners:
             st_ = status(s, None)
             out[(st_, "src")] += 1
-            keys.add(text(s[0]))
+            keys.add(text(s))
         for i in partners:
             matched_d.add(i)
             st_ = status(s, dst[i])
             out[(st_, "both")] += 1
             if st_ != C.MATCH and mode == "content":
-                keys.add(text(s[0]))
+                keys.add(text(s))
     for i, d in enumerate(dst):
         if i not in matched_d:
             st_ = status(None, d)
             out[(st_, "dest")] += 1
             if mode == "content" or d[0] is None:
-                keys.add("k IS NULL")
+                keys.add(text(None))
     return +out, keys
 
 
@@ -101,3 +103,13 @@ def test_keyless_matches_enumeration(spark, src, dst):
     assert v.result == ("NOK" if diff else "OK")
     want_keys = {"k IS NULL" if x[0] is None else f"k='{x[0]}'" for x, _ in diff}
     assert {r[0] for r in res.keys.collect()} == want_keys
+
+
+@SETTINGS
+@given(FRAME, FRAME)
+def test_keyed_content_keys_on_a_compared_column(spark, src, dst):
+    s = spark.createDataFrame(src, "k int, a int, b int")
+    d = spark.createDataFrame(dst, "k int, a int, b int")
+    res = checks.content(spark, s, d, "k = k", "a, b", "a, b", key_fields="a")
+    _, want_keys = _brute(src, dst, "content", key_col=1, key_name="a")
+    assert {r[0] for r in res.keys.collect()} == want_keys
