@@ -29,7 +29,7 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Temp views so definitions can name the tables (and subqueries over
     them).  A view already pointing at the same file is left alone, so a
     session pays the parquet footer read once per table."""
-    sid = id(spark._jsparkSession)
+    sid = id(getattr(spark, "_jsparkSession", spark))
     for n in names:
         p = path(sf_dir, n)
         key = (sid, n)
