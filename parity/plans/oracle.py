@@ -9,7 +9,7 @@ CASE per joined pair -- so it shares no logic with the Spark operators
 from __future__ import annotations
 
 from parity.plans.scenarios import (
-    CUSTOMER_NULL_KEYS_SQL, DEST_ORDERS_SQL, LINESTATUS_WITH_NULLS_SQL, NATION_RENAMED_SQL,
+    CUSTOMER_NULL_KEYS_SQL, DEST_ORDERS_SQL, LINESTATUS_WITH_NULLS_SQL, NATION_RENAMED_SQL, NATION_SUBSET_SQL,
     SEGMENT_WITH_NULLS_SQL, UNION_TRIM_SQL, UNION_TRIM_SRC_FILTER,
 )
 
@@ -99,6 +99,11 @@ _ORPHANS = _joined("SELECT o_orderkey FROM orders", "SELECT l_orderkey FROM line
 
 _LINE_KEYS = _ktext(["l_orderkey", "l_linenumber"], ", ")
 
+_CROSS_GROUPED = _crossed("SELECT o_orderstatus, o_orderpriority FROM orders",
+                          "SELECT o_orderstatus, MAX(o_orderpriority) AS MAX_o_orderpriority FROM orders "
+                          "GROUP BY o_orderstatus",
+                          [("o_orderstatus", "o_orderstatus"), ("o_orderpriority", "MAX_o_orderpriority")])
+
 ORACLE = {
     "vol_orders_lineitem": _volume("SELECT COUNT(*) AS src_count FROM orders",
                                    "SELECT COUNT(*) AS dest_count FROM (SELECT DISTINCT l_orderkey FROM lineitem) x"),
@@ -180,4 +185,22 @@ ORACLE = {
     "union_trim_source": _volume(f"SELECT COUNT(*) AS src_count FROM lineitem WHERE {UNION_TRIM_SRC_FILTER}",
                                  f"SELECT COUNT(*) AS dest_count FROM ({UNION_TRIM_SQL}) u"),
     "union_trim_rows": f"SELECT direcao, COUNT(*) AS n FROM ({UNION_TRIM_SQL}) u GROUP BY direcao",
+    "vol_named_params": _volume("SELECT COUNT(*) AS src_count FROM orders WHERE o_orderstatus = 'F'",
+                                "SELECT COUNT(*) AS dest_count FROM lineitem WHERE l_linestatus = 'F'",
+                                "o_orderstatus='F' | l_linestatus='F'"),
+    "cat_param": ("SELECT n_violations, CASE WHEN n_violations > 0 THEN 'NOK' ELSE 'OK' END AS result, "
+                  "'l_returnflag=''R''' AS execution_parameter FROM (SELECT COUNT(*) AS n_violations "
+                  "FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus <> 'O') v"),
+    "dup_param_keys": (f"SELECT {_LINE_KEYS} AS key_fields FROM lineitem WHERE l_linestatus = 'F' "
+                       f"GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"),
+    "con_cross_grouped": _summary(_CROSS_GROUPED),
+    "con_cross_grouped_keys": (f"SELECT DISTINCT {_kt('o_orderstatus_src', 'o_orderstatus')} || ' , ' || "
+                               f"{_kt('o_orderpriority_src', 'o_orderpriority')} AS key_fields "
+                               f"FROM ({_CROSS_GROUPED}) j WHERE status <> 'MATCH'"),
+    "ref_star": _summary(_joined("SELECT n_nationkey, n_name, n_regionkey FROM nation", _unparen(NATION_SUBSET_SQL),
+                                 [("n_nationkey", "n_nationkey")],
+                                 [("n_nationkey", "n_nationkey"), ("n_name", "n_name"),
+                                  ("n_regionkey", "n_regionkey")], "reference")),
+    "dml_rewrite_column": ("SELECT CASE WHEN p_type LIKE '%PROMO%' THEN replace(p_type, 'PROMO', 'PROMOTION') "
+                           "ELSE p_type END AS p_type, COUNT(*) AS count FROM part GROUP BY 1"),
 }

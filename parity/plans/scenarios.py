@@ -51,6 +51,8 @@ CUSTOMER_NULL_KEYS_SQL = ("(SELECT CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c
 LINESTATUS_WITH_NULLS_SQL = ("(SELECT CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linestatus END AS l_linestatus "
                              "FROM lineitem)")
 
+NATION_SUBSET_SQL = "(SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey <> 2)"
+
 SEGMENT_WITH_NULLS_SQL = "(SELECT c_custkey, NULLIF(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer)"
 
 # The catalogue of allowed part types used by cat_catalogue_table.
@@ -275,6 +277,60 @@ def union_trim_rows(spark, sf_dir):
     return relation(spark, UNION_TRIM_SQL).groupBy("direcao").agg(F.count(F.lit(1)).alias("n"))
 
 
+# ------------------------------------------------ more definition shapes --
+
+def vol_named_params(spark, sf_dir):
+    """Differently named parameters on each side."""
+    _views(spark, sf_dir, "orders", "lineitem")
+    return checks.volume(spark, "orders", "lineitem", "o_orderstatus = ?", "l_linestatus = ?",
+                         params={"o_orderstatus": "F", "l_linestatus": "F"}).verdict
+
+
+def cat_param(spark, sf_dir):
+    """A catalogue rule with a runtime parameter; verdict row."""
+    _views(spark, sf_dir, "lineitem")
+    return checks.catalogue(spark, "lineitem", "l_returnflag = ? AND l_linestatus <> 'O'",
+                            "l_returnflag, l_linestatus", params={"l_returnflag": "R"}).verdict
+
+
+def dup_param_keys(spark, sf_dir):
+    """Duplicate keys among the rows selected by a runtime parameter."""
+    _views(spark, sf_dir, "lineitem")
+    return checks.duplicates(spark, "lineitem", "l_orderkey, l_linenumber", filter="l_linestatus = ?",
+                             params={"l_linestatus": "F"}).keys
+
+
+def _cross_grouped(spark, sf_dir):
+    _views(spark, sf_dir, "orders")
+    return checks.content(spark, "orders", "orders", None, "o_orderstatus, o_orderpriority",
+                          "o_orderstatus, MAX(o_orderpriority)", dest_group_by="o_orderstatus",
+                          key_fields="o_orderstatus, o_orderpriority")
+
+
+def con_cross_grouped(spark, sf_dir):
+    """Every row against a grouped aggregate of the destination (no join key)."""
+    return _cross_grouped(spark, sf_dir).comparison.summary()
+
+
+def con_cross_grouped_keys(spark, sf_dir):
+    return _cross_grouped(spark, sf_dir).keys
+
+
+def ref_star(spark, sf_dir):
+    """Referential check with blank (all-column) select lists."""
+    _views(spark, sf_dir, "nation")
+    return checks.reference(spark, "nation", NATION_SUBSET_SQL, "n_nationkey = n_nationkey",
+                            "", "").comparison.summary()
+
+
+def dml_rewrite_column(spark, sf_dir):
+    """Rewrite a text column on the rows containing a pattern, then profile it."""
+    from parity.sources.definitions import rewrite_column
+    part = testdata.read(spark, sf_dir, "part")
+    return (rewrite_column(part, "p_type", "PROMO", "PROMOTION")
+            .groupBy("p_type").agg(F.count(F.lit(1)).alias("count")))
+
+
 QUERIES = {
     "vol_orders_lineitem": vol_orders_lineitem,
     "vol_bound_param": vol_bound_param,
@@ -309,4 +365,11 @@ QUERIES = {
     "dup_keys": dup_keys,
     "union_trim_source": union_trim_source,
     "union_trim_rows": union_trim_rows,
+    "vol_named_params": vol_named_params,
+    "cat_param": cat_param,
+    "dup_param_keys": dup_param_keys,
+    "con_cross_grouped": con_cross_grouped,
+    "con_cross_grouped_keys": con_cross_grouped_keys,
+    "ref_star": ref_star,
+    "dml_rewrite_column": dml_rewrite_column,
 }
