@@ -26,6 +26,9 @@ _AGGREGATE = re.compile(
     re.IGNORECASE)
 
 
+_WINDOW = re.compile(r"\bover\s*\(", re.IGNORECASE)
+
+
 @dataclass
 class Side:
     df: DataFrame
@@ -74,5 +77,7 @@ def prepare(spark: SparkSession, rel, select=None, filter=None, group_by=None, p
         single = False
     else:
         out = df.select(*[F.expr(e).alias(n) for e, n in zip(all_items, all_names)])
-        single = any(_AGGREGATE.search(e) for e in items) and not extras
+        # an aggregate without GROUP BY is one row -- unless it is a window function
+        single = (any(_AGGREGATE.search(e) for e in items) and not extras
+                  and not any(_WINDOW.search(e) for e in items))
     return Side(out, names, single, bound, items)

@@ -26,7 +26,8 @@ def _canon(cols, rows):
 
 FAST = ["vol_orders_lineitem", "vol_params_report", "con_keyed_rows", "con_keyed_side", "con_keys",
         "con_composite_dupkeys", "con_cross_rows", "ref_both_directions", "ref_null_keys", "ref_orphan_keys",
-        "cat_returnflag", "obg_segment", "dup_keys", "dup_documents_text", "union_trim_source"]
+        "cat_returnflag", "obg_segment", "dup_keys", "dup_documents_text", "union_trim_source",
+        "vol_named_params", "cat_param", "con_cross_grouped_keys", "ref_star", "dml_rewrite_column"]
 
 
 @pytest.mark.parametrize("name", FAST)
@@ -51,3 +52,10 @@ def test_entry_smoke(spark):
     assert df.columns == ["o_orderkey_src", "o_orderkey_dest", "o_orderstatus_src", "o_orderstatus_dest",
                           "status", "side", "pairs"] or set(df.columns) >= {"status", "side", "pairs"}
     assert df.count() >= 0
+
+
+def test_window_aggregate_side_is_not_single_row(spark, golden):
+    from parity.operators.side import prepare
+    src, _ = golden
+    assert prepare(spark, src, "SUM(v)").single_row
+    assert not prepare(spark, src, "SUM(v) OVER (PARTITION BY k)").single_row
