@@ -96,15 +96,18 @@ class SuiteRun:
     ``details`` (RESULT_ID, KEY_FIELDS); each is built on first use, so
     asking for the verdicts never plans the key extraction."""
 
-    def __init__(self, spark: SparkSession, checks_: list, timestamp: _dt.datetime):
+    def __init__(self, spark: SparkSession, checks_: list, timestamp: _dt.datetime, isolate: bool = False):
         self._spark = spark
         self._checks = checks_            # (position, definition, CheckResult | error message)
         self.timestamp = timestamp
+        self.isolate = isolate
         self._results: DataFrame | None = None
         self._details: DataFrame | None = None
 
     @property
     def results(self) -> DataFrame:
+        if self._results is None and self.isolate:
+            self._isolate()
         if self._results is None:
             frames = [self._verdict(pos, d, res) for pos, d, res in self._checks]
             ts = F.lit(self.timestamp).cast("timestamp")
@@ -112,8 +115,39 @@ class SuiteRun:
                              else literal_frame(self._spark, [], schemas.RESULTS))
         return self._results
 
+    def _isolate(self) -> None:
+        """Compute every check's one-row verdict in its own job, concurrently;
+        a check that fails at run time (bad data under ANSI casts, ...)
+        becomes an ERROR result and drops out of the details."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        def one(item):
+            pos, d, res = item
+            try:
+                return pos, self._verdict(pos, d, res).first(), None
+            except Exception as e:  # noqa: BLE001 -- recorded as the check's result
+                return pos, None, (str(e).strip().splitlines() or [type(e).__name__])[0]
+
+        with ThreadPoolExecutor(max_workers=max(1, min(8, len(self._checks)))) as pool:
+            outcomes = {pos: (row, err) for pos, row, err in pool.map(one, self._checks)}
+        rows, kept = [], []
+        for pos, d, res in self._checks:
+            row, err = outcomes[pos]
+            if err is not None:
+                rows.append((pos, d.TEST_ID, f"{d.SUBTYPE_ID}: {err}", ERROR, "N/A"))
+                res = err
+            else:
+                rows.append(tuple(row))
+            kept.append((pos, d, res))
+        self._checks = kept
+        ts = F.lit(self.timestamp).cast("timestamp")
+        schema = "RESULT_ID long, TEST_ID int, QUERY string, RESULT string, EXECUTION_PARAMETER string"
+        self._results = literal_frame(self._spark, rows, schema).withColumn("TIMESTAMP", ts)
+
     @property
     def details(self) -> DataFrame:
+        if self._details is None and self.isolate and self._results is None:
+            self._isolate()
         if self._details is None:
             frames = [_details(res, self._verdict(pos, d, res), F.lit(pos).cast("long"))
                       for pos, d, res in self._checks
@@ -163,14 +197,17 @@ class SuiteRun:
                 .withColumn("RESULT_ID", F.col("RESULT_ID") + F.col("__rb")).drop("__rb"))
 
 
-def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict: bool = True) -> SuiteRun:
+def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict: bool = True,
+              isolate: bool = False) -> SuiteRun:
     """Prepare every definition's check (in TEST_ID order); plans are built
     when the results or details are asked for.
 
     ``strict`` rejects the whole run when a definition is invalid (unknown
     code, missing parameter) before anything executes; otherwise such a
     check, or one whose relations cannot be resolved, yields an ``ERROR``
-    result carrying the message.
+    result carrying the message.  ``isolate`` runs each verdict as its own
+    (concurrent) job so a check failing on its data cannot fail the others;
+    without it all verdicts are one job.
     """
     if isinstance(definitions, DataFrame):
         rows = with_defaults(definitions).orderBy("TEST_ID").collect()   # control table: small
@@ -188,7 +225,7 @@ def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict
         except Exception as e:  # noqa: BLE001 -- recorded as the check's result
             res = (str(e).strip().splitlines() or [type(e).__name__])[0]
         prepared.append((pos, d, res))
-    return SuiteRun(spark, prepared, _dt.datetime.now().replace(microsecond=0))
+    return SuiteRun(spark, prepared, _dt.datetime.now().replace(microsecond=0), isolate)
 
 
 def _details(res: checks.CheckResult, verdict: DataFrame, rid) -> DataFrame:

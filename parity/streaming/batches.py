@@ -39,7 +39,7 @@ def check_each_batch(stream: DataFrame, definitions: list[Definition], params=No
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             batch.createOrReplaceTempView(batch_name)
-            run = run_suite(batch.sparkSession, defs, params, tables={batch_name: batch})
+            run = run_suite(batch.sparkSession, defs, params, tables={batch_name: batch}, isolate=True)
             record(run, results_table, details_table)
         finally:
             batch.unpersist()

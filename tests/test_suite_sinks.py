@@ -123,3 +123,20 @@ def test_sequential_ids_are_gap_free_across_partitions(spark):
     out = with_sequential_ids(df, ["x"], "seq", start=100).collect()
     assert sorted(r.seq for r in out) == list(range(100, 5100))
     assert all(r.seq == r.x + 100 for r in out)
+
+
+def test_isolated_suite_turns_runtime_errors_into_error_results(spark, golden_views):
+    bad_text = spark.createDataFrame([("1",), ("x",)], "k string")
+    bad_text.createOrReplaceTempView("bad_text_t")
+    defs = [
+        Definition(1, "VOL", "VOL", "src_t", "dst_t"),
+        # ANSI cast of 'x' to int fails while the job runs, not while planning
+        Definition(2, "MAP", "CAT", "bad_text_t", SOURCE_FILTER="CAST(k AS INT) > 0", KEY_FIELDS="k"),
+        Definition(3, "CHTEC", "DUP", "src_t", KEY_FIELDS="n"),
+    ]
+    run = run_suite(spark, defs, isolate=True)
+    got = {r.TEST_ID: (r.RESULT, r.QUERY) for r in run.results.collect()}
+    assert got[1][0] == "NOK" and got[3][0] == "NOT OK"
+    assert got[2][0] == "ERROR" and "CAT" in got[2][1]
+    details = {r.RESULT_ID: r.KEY_FIELDS for r in run.final_details().collect()}
+    assert details == {3: "n='e'"}      # the failed check leaves no details
