@@ -96,7 +96,6 @@ def _shuffle_partitions(df: DataFrame) -> int:
         return 200
 
 
-_STATUS_SCHEMA = "status string, side string, n bigint"
 
 
 # The count arithmetic below is written as SQL expressions over internal
