@@ -9,7 +9,6 @@ give each row offset + its position inside its partition.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window

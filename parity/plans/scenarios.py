@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parity.functions import columns as C
 from parity.operators import checks
 from parity.operators.checks import outside_catalogue
 from parity.sources import testdata

@@ -5,7 +5,6 @@ key with plain SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from parity.plans import oracle as O
 from parity.plans.scenarios import DEST_ORDERS_SQL, _views

@@ -1,8 +1,5 @@
 """Suite, definitions, sinks and gap-free ids."""
 
-import os
-import tempfile
-
 import pytest
 from pyspark.sql import functions as F
 
