@@ -226,30 +226,39 @@ class KeyedComparison:
     def _kn(self) -> list[str]:
         return [f"k{i}" for i in range(len(self.on))]
 
-    def _collapsed_src(self) -> DataFrame:
-        return self.src.df.groupBy(*self._keys(self._skc), _tuple(self._sv).alias("t")).agg(_count_rows("cs"))
-
-    def _collapsed_dest(self) -> DataFrame:
-        return self.dest.df.groupBy(*self._keys(self._dkc), _tuple(self._dv).alias("t")).agg(_count_rows("cd"))
+    def _tagged(self, with_tuple: bool = True, extra_dest=None) -> DataFrame:
+        """Both sides as one frame: key columns k0.., the compared tuple ``t``
+        (or its all-NULL flag ``tn``), ``side`` (0 source, 1 destination) and
+        ``nk`` -- 0 for a full key, 1 / 2 for a source / destination row with
+        a NULL key part, so NULL keys (which never match) stay one-sided when
+        grouped."""
+
+        def part(df, keys, vals, side, extra):
+            cols = [*self._keys(keys),
+                    (_tuple(vals).alias("t") if with_tuple else C.all_null(vals).alias("tn")),
+                    F.lit(side).alias("side"),
+                    (extra if extra is not None else F.lit(None).cast("boolean")).alias("x")]
+            return df.select(*cols)
+
+        u = (part(self.src.df, self._skc, self._sv, 0, None)
+             .unionByName(part(self.dest.df, self._dkc, self._dv, 1, extra_dest)))
+        any_null_key = " OR ".join(f"{k} IS NULL" for k in self._kn)
+        return u.withColumn("nk", F.expr(f"CASE WHEN {any_null_key} THEN side + 1 ELSE 0 END"))
 
-    # -- summary --------------------------------------------------------------
     def summary(self) -> DataFrame:
         """Counts per (status, side) without building pairs.
 
-        NULL keys need no special branch: the using-column equi-join never
-        matches them, and the collapse has already folded equal NULL-key
-        rows into one row per tuple.  After the join, ``nk`` tells a
-        source NULL-key group from a destination one so they are not merged
-        by the per-key grouping."""
+        One aggregation of both sides together gives, per (key, tuple), the
+        source and destination counts (what a full outer join of the
+        collapsed sides would give, without the join); a second aggregation
+        per key and a global sum finish the counts."""
         if self.mode == "reference":
             return self._reference_summary()
         n = len(self.src.names)
-        j = self._collapsed_src().join(self._collapsed_dest(), self._kn + ["t"], "full_outer")
-        any_null_key = " OR ".join(f"{k} IS NULL" for k in self._kn)
+        kt = (self._tagged().groupBy(*self._kn, "nk", "t")
+              .agg(F.expr("count_if(side = 0)").alias("cs"), F.expr("count_if(side = 1)").alias("cd")))
         tuple_null = " AND ".join(f"t.v{i} IS NULL" for i in range(n))
-        j = j.selectExpr(*self._kn,
-                         f"CASE WHEN {any_null_key} THEN (CASE WHEN cs IS NOT NULL THEN 1 ELSE 2 END) ELSE 0 END AS nk",
-                         f"({tuple_null}) AS tn", "coalesce(cs, 0) AS cs", "coalesce(cd, 0) AS cd")
+        j = kt.selectExpr(*self._kn, "nk", f"({tuple_null}) AS tn", "cs", "cd")
         per_key = j.groupBy(*self._kn, "nk").agg(*[F.expr(e).alias(a) for a, e in (
             ("ns", "sum(cs)"), ("nd", "sum(cd)"), ("m", "sum(cs * cd)"),
             ("m0", "sum(CASE WHEN tn THEN cs * cd ELSE 0 END)"),
@@ -272,16 +281,12 @@ class KeyedComparison:
             (C.ONLY_A, C.SIDE_SRC, "a_src"), (C.NO_MATCH, C.SIDE_DEST, "nm_dest"),
             (C.ONLY_A, C.SIDE_DEST, "a_dest")])
 
-    def _ref_counts(self, df: DataFrame, keys: list[Column], vals: list[Column], n: str, n0: str) -> DataFrame:
-        return df.groupBy(*self._keys(keys)).agg(
-            _count_rows(n), F.count_if(C.all_null(vals)).alias(n0))
-
     def _reference_summary(self) -> DataFrame:
-        # one row per key and side; NULL keys never match, so they stay one-sided
-        a_s = self._ref_counts(self.src.df, self._skc, self._sv, "ns", "s0")
-        a_d = self._ref_counts(self.dest.df, self._dkc, self._dv, "nd", "d0")
-        j = a_s.join(a_d, self._kn, "full_outer").selectExpr(
-            *[f"coalesce({c}, 0) AS {c}" for c in ("ns", "s0", "nd", "d0")])
+        # one aggregation of both sides per key: counts and all-NULL counts per side
+        j = (self._tagged(with_tuple=False).groupBy(*self._kn, "nk")
+             .agg(*[F.expr(e).alias(a) for a, e in (
+                 ("ns", "count_if(side = 0)"), ("s0", "count_if(side = 0 AND tn)"),
+                 ("nd", "count_if(side = 1)"), ("d0", "count_if(side = 1 AND tn)"))]))
         both = "ns > 0 AND nd > 0"
         cols = {
             "match_both": f"CASE WHEN {both} THEN (ns - s0) * (nd - d0) END",
@@ -325,32 +330,30 @@ class KeyedComparison:
 
     def _content_keys_by_key(self, kf: list[str], pos: list[int]) -> DataFrame:
         """Key fields = join keys: decide per key.  The key is clean iff both
-        sides carry one tuple only, the same one, and it is not all NULL;
-        one aggregate per side (min/max of the tuple, partial map-side) and
-        a join of two one-row-per-key frames that are already co-partitioned."""
+        sides carry one tuple only, the same one, and it is not all NULL --
+        one aggregation of both sides per key (min/max of each side's tuple,
+        partial map-side) decides it."""
         n = len(self.src.names)
-        s = (self.src.df.select(*self._keys(self._skc), _tuple(self._sv).alias("t"))
-             .groupBy(*self._kn).agg(F.min("t").alias("smin"), F.max("t").alias("smax")))
-        d = (self.dest.df.select(*self._keys(self._dkc), _tuple(self._dv).alias("t"))
-             .groupBy(*self._kn).agg(F.min("t").alias("dmin"), F.max("t").alias("dmax")))
-        j = s.join(d, [s[k] == d[k] for k in self._kn], "full_outer")
+        g = (self._tagged().groupBy(*self._kn, "nk")
+             .agg(*[F.expr(e).alias(a) for a, e in (
+                 ("smin", "min(CASE WHEN side = 0 THEN t END)"), ("smax", "max(CASE WHEN side = 0 THEN t END)"),
+                 ("dmin", "min(CASE WHEN side = 1 THEN t END)"), ("dmax", "max(CASE WHEN side = 1 THEN t END)"))]))
         tuple_null = " AND ".join(f"smin.v{i} IS NULL" for i in range(n))
-        clean = F.expr(f"smin = smax AND dmin = smin AND dmax = smin AND NOT ({tuple_null})")
+        clean = F.expr(f"dmin IS NOT NULL AND smin = smax AND dmin = smin AND dmax = smin AND NOT ({tuple_null})")
         in_src = F.col("smin").isNotNull()
-        kf_cols = [s[self._kn[i]] for i in pos]
+        kf_cols = [F.col(self._kn[i]) for i in pos]
         text = F.when(in_src, C.key_text(kf, kf_cols)).otherwise(F.lit(C.null_key_text(kf)))
-        return j.where(~in_src | F.col("dmin").isNull() | ~clean).select(text.alias("key_fields")).distinct()
+        return g.where(~in_src | ~clean).select(text.alias("key_fields")).distinct()
 
     def _reference_keys_by_key(self, kf: list[str], pos: list[int], mapped: list[str]) -> DataFrame:
-        s = self.src.df.select(*self._keys(self._skc)).groupBy(*self._kn).agg(F.lit(True).alias("in_src"))
-        d = (self.dest.df.select(*self._keys(self._dkc), C.all_null([F.col(c) for c in mapped]).alias("mn"))
-             .groupBy(*self._kn).agg(F.max("mn").alias("mapped_null")))
-        j = s.join(d, [s[k] == d[k] for k in self._kn], "full_outer")
-        in_src, in_dest = F.col("in_src").isNotNull(), F.col("mapped_null").isNotNull()
-        kf_cols = [s[self._kn[i]] for i in pos]
-        text = F.when(in_src, C.key_text(kf, kf_cols)).otherwise(F.lit(C.null_key_text(kf)))
-        keep = (in_src & ~in_dest) | (~in_src & F.col("mapped_null"))
-        return j.where(keep).select(text.alias("key_fields")).distinct()
+        g = (self._tagged(with_tuple=False, extra_dest=C.all_null([F.col(c) for c in mapped]))
+             .groupBy(*self._kn, "nk")
+             .agg(F.expr("count_if(side = 0) > 0").alias("in_src"), F.expr("count_if(side = 1) > 0").alias("in_dest"),
+                  F.expr("max(x)").alias("mapped_null")))
+        kf_cols = [F.col(self._kn[i]) for i in pos]
+        text = F.when(F.col("in_src"), C.key_text(kf, kf_cols)).otherwise(F.lit(C.null_key_text(kf)))
+        keep = F.expr("(in_src AND NOT in_dest) OR (NOT in_src AND coalesce(mapped_null, false))")
+        return g.where(keep).select(text.alias("key_fields")).distinct()
 
     def _content_keys(self, kf: list[str]) -> DataFrame:
         """A source record (key k, tuple t) takes part in a difference unless
@@ -451,12 +454,14 @@ class CrossComparison:
         return a_s, a_d
 
     def summary(self) -> DataFrame:
-        a_s, a_d = self._collapsed()
-        ns = a_s.agg(F.coalesce(F.sum("cs"), F.lit(0)).alias("ns"))
-        nd = a_d.agg(F.coalesce(F.sum("cd"), F.lit(0)).alias("nd"))
-        m = a_s.join(a_d, "t").agg(F.coalesce(F.sum(F.col("cs") * F.col("cd")), F.lit(0)).alias("m"))
-        totals = ns.crossJoin(nd).crossJoin(m).select(
-            F.col("m").alias("match"), (F.col("ns") * F.col("nd") - F.col("m")).alias("no_match"))
+        """One aggregation of both sides per tuple gives cnt_S(t), cnt_D(t);
+        one global sum gives |S|, |D| and the matching pairs."""
+        u = (self.src.df.select(_tuple(self._sv).alias("t"), F.lit(0).alias("side"))
+             .unionByName(self.dest.df.select(_tuple(self._dv).alias("t"), F.lit(1).alias("side"))))
+        per_t = u.groupBy("t").agg(F.expr("count_if(side = 0)").alias("cs"), F.expr("count_if(side = 1)").alias("cd"))
+        totals = (per_t.agg(F.expr("sum(cs)").alias("ns"), F.expr("sum(cd)").alias("nd"),
+                            F.expr("sum(cs * cd)").alias("m"))
+                  .selectExpr("m AS match", "ns * nd - m AS no_match"))
         return _summary_from_totals(totals, [(C.MATCH, C.SIDE_BOTH, "match"),
                                              (C.NO_MATCH, C.SIDE_BOTH, "no_match")])
 
