@@ -318,13 +318,16 @@ class KeyedComparison:
 
     def _key_positions(self, kf: list[str]) -> list[int] | None:
         """Positions of the key fields among the source join columns, when
-        every key field is one and the join needs no casts (so the key's own
-        values give the key text); else None."""
+        every key field is one and the join needs no cast that changes a
+        value's text (so the key's own values give the key text); else None."""
         if not all(c in self._sk for c in kf):
             return None
         st = {f.name: f.dataType for f in self.src.df.schema.fields}
         dt = {f.name: f.dataType for f in self.dest.df.schema.fields}
-        if any(st[a] != dt[b] for a, b in self.on):
+        integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+        # widening between integral types leaves the key's text unchanged
+        if any(st[a] != dt[b] and not (isinstance(st[a], integral) and isinstance(dt[b], integral))
+               for a, b in self.on):
             return None
         return [self._sk.index(c) for c in kf]
 

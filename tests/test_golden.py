@@ -110,3 +110,16 @@ def test_violations_null_key_text(spark, golden):
     v = checks.violations(spark, src, "v IS NULL", "n")
     assert sorted(r[0] for r in v.keys.collect()) == ["n IS NULL", "n='c'"]
     assert v.verdict.first()["result"] == "NOK"
+
+
+def test_mixed_types_align(spark):
+    src = spark.createDataFrame([(1, 10, 1.5, "7"), (2, 20, 2.0, "8")], "k int, a int, b double, c string")
+    dst = spark.sql("SELECT CAST(1 AS BIGINT) AS k, CAST(10 AS BIGINT) AS a, CAST(1.5 AS DECIMAL(10,2)) AS b, 7 AS c "
+                    "UNION ALL SELECT 2, 21, 2.0, 8")
+    res = checks.content(spark, src, dst, "k = k", "a, b, c", "a, b, c", key_fields="k")
+    got = _summary(res.comparison.summary())
+    assert got == dict(_statuses(res.comparison.rows()))
+    assert got == {(C.MATCH, "both"): 1, (C.NO_MATCH, "both"): 1}
+    assert [r[0] for r in res.keys.collect()] == ["k='2'"]
+    cross = checks.content(spark, src, dst, None, "a", "a")
+    assert cross.verdict.first()["n_differences"] == 3
