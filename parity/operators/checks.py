@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from parity.functions import columns as C
 from parity.functions.params import report
-from parity.functions.text import parse_join_key, split_list, unique
+from parity.functions.text import NO_JOIN_KEY, parse_join_key, split_list, unique
 from parity.operators.compare import CrossComparison, KeyedComparison
 from parity.operators.side import prepare
 from parity.sources.local import literal_frame
@@ -213,7 +213,8 @@ def duplicates(spark: SparkSession, src, key_fields, filter=None, group_by=None,
     """Key combinations occurring more than once.  Group columns are the
     extra group-by followed by the key fields, each once."""
     df, b = where(spark, relation(spark, src, tables), filter, params)
-    cols = unique(_keys_list(group_by if group_by not in ("1 = 1",) else None) + _keys_list(key_fields))
+    neutral = isinstance(group_by, str) and group_by.replace(" ", "") == NO_JOIN_KEY.replace(" ", "")
+    cols = unique(_keys_list(None if neutral else group_by) + _keys_list(key_fields))
     if not cols:
         raise ValueError("duplicate check needs key fields")
 

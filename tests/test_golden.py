@@ -123,3 +123,10 @@ def test_mixed_types_align(spark):
     assert [r[0] for r in res.keys.collect()] == ["k='2'"]
     cross = checks.content(spark, src, dst, None, "a", "a")
     assert cross.verdict.first()["n_differences"] == 3
+
+
+def test_duplicates_neutral_group_by(spark, golden):
+    src, _ = golden
+    for g in ("1 = 1", "1=1", "", None):
+        d = checks.duplicates(spark, src, "n", group_by=g)
+        assert [(r["n"], r["count"]) for r in d.rows.collect()] == [("e", 2)]
