@@ -13,6 +13,7 @@ def _struct(*fields):
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# Column names of the definitions table, in table order.
 DEFINITION_COLUMNS = ("TEST_ID", "TYPE_ID", "SUBTYPE_ID", "SOURCE_TABLE", "DEST_TABLE", "JOIN_KEY",
                       "SOURCE_SELECT_FIELD", "DEST_SELECT_FIELD", "SOURCE_FILTER", "DEST_FILTER",
                       "SOURCE_GROUPBY", "DEST_GROUPBY", "KEY_FIELDS")
@@ -27,7 +28,8 @@ RESULTS = _struct(("RESULT_ID", _L), ("TEST_ID", _I), ("QUERY", _S), ("RESULT",
                   ("EXECUTION_PARAMETER", _S), ("TIMESTAMP", T.TimestampType()))
 DETAILS = _struct(("DETAILS_ID", _L), ("RESULT_ID", _L), ("KEY_FIELDS", _S), ("TIMESTAMP", T.TimestampType()))
 
-# Default table names of the control/result tables.
+# Default names of the control and result tables, and (above) their
+# column names -- the same as existing check catalogs use, so they keep working.
 TABLES = {
     "test_config_parameters": DEFINITIONS,
     "test_rel_set_parameter": SET_MEMBERS,
