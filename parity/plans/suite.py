@@ -109,7 +109,7 @@ class SuiteRun:
         if self._results is None and self.isolate:
             self._isolate()
         if self._results is None:
-            frames = [self._verdict(pos, d, res) for pos, d, res in self._checks]
+            frames = [self._safe_verdict(pos, d, res) for pos, d, res in self._checks]
             ts = F.lit(self.timestamp).cast("timestamp")
             self._results = (_union(frames).withColumn("TIMESTAMP", ts) if frames
                              else literal_frame(self._spark, [], schemas.RESULTS))
@@ -124,7 +124,7 @@ class SuiteRun:
         def one(item):
             pos, d, res = item
             try:
-                return pos, self._verdict(pos, d, res).first(), None
+                return pos, self._safe_verdict(pos, d, res).first(), None
             except Exception as e:  # noqa: BLE001 -- recorded as the check's result
                 return pos, None, (str(e).strip().splitlines() or [type(e).__name__])[0]
 
@@ -149,13 +149,28 @@ class SuiteRun:
         if self._details is None and self.isolate and self._results is None:
             self._isolate()
         if self._details is None:
-            frames = [_details(res, self._verdict(pos, d, res), F.lit(pos).cast("long"))
-                      for pos, d, res in self._checks
-                      if isinstance(res, checks.CheckResult) and res.subtype != checks.VOL]
+            frames = []
+            for pos, d, res in self._checks:
+                if not isinstance(res, checks.CheckResult) or res.subtype == checks.VOL:
+                    continue
+                try:
+                    frames.append(_details(res, self._verdict(pos, d, res), F.lit(pos).cast("long")))
+                except Exception:  # noqa: BLE001 -- the check's plan fails; its result says ERROR
+                    continue
             self._details = (_union(frames) if frames
                              else literal_frame(self._spark, [], "RESULT_ID long, KEY_FIELDS string"))
         return self._details
 
+    def _safe_verdict(self, pos: int, d: Definition, res) -> DataFrame:
+        """The verdict row, or an ERROR row when the check's plan cannot be
+        built (unknown column, bad expression, ...)."""
+        if isinstance(res, checks.CheckResult):
+            try:
+                return self._verdict(pos, d, res)
+            except Exception as e:  # noqa: BLE001 -- recorded as the check's result
+                res = (str(e).strip().splitlines() or [type(e).__name__])[0]
+        return self._verdict(pos, d, res)
+
     def _verdict(self, pos: int, d: Definition, res) -> DataFrame:
         rid = F.lit(pos).cast("long").alias("RESULT_ID")
         test_id = F.lit(d.TEST_ID).cast("int").alias("TEST_ID")
@@ -221,7 +236,6 @@ def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict
     for pos, d in enumerate(defs, start=1):
         try:
             res = run_check(spark, d, params, tables)
-            res.verdict  # analysis errors (unknown columns, bad SQL) surface here
         except Exception as e:  # noqa: BLE001 -- recorded as the check's result
             res = (str(e).strip().splitlines() or [type(e).__name__])[0]
         prepared.append((pos, d, res))
