@@ -71,3 +71,17 @@ def test_columns_of(spark):
     assert columns_of(df) == ["a", "b", "c", "d"]
     assert columns_of(df, exclude=["b"], stop_before="d") == ["a", "c"]
     assert columns_of(df, stop_before="zz") == ["a", "b", "c", "d"]
+
+
+def test_key_text_quotes_nulls_and_separators(spark):
+    from pyspark.sql import functions as F
+    from parity.functions import columns as C
+    df = spark.createDataFrame([("O'Brien", None, 3)], "a string, b string, c int")
+    row = df.select(C.key_text(["a", "b", "c"]).alias("x"),
+                    C.key_text(["a", "c"], sep=C.KEY_SEP_GROUPED).alias("y")).first()
+    assert row.x == "a='O''Brien' , b IS NULL , c='3'"
+    assert row.y == "a='O''Brien', c='3'"
+    assert C.null_key_text(["a", "b"]) == "a IS NULL , b IS NULL"
+    # the text is a usable predicate
+    assert df.where(row.x.replace(" , ", " AND ")).count() == 1
+    assert df.where(F.expr(row.y.replace(", ", " AND "))).count() == 1
