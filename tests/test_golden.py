@@ -130,3 +130,14 @@ def test_duplicates_neutral_group_by(spark, golden):
     for g in ("1 = 1", "1=1", "", None):
         d = checks.duplicates(spark, src, "n", group_by=g)
         assert [(r["n"], r["count"]) for r in d.rows.collect()] == [("e", 2)]
+
+
+def test_outside_catalogue_broadcast_and_fallback(spark, golden):
+    from parity.operators.checks import outside_catalogue
+    src, _ = golden
+    allowed = spark.createDataFrame([("a",), ("b",), ("e",)], "n string")
+    small = outside_catalogue(src, "n", allowed)                       # broadcast path
+    large = outside_catalogue(src, "n", allowed, max_broadcast_rows=1)  # over the bound: shuffled anti join
+    want = sorted([("c",), (None,)], key=repr)
+    assert sorted([(r.n,) for r in small.collect()], key=repr) == want
+    assert sorted([(r.n,) for r in large.collect()], key=repr) == want
