@@ -101,6 +101,7 @@ class SuiteRun:
         self._checks = checks_            # (position, definition, CheckResult | error message)
         self.timestamp = timestamp
         self.isolate = isolate
+        self._verdict_rows: dict[int, str] | None = None   # position -> RESULT, once isolated
         self._results: DataFrame | None = None
         self._details: DataFrame | None = None
 
@@ -140,13 +141,14 @@ class SuiteRun:
                 rows.append(tuple(row))
             kept.append((pos, d, res))
         self._checks = kept
+        self._verdict_rows = {r[0]: r[3] for r in rows}
         ts = F.lit(self.timestamp).cast("timestamp")
         schema = "RESULT_ID long, TEST_ID int, QUERY string, RESULT string, EXECUTION_PARAMETER string"
         self._results = literal_frame(self._spark, rows, schema).withColumn("TIMESTAMP", ts)
 
     @property
     def details(self) -> DataFrame:
-        if self._details is None and self.isolate and self._results is None:
+        if self._details is None and self.isolate and self._verdict_rows is None:
             self._isolate()
         if self._details is None:
             frames = []
@@ -154,13 +156,33 @@ class SuiteRun:
                 if not isinstance(res, checks.CheckResult) or res.subtype == checks.VOL:
                     continue
                 try:
-                    frames.append(_details(res, self._verdict(pos, d, res), F.lit(pos).cast("long")))
+                    if self._verdict_rows is not None:
+                        frame = self._known_details(pos, res, self._verdict_rows[pos])
+                    else:
+                        frame = _details(res, self._verdict(pos, d, res), F.lit(pos).cast("long"))
                 except Exception:  # noqa: BLE001 -- the check's plan fails; its result says ERROR
                     continue
+                if frame is not None:
+                    frames.append(frame)
             self._details = (_union(frames) if frames
                              else literal_frame(self._spark, [], "RESULT_ID long, KEY_FIELDS string"))
         return self._details
 
+    def _known_details(self, pos: int, res: checks.CheckResult, result: str) -> DataFrame | None:
+        """Details when the verdict is already known: an OK check has no
+        offending keys (for every check type), so its key plan is skipped;
+        a failed check without key fields leaves one empty-key row."""
+        if result in (C.OK, ERROR):
+            return None
+        empty = literal_frame(self._spark, [(pos, "")], "RESULT_ID long, KEY_FIELDS string")
+        if not res.key_fields:
+            return empty
+        keys = res.keys.select(F.lit(pos).cast("long").alias("RESULT_ID"), F.col("key_fields").alias("KEY_FIELDS"))
+        if res.subtype != checks.REF:
+            return keys          # a failed check always leaves at least one key row
+        n_keys = keys.agg(F.count(F.lit(1)).alias("__nk"))
+        return keys.unionByName(empty.crossJoin(n_keys).where(F.col("__nk") == 0).drop("__nk"))
+
     def _safe_verdict(self, pos: int, d: Definition, res) -> DataFrame:
         """The verdict row, or an ERROR row when the check's plan cannot be
         built (unknown column, bad expression, ...)."""
@@ -213,16 +235,17 @@ class SuiteRun:
 
 
 def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict: bool = True,
-              isolate: bool = False) -> SuiteRun:
+              isolate: bool = True) -> SuiteRun:
     """Prepare every definition's check (in TEST_ID order); plans are built
     when the results or details are asked for.
 
     ``strict`` rejects the whole run when a definition is invalid (unknown
     code, missing parameter) before anything executes; otherwise such a
     check, or one whose relations cannot be resolved, yields an ``ERROR``
-    result carrying the message.  ``isolate`` runs each verdict as its own
-    (concurrent) job so a check failing on its data cannot fail the others;
-    without it all verdicts are one job.
+    result carrying the message.  ``isolate`` (default) runs each one-row
+    verdict as its own job, all submitted concurrently, so a check failing
+    on its data cannot fail the others and the details skip every check
+    whose verdict is OK; ``isolate=False`` plans all verdicts as one union.
     """
     if isinstance(definitions, DataFrame):
         rows = with_defaults(definitions).orderBy("TEST_ID").collect()   # control table: small
