@@ -13,16 +13,18 @@ Nothing is collected: a caller may ``write`` the keys straight to a table.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parity.functions import columns as C
-from parity.functions.params import report
+from parity.functions.params import bound_text, report
 from parity.functions.text import NO_JOIN_KEY, parse_join_key, split_list, unique
 from parity.operators.compare import CrossComparison, KeyedComparison
-from parity.operators.side import prepare
+from parity.operators.side import Side, prepare
 from parity.sources.local import literal_frame
-from parity.sources.relation import relation, where
+from parity.sources.relation import is_query, relation, strip_parens, where
 
 VOL, CON, CAT, FORM, OBG, REF, DUP = "VOL", "CON", "CAT", "FORM", "OBG", "REF", "DUP"
 SUBTYPES = (VOL, CON, CAT, FORM, REF, OBG, DUP)
@@ -33,8 +35,10 @@ class CheckResult:
     (building a plan runs the analyzer, so unused outputs cost nothing)."""
 
     def __init__(self, subtype: str, verdict, keys, rows=None, description: str = "", comparison=None,
-                 key_fields=()):
+                 key_fields=(), execution_parameter: str = ""):
         self.subtype = subtype
+        self.execution_parameter = execution_parameter
+        self.bad_word = C.NOT_OK if subtype == DUP else C.NOK
         self.key_fields = tuple(key_fields)
         self.description = description
         self.comparison = comparison
@@ -60,13 +64,44 @@ class CheckResult:
         return self._get("rows")
 
 
-def _spec(x) -> str:
-    return "<DataFrame>" if isinstance(x, DataFrame) else str(x)
+# ``description`` is the check as a statement to run by hand: what the history's
+# QUERY column holds.  A relation given as a frame without a name reads <DataFrame>.
+
+def _from(x, predicate, params, tables) -> str:
+    """FROM and WHERE of a relation, with parameter values written out."""
+    if isinstance(x, DataFrame):
+        name = next((n for n, df in (tables or {}).items() if df is x), "<DataFrame>")
+    else:
+        text = strip_parens(str(x))
+        name = f"({text})" if is_query(text) and text not in (tables or {}) else text
+    condition = bound_text(predicate, params) if isinstance(predicate, str) else None
+    blank = not condition or not condition.strip() or re.sub(r"\s", "", condition) == "1=1"
+    return f"FROM {name}" + ("" if blank else f" WHERE {condition}")
+
+
+def _side_sql(side: Side, source: str) -> str:
+    select = ", ".join(f"{e} AS `{n}`" for e, n in zip(side.all_items or ["*"], side.all_names))
+    group = f" GROUP BY {', '.join(side.groups)}" if side.groups else ""
+    return f"SELECT {select} {source}{group}"
+
 
+def _compare_sql(subtype: str, s: Side, d: Side, on, s_from: str, d_from: str) -> str:
+    both = ", ".join([*(f"s.`{n}` AS `{n}_src`" for n in s.names), *(f"d.`{n}` AS `{n}_dest`" for n in d.names)])
+    all_null = [" AND ".join(f"{a}.`{n}` IS NULL" for n in names) for a, names in (("s", s.names), ("d", d.names))]
+    differ = " OR ".join(f"NOT (s.`{a}` <=> d.`{b}`)" for a, b in zip(s.names, d.names))
+    if not on:
+        return f"SELECT {both} FROM ({_side_sql(s, s_from)}) s CROSS JOIN ({_side_sql(d, d_from)}) d WHERE {differ}"
+    bad = [f"({x})" for x in ([differ] if subtype == CON else []) + all_null]
+    keys = " AND ".join(f"s.`{a}` = d.`{b}`" for a, b in on)
+    return (f"SELECT {both} FROM ({_side_sql(s, s_from)}) s FULL OUTER JOIN ({_side_sql(d, d_from)}) d "
+            f"ON {keys} WHERE {' OR '.join(bad)}")
 
-def _describe(subtype: str, **parts) -> str:
-    body = "; ".join(f"{k}={_spec(v)}" for k, v in parts.items() if v not in (None, "", [], ()))
-    return f"{subtype}: {body}"
+
+def _grouped_sql(source: str, columns: list[str], having: str = "") -> str:
+    if not columns:
+        return f"SELECT COUNT(*) AS count {source}"
+    names = ", ".join(columns)
+    return f"SELECT {names}, COUNT(*) AS count {source} GROUP BY {names}{having}"
 
 
 def _no_keys(spark: SparkSession) -> DataFrame:
@@ -96,9 +131,10 @@ def volume(spark: SparkSession, src, dest, src_filter=None, dest_filter=None, pa
                 .withColumn("result", F.when(F.col("src_count") == F.col("dest_count"), C.OK).otherwise(C.NOK))
                 .withColumn("execution_parameter", F.lit(report(params, sb, db))))
 
-    return CheckResult(VOL, verdict, lambda: _no_keys(spark),
-                       description=_describe(VOL, src=src, dest=dest, src_filter=src_filter,
-                                             dest_filter=dest_filter))
+    text = (f"SELECT (SELECT COUNT(*) {_from(src, src_filter, params, tables)}) AS src_count, "
+            f"(SELECT COUNT(*) {_from(dest, dest_filter, params, tables)}) AS dest_count")
+    return CheckResult(VOL, verdict, lambda: _no_keys(spark), description=text,
+                       execution_parameter=report(params, sb, db))
 
 
 # ------------------------------------------------------------- CON / REF --
@@ -107,12 +143,12 @@ def _compare(spark, subtype, src, dest, join_key, src_select, dest_select, src_f
              src_group_by, dest_group_by, key_fields, params, tables) -> CheckResult:
     on = parse_join_key(join_key) if (join_key is None or isinstance(join_key, str)) else list(join_key)
     kf = _keys_list(key_fields)
-    mapping = dict(on)
+    mapping = {a.lower(): b for a, b in on}
     s = prepare(spark, src, src_select, src_filter, src_group_by, params,
                 extra=[a for a, _ in on] + kf, tables=tables)
     d = prepare(spark, dest, dest_select, dest_filter, dest_group_by, params,
                 extra=[b for _, b in on],
-                optional_extra=[mapping.get(k, k) for k in kf] if subtype == REF else (), tables=tables)
+                optional_extra=[mapping.get(k.lower(), k) for k in kf] if subtype == REF else (), tables=tables)
     if on:
         cmp = KeyedComparison(s, d, on, "reference" if subtype == REF else "content", tuple(kf))
     else:
@@ -129,10 +165,9 @@ def _compare(spark, subtype, src, dest, join_key, src_select, dest_select, src_f
             return cmp.differences()
         except ValueError:
             return None      # keyless compare of two row-level sides: counts only
-    desc = _describe(subtype, src=src, dest=dest, join_key=join_key, src_select=src_select,
-                     dest_select=dest_select, src_filter=src_filter, dest_filter=dest_filter,
-                     src_group_by=src_group_by, dest_group_by=dest_group_by, key_fields=key_fields)
-    return CheckResult(subtype, verdict, cmp.keys, rows, desc, cmp, kf)
+    desc = _compare_sql(subtype, s, d, on, _from(src, src_filter, params, tables),
+                        _from(dest, dest_filter, params, tables))
+    return CheckResult(subtype, verdict, cmp.keys, rows, desc, cmp, kf, param_text)
 
 
 def content(spark: SparkSession, src, dest, join_key=None, src_select=None, dest_select=None,
@@ -177,8 +212,8 @@ def violations(spark: SparkSession, src, predicate, key_fields=None, params=None
             return _no_keys(spark)
         return res.rows.select(C.key_text(kf, sep=C.KEY_SEP_GROUPED).alias("key_fields"))
 
-    res = CheckResult(subtype, verdict, keys, groups,
-                      _describe(subtype, src=src, filter=predicate, key_fields=key_fields), key_fields=kf)
+    res = CheckResult(subtype, verdict, keys, groups, _grouped_sql(_from(src, predicate, params, tables), kf),
+                      key_fields=kf, execution_parameter=report(params, b))
     return res
 
 
@@ -195,15 +230,17 @@ def mandatory(spark, src, predicate, key_fields=None, params=None, tables=None)
 
 
 def outside_catalogue(df: DataFrame, column: str, allowed: DataFrame, allowed_column: str | None = None,
-                      max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Rows of ``df`` whose ``column`` is not in the catalogue frame ``allowed``
-    (NULL values are not in any catalogue).  The catalogue is broadcast only
-    when it is proven small: its distinct row count is checked first."""
+                      null_is_violation: bool = False) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is not in the catalogue frame ``allowed``.
+
+    As with the predicate form ``column NOT IN (...)``, a NULL value is no
+    violation unless ``null_is_violation``; a NULL in the catalogue allows
+    nothing.  Spark picks the join from its size estimates and AQE."""
     ac = allowed_column or column
-    cat = allowed.select(F.col(ac).alias("__allowed")).distinct()
-    small = cat.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    side = F.broadcast(cat) if small else cat
-    return df.join(side, F.col(column) == F.col("__allowed"), "left_anti")
+    cat = allowed.select(F.col(ac).alias("__allowed")).where(F.col("__allowed").isNotNull()).distinct()
+    if not null_is_violation:
+        df = df.where(F.col(column).isNotNull())
+    return df.join(cat, F.col(column) == F.col("__allowed"), "left_anti")
 
 
 # ------------------------------------------------------------------- DUP --
@@ -230,6 +267,6 @@ def duplicates(spark: SparkSession, src, key_fields, filter=None, group_by=None,
         return res.rows.select(C.key_text(cols, sep=C.KEY_SEP_GROUPED).alias("key_fields"))
 
     res = CheckResult(DUP, verdict, keys, groups,
-                      _describe(DUP, src=src, filter=filter, group_by=group_by, key_fields=key_fields),
-                      key_fields=cols)
+                      _grouped_sql(_from(src, filter, params, tables), cols, " HAVING COUNT(*) > 1"),
+                      key_fields=cols, execution_parameter=report(params, b))
     return res

@@ -21,15 +21,19 @@ between the aggregate and the join).
 
 Join-key equality is not null-safe: a NULL key never matches and its row is
 one-sided.  In ``rows()`` NULL-key rows get a salt in the join key so they
-spread over all partitions instead of landing in one (AQE cannot split a
-skewed full outer join).
+spread over all partitions instead of landing in one.
+
+Both ways compare values under the type that Spark's own ``a = b`` uses.
+Products of counts are DECIMAL(38, 0); a count beyond BIGINT is reported as
+the largest BIGINT, so the verdict holds at any size.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,41 +44,45 @@ from parity.sources.local import literal_frame
 
 # ---------------------------------------------------------------- helpers --
 
-def _common(a: T.DataType, b: T.DataType) -> T.DataType | None:
-    """Type both sides of a compared pair are cast to inside the tuple struct
-    (structs do not coerce field types the way ``=`` does on scalars)."""
+@lru_cache(maxsize=256)
+def _equality_type(spark: SparkSession, a: str, b: str, ansi: str) -> T.DataType:
+    """Type that Spark itself compares two types under in ``a = b``, read from
+    the analysed expression (``ansi`` is part of the cache key: the rules
+    depend on it).  Types that Spark can't compare raise its analysis error."""
+    kinds = [T._parse_datatype_json_string(x) for x in (a, b)]
+    pair = spark.range(0).select(*[F.lit(None).cast(k).alias(n) for k, n in zip(kinds, "ab")])
+    equal = pair.select(F.col("a") == F.col("b"))._jdf.queryExecution().analyzed().projectList().head().child()
+    return T._parse_datatype_json_string(equal.left().dataType().json())
+
+
+def equality_type(spark: SparkSession, a: T.DataType, b: T.DataType) -> T.DataType:
     if a == b:
-        return None
-    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    numeric = integral + (T.FloatType, T.DoubleType, T.DecimalType)
-    if isinstance(a, integral) and isinstance(b, integral):
-        return T.LongType()
-    if isinstance(a, T.DecimalType) and isinstance(b, (T.DecimalType,) + integral):
-        return T.DecimalType(38, max(a.scale, getattr(b, "scale", 0)))
-    if isinstance(b, T.DecimalType) and isinstance(a, integral):
-        return T.DecimalType(38, b.scale)
-    if isinstance(a, numeric) and isinstance(b, numeric):
-        return T.DoubleType()
-    if isinstance(a, T.StringType) and not isinstance(b, T.StringType):
-        return b
-    if isinstance(b, T.StringType) and not isinstance(a, T.StringType):
         return a
-    if isinstance(a, (T.DateType, T.TimestampType, T.TimestampNTZType)) and \
-            isinstance(b, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return T.TimestampType()
-    return T.StringType()
+    return _equality_type(spark, a.json(), b.json(), spark.conf.get("spark.sql.ansi.enabled", "true"))
+
+
+def _types(df: DataFrame) -> dict[str, T.DataType]:
+    """Column types by lower-case name: names match without regard to case, as in SQL."""
+    return {f.name.lower(): f.dataType for f in df.schema.fields}
+
+
+def _common_types(src: DataFrame, s_names: list[str], dest: DataFrame, d_names: list[str]) -> list[T.DataType]:
+    st, dt = _types(src), _types(dest)
+    return [equality_type(src.sparkSession, st[s.lower()], dt[d.lower()]) for s, d in zip(s_names, d_names)]
+
+
+def _as(col: Column, have: T.DataType, want: T.DataType) -> Column:
+    return col if have == want else col.cast(want)
 
 
 def _aligned(src: DataFrame, s_names: list[str], dest: DataFrame, d_names: list[str]):
-    """Per pair, the src and dest column expressions with equal types."""
-    st = {f.name: f.dataType for f in src.schema.fields}
-    dt = {f.name: f.dataType for f in dest.schema.fields}
-    s_cols, d_cols = [], []
-    for s, d in zip(s_names, d_names):
-        common = _common(st[s], dt[d])
-        s_cols.append(F.col(s) if common is None or st[s] == common else F.col(s).cast(common))
-        d_cols.append(F.col(d) if common is None or dt[d] == common else F.col(d).cast(common))
-    return s_cols, d_cols
+    """Per pair, the src and dest column expressions under the type that
+    ``src = dest`` compares (structs don't coerce field types the way ``=``
+    does on scalars)."""
+    st, dt = _types(src), _types(dest)
+    common = _common_types(src, s_names, dest, d_names)
+    return ([_as(F.col(s), st[s.lower()], t) for s, t in zip(s_names, common)],
+            [_as(F.col(d), dt[d.lower()], t) for d, t in zip(d_names, common)])
 
 
 def _tuple(cols: list[Column]) -> Column:
@@ -96,6 +104,9 @@ def _shuffle_partitions(df: DataFrame) -> int:
         return 200
 
 
+#: Products of two BIGINT counts, and a total as the BIGINT it is reported as.
+_BIG = "CAST({} AS DECIMAL(38, 0))"
+_BIGINT = "CAST(least(coalesce({}, 0), 9223372036854775807) AS BIGINT)"
 
 
 # The count arithmetic below is written as SQL expressions over internal
@@ -103,7 +114,7 @@ def _shuffle_partitions(df: DataFrame) -> int:
 
 def _summary_from_totals(totals: DataFrame, entries: list[tuple[str, str, str]]) -> DataFrame:
     """One-row frame of named totals -> rows (status, side, n) with n > 0."""
-    structs = ", ".join(f"named_struct('status', '{st}', 'side', '{sd}', 'n', CAST(coalesce({c}, 0) AS BIGINT))"
+    structs = ", ".join(f"named_struct('status', '{st}', 'side', '{sd}', 'n', {_BIGINT.format(c)})"
                         for st, sd, c in entries)
     return totals.selectExpr(f"inline(array({structs}))").where("n > 0")
 
@@ -111,7 +122,7 @@ def _summary_from_totals(totals: DataFrame, entries: list[tuple[str, str, str]])
 def verdict_of(summary: DataFrame, bad_word: str = C.NOK) -> DataFrame:
     """``n_differences`` and ``result`` from a (status, side, n) summary; one row always."""
     return (summary.selectExpr(f"CASE WHEN status <> '{C.MATCH}' THEN n END AS n")
-            .agg(F.expr("CAST(coalesce(sum(n), 0) AS BIGINT)").alias("n_differences"))
+            .agg(F.expr(_BIGINT.format(f"sum({_BIG.format('n')})")).alias("n_differences"))
             .selectExpr("n_differences",
                         f"CASE WHEN n_differences > 0 THEN '{bad_word}' ELSE '{C.OK}' END AS result"))
 
@@ -143,6 +154,7 @@ class KeyedComparison:
         self._sv, self._dv = _aligned(self.src.df, self.src.names, self.dest.df, self.dest.names)
         sk, dk = _aligned(self.src.df, self._sk, self.dest.df, self._dk)
         self._skc, self._dkc = sk, dk
+        self._types = _common_types(self.src.df, self.src.names, self.dest.df, self.dest.names)
 
     # -- pair level ---------------------------------------------------------
     def rows(self, collapse: bool = True) -> DataFrame:
@@ -153,39 +165,49 @@ class KeyedComparison:
         into one row with a count before the join, so copies and keys that
         repeat on both sides cost one row per distinct (source, destination)
         record pair instead of every m*n combination; on unique keys every
-        row has ``pairs = 1``.  ``collapse=False`` joins the records as they
-        are (one shuffle less; for keys known to be unique)."""
+        row has ``pairs = 1``.  A side that is grouped by its join key has
+        unique keys and isn't folded again.  ``collapse=False`` joins the
+        records as they are (one shuffle less; for keys known to be unique).
+
+        The full outer join is a left outer join, whose skewed source
+        partitions AQE can split, and the destination's rows without a
+        source key (an anti join, likewise)."""
         n = len(self.src.names)
         s = self.src.df.select(*[c.alias(f"__k{i}") for i, c in enumerate(self._skc)],
                                *[F.col(c).alias(f"__sv{j}") for j, c in enumerate(self.src.names)])
         d = self.dest.df.select(*[c.alias(f"__j{i}") for i, c in enumerate(self._dkc)],
                                 *[F.col(c).alias(f"__dv{j}") for j, c in enumerate(self.dest.names)])
-        if collapse:
-            s = s.groupBy(*s.columns).agg(F.count(F.lit(1)).alias("__cs"))
-            d = d.groupBy(*d.columns).agg(F.count(F.lit(1)).alias("__cd"))
-        else:
-            s = s.withColumn("__cs", F.lit(1).cast("long"))
-            d = d.withColumn("__cd", F.lit(1).cast("long"))
         parts = _shuffle_partitions(self.src.df)
+        s = self._folded(s, "__cs", collapse and not self.src.unique_by(self._sk))
+        d = self._folded(d, "__cd", collapse and not self.dest.unique_by(self._dk))
         s = s.withColumn("__salt", self._salt(s, "__k", parts))
         d = d.withColumn("__dsalt", self._salt(d, "__j", parts))
         cond = F.col("__salt") == F.col("__dsalt")
         for i in range(len(self.on)):
             cond = cond & (F.col(f"__k{i}") == F.col(f"__j{i}"))
-        j = s.join(d, cond, "full_outer")
+        with_source = s.join(d, cond, "left")
+        dest_only = d.join(s.select("__salt", *[f"__k{i}" for i in range(len(self.on))]), cond, "left_anti")
+        j = with_source.unionByName(dest_only, allowMissingColumns=True)
         sv = [F.col(f"__sv{i}") for i in range(n)]
         dv = [F.col(f"__dv{i}") for i in range(n)]
         if self.mode == "reference":
             status = C.reference_status(sv, dv)
         else:
-            status = C.content_status(list(zip(sv, dv)), sv, dv)
+            pairs = [(a.cast(t), b.cast(t)) for a, b, t in zip(sv, dv, self._types)]
+            status = C.content_status(pairs, sv, dv)
         in_src, in_dest = F.col("__cs").isNotNull(), F.col("__cd").isNotNull()
         side = F.when(in_src & in_dest, C.SIDE_BOTH).when(in_src, C.SIDE_SRC).otherwise(C.SIDE_DEST)
-        pairs = F.coalesce(F.col("__cs"), F.lit(1)) * F.coalesce(F.col("__cd"), F.lit(1))
+        pairs = F.expr(_BIGINT.format(f"{_BIG.format('coalesce(__cs, 1)')} * coalesce(__cd, 1)"))
         out = []
         for i, (a, b) in enumerate(zip(self.src.names, self.dest.names)):
             out += [sv[i].alias(f"{a}_src"), dv[i].alias(f"{b}_dest")]
-        return j.select(*out, status.alias("status"), side.alias("side"), pairs.cast("long").alias("pairs"))
+        return j.select(*out, status.alias("status"), side.alias("side"), pairs.alias("pairs"))
+
+    @staticmethod
+    def _folded(df: DataFrame, count: str, fold: bool) -> DataFrame:
+        if fold:
+            return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(count))
+        return df.withColumn(count, F.lit(1).cast("long"))
 
     def differences(self) -> DataFrame:
         return self.rows().where(F.col("status") != C.MATCH)
@@ -260,8 +282,8 @@ class KeyedComparison:
         tuple_null = " AND ".join(f"t.v{i} IS NULL" for i in range(n))
         j = kt.selectExpr(*self._kn, "nk", f"({tuple_null}) AS tn", "cs", "cd")
         per_key = j.groupBy(*self._kn, "nk").agg(*[F.expr(e).alias(a) for a, e in (
-            ("ns", "sum(cs)"), ("nd", "sum(cd)"), ("m", "sum(cs * cd)"),
-            ("m0", "sum(CASE WHEN tn THEN cs * cd ELSE 0 END)"),
+            ("ns", _BIG.format("sum(cs)")), ("nd", _BIG.format("sum(cd)")), ("m", f"sum({_BIG.format('cs')} * cd)"),
+            ("m0", f"sum(CASE WHEN tn THEN {_BIG.format('cs')} * cd ELSE 0 END)"),
             ("s0", "sum(CASE WHEN tn THEN cs ELSE 0 END)"),
             ("d0", "sum(CASE WHEN tn THEN cd ELSE 0 END)"))])
         both = "ns > 0 AND nd > 0"
@@ -285,8 +307,8 @@ class KeyedComparison:
         # one aggregation of both sides per key: counts and all-NULL counts per side
         j = (self._tagged(with_tuple=False).groupBy(*self._kn, "nk")
              .agg(*[F.expr(e).alias(a) for a, e in (
-                 ("ns", "count_if(side = 0)"), ("s0", "count_if(side = 0 AND tn)"),
-                 ("nd", "count_if(side = 1)"), ("d0", "count_if(side = 1 AND tn)"))]))
+                 ("ns", _BIG.format("count_if(side = 0)")), ("s0", _BIG.format("count_if(side = 0 AND tn)")),
+                 ("nd", _BIG.format("count_if(side = 1)")), ("d0", _BIG.format("count_if(side = 1 AND tn)")))]))
         both = "ns > 0 AND nd > 0"
         cols = {
             "match_both": f"CASE WHEN {both} THEN (ns - s0) * (nd - d0) END",
@@ -320,33 +342,33 @@ class KeyedComparison:
         """Positions of the key fields among the source join columns, when
         every key field is one and the join needs no cast that changes a
         value's text (so the key's own values give the key text); else None."""
-        if not all(c in self._sk for c in kf):
+        on = [a.lower() for a in self._sk]
+        if not all(c.lower() in on for c in kf):
             return None
-        st = {f.name: f.dataType for f in self.src.df.schema.fields}
-        dt = {f.name: f.dataType for f in self.dest.df.schema.fields}
+        st, dt = _types(self.src.df), _types(self.dest.df)
         integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
         # widening between integral types leaves the key's text unchanged
-        if any(st[a] != dt[b] and not (isinstance(st[a], integral) and isinstance(dt[b], integral))
+        if any(st[a.lower()] != dt[b.lower()]
+               and not (isinstance(st[a.lower()], integral) and isinstance(dt[b.lower()], integral))
                for a, b in self.on):
             return None
-        return [self._sk.index(c) for c in kf]
+        return [on.index(c.lower()) for c in kf]
 
     def _content_keys_by_key(self, kf: list[str], pos: list[int]) -> DataFrame:
         """Key fields = join keys: decide per key.  The key is clean iff both
-        sides carry one tuple only, the same one, and it is not all NULL --
-        one aggregation of both sides per key (min/max of each side's tuple,
-        partial map-side) decides it."""
+        sides carry one tuple only, the same one, and it is not all NULL.
+        Tuples are counted per (key, tuple) first, then tuples per key: hash
+        aggregates with partial counts in each task."""
         n = len(self.src.names)
-        g = (self._tagged().groupBy(*self._kn, "nk")
-             .agg(*[F.expr(e).alias(a) for a, e in (
-                 ("smin", "min(CASE WHEN side = 0 THEN t END)"), ("smax", "max(CASE WHEN side = 0 THEN t END)"),
-                 ("dmin", "min(CASE WHEN side = 1 THEN t END)"), ("dmax", "max(CASE WHEN side = 1 THEN t END)"))]))
-        tuple_null = " AND ".join(f"smin.v{i} IS NULL" for i in range(n))
-        clean = F.expr(f"dmin IS NOT NULL AND smin = smax AND dmin = smin AND dmax = smin AND NOT ({tuple_null})")
-        in_src = F.col("smin").isNotNull()
+        per_tuple = (self._tagged().groupBy(*self._kn, "nk", "t")
+                     .agg(F.expr("count_if(side = 0)").alias("cs"), F.expr("count_if(side = 1)").alias("cd")))
+        tuple_null = " AND ".join(f"t.v{i} IS NULL" for i in range(n))
+        g = (per_tuple.selectExpr(*self._kn, "nk", "cs", f"cs > 0 AND cd > 0 AND NOT ({tuple_null}) AS good")
+             .groupBy(*self._kn, "nk")
+             .agg(F.expr("sum(cs) > 0").alias("in_src"), F.expr("count(1) = 1 AND count_if(good) = 1").alias("clean")))
         kf_cols = [F.col(self._kn[i]) for i in pos]
-        text = F.when(in_src, C.key_text(kf, kf_cols)).otherwise(F.lit(C.null_key_text(kf)))
-        return g.where(~in_src | ~clean).select(text.alias("key_fields")).distinct()
+        text = F.when(F.col("in_src"), C.key_text(kf, kf_cols)).otherwise(F.lit(C.null_key_text(kf)))
+        return g.where("NOT in_src OR NOT clean").select(text.alias("key_fields")).distinct()
 
     def _reference_keys_by_key(self, kf: list[str], pos: list[int], mapped: list[str]) -> DataFrame:
         g = (self._tagged(with_tuple=False, extra_dest=C.all_null([F.col(c) for c in mapped]))
@@ -360,26 +382,25 @@ class KeyedComparison:
 
     def _content_keys(self, kf: list[str]) -> DataFrame:
         """A source record (key k, tuple t) takes part in a difference unless
-        every destination row of k carries exactly t and t is not all NULL.
-        Per destination key, min(t) = max(t) says "one tuple only", so the
-        decision needs one row per destination key.  Source records (copies
-        folded) meet it in a left outer join, whose skewed partitions AQE can
-        split; destination-only keys come from an anti join of one row per
-        key on each side and add the all-NULL key text."""
+        every destination row of k carries exactly t and t is not all NULL:
+        the destination has one distinct tuple under k, and (k, t) is it.
+        Source records (copies folded) meet both facts in left outer joins,
+        whose skewed partitions AQE can split; destination-only keys come from
+        an anti join and add the all-NULL key text."""
         pos = self._key_positions(kf)
         if pos is not None:
             return self._content_keys_by_key(kf, pos)
         n = len(self.src.names)
         s = self.src.df.select(*self._keys(self._skc), _tuple(self._sv).alias("t"),
                                F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf")).distinct()
-        d = (self.dest.df.select(*self._keys(self._dkc), _tuple(self._dv).alias("dt"))
-             .groupBy(*self._kn).agg(F.min("dt").alias("tmin"), F.max("dt").alias("tmax")))
-        j = s.join(d, self._kn, "left")
-        clean = (F.col("tmin").isNotNull() & (F.col("tmin") == F.col("t")) & (F.col("tmax") == F.col("t"))
-                 & ~_tuple_null(n))
+        tuples = self.dest.df.select(*self._keys(self._dkc), _tuple(self._dv).alias("t")).distinct()
+        per_key = tuples.groupBy(*self._kn).agg(F.count(F.lit(1)).alias("n_tuples"))
+        j = (s.join(tuples.withColumn("same", F.lit(True)), [*self._kn, "t"], "left")
+             .join(per_key, self._kn, "left"))
+        clean = F.coalesce((F.col("n_tuples") == 1) & F.col("same"), F.lit(False)) & ~_tuple_null(n)
         kf_cols = [F.col(f"kf.{c}") for c in kf]
         src_keys = j.where(~clean).select(C.key_text(kf, kf_cols).alias("key_fields"))
-        dest_only = d.select(*self._kn).join(s.select(*self._kn).distinct(), self._kn, "left_anti")
+        dest_only = per_key.select(*self._kn).join(s.select(*self._kn).distinct(), self._kn, "left_anti")
         null_text = dest_only.select(F.lit(C.null_key_text(kf)).alias("key_fields"))
         return src_keys.unionByName(null_text).distinct()
 
@@ -387,9 +408,9 @@ class KeyedComparison:
         """Source-only records give their key text (anti join of distinct
         source records against distinct destination keys); destination-only
         records whose mapped key fields are all NULL give the all-NULL text."""
-        mapping = dict(self.on)
-        mapped = [mapping.get(c, c) for c in kf]
-        missing = [c for c in mapped if c not in self.dest.df.columns]
+        mapping = {a.lower(): b for a, b in self.on}
+        mapped = [mapping.get(c.lower(), c) for c in kf]
+        missing = [c for c in mapped if c.lower() not in _types(self.dest.df)]
         if missing:
             raise ValueError(f"key fields {missing} are not columns of the destination")
         pos = self._key_positions(kf)
@@ -445,8 +466,9 @@ class CrossComparison:
         out = []
         for i, (a, b) in enumerate(zip(self.src.names, self.dest.names)):
             out += [sv[i].alias(f"{a}_src"), dv[i].alias(f"{b}_dest")]
-        return j.select(*out, C.cross_status(list(zip(sv, dv))).alias("status"),
-                        F.lit(C.SIDE_BOTH).alias("side"))
+        types = _common_types(self.src.df, self.src.names, self.dest.df, self.dest.names)
+        pairs = [(a.cast(t), b.cast(t)) for a, b, t in zip(sv, dv, types)]
+        return j.select(*out, C.cross_status(pairs).alias("status"), F.lit(C.SIDE_BOTH).alias("side"))
 
     def differences(self) -> DataFrame:
         return self.rows().where(F.col("status") != C.MATCH)
@@ -463,8 +485,8 @@ class CrossComparison:
              .unionByName(self.dest.df.select(_tuple(self._dv).alias("t"), F.lit(1).alias("side"))))
         per_t = u.groupBy("t").agg(F.expr("count_if(side = 0)").alias("cs"), F.expr("count_if(side = 1)").alias("cd"))
         totals = (per_t.agg(F.expr("sum(cs)").alias("ns"), F.expr("sum(cd)").alias("nd"),
-                            F.expr("sum(cs * cd)").alias("m"))
-                  .selectExpr("m AS match", "ns * nd - m AS no_match"))
+                            F.expr(f"sum({_BIG.format('cs')} * cd)").alias("m"))
+                  .selectExpr("m AS match", f"{_BIG.format('ns')} * nd - m AS no_match"))
         return _summary_from_totals(totals, [(C.MATCH, C.SIDE_BOTH, "match"),
                                              (C.NO_MATCH, C.SIDE_BOTH, "no_match")])
 

@@ -19,23 +19,20 @@ from parity.functions.params import Bound
 from parity.functions.text import ALL_COLUMNS, NO_JOIN_KEY, is_blank, output_name, split_list, unique
 from parity.sources.relation import relation, where
 
-_AGGREGATE = re.compile(
-    r"\b(sum|count|count_if|avg|mean|min|max|any_value|first|last|stddev\w*|var\w*|"
-    r"collect_\w+|approx_\w+|percentile\w*|median|mode|bool_and|bool_or|every|some|"
-    r"max_by|min_by|sum_distinct|count_distinct|product|kurtosis|skewness|corr|covar_\w+)\s*\(",
-    re.IGNORECASE)
-
-
-_WINDOW = re.compile(r"\bover\s*\(", re.IGNORECASE)
-
-
 @dataclass
 class Side:
     df: DataFrame
     names: list[str]                 # selected column names, in select-list order
-    single_row: bool = False         # global aggregate: exactly one row by construction
+    single_row: bool = False         # at most one row, by the analysed plan (a global aggregate)
     bound: Bound = field(default_factory=lambda: Bound(None))
     items: list[str] = field(default_factory=list)   # select expressions as written
+    groups: list[str] = field(default_factory=list)  # grouping expressions as written
+    all_items: list[str] = field(default_factory=list)  # with the columns added for keys
+    all_names: list[str] = field(default_factory=list)
+
+    def unique_by(self, columns: list[str]) -> bool:
+        """Whether these columns hold every grouping expression, so that no two rows agree in them."""
+        return bool(self.groups) and {g.lower() for g in self.groups} <= {c.lower() for c in columns}
 
 
 def _items(select, df: DataFrame) -> list[str]:
@@ -65,19 +62,28 @@ def prepare(spark: SparkSession, rel, select=None, filter=None, group_by=None, p
     df, bound = where(spark, df, filter, params)
     items = _items(select, df)
     names = [output_name(i) for i in items]
-    present = set(df.columns)
-    wanted = list(extra) + [c for c in optional_extra if c in present]
-    extras = [e for e in unique(wanted) if e not in names]
+    present = {c.lower() for c in df.columns}
+    wanted = list(extra) + [c for c in optional_extra if c.lower() in present]
+    # names match without regard to case, as Spark SQL resolves them
+    have = {n.lower() for n in names}
+    extras = []
+    for e in wanted:
+        if e.lower() not in have:
+            have.add(e.lower())
+            extras.append(e)
     all_items, all_names = items + extras, names + extras
     groups = _group(group_by)
     if groups:
         g = df.groupBy(*[F.expr(e).alias(f"__g{i}") for i, e in enumerate(groups)])
         out = g.agg(*[F.expr(e).alias(f"__c{j}") for j, e in enumerate(all_items)])
         out = out.select(*[F.col(f"__c{j}").alias(n) for j, n in enumerate(all_names)])
-        single = False
     else:
         out = df.select(*[F.expr(e).alias(n) for e, n in zip(all_items, all_names)])
-        # an aggregate without GROUP BY is one row -- unless it is a window function
-        single = (any(_AGGREGATE.search(e) for e in items) and not extras
-                  and not any(_WINDOW.search(e) for e in items))
-    return Side(out, names, single, bound, items)
+    return Side(out, names, not groups and _single_row(out), bound, items, groups, all_items, all_names)
+
+
+def _single_row(df: DataFrame) -> bool:
+    """Whether the analysed plan has at most one row (an aggregate without
+    grouping, whatever the text looks like)."""
+    most = df._jdf.queryExecution().analyzed().maxRows()
+    return most.isDefined() and most.get() <= 1

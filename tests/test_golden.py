@@ -132,12 +132,102 @@ def test_duplicates_neutral_group_by(spark, golden):
         assert [(r["n"], r["count"]) for r in d.rows.collect()] == [("e", 2)]
 
 
-def test_outside_catalogue_broadcast_and_fallback(spark, golden):
+def test_outside_catalogue_nulls_agree_with_predicate(spark, golden):
     from parity.operators.checks import outside_catalogue
     src, _ = golden
-    allowed = spark.createDataFrame([("a",), ("b",), ("e",)], "n string")
-    small = outside_catalogue(src, "n", allowed)                       # broadcast path
-    large = outside_catalogue(src, "n", allowed, max_broadcast_rows=1)  # over the bound: shuffled anti join
-    want = sorted([("c",), (None,)], key=repr)
-    assert sorted([(r.n,) for r in small.collect()], key=repr) == want
-    assert sorted([(r.n,) for r in large.collect()], key=repr) == want
+    allowed = spark.createDataFrame([("a",), ("b",), ("e",), (None,)], "n string")
+    by_table = outside_catalogue(src, "n", allowed)
+    by_predicate = checks.catalogue(spark, src, "n NOT IN ('a', 'b', 'e')", "n").rows
+    assert [r.n for r in by_table.collect()] == [r.n for r in by_predicate.collect()] == ["c"]
+    strict = outside_catalogue(src, "n", allowed, null_is_violation=True)
+    assert sorted([r.n for r in strict.collect()], key=repr) == sorted(["c", None], key=repr)
+
+
+def test_single_row_is_the_plans(spark, golden):
+    """Neither a scalar subquery nor text that looks like an aggregate makes a side one row."""
+    from parity.operators.side import prepare
+    src, dst = golden
+    dst.createOrReplaceTempView("golden_dst")
+    assert not prepare(spark, src, "k + (SELECT max(k) FROM golden_dst)").single_row
+    assert not prepare(spark, src, "concat('max(', n)").single_row
+    assert not prepare(spark, src, "sum(v) OVER (PARTITION BY k)").single_row
+    assert prepare(spark, src, "sum(v)").single_row and prepare(spark, src, "1 + max(v)").single_row
+    res = checks.content(spark, src, dst, None, "concat('max(', n)", "n")
+    assert res.rows is None and res.verdict.first()["n_differences"] == 29
+
+
+def test_counts_beyond_bigint(spark):
+    """Folded counts whose product passes the largest BIGINT."""
+    from parity.operators import compare
+    from parity.operators.side import prepare
+    src = spark.createDataFrame([(1, "a", 4_000_000_000), (1, "b", 4_000_000_000)], "k int, v string, c long")
+    kt = src.selectExpr("k", "v", "c", "c AS d")
+    m = kt.agg(compare.F.expr(f"sum({compare._BIG.format('c')} * d)").alias("m")).first()["m"]
+    assert m == 2 * 4_000_000_000 ** 2
+    out = compare._summary_from_totals(kt.groupBy().agg(compare.F.expr("CAST(32000000000000000000 AS DECIMAL(38,0))")
+                                                        .alias("m")), [(C.NO_MATCH, "both", "m")])
+    assert out.first()["n"] == 9223372036854775807
+    assert compare.verdict_of(out.union(out)).first()["result"] == "NOK"
+    assert prepare(spark, src, "count(1)").single_row
+
+
+def test_mixed_types_in_all_views(spark):
+    """rows, summary, verdict and keys compare as Spark's ``=`` does."""
+    cases = [("STRING", "'1.5'", "DECIMAL(10,0)", "2"), ("STRING", "'3000000000'", "INT", "5"),
+             ("STRING", "'2'", "DECIMAL(10,2)", "2.00"), ("DECIMAL(20,0)", "7", "DECIMAL(20,5)", "7.00000"),
+             ("INT", "1", "DOUBLE", "1.5"), ("DATE", "'2024-01-01'", "TIMESTAMP", "'2024-01-01 00:00:00'"),
+             ("STRING", "NULL", "INT", "NULL"), ("BIGINT", "3", "INT", "3"), ("STRING", "' 4'", "BIGINT", "4")]
+    for a, x, b, y in cases:
+        src = spark.sql(f"SELECT 1 AS k, CAST({x} AS {a}) AS v, 0 AS z")
+        dst = spark.sql(f"SELECT 1 AS k, CAST({y} AS {b}) AS v, 0 AS z")
+        want = spark.sql(f"SELECT CAST({x} AS {a}) <=> CAST({y} AS {b}) AS same").first()["same"]
+        res = checks.content(spark, src, dst, "k = k", "v, z", "v, z", key_fields="k")
+        assert (res.verdict.first()["result"] == "OK") == want, (a, x, b, y)
+        assert _summary(res.comparison.summary()) == dict(_statuses(res.comparison.rows())), (a, x, b, y)
+        assert (res.keys.count() == 0) == want
+        wide = checks.content(spark, src, dst, "k = k", "v, z", "v, z", key_fields="z")
+        assert (wide.keys.count() == 0) == want
+        cross = checks.content(spark, src, dst, None, "v", "v")
+        assert (cross.verdict.first()["result"] == "OK") == want
+        ref = checks.reference(spark, src, dst, "v = v", "v", "v")
+        matched = bool(want) and x != "NULL"
+        assert {s for s, _ in _summary(ref.comparison.summary())} == ({C.MATCH} if matched else {C.ONLY_A} | (
+            set() if x == "NULL" else {C.ONLY_B}))
+
+
+def test_names_match_without_regard_to_case(spark, golden):
+    src, dst = golden
+    for key, select, fields in (("k = k", "K, v", "k"), ("K = k", "k, v", "K"), ("K = K", "n, V", "k, N")):
+        got = checks.content(spark, src, dst, key, select, select, key_fields=fields)
+        want = checks.content(spark, src, dst, "k = k", select.lower(), select.lower(), key_fields=fields.lower())
+        assert _summary(got.comparison.summary()) == _summary(want.comparison.summary())
+        assert {r[0].lower() for r in got.keys.collect()} == {r[0].lower() for r in want.keys.collect()}
+        assert dict(_statuses(got.comparison.rows())) == dict(_statuses(want.comparison.rows()))
+
+
+def test_keys_on_another_column_with_nulls(spark):
+    """Key fields besides the join key, NULLs everywhere, against every joined pair."""
+    import itertools
+    vals = [(k, g, v) for k, g, v in itertools.product((1, 2, None), ("x", None), (5, None))]
+    src = spark.createDataFrame(vals + [(3, "y", 6), (4, None, 7)], "k int, g string, v int")
+    dst = spark.createDataFrame([(1, None, 5), (2, "x", None), (2, None, 5), (4, "z", 7), (6, None, 1), (7, "w", 2)],
+                                "k int, g string, v int")
+    s, d = src.alias("s"), dst.alias("d")
+    pairs = s.join(d, F.col("s.k") == F.col("d.k"), "full_outer")
+    text = C.key_text(["g"], [F.col("s.g")])
+    con = checks.content(spark, src, dst, "k = k", "v", "v", key_fields="g")
+    want = pairs.where(~F.col("s.v").eqNullSafe(F.col("d.v")) | F.col("d.v").isNull() | F.col("s.v").isNull())
+    assert {r[0] for r in con.keys.collect()} == {r[0] for r in want.select(text).collect()}
+    ref = checks.reference(spark, src, dst, "k = k", "k", "k", key_fields="g")
+    gone = src.join(dst, src["k"] == dst["k"], "left_anti").select(C.key_text(["g"]))
+    got = {r[0] for r in ref.keys.collect()}
+    dest_only_null = dst.join(src, src["k"] == dst["k"], "left_anti").where("g IS NULL").count() > 0
+    assert got == {r[0] for r in gone.collect()} | ({"g IS NULL"} if dest_only_null else set())
+    only = ref.comparison.only_in_source()
+    assert only.count() == src.join(dst, src["k"] == dst["k"], "left_anti").count()
+
+
+def test_key_extraction_has_no_sort_aggregate(spark, golden):
+    src, dst = golden
+    res = checks.content(spark, src, dst, "k = k", "n, v", "n, v", key_fields="k")
+    assert "SortAggregate" not in res.keys._jdf.queryExecution().executedPlan().toString()
