@@ -62,6 +62,18 @@ def sql_literal(value: object) -> str:
     return "'" + str(value).replace("'", "''") + "'"
 
 
+def bound_text(text: str | None, params: Mapping[str, object] | None) -> str | None:
+    """The filter with its placeholders' values written out: text to read and
+    run again by hand, never what a check itself runs."""
+    values = {k.lower(): v for k, v in (params or {}).items()}
+
+    def value(m: re.Match) -> str:
+        name = m.group(1).lower()
+        return f"{m.group(1)} = {sql_literal(values[name])}" if name in values else m.group(0)
+
+    return _PLACEHOLDER.sub(value, text) if text else text
+
+
 def report(params: Mapping[str, object] | None, *bounds: Bound) -> str:
     """``a=1 | b='x'`` for the parameters applied to any of the filters, in the
     order the caller supplied them, each once; ``N/A`` when none applied."""
@@ -74,14 +86,19 @@ def parse_parameter_text(text: str | None) -> dict[str, object]:
     """Turn the prompt-style text ``ref_date='2025-12-31', cod_visao=3`` into a
     typed dict: quoted values become strings, integers ints, decimals floats,
     ``true``/``false`` booleans; anything else is kept as its text.  Commas
-    inside quotes or parentheses do not split."""
+    inside quotes or parentheses do not split.  An item may stand in
+    parentheses, ``(a='x'),(b=2)``, and so may the whole text; an item that is
+    no assignment raises."""
     from parity.functions.text import split_list
 
     out: dict[str, object] = {}
-    for item in split_list(text):
+    items = split_list(text)
+    while any(i.startswith("(") and i.endswith(")") for i in items):
+        items = [x for i in items for x in (split_list(i[1:-1]) if i.startswith("(") and i.endswith(")") else [i])]
+    for item in items:
         m = re.match(r"^\s*(\w+)\s*=\s*(.+?)\s*$", item, re.DOTALL)
         if not m:
-            continue
+            raise ValueError(f"not a parameter assignment: {item!r}")
         name, raw = m.group(1), m.group(2)
         if len(raw) >= 2 and raw[0] == raw[-1] and raw[0] in "'\"":
             value: object = raw[1:-1].replace(raw[0] * 2, raw[0])

@@ -9,33 +9,32 @@ give each row offset + its position inside its partition.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; only where
+    that is unset, a folder beside the warehouse, which driver and executors
+    share by definition.  The same path in every session."""
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    return (configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster configured (``spark.checkpoint.dir``).
-    Only a local session without one gets a fresh scratch folder."""
+    """The session's checkpoint folder, set from ``shared_folder`` if it has none."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this cluster")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="parity-checkpoints-"))
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_folder(spark))
     return sc.getCheckpointDir()
 
 
 def with_sequential_ids(df: DataFrame, order_by: list, id_col: str, start: Column | int = 1) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... in ``order_by`` order (ties broken
     arbitrarily but stably).  ``start`` may be a Column over a one-row frame's
-    value joined in beforehand, or an int."""
+    value joined in beforehand, or an int.  The sorted rows are checkpointed in
+    a job of their own; Spark removes the files once the frame is unreachable
+    if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set."""
     checkpoint_dir(df.sparkSession)
     ordered = df.orderBy(*order_by).checkpoint(eager=True)
     tagged = (ordered.withColumn("__pid", F.spark_partition_id())

@@ -1,11 +1,13 @@
-"""Run a set of check definitions as one Spark plan and shape the results.
+"""Run a set of check definitions and shape the results.
 
 Definitions (a small control table) are read on the driver; each becomes a
-check plan over its relations.  The verdict rows of all checks are one
-``unionByName`` of one-row frames and the details one union of key frames,
-so Spark schedules the independent checks together instead of one after the
-other.  Offending keys never leave the cluster: they are written to the
-details table by the sink.
+check plan over its relations.  Isolated (the default), every check is a job of
+its own, several submitted at once: a check with key fields computes its
+offending keys once, into a checkpoint, and its verdict follows from whether
+there are any; the others compute their one-row verdict.  A check that fails,
+on its data or in its plan, becomes an ERROR result and stops no other.  Not
+isolated, all verdicts are one union and all keys another.  Offending keys
+never leave the cluster: they are written to the details table by the sink.
 
 Result ids are allocated once per run (previous maximum + the check's
 position); detail ids are gap-free over (RESULT_ID, KEY_FIELDS) order.
@@ -23,11 +25,11 @@ from parity import schemas
 from parity.functions import columns as C
 from parity.functions.params import placeholders
 from parity.operators import checks
-from parity.operators.ids import with_sequential_ids
-from parity.sources.definitions import with_defaults
+from parity.operators.ids import checkpoint_dir, with_sequential_ids
+from parity.sources.definitions import select_by_set, with_defaults
 from parity.sources.local import literal_frame
 
-ERROR = "ERROR"  # result of a check whose plan could not be built
+ERROR = "ERROR"  # result of a check that could not be planned or run
 
 
 @dataclass
@@ -60,14 +62,17 @@ def definitions_frame(spark: SparkSession, defs: list[Definition]) -> DataFrame:
     return literal_frame(spark, [d.as_tuple() for d in defs], schemas.DEFINITIONS)
 
 
+def unknown_codes(defs: list[Definition]) -> list[str]:
+    return [f"test {d.TEST_ID}: unknown check code {d.SUBTYPE_ID!r}" for d in defs
+            if (d.SUBTYPE_ID or "").strip().upper() not in checks.SUBTYPES]
+
+
 def validate(defs: list[Definition], params=None) -> list[str]:
     """Problems found before anything runs: unknown check codes and
     placeholders without a runtime value."""
     params = {k.lower() for k in (params or {})}
-    problems = []
+    problems = unknown_codes(defs)
     for d in defs:
-        if (d.SUBTYPE_ID or "").strip().upper() not in checks.SUBTYPES:
-            problems.append(f"test {d.TEST_ID}: unknown check code {d.SUBTYPE_ID!r}")
         for text in (d.SOURCE_FILTER, d.DEST_FILTER):
             missing = [p for p in placeholders(text) if p not in params]
             if missing:
@@ -102,6 +107,7 @@ class SuiteRun:
         self.timestamp = timestamp
         self.isolate = isolate
         self._verdict_rows: dict[int, str] | None = None   # position -> RESULT, once isolated
+        self._keys: dict[int, DataFrame] = {}              # position -> offending keys, once isolated
         self._results: DataFrame | None = None
         self._details: DataFrame | None = None
 
@@ -117,35 +123,42 @@ class SuiteRun:
         return self._results
 
     def _isolate(self) -> None:
-        """Compute every check's one-row verdict in its own job, concurrently;
-        a check that fails at run time (bad data under ANSI casts, ...)
-        becomes an ERROR result and drops out of the details."""
+        """Run every check as its own job, concurrently; a check that fails
+        (its plan, or bad data under ANSI casts, ...) becomes an ERROR result
+        and leaves no details."""
         from concurrent.futures import ThreadPoolExecutor
+        checkpoint_dir(self._spark)
 
         def one(item):
             pos, d, res = item
             try:
-                return pos, self._safe_verdict(pos, d, res).first(), None
+                if not isinstance(res, checks.CheckResult):
+                    raise ValueError(res)
+                return pos, (pos, d.TEST_ID, res.description, self._outcome(pos, d, res), res.execution_parameter)
             except Exception as e:  # noqa: BLE001 -- recorded as the check's result
-                return pos, None, (str(e).strip().splitlines() or [type(e).__name__])[0]
+                message = (str(e).strip().splitlines() or [type(e).__name__])[0]
+                return pos, (pos, d.TEST_ID, f"{d.SUBTYPE_ID}: {message}", ERROR, "N/A")
 
         with ThreadPoolExecutor(max_workers=max(1, min(8, len(self._checks)))) as pool:
-            outcomes = {pos: (row, err) for pos, row, err in pool.map(one, self._checks)}
-        rows, kept = [], []
-        for pos, d, res in self._checks:
-            row, err = outcomes[pos]
-            if err is not None:
-                rows.append((pos, d.TEST_ID, f"{d.SUBTYPE_ID}: {err}", ERROR, "N/A"))
-                res = err
-            else:
-                rows.append(tuple(row))
-            kept.append((pos, d, res))
-        self._checks = kept
+            rows = [row for _, row in sorted(pool.map(one, self._checks))]
         self._verdict_rows = {r[0]: r[3] for r in rows}
         ts = F.lit(self.timestamp).cast("timestamp")
         schema = "RESULT_ID long, TEST_ID int, QUERY string, RESULT string, EXECUTION_PARAMETER string"
         self._results = literal_frame(self._spark, rows, schema).withColumn("TIMESTAMP", ts)
 
+    def _outcome(self, pos: int, d: Definition, res: checks.CheckResult) -> str:
+        """RESULT of one check.  Keys, where the check has key fields, are
+        computed once: any key means a difference.  Only a referential check
+        can differ without a key (destination rows with no source)."""
+        if not res.key_fields or res.subtype == checks.VOL:
+            return self._verdict(pos, d, res).first()["RESULT"]
+        keys = res.keys.select(F.lit(pos).cast("long").alias("RESULT_ID"),
+                               F.col("key_fields").alias("KEY_FIELDS")).checkpoint(eager=True)
+        if not keys.isEmpty():
+            self._keys[pos] = keys
+            return res.bad_word
+        return self._verdict(pos, d, res).first()["RESULT"] if res.subtype == checks.REF else C.OK
+
     @property
     def details(self) -> DataFrame:
         if self._details is None and self.isolate and self._verdict_rows is None:
@@ -169,19 +182,13 @@ class SuiteRun:
         return self._details
 
     def _known_details(self, pos: int, res: checks.CheckResult, result: str) -> DataFrame | None:
-        """Details when the verdict is already known: an OK check has no
-        offending keys (for every check type), so its key plan is skipped;
-        a failed check without key fields leaves one empty-key row."""
+        """Details when the verdict is known: none for an OK check; the keys
+        already computed; one empty-key row for a failed check without any."""
         if result in (C.OK, ERROR):
             return None
-        empty = literal_frame(self._spark, [(pos, "")], "RESULT_ID long, KEY_FIELDS string")
-        if not res.key_fields:
-            return empty
-        keys = res.keys.select(F.lit(pos).cast("long").alias("RESULT_ID"), F.col("key_fields").alias("KEY_FIELDS"))
-        if res.subtype != checks.REF:
-            return keys          # a failed check always leaves at least one key row
-        n_keys = keys.agg(F.count(F.lit(1)).alias("__nk"))
-        return keys.unionByName(empty.crossJoin(n_keys).where(F.col("__nk") == 0).drop("__nk"))
+        if pos in self._keys:
+            return self._keys[pos]
+        return literal_frame(self._spark, [(pos, "")], "RESULT_ID long, KEY_FIELDS string")
 
     def _safe_verdict(self, pos: int, d: Definition, res) -> DataFrame:
         """The verdict row, or an ERROR row when the check's plan cannot be
@@ -235,24 +242,27 @@ class SuiteRun:
 
 
 def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict: bool = True,
-              isolate: bool = True) -> SuiteRun:
-    """Prepare every definition's check (in TEST_ID order); plans are built
+              isolate: bool = True, members: DataFrame | None = None, set_ids=None) -> SuiteRun:
+    """Prepare every definition's check (in TEST_ID order); plans are run
     when the results or details are asked for.
 
-    ``strict`` rejects the whole run when a definition is invalid (unknown
-    code, missing parameter) before anything executes; otherwise such a
-    check, or one whose relations cannot be resolved, yields an ``ERROR``
-    result carrying the message.  ``isolate`` (default) runs each one-row
-    verdict as its own job, all submitted concurrently, so a check failing
-    on its data cannot fail the others and the details skip every check
-    whose verdict is OK; ``isolate=False`` plans all verdicts as one union.
+    ``members`` (SET_ID, TEST_ID) and ``set_ids`` select the definitions to
+    run, as ``select_by_set`` does.  ``strict`` rejects the whole run when a
+    definition has an unknown check code, before anything executes.  Any other
+    fault of a definition -- a parameter without a value, a relation or column
+    that can't be resolved, data that a cast rejects -- yields an ``ERROR``
+    result carrying the message.  ``isolate`` (default) runs each check as its
+    own job, several at once; ``isolate=False`` plans all verdicts as one union.
     """
+    if not isinstance(definitions, DataFrame) and members is not None:
+        definitions = definitions_frame(spark, list(definitions))
     if isinstance(definitions, DataFrame):
-        rows = with_defaults(definitions).orderBy("TEST_ID").collect()   # control table: small
+        chosen = select_by_set(definitions, members, set_ids)
+        rows = with_defaults(chosen).orderBy("TEST_ID").collect()   # control table: small
         defs = [Definition.from_row(r) for r in rows]
     else:
         defs = sorted(definitions, key=lambda d: d.TEST_ID)
-    problems = validate(defs, params)
+    problems = unknown_codes(defs)
     if strict and problems:
         raise ValueError("; ".join(problems))
     prepared = []
@@ -262,7 +272,7 @@ def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict
         except Exception as e:  # noqa: BLE001 -- recorded as the check's result
             res = (str(e).strip().splitlines() or [type(e).__name__])[0]
         prepared.append((pos, d, res))
-    return SuiteRun(spark, prepared, _dt.datetime.now().replace(microsecond=0), isolate)
+    return SuiteRun(spark, prepared, _dt.datetime.now(), isolate)
 
 
 def _details(res: checks.CheckResult, verdict: DataFrame, rid) -> DataFrame:
@@ -289,7 +299,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def history(results: DataFrame, details: DataFrame) -> DataFrame:
-    """Verdicts with their details, newest first."""
+    """Verdicts with their details, newest first (of one time, the larger RESULT_ID first)."""
     d = details.select("DETAILS_ID", "RESULT_ID", "KEY_FIELDS")
     return (results.join(d, "RESULT_ID", "left")
-            .orderBy(F.desc("TIMESTAMP"), F.col("RESULT_ID"), F.col("DETAILS_ID")))
+            .orderBy(F.desc("TIMESTAMP"), F.desc("RESULT_ID"), F.col("DETAILS_ID")))

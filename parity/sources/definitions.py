@@ -41,12 +41,12 @@ def with_defaults(defs: DataFrame) -> DataFrame:
 
 def select_by_set(defs: DataFrame, members: DataFrame | None, set_ids=None) -> DataFrame:
     """Definitions whose TEST_ID is a member of the chosen sets (all sets when
-    ``set_ids`` is None), ordered by TEST_ID.  No members at all -> every
-    definition runs."""
-    if members is not None and set_ids is not None:
-        members = members.where(F.col("SET_ID").isin(list(set_ids)))
+    ``set_ids`` is None), ordered by TEST_ID.  Only a table without any member
+    selects every definition; chosen sets without members select none."""
     if members is None or members.isEmpty():
         return defs.orderBy("TEST_ID")
+    if set_ids is not None:
+        members = members.where(F.col("SET_ID").isin(list(set_ids)))
     ids = members.select("TEST_ID").distinct()
     return defs.join(ids, "TEST_ID", "left_semi").orderBy("TEST_ID")
 

@@ -17,7 +17,7 @@ from parity.functions.params import Bound, bind
 _QUERY = re.compile(r"^\s*(select|with|from|values|table)\b", re.IGNORECASE)
 
 
-def _strip_parens(text: str) -> str:
+def strip_parens(text: str) -> str:
     s = text.strip()
     while s.startswith("(") and s.endswith(")") and _balanced_outer(s):
         s = s[1:-1].strip()
@@ -42,15 +42,19 @@ def _balanced_outer(s: str) -> bool:
     return depth == 0
 
 
+def is_query(text: str) -> bool:
+    return bool(_QUERY.match(text))
+
+
 def relation(spark: SparkSession, spec, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     if isinstance(spec, DataFrame):
         return spec
     if spec is None or not str(spec).strip():
         raise ValueError("empty relation")
-    text = _strip_parens(str(spec))
+    text = strip_parens(str(spec))
     if tables and text in tables:
         return tables[text]
-    if _QUERY.match(text):
+    if is_query(text):
         return spark.sql(text)
     return spark.table(text)
 

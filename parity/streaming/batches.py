@@ -4,8 +4,9 @@ Data that arrives continuously (files landing in a folder, a message topic)
 can be checked as it lands: each micro-batch is exposed to the definitions
 under ``batch_name`` (as a relation and as a temp view for subqueries), the
 suite runs on it, and the verdicts and offending keys are appended to the
-history tables.  The stream's progress lives in a checkpoint folder under
-the cluster's ``spark.checkpoint.dir``.
+history tables.  The stream's progress lives in a folder named after the query
+under the cluster's ``spark.checkpoint.dir``, the same for every session, so a
+restarted stream goes on where it stopped.
 
 Delivery is at-least-once: a batch replayed after a failure is checked and
 recorded again (the replay's rows carry a later TIMESTAMP).
@@ -18,7 +19,7 @@ import os
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from parity.operators.ids import checkpoint_dir
+from parity.operators.ids import shared_folder
 from parity.plans.suite import Definition, run_suite
 from parity.sinks.tables import DETAILS_TABLE, RESULTS_TABLE, record
 
@@ -30,7 +31,7 @@ def check_each_batch(stream: DataFrame, definitions: list[Definition], params=No
     """Start a streaming query that checks each micro-batch; returns the
     ``StreamingQuery``.  ``available_now`` processes what is there and stops."""
     spark = stream.sparkSession
-    location = checkpoint_location or os.path.join(checkpoint_dir(spark), f"stream-{query_name}")
+    location = checkpoint_location or os.path.join(shared_folder(spark), f"stream-{query_name}")
     defs = list(definitions)
 
     def process(batch: DataFrame, epoch_id: int) -> None:

@@ -44,6 +44,7 @@ def test_defaults_and_set_selection(spark):
     members = spark.createDataFrame([(1, 2), (7, 1)], schemas.SET_MEMBERS)
     assert [r.TEST_ID for r in D.select_by_set(defs, members, [1]).collect()] == [2]
     assert [r.TEST_ID for r in D.select_by_set(defs, members).collect()] == [1, 2]
+    assert D.select_by_set(defs, members, [99]).count() == 0      # a set without members runs nothing
     empty = spark.createDataFrame([], schemas.SET_MEMBERS)
     assert [r.TEST_ID for r in D.select_by_set(defs, empty).collect()] == [1, 2]
 
@@ -137,3 +138,53 @@ def test_isolated_suite_turns_runtime_errors_into_error_results(spark, golden_vi
     assert got[2][0] == "ERROR" and "CAT" in got[2][1]
     details = {r.RESULT_ID: r.KEY_FIELDS for r in run.final_details().collect()}
     assert details == {3: "n='e'"}      # the failed check leaves no details
+
+
+def test_missing_parameter_is_an_error_of_that_check_alone(spark, golden_views):
+    defs = [Definition(1, "VOL", "VOL", "src_t", "dst_t", SOURCE_FILTER="k = ?"),
+            Definition(2, "CHTEC", "DUP", "src_t", KEY_FIELDS="n")]
+    got = {r.TEST_ID: (r.RESULT, r.QUERY) for r in run_suite(spark, defs).results.collect()}
+    assert got[1][0] == "ERROR" and "k" in got[1][1] and got[2][0] == "NOT OK"
+
+
+def test_run_suite_selects_by_set(spark, golden_views):
+    defs = [Definition(1, "VOL", "VOL", "src_t", "dst_t"), Definition(2, "CHTEC", "DUP", "src_t", KEY_FIELDS="n")]
+    members = spark.createDataFrame([(5, 2)], schemas.SET_MEMBERS)
+    assert [r.TEST_ID for r in run_suite(spark, defs, members=members, set_ids=[5]).results.collect()] == [2]
+    assert run_suite(spark, defs, members=members, set_ids=[6]).results.count() == 0
+
+
+def test_stored_statement_runs_again(spark, golden_views):
+    defs = [
+        Definition(1, "VOL", "VOL", "src_t", "(SELECT * FROM dst_t)", SOURCE_FILTER="n = ?"),
+        Definition(2, "MAP", "CON", "src_t", "dst_t", "k = k", "k, n, v", "k, n, v", KEY_FIELDS="k"),
+        Definition(3, "CHTEC", "REF", "src_t", "dst_t", "k = k", "k", "k", KEY_FIELDS="k"),
+        Definition(4, "CHTEC", "DUP", "src_t", SOURCE_FILTER="n = ?", KEY_FIELDS="n"),
+        Definition(5, "MAP", "OBG", "src_t", SOURCE_FILTER="v IS NULL", KEY_FIELDS="n"),
+        Definition(6, "MAP", "CON", "src_t", "dst_t", None, "SUM(v)", "SUM(v)"),
+        Definition(7, "MAP", "CON", "src_t", "dst_t", "k = k", "k, MAX(v)", "k, MAX(v)", SOURCE_GROUPBY="k",
+                   DEST_GROUPBY="k", KEY_FIELDS="k"),
+        Definition(8, "MAP", "CAT", "src_t", SOURCE_FILTER="n NOT IN ('a', 'b')"),
+    ]
+    want = {1: [(1, 5)], 4: [("e", 2)], 8: [(3,)]}
+    for r in run_suite(spark, definitions_frame(spark, defs), {"n": "e"}).results.collect():
+        rows = [tuple(x) for x in spark.sql(r.QUERY).collect()]
+        assert rows, r.TEST_ID
+        if r.TEST_ID == 1:
+            assert rows == [(2, 5)]
+        elif r.TEST_ID in want:
+            assert rows == want[r.TEST_ID]
+
+
+def test_history_is_newest_first(spark, golden_views):
+    db = "history_test_db"
+    sinks.drop_tables(spark, db)
+    sinks.create_tables(spark, db)
+    res_t, det_t = f"{db}.test_out_results", f"{db}.test_out_results_details"
+    defs = [Definition(1, "CHTEC", "DUP", "src_t", KEY_FIELDS="n"), Definition(2, "VOL", "VOL", "src_t", "dst_t")]
+    for _ in range(2):      # two runs within a second
+        sinks.record(run_suite(spark, defs), res_t, det_t)
+    rows = sinks.history(spark, res_t, det_t).collect()
+    assert [r.RESULT_ID for r in rows] == [4, 3, 2, 1]
+    assert rows[0].TIMESTAMP > rows[-1].TIMESTAMP
+    sinks.drop_tables(spark, db)

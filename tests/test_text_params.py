@@ -13,9 +13,9 @@ def test_split_list_respects_parentheses_and_quotes():
 
 
 def test_output_name_rule():
-    assert output_name("vitorias") == "vitorias"
-    assert output_name("SUM(vitorias)") == "SUM_vitorias"
-    assert output_name("sum(msaldo_final)") == "sum_msaldo_final"
+    assert output_name("points") == "points"
+    assert output_name("SUM(points)") == "SUM_points"
+    assert output_name("sum(closing_balance)") == "sum_closing_balance"
     assert output_name("COUNT(*)") == "COUNT__"
     assert output_name("COUNT(1) - 1") == "COUNT_1_1"
     assert output_name("COUNT(DISTINCT o_custkey)") == "COUNT_DISTINCTo_custkey"
@@ -35,9 +35,9 @@ def test_unique_keeps_first():
 
 
 def test_bind_rewrites_placeholders_case_insensitively():
-    b = bind("REF_DATE = ? and cod_visao=?", {"ref_date": "2025-12-31", "COD_VISAO": 3})
-    assert b.text == "REF_DATE = :ref_date and cod_visao = :cod_visao"
-    assert b.args == {"ref_date": "2025-12-31", "cod_visao": 3}
+    b = bind("REF_DATE = ? and view_code=?", {"ref_date": "2025-12-31", "VIEW_CODE": 3})
+    assert b.text == "REF_DATE = :ref_date and view_code = :view_code"
+    assert b.args == {"ref_date": "2025-12-31", "view_code": 3}
     assert b.missing == []
     assert bind("a = ? and b = ?", {"a": 1}).missing == ["b"]
     assert bind("x >= ?", {"x": 1}).text == "x >= ?"   # only equality placeholders bind
@@ -52,8 +52,17 @@ def test_report_lists_applied_parameters_in_caller_order():
 
 
 def test_parse_parameter_text():
-    got = parse_parameter_text("ref_date='2025-12-31', cod_visao=3, rate=0.5, flag=true, code=(A,B)")
-    assert got == {"ref_date": "2025-12-31", "cod_visao": 3, "rate": 0.5, "flag": True, "code": "(A,B)"}
+    got = parse_parameter_text("ref_date='2025-12-31', view_code=3, rate=0.5, flag=true, code=(A,B)")
+    assert got == {"ref_date": "2025-12-31", "view_code": 3, "rate": 0.5, "flag": True, "code": "(A,B)"}
+
+
+def test_parse_parameter_text_in_parentheses():
+    want = {"REF_DATE": "2025-12-31", "PART_DATE": "2025-11-30"}
+    assert parse_parameter_text("(REF_DATE='2025-12-31'),(PART_DATE='2025-11-30')") == want
+    assert parse_parameter_text("((REF_DATE='2025-12-31'), (PART_DATE='2025-11-30'))") == want
+    assert parse_parameter_text("") == {}
+    with pytest.raises(ValueError):
+        parse_parameter_text("REF_DATE='2025-12-31', oops")
 
 
 def test_bound_filter_runs_with_typed_values(spark):
