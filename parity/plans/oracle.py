@@ -9,7 +9,8 @@ CASE per joined pair -- so it shares no logic with the Spark operators
 from __future__ import annotations
 
 from parity.plans.scenarios import (
-    CUSTOMER_NULL_KEYS_SQL, DEST_ORDERS_SQL, LINESTATUS_WITH_NULLS_SQL, NATION_RENAMED_SQL, NATION_SUBSET_SQL,
+    CUSTOMER_NULL_KEYS_SQL, DEST_ORDERS_SQL, LINES_AS_DECIMAL_SQL, LINES_AS_TEXT_SQL, ORDERS_AS_INT_SQL,
+    ORDERS_AS_TEXT_SQL, ORDERS_BY_PRIORITY_SQL, ORDERS_SHIFTED_SQL, LINESTATUS_WITH_NULLS_SQL, NATION_RENAMED_SQL, NATION_SUBSET_SQL,
     SEGMENT_WITH_NULLS_SQL, UNION_TRIM_SQL, UNION_TRIM_SRC_FILTER,
 )
 
@@ -184,7 +185,7 @@ ORACLE = {
                  f"HAVING COUNT(*) > 1"),
     "union_trim_source": _volume(f"SELECT COUNT(*) AS src_count FROM lineitem WHERE {UNION_TRIM_SRC_FILTER}",
                                  f"SELECT COUNT(*) AS dest_count FROM ({UNION_TRIM_SQL}) u"),
-    "union_trim_rows": f"SELECT direcao, COUNT(*) AS n FROM ({UNION_TRIM_SQL}) u GROUP BY direcao",
+    "union_trim_rows": f"SELECT fate, COUNT(*) AS n FROM ({UNION_TRIM_SQL}) u GROUP BY fate",
     "vol_named_params": _volume("SELECT COUNT(*) AS src_count FROM orders WHERE o_orderstatus = 'F'",
                                 "SELECT COUNT(*) AS dest_count FROM lineitem WHERE l_linestatus = 'F'",
                                 "o_orderstatus='F' | l_linestatus='F'"),
@@ -203,4 +204,23 @@ ORACLE = {
                                   ("n_regionkey", "n_regionkey")], "reference")),
     "dml_rewrite_column": ("SELECT CASE WHEN p_type LIKE '%PROMO%' THEN replace(p_type, 'PROMO', 'PROMOTION') "
                            "ELSE p_type END AS p_type, COUNT(*) AS count FROM part GROUP BY 1"),
+    # every joined pair, key fields taken from the source record
+    "con_keys_wide": (
+        f"SELECT DISTINCT {_kt('s.o_custkey')} || ' , ' || {_kt('s.o_orderpriority')} AS key_fields "
+        f"FROM orders s FULL OUTER JOIN ({DEST_ORDERS_SQL}) d ON s.o_orderkey = d.o_orderkey "
+        "WHERE s.o_orderkey IS DISTINCT FROM d.o_orderkey OR s.o_orderstatus IS DISTINCT FROM d.o_orderstatus"),
+    "ref_orphan_keys_wide": (
+        f"SELECT DISTINCT {_kt('s.prio')} AS key_fields FROM {ORDERS_BY_PRIORITY_SQL} s "
+        f"FULL OUTER JOIN {ORDERS_SHIFTED_SQL} d ON s.k = d.j WHERE (d.j IS NULL AND d.prio IS NULL) "
+        "OR (s.k IS NULL AND s.prio IS NULL AND d.prio IS NULL)"),
+    "ref_source_only": (f"SELECT k, c_name FROM {CUSTOMER_NULL_KEYS_SQL} s WHERE NOT EXISTS "
+                        "(SELECT 1 FROM orders o WHERE o.o_custkey = s.k)"),
+    "con_mixed_decimal": _summary(_joined(
+        f"SELECT k, n, CAST(v AS DOUBLE) AS v FROM {LINES_AS_TEXT_SQL} x",
+        f"SELECT k, n, CAST(v AS DOUBLE) AS v FROM {LINES_AS_DECIMAL_SQL} x",
+        [("k", "k"), ("n", "n")], [("v", "v")])),
+    "con_mixed_int": _summary(_joined(
+        f"SELECT CAST(k AS BIGINT) AS k, CAST(v AS BIGINT) AS v FROM {ORDERS_AS_TEXT_SQL} x",
+        f"SELECT CAST(k AS BIGINT) AS k, CAST(v AS BIGINT) AS v FROM {ORDERS_AS_INT_SQL} x",
+        [("k", "k")], [("k", "k"), ("v", "v")])),
 }

@@ -27,16 +27,16 @@ DEST_ORDERS_SQL = (
     "UNION ALL SELECT o_orderkey + 10000000 AS o_orderkey, o_orderstatus FROM orders "
     "WHERE o_orderkey % 500 = 0")
 
-UNION_TRIM_SQL = """SELECT * FROM (SELECT o_orderkey, o_orderstatus FROM orders) a
-INNER JOIN (
-    SELECT 'REC' AS direcao, l_orderkey, l_linenumber FROM lineitem WHERE TRIM(l_returnflag) = 'R'
-    UNION ALL
-    SELECT 'EMI' AS direcao, l_orderkey, l_linenumber FROM lineitem
-    WHERE TRIM(l_returnflag) = 'A' AND l_linestatus LIKE 'F%'
-    UNION ALL
-    SELECT 'INT' AS direcao, l_orderkey, l_linenumber FROM lineitem
-    WHERE TRIM(l_returnflag) = 'N' AND SUBSTRING(l_linestatus, 1, 1) = 'O'
-) b ON TRIM(CAST(b.l_orderkey AS STRING)) = TRIM(CAST(a.o_orderkey AS STRING))"""
+# Lines by what became of them, joined to their order on its key as trimmed text.
+UNION_TRIM_SQL = """SELECT m.fate, m.l_linenumber, o.o_orderkey, o.o_orderstatus
+FROM (SELECT 'open' AS fate, l_orderkey, l_linenumber FROM lineitem
+      WHERE SUBSTRING(l_linestatus, 1, 1) = 'O' AND TRIM(l_returnflag) = 'N'
+      UNION ALL
+      SELECT 'accepted', l_orderkey, l_linenumber FROM lineitem
+      WHERE l_linestatus LIKE 'F%' AND TRIM(l_returnflag) = 'A'
+      UNION ALL
+      SELECT 'returned', l_orderkey, l_linenumber FROM lineitem WHERE TRIM(l_returnflag) = 'R') m
+JOIN orders o ON TRIM(CAST(o.o_orderkey AS STRING)) = TRIM(CAST(m.l_orderkey AS STRING))"""
 
 UNION_TRIM_SRC_FILTER = ("l_returnflag = 'R' OR (l_returnflag = 'A' AND l_linestatus = 'F') "
                          "OR (l_returnflag = 'N' AND l_linestatus = 'O')")
@@ -54,6 +54,19 @@ NATION_SUBSET_SQL = "(SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE
 
 SEGMENT_WITH_NULLS_SQL = "(SELECT c_custkey, NULLIF(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer)"
 
+ORDERS_BY_PRIORITY_SQL = "(SELECT o_orderkey AS k, o_orderpriority AS prio FROM orders)"
+ORDERS_SHIFTED_SQL = ("(SELECT o_orderkey + 40 AS j, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END "
+                      "AS prio FROM orders WHERE o_orderkey % 4 <> 1)")
+
+LINES_AS_TEXT_SQL = ("(SELECT l_orderkey AS k, l_linenumber AS n, CASE WHEN l_linenumber % 3 = 0 THEN "
+                     "CONCAT(CAST(CAST(l_quantity AS INT) AS STRING), '.5') ELSE "
+                     "CAST(CAST(l_quantity AS INT) AS STRING) END AS v FROM lineitem)")
+LINES_AS_DECIMAL_SQL = "(SELECT l_orderkey AS k, l_linenumber AS n, CAST(l_quantity AS DECIMAL(10, 0)) AS v FROM lineitem)"
+
+ORDERS_AS_TEXT_SQL = ("(SELECT CAST(o_orderkey AS STRING) AS k, CASE WHEN o_orderkey % 7 = 0 THEN '3000000000' "
+                      "ELSE CAST(o_custkey AS STRING) END AS v FROM orders)")
+ORDERS_AS_INT_SQL = "(SELECT CAST(o_orderkey AS INT) AS k, CAST(o_custkey AS INT) AS v FROM orders)"
+
 # The catalogue of allowed part types used by cat_catalogue_table.
 ALLOWED_PART_TYPES = ("PROMO", "SMALL", "LARGE")
 
@@ -203,6 +216,42 @@ def ref_null_keys(spark, sf_dir):
                             "k, c_name", "k, c_name").comparison.summary()
 
 
+def con_keys_wide(spark, sf_dir):
+    """Offending keys given by columns that are not the join key."""
+    _views(spark, sf_dir, "orders")
+    return checks.content(spark, "orders", _dest_orders(spark), "o_orderkey = o_orderkey",
+                          "o_orderkey, o_orderstatus", "o_orderkey, o_orderstatus",
+                          key_fields="o_custkey, o_orderpriority").keys
+
+
+def ref_orphan_keys_wide(spark, sf_dir):
+    """Referential keys on a source column besides the join key; both sides hold it."""
+    _views(spark, sf_dir, "orders")
+    return checks.reference(spark, ORDERS_BY_PRIORITY_SQL, ORDERS_SHIFTED_SQL, "k = j", "k", "j",
+                            key_fields="prio").keys
+
+
+def ref_source_only(spark, sf_dir):
+    """Source rows without a destination row, NULL keys included."""
+    _views(spark, sf_dir, "customer", "orders")
+    return checks.reference(spark, CUSTOMER_NULL_KEYS_SQL, "orders", "k = o_custkey", "k, c_name",
+                            "o_custkey, o_orderstatus").comparison.only_in_source()
+
+
+def con_mixed_decimal(spark, sf_dir):
+    """Text on one side, a decimal on the other: compared as Spark's ``=`` does."""
+    _views(spark, sf_dir, "lineitem")
+    return checks.content(spark, LINES_AS_TEXT_SQL, LINES_AS_DECIMAL_SQL, "k = k AND n = n", "v", "v",
+                          ).comparison.summary()
+
+
+def con_mixed_int(spark, sf_dir):
+    """A text join key and value against whole numbers, some beyond INT."""
+    _views(spark, sf_dir, "orders")
+    return checks.content(spark, ORDERS_AS_TEXT_SQL, ORDERS_AS_INT_SQL, "k = k", "k, v", "k, v",
+                          key_fields="k").comparison.summary()
+
+
 # ---------------------------------------------------- catalogue / format --
 
 def cat_returnflag(spark, sf_dir):
@@ -273,7 +322,7 @@ def union_trim_source(spark, sf_dir):
 def union_trim_rows(spark, sf_dir):
     _views(spark, sf_dir, "orders", "lineitem")
     from parity.sources.relation import relation
-    return relation(spark, UNION_TRIM_SQL).groupBy("direcao").agg(F.count(F.lit(1)).alias("n"))
+    return relation(spark, UNION_TRIM_SQL).groupBy("fate").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ------------------------------------------------ more definition shapes --
@@ -371,4 +420,9 @@ QUERIES = {
     "con_cross_grouped_keys": con_cross_grouped_keys,
     "ref_star": ref_star,
     "dml_rewrite_column": dml_rewrite_column,
+    "con_keys_wide": con_keys_wide,
+    "ref_orphan_keys_wide": ref_orphan_keys_wide,
+    "ref_source_only": ref_source_only,
+    "con_mixed_decimal": con_mixed_decimal,
+    "con_mixed_int": con_mixed_int,
 }

@@ -52,7 +52,36 @@ def history(spark, sf_dir):
     return _history(results, details).select("RESULT_ID", "TEST_ID", "RESULT", "DETAILS_ID", "KEY_FIELDS")
 
 
-QUERIES = {"suite_results": suite_results, "suite_details": suite_details, "history": history}
+def suite_mixed_case(spark, sf_dir):
+    """Names written in another case than the tables', one missing parameter,
+    and a set selection: results and details in one frame."""
+    _views(spark, sf_dir, "nation", "region")
+    members = definitions_members(spark)
+    run = run_suite(spark, definitions_frame(spark, MIXED_CASE), {"R_REGIONKEY": 2}, members=members, set_ids=[1])
+    results, details = run.with_ids()
+    return results.join(details.select("RESULT_ID", "KEY_FIELDS"), "RESULT_ID", "left").select(
+        "RESULT_ID", "TEST_ID", "RESULT", "KEY_FIELDS")
+
+
+MIXED_CASE = [
+    Definition(1, "MAP", "CON", "nation", "(SELECT N_NATIONKEY, CASE WHEN n_nationkey = 7 THEN 'X' ELSE n_name END "
+               "AS N_NAME FROM nation)", "n_nationkey = N_NationKey", "N_NATIONKEY, n_name", "n_nationkey, N_NAME",
+               KEY_FIELDS="N_NATIONKEY"),
+    Definition(2, "CHTEC", "REF", "region", "nation", "R_REGIONKEY = N_REGIONKEY", "r_regionkey", "n_regionkey",
+               DEST_FILTER="N_REGIONKEY <> 3", KEY_FIELDS="r_RegionKey"),
+    Definition(3, "VOL", "VOL", "region", "nation", SOURCE_FILTER="absent = ?"),
+    Definition(4, "VOL", "VOL", "region", "nation"),
+]
+
+
+def definitions_members(spark):
+    """Set 1 has the first three definitions."""
+    from parity.sources.local import literal_frame
+    from parity import schemas
+    return literal_frame(spark, [(1, 1), (1, 2), (1, 3), (2, 4)], schemas.SET_MEMBERS)
+
+
+QUERIES = {"suite_mixed_case": suite_mixed_case, "suite_results": suite_results, "suite_details": suite_details, "history": history}
 
 
 # ------------------------------------------------------------------ oracle --
@@ -100,6 +129,11 @@ _DETAILS = (f"SELECT ROW_NUMBER() OVER (ORDER BY RESULT_ID, KEY_FIELDS) AS DETAI
             f"FROM ({_KEYS}) k")
 
 ORACLE = {
+    "suite_mixed_case": (
+        "SELECT CAST(1 AS BIGINT) AS RESULT_ID, 1 AS TEST_ID, 'NOK' AS RESULT, 'N_NATIONKEY=''' || n_nationkey || '''' "
+        "AS KEY_FIELDS FROM nation WHERE n_nationkey = 7 UNION ALL "
+        "SELECT 2, 2, 'NOK', 'r_RegionKey=''' || r_regionkey || '''' FROM region WHERE r_regionkey NOT IN "
+        "(SELECT n_regionkey FROM nation WHERE n_regionkey <> 3) UNION ALL SELECT 3, 3, 'ERROR', NULL"),
     "suite_results": _RESULTS,
     "suite_details": _DETAILS,
     "history": (f"SELECT r.RESULT_ID, r.TEST_ID, r.RESULT, d.DETAILS_ID, d.KEY_FIELDS FROM ({_RESULTS}) r "
