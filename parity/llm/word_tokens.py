@@ -13,10 +13,13 @@ from array import array
 
 import numpy as np
 
-#: Words kept by a worker before its table is begun anew (bounds its memory).
-MAX_WORDS = 800_000
+#: Words of a worker's table before it is begun anew; the one before is kept beside it.
+MAX_WORDS = 500_000
 #: Longer words go to the library without being kept.
 MAX_WORD_CHARS = 200
+#: Marks that are pieces of their own after a word; letters below LATIN_END have one-to-one lower cases.
+MARKS = ".,;:!?"
+LATIN_END = "\u0250"
 
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
@@ -36,30 +39,76 @@ class WordEncoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.marks = {m: self._direct([m])[0] for m in ["", *MARKS]}
+        # ids that end a word, where the vocabulary marks them
+        suffix = getattr(self.tok.model, "end_of_word_suffix", None)
+        self.ends = None
+        if suffix:
+            vocab = self.tok.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         out = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in out]
 
+    def _stems(self, stems: list[str]) -> list[bytes]:
+        """Ids of lower-case words of letters alone, many in one call: such a
+        word is one piece, so its last id, and no other, ends a word."""
+        if self.ends is None:
+            return self._direct(stems)
+        out: list[bytes] = []
+        for lo in range(0, len(stems), 2000):
+            some = stems[lo:lo + 2000]
+            data = self._direct([" ".join(some)])[0]
+            at = [0, *((np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 1) * 4).tolist()]
+            out += [data[a:b] for a, b in zip(at, at[1:])] if len(at) == len(some) + 1 else self._direct(some)
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        """Adds the words to the table.  One of Latin letters, with or without
+        a mark after it, is its lower-case stem's ids and the mark's."""
+        known, whole, stems, tails, rest = self.known, [], [], [], []
+        for w in words:
+            body, tail = (w[:-1], w[-1]) if w[-1] in MARKS else (w, "")
+            if body.isalpha() and (body.isascii() or max(body) < LATIN_END):
+                whole.append(w)
+                stems.append(body.lower())
+                tails.append(tail)
+            else:
+                rest.append(w)
+        new = [s for s in set(stems) if not self._recall(s)]
+        known.update(zip(new, self._stems(new)))
+        known.update(zip(rest, self._direct(rest)))
+        marks = self.marks
+        known.update((w, known[s] + marks[t]) for w, s, t in zip(whole, stems, tails))
+
+    def _recall(self, word: str) -> bool:
+        """Whether the word is known; one known before the table was begun anew is taken over."""
+        if word in self.known:
+            return True
+        ids = self.before.get(word)
+        if ids is None:
+            return False
+        self.known[word] = ids
+        return True
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text."""
         # str.split also cuts at 0x1C-0x1F, which the vocabulary keeps: such texts go whole
-        odd = {i for i, t in enumerate(texts) if not t.isprintable()
-               and any(c in t for c in ("\x1c", "\x1d", "\x1e", "\x1f"))}
+        odd = {i for i, t in enumerate(texts) if any(c in t for c in ("\x1c", "\x1d", "\x1e", "\x1f"))}
         out: list[np.ndarray | None] = [None] * len(texts)
         for i in odd:
             out[i] = np.frombuffer(self._direct([texts[i]])[0], "<u4")
         for lo in range(0, len(texts), 256):
             part = [i for i in range(lo, min(lo + 256, len(texts))) if i not in odd]
             words = [texts[i].split() for i in part]
-            unknown = set()
-            for w in words:
-                unknown.update(w)
-            unknown = list(unknown.difference(self.known))
-            if len(self.known) + len(unknown) > MAX_WORDS:
-                self.known = {}
-                unknown = list({x for w in words for x in w})
-            self.known.update(zip(unknown, self._direct(unknown)))
+            unknown = {w for x in words for w in x}
+            if len(self.known) > MAX_WORDS:
+                self.known, self.before = {}, self.known
+            unknown = [w for w in unknown.difference(self.known) if not self._recall(w)]
+            self._learn(unknown)
             get = self.known.__getitem__
             for i, w in zip(part, words):
                 out[i] = np.frombuffer(b"".join(map(get, w)), "<u4")
