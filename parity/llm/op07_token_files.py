@@ -57,14 +57,21 @@ def width_of(vocabulary: int) -> int:
 
 
 def pack(ids: np.ndarray, width: int) -> bytes:
-    bits = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+    data = ids.astype("<u4").view(np.uint8).reshape(-1, 4)
+    if width % 8 == 0:  # low bit first, whole bytes are the number's low bytes
+        return data[:, :width // 8].tobytes()
+    bits = np.unpackbits(data, axis=1, bitorder="little")
     return np.packbits(bits[:, :width].reshape(-1), bitorder="little").tobytes()
 
 
 def unpack(data: bytes, n: int, width: int) -> np.ndarray:
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little")[: n * width].reshape(n, width)
+    raw = np.frombuffer(data, np.uint8)
+    if width % 8 == 0:
+        out = np.zeros((n, 4), np.uint8)
+        out[:, :width // 8] = raw[:n * width // 8].reshape(n, width // 8)
+        return out.view("<u4").reshape(-1)
     full = np.zeros((n, 32), np.uint8)
-    full[:, :width] = bits
+    full[:, :width] = np.unpackbits(raw, bitorder="little")[:n * width].reshape(n, width)
     return np.packbits(full, axis=1, bitorder="little").view("<u4").reshape(-1)
 
 
