@@ -11,8 +11,8 @@ A document's set is its distinct 5-word shingles (64-bit hashes); two link when
    shingle space is cut by hash into m > d slices; of linked sets at least
    m - d slices are equal.  A set shows the d + 1 of its slices that hold most
    shingles (ties by content): the largest slice that two linked sets have in
-   common is among what both show.  m = 2 (d + 1), so that empty slices and
-   single shingles are left out first.  Classes that share a slice get an edge
+   common is among what both show.  m = 1.3 (d + 1), so that empty slices and
+   most of the single shingles are left out.  Classes that share a slice get an edge
    to the smallest of them, first within a batch of documents, so that only
    one row for a slice and batch is shuffled, then across batches.  Connected
    components of those edges are blocks: every link is inside one.
@@ -130,7 +130,7 @@ def slices(s: np.ndarray) -> np.ndarray:
     """Signatures (64-bit) of the slices that a set shows."""
     made = []
     for scheme, d in schemes(len(s)):
-        m = 2 * (d + 1) if d else 1
+        m = -(-13 * (d + 1) // 10) if d else 1
         at = ((s >> np.uint64(20)) % np.uint64(m)).astype(np.int64)
         count = np.bincount(at, minlength=m)
         content = np.zeros(m, np.uint64)
@@ -159,12 +159,12 @@ class Lists:
         self.token = tokens[self.first]
         self.end = np.concatenate([self.first[1:], [len(tokens)]]) if len(tokens) else np.empty(0, np.int64)
 
-    def of(self, s: np.ndarray) -> list[np.ndarray]:
-        """The lists of a set's shingles, those that there are."""
+    def of(self, s: np.ndarray, least: int) -> list[np.ndarray]:
+        """The lists of a set's shingles that hold at least ``least`` numbers."""
         if not len(self.token):
             return []
         at = np.minimum(np.searchsorted(self.token, s), len(self.token) - 1)
-        at = at[self.token[at] == s]
+        at = at[(self.token[at] == s) & (self.end[at] - self.first[at] >= least)]
         return [self.owner[a:b] for a, b in zip(self.first[at].tolist(), self.end[at].tolist())]
 
 
@@ -173,11 +173,12 @@ def needed(a: int, b: int) -> int:
     return -(-PERCENT * (a + b) // (100 + PERCENT))
 
 
-def divide_skip(query: np.ndarray, index: Lists, wanted: np.ndarray) -> list[int]:
+def divide_skip(query: np.ndarray, index: Lists, wanted: np.ndarray, inside: bool = False) -> list[int]:
     """Numbers of the index's sets that link with the query, among ``wanted``
-    (booleans by number)."""
+    (booleans by number).  ``inside``: the query is in the index, and not
+    wanted, so lists of one number hold nothing else."""
     a = len(query)
-    lists = index.of(query)
+    lists = index.of(query, 1 + inside)
     t = -(-PERCENT * a // 100)  # whatever the partner's size, it needs this many
     if len(lists) < t:
         return []
@@ -226,31 +227,30 @@ class Forest:
 
 def block_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Links that connect the components of a block's sets."""
-    index, forest, out = Lists(sets), Forest(len(sets)), []
+    index, out = Lists(sets), []
+    label = np.arange(len(sets))
     asked = np.zeros(len(sets), bool)
     while True:
-        root = np.array([forest.find(i) for i in range(len(sets))])
         # two sets not asked yet may link unseen only if they are in different components
-        open_ = root[~asked]
-        if not len(open_):
-            return out
-        kinds, n = np.unique(open_, return_counts=True)
+        kinds, n = np.unique(label[~asked], return_counts=True)
         if len(kinds) < 2:
             return out
         rarest = kinds[int(np.argmin(n))]
-        q = int(np.flatnonzero(~asked & (root == rarest))[0])
+        q = int(np.flatnonzero(~asked & (label == rarest))[0])
         asked[q] = True
-        for number in divide_skip(sets[q], index, ~asked & (root != rarest)):
-            if forest.join(q, number):
-                out.append((q, number))
+        found = np.array(divide_skip(sets[q], index, ~asked & (label != rarest), inside=True), np.int64)
+        if len(found):
+            joined, first = np.unique(label[found], return_index=True)
+            out += [(q, int(number)) for number in found[first]]
+            label[np.isin(label, joined)] = rarest
 
 
 # ------------------------------------------------------------------ Spark --
 
-SETS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()),
-                  ("f2", pa.int64())])
-SHOWN = pa.schema([("part", pa.int32()), ("sig", pa.binary()), ("f1", pa.binary()), ("a", pa.binary()),
-                   ("b", pa.binary())])
+#: What a batch of documents shows, packed: arrays of one bucket a row.
+SHOWN = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("sig", "f1", "a", "b", "sets"))])
+#: An edge (a, b) between classes, or (a null) a document's set.
+FOUND = pa.schema([(c, pa.int64()) for c in ("a", "b", "doc_id", "text_hash", "n", "f1", "f2")])
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -258,23 +258,6 @@ def text_hash():
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
-def set_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n (size), f1, f2 (fingerprint) of each document."""
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            rows: dict[str, list] = {"n": [], "f1": [], "f2": []}
-            for t in common.texts(batch):
-                s = shingles(t)
-                a, b = fingerprint(s)
-                for k, v in zip(rows, (len(s), a, b)):
-                    rows[k].append(v)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *(pa.array(v, pa.int64()) for v in rows.values())], schema=SETS)
-
-    return common.doc_columns(docs).withColumn("text_hash", text_hash()).mapInArrow(
-        run, "doc_id long, text_hash long, n long, f1 long, f2 long")
-
-
 def _stars(sig: np.ndarray, f1: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of (slice, class) rows: each slice once with its smallest class, and the
     distinct edges (a, b) from that one to the slice's other classes."""
@@ -287,14 +270,16 @@ def _stars(sig: np.ndarray, f1: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return sig[new], f1[new], edges[:, 0], edges[:, 1]
 
 
-def _class_slices(parts: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _show(parts: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Each batch's sets, and the slices of the classes not seen before in the task."""
     seen: set[int] = set()
     for batch in parts:
-        sigs, owners = [], []
-        for t in common.texts(batch):
+        sigs, owners, rows = [], [], []
+        for doc_id, h, t in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), common.texts(batch)):
             s = shingles(t)
-            f, _ = fingerprint(s)
-            if not len(s) or f in seen:
+            f, f2 = fingerprint(s)
+            rows.append((doc_id or 0, doc_id is None, h, len(s), f, f2))
+            if not len(s) or doc_id is None or f in seen:
                 continue
             if len(seen) > MAX_WORDS:
                 seen.clear()
@@ -302,48 +287,66 @@ def _class_slices(parts: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.
             x = slices(s)
             sigs.append(x)
             owners.append(np.full(len(x), f, np.int64))
-        if not sigs:
-            continue
-        sig, f1, a, b = _stars(np.concatenate(sigs), np.concatenate(owners))
-        bucket = (sig % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        sig, f1 = sig[order], f1[order]
-        cut = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
-        rows = [(i, sig[x:y].tobytes(), f1[x:y].tobytes(), b"", b"")
-                for i, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
-        rows += [(lo % buckets, b"", b"", a[lo:lo + 100_000].tobytes(), b[lo:lo + 100_000].tobytes())
-                 for lo in range(0, len(a), 100_000)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(zip(*rows), SHOWN)], schema=SHOWN)
-
-
-def block_edges(docs: DataFrame) -> DataFrame:
-    """Edges (a, b), a < b, from each class to the smallest that shows the same slice.
+        out = [(lo % buckets, b"", b"", b"", b"", np.array(rows[lo:lo + 1000], "<i8").tobytes())
+               for lo in range(0, len(rows), 1000)]
+        if sigs:
+            sig, f1, a, b = _stars(np.concatenate(sigs), np.concatenate(owners))
+            bucket = (sig % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            sig, f1 = sig[order], f1[order]
+            cut = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+            out += [(i, sig[x:y].tobytes(), f1[x:y].tobytes(), b"", b"", b"")
+                    for i, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
+            out += [(lo % buckets, b"", b"", a[lo:lo + 100_000].tobytes(), b[lo:lo + 100_000].tobytes(), b"")
+                    for lo in range(0, len(a), 100_000)]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), SHOWN)], schema=SHOWN)
+
+
+def _found(a=None, b=None, sets=None) -> pa.RecordBatch:
+    none = pa.nulls(len(a if sets is None else sets), pa.int64())
+    if sets is None:
+        columns = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), *[none] * 5]
+    else:
+        ids = pa.array(sets[:, 0], mask=sets[:, 1] != 0)
+        columns = [none, none, ids, *(pa.array(np.ascontiguousarray(sets[:, i])) for i in range(2, 6))]
+    return pa.RecordBatch.from_arrays(columns, schema=FOUND)
+
+
+def sets_and_edges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, n, f1, f2 of each document; edges a < b from each
+    class to the smallest that shows the same slice), from one pass over the
+    texts.
 
     Slices travel as arrays, one row for a batch and bucket; buckets are as
     many as four times the shuffle partitions, so their size is set by those."""
-    spark = docs.sparkSession
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def show(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _class_slices(parts, buckets)
+        yield from _show(parts, buckets)
 
     def meet(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig, f1 = [], []
         for batch in parts:
-            for _, s, f, a, b in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for s, f, a, b, rows in zip(*(batch.column(i).to_pylist() for i in range(1, 6))):
                 if s:
                     sig.append(np.frombuffer(s, np.uint64))
                     f1.append(np.frombuffer(f, np.int64))
                 if a:
-                    yield _edge_batch(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64))
+                    yield _found(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64))
+                if rows:
+                    yield _found(sets=np.frombuffer(rows, "<i8").reshape(-1, 6))
         if sig:
             _, _, a, b = _stars(np.concatenate(sig), np.concatenate(f1))
             if len(a):
-                yield _edge_batch(a, b)
+                yield _found(a, b)
 
-    shown = common.doc_columns(docs).mapInArrow(show, "part int, sig binary, f1 binary, a binary, b binary")
-    return shown.repartition(buckets // 4, "part").mapInArrow(meet, "a long, b long").distinct()
+    shown = common.doc_columns(docs).withColumn("text_hash", text_hash()).mapInArrow(
+        show, "part int, " + ", ".join(f"{f.name} binary" for f in list(SHOWN)[1:]))
+    found = common.written(shown.repartition(buckets // 4, "part").mapInArrow(
+        meet, ", ".join(f"{f.name} long" for f in FOUND)), "sets")
+    return (found.filter("a is null").drop("a", "b"),
+            found.filter("a is not null").select("a", "b").distinct())
 
 
 def _edge_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -429,26 +432,23 @@ def search(rows: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, "a long, b long")
 
 
-def class_links(docs: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
+def class_links(docs: DataFrame, sets: DataFrame, edges: DataFrame, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between classes (by f1) that connect each component."""
-    docs = docs.filter(F.col("doc_id").isNotNull())
-    blocks = connected(block_edges(docs), "blocks")
+    blocks = connected(edges, "blocks")
     # one document for each class of a block; its text is what the search reads
     members = (sets.filter("n > 0 and doc_id is not null").groupBy("f1")
                .agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
                .join(blocks.withColumnRenamed("node", "f1"), "f1"))
     sizes = members.groupBy("label").agg(F.sum("n").alias("total"), F.min("f1").alias("pivot"))
-    members = common.written(members.join(sizes, "label").select("f1", "doc_id", "label", "total", "pivot"),
-                             "block-members")
-    text = common.doc_columns(docs).join(members, "doc_id")
+    members = members.join(sizes, "label").select("f1", "doc_id", "label", "total", "pivot")
+    text = common.written(common.doc_columns(docs.filter(F.col("doc_id").isNotNull())).join(members, "doc_id"),
+                          "block-members")
     small = text.filter(F.col("total") <= block).select(
         F.struct(F.col("label").alias("label"), F.lit(0).alias("chunk"), F.lit(0).alias("part")).alias("task"),
         F.lit(None).cast("boolean").alias("query"), "f1", "text")
     found = common.written(search(small), "links")
-    large = members.filter(F.col("total") > block)
-    if large.isEmpty():
-        return found
-    return found.union(_large_links(text.filter(F.col("total") > block), block))
+    large = text.filter(F.col("total") > block)
+    return found if large.isEmpty() else found.union(_large_links(large, block))
 
 
 def _large_links(large: DataFrame, block: int) -> DataFrame:
@@ -482,8 +482,8 @@ def _large_links(large: DataFrame, block: int) -> DataFrame:
 
 def components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id of each document."""
-    sets = common.written(set_rows(docs), "sets")
-    linked = connected(class_links(docs, sets, block), "links")
+    sets, edges = sets_and_edges(docs)
+    linked = connected(class_links(docs, sets, edges, block), "links")
     classes = (sets.filter("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("least"))
                .join(linked.withColumnRenamed("node", "f1"), "f1", "left")
                .withColumn("label", F.coalesce("label", "f1")))
