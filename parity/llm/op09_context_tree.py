@@ -121,7 +121,7 @@ def chunks(docs: Iterator[tuple]) -> Iterator[list[tuple]]:
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """ln Gamma(x), x >= 0.5: Stirling's series at x + 8, taken back."""
     y = x + 8.0
-    series = 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5)
+    series = 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7)
     back = sum(np.log(x + i) for i in range(8))
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - back
 
