@@ -219,7 +219,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
 
 def _scorer(spark: SparkSession, model: DataFrame):
     """A function that makes the scoring function of a task."""
-    shared = spark.sparkContext.broadcast(bytes(model.first()[0]))
+    row = model.first()  # none where Spark saw that there is nothing to learn from
+    shared = spark.sparkContext.broadcast(bytes(row[0]) if row else fit([]).to_bytes())
 
     def make():
         fm = FactorizationMachine.from_bytes(shared.value)

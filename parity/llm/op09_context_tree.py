@@ -308,6 +308,12 @@ def model_of(kept: DataFrame, depth: int = DEPTH) -> DataFrame:
     return kept.repartition(1).mapInArrow(run, "model binary")
 
 
+def read_model(made: DataFrame) -> bytes:
+    """The model's bytes; with no node kept at all, those of a model without any."""
+    row = made.first()
+    return bytes(row[0]) if row else Model([]).to_bytes()
+
+
 def score(docs: DataFrame, heavy_words: int = HEAVY, nodes: int = NODES) -> DataFrame:
     spark = docs.sparkSession
     counts = corpus_counts(docs)
@@ -318,7 +324,7 @@ def score(docs: DataFrame, heavy_words: int = HEAVY, nodes: int = NODES) -> Data
     heavy = words.filter(is_heavy).orderBy("key").toArrow()
     shared = spark.sparkContext.broadcast((
         heavy.column("key").to_numpy(), np.log10((heavy.column("n").to_numpy() + 1) / base),
-        bytes(model_of(tree_counts(counts, nodes)).first()[0])))
+        read_model(model_of(tree_counts(counts, nodes)))))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, logs, data = shared.value
