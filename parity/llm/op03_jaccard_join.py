@@ -11,7 +11,7 @@ A document's set is its distinct 5-word shingles (64-bit hashes); two link when
    shingle space is cut by hash into m > d slices; of linked sets at least
    m - d slices are equal.  A set shows the d + 1 of its slices that hold most
    shingles (ties by content): the largest slice that two linked sets have in
-   common is among what both show.  m = 1.3 (d + 1), so that empty slices and
+   common is among what both show.  m = 1.5 (d + 1), so that empty slices and
    most of the single shingles are left out.  Classes that share a slice get an edge
    to the smallest of them, first within a batch of documents, so that only
    one row for a slice and batch is shuffled, then across batches.  Connected
@@ -130,7 +130,7 @@ def slices(s: np.ndarray) -> np.ndarray:
     """Signatures (64-bit) of the slices that a set shows."""
     made = []
     for scheme, d in schemes(len(s)):
-        m = -(-13 * (d + 1) // 10) if d else 1
+        m = -(-3 * (d + 1) // 2) if d else 1
         at = ((s >> np.uint64(20)) % np.uint64(m)).astype(np.int64)
         count = np.bincount(at, minlength=m)
         content = np.zeros(m, np.uint64)
