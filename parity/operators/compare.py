@@ -24,8 +24,9 @@ one-sided.  In ``rows()`` NULL-key rows get a salt in the join key so they
 spread over all partitions instead of landing in one.
 
 Both ways compare values under the type that Spark's own ``a = b`` uses.
-Products of counts are DECIMAL(38, 0); a count beyond BIGINT is reported as
-the largest BIGINT, so the verdict holds at any size.
+Products of counts are summed in two halves, so none overflows, and put
+together as DECIMAL(38, 0); a count beyond BIGINT is reported as the largest
+BIGINT, so the verdict holds at any size.
 """
 
 from __future__ import annotations
@@ -107,6 +108,23 @@ def _shuffle_partitions(df: DataFrame) -> int:
 #: Products of two BIGINT counts, and a total as the BIGINT it is reported as.
 _BIG = "CAST({} AS DECIMAL(38, 0))"
 _BIGINT = "CAST(least(coalesce({}, 0), 9223372036854775807) AS BIGINT)"
+_HALF = 4294967296
+
+
+def _sum_of_products(name: str, a: str, b: str) -> list[str]:
+    """SQL of the sum of ``a * b`` over rows, as BIGINT sums of the products'
+    upper and lower 32 bits (``<name>_h``, ``<name>_l``).  Only a product of
+    counts from 2^31 on is computed as a DECIMAL."""
+    small = f"({a}) < 2147483648 AND ({b}) < 2147483648"
+    big = f"({_BIG.format(a)} * ({b}))"
+    return [f"sum(CASE WHEN {small} THEN shiftright(({a}) * ({b}), 32) ELSE {big} div {_HALF} END) AS {name}_h",
+            f"sum(CASE WHEN {small} THEN (({a}) * ({b})) & {_HALF - 1} ELSE CAST({big} % {_HALF} AS BIGINT) END) "
+            f"AS {name}_l"]
+
+
+def _total(name: str) -> str:
+    """SQL of a sum of products from its halves."""
+    return f"({_BIG.format(f'coalesce({name}_h, 0)')} * {_HALF} + coalesce({name}_l, 0))"
 
 
 # The count arithmetic below is written as SQL expressions over internal
@@ -197,7 +215,9 @@ class KeyedComparison:
             status = C.content_status(pairs, sv, dv)
         in_src, in_dest = F.col("__cs").isNotNull(), F.col("__cd").isNotNull()
         side = F.when(in_src & in_dest, C.SIDE_BOTH).when(in_src, C.SIDE_SRC).otherwise(C.SIDE_DEST)
-        pairs = F.expr(_BIGINT.format(f"{_BIG.format('coalesce(__cs, 1)')} * coalesce(__cd, 1)"))
+        cs, cd = "coalesce(__cs, 1)", "coalesce(__cd, 1)"
+        pairs = F.expr(f"CASE WHEN {cs} < 2147483648 AND {cd} < 2147483648 THEN {cs} * {cd} "
+                       f"ELSE {_BIGINT.format(f'{_BIG.format(cs)} * {cd}')} END")
         out = []
         for i, (a, b) in enumerate(zip(self.src.names, self.dest.names)):
             out += [sv[i].alias(f"{a}_src"), dv[i].alias(f"{b}_dest")]
@@ -281,25 +301,20 @@ class KeyedComparison:
               .agg(F.expr("count_if(side = 0)").alias("cs"), F.expr("count_if(side = 1)").alias("cd")))
         tuple_null = " AND ".join(f"t.v{i} IS NULL" for i in range(n))
         j = kt.selectExpr(*self._kn, "nk", f"({tuple_null}) AS tn", "cs", "cd")
-        per_key = j.groupBy(*self._kn, "nk").agg(*[F.expr(e).alias(a) for a, e in (
-            ("ns", _BIG.format("sum(cs)")), ("nd", _BIG.format("sum(cd)")), ("m", f"sum({_BIG.format('cs')} * cd)"),
-            ("m0", f"sum(CASE WHEN tn THEN {_BIG.format('cs')} * cd ELSE 0 END)"),
-            ("s0", "sum(CASE WHEN tn THEN cs ELSE 0 END)"),
-            ("d0", "sum(CASE WHEN tn THEN cd ELSE 0 END)"))])
-        both = "ns > 0 AND nd > 0"
-        cols = {
-            "match_both": f"CASE WHEN {both} THEN m - m0 END",
-            "a_both": f"CASE WHEN {both} THEN m0 END",
-            "nm_both": f"CASE WHEN {both} THEN ns * nd - m END",
-            "nm_src": "CASE WHEN nd = 0 THEN ns - s0 END",
-            "a_src": "CASE WHEN nd = 0 THEN s0 END",
-            "nm_dest": "CASE WHEN ns = 0 THEN nd - d0 END",
-            "a_dest": "CASE WHEN ns = 0 THEN d0 END",
-        }
-        totals = per_key.agg(*[F.expr(f"sum(coalesce({e}, 0))").alias(c) for c, e in cols.items()])
+        # a tuple of one side alone has a product of 0, and so has a key of one side alone
+        per_key = j.groupBy(*self._kn, "nk").agg(*[F.expr(e) for e in (
+            "sum(cs) AS ns", "sum(cd) AS nd", *_sum_of_products("m", "cs", "cd"),
+            *_sum_of_products("m0", "CASE WHEN tn THEN cs ELSE 0 END", "cd"),
+            "sum(CASE WHEN tn THEN cs ELSE 0 END) AS s0", "sum(CASE WHEN tn THEN cd ELSE 0 END) AS d0")])
+        halves = [f"sum({n}) AS {n}" for n in ("m_h", "m_l", "m0_h", "m0_l")]
+        one_sided = {"nm_src": "nd = 0 THEN ns - s0", "a_src": "nd = 0 THEN s0",
+                     "nm_dest": "ns = 0 THEN nd - d0", "a_dest": "ns = 0 THEN d0"}
+        totals = per_key.agg(*[F.expr(e) for e in (
+            *_sum_of_products("p", "ns", "nd"), *halves,
+            *(f"sum(CASE WHEN {e} ELSE 0 END) AS {c}" for c, e in one_sided.items()))])
         return _summary_from_totals(totals, [
-            (C.MATCH, C.SIDE_BOTH, "match_both"), (C.ONLY_A, C.SIDE_BOTH, "a_both"),
-            (C.NO_MATCH, C.SIDE_BOTH, "nm_both"), (C.NO_MATCH, C.SIDE_SRC, "nm_src"),
+            (C.MATCH, C.SIDE_BOTH, f"{_total('m')} - {_total('m0')}"), (C.ONLY_A, C.SIDE_BOTH, _total("m0")),
+            (C.NO_MATCH, C.SIDE_BOTH, f"{_total('p')} - {_total('m')}"), (C.NO_MATCH, C.SIDE_SRC, "nm_src"),
             (C.ONLY_A, C.SIDE_SRC, "a_src"), (C.NO_MATCH, C.SIDE_DEST, "nm_dest"),
             (C.ONLY_A, C.SIDE_DEST, "a_dest")])
 
@@ -307,21 +322,16 @@ class KeyedComparison:
         # one aggregation of both sides per key: counts and all-NULL counts per side
         j = (self._tagged(with_tuple=False).groupBy(*self._kn, "nk")
              .agg(*[F.expr(e).alias(a) for a, e in (
-                 ("ns", _BIG.format("count_if(side = 0)")), ("s0", _BIG.format("count_if(side = 0 AND tn)")),
-                 ("nd", _BIG.format("count_if(side = 1)")), ("d0", _BIG.format("count_if(side = 1 AND tn)")))]))
-        both = "ns > 0 AND nd > 0"
-        cols = {
-            "match_both": f"CASE WHEN {both} THEN (ns - s0) * (nd - d0) END",
-            "a_both": f"CASE WHEN {both} THEN ns * d0 END",
-            "b_both": f"CASE WHEN {both} THEN s0 * (nd - d0) END",
-            "a_src": "CASE WHEN nd = 0 THEN ns END",
-            "a_dest": "CASE WHEN ns = 0 THEN d0 END",
-            "b_dest": "CASE WHEN ns = 0 THEN nd - d0 END",
-        }
-        totals = j.agg(*[F.expr(f"sum(coalesce({e}, 0))").alias(c) for c, e in cols.items()])
+                 ("ns", "count_if(side = 0)"), ("s0", "count_if(side = 0 AND tn)"),
+                 ("nd", "count_if(side = 1)"), ("d0", "count_if(side = 1 AND tn)"))]))
+        totals = j.agg(*[F.expr(e) for e in (
+            *_sum_of_products("m", "ns - s0", "nd - d0"), *_sum_of_products("a", "ns", "d0"),
+            *_sum_of_products("b", "s0", "nd - d0"),
+            "sum(CASE WHEN nd = 0 THEN ns ELSE 0 END) AS a_src", "sum(CASE WHEN ns = 0 THEN d0 ELSE 0 END) AS a_dest",
+            "sum(CASE WHEN ns = 0 THEN nd - d0 ELSE 0 END) AS b_dest")])
         return _summary_from_totals(totals, [
-            (C.MATCH, C.SIDE_BOTH, "match_both"), (C.ONLY_A, C.SIDE_BOTH, "a_both"),
-            (C.ONLY_B, C.SIDE_BOTH, "b_both"), (C.ONLY_A, C.SIDE_SRC, "a_src"),
+            (C.MATCH, C.SIDE_BOTH, _total("m")), (C.ONLY_A, C.SIDE_BOTH, _total("a")),
+            (C.ONLY_B, C.SIDE_BOTH, _total("b")), (C.ONLY_A, C.SIDE_SRC, "a_src"),
             (C.ONLY_A, C.SIDE_DEST, "a_dest"), (C.ONLY_B, C.SIDE_DEST, "b_dest")])
 
     def verdict(self) -> DataFrame:
@@ -484,9 +494,8 @@ class CrossComparison:
         u = (self.src.df.select(_tuple(self._sv).alias("t"), F.lit(0).alias("side"))
              .unionByName(self.dest.df.select(_tuple(self._dv).alias("t"), F.lit(1).alias("side"))))
         per_t = u.groupBy("t").agg(F.expr("count_if(side = 0)").alias("cs"), F.expr("count_if(side = 1)").alias("cd"))
-        totals = (per_t.agg(F.expr("sum(cs)").alias("ns"), F.expr("sum(cd)").alias("nd"),
-                            F.expr(f"sum({_BIG.format('cs')} * cd)").alias("m"))
-                  .selectExpr("m AS match", f"{_BIG.format('ns')} * nd - m AS no_match"))
+        totals = (per_t.agg(*[F.expr(e) for e in ("sum(cs) AS ns", "sum(cd) AS nd", *_sum_of_products("m", "cs", "cd"))])
+                  .selectExpr(f"{_total('m')} AS match", f"{_BIG.format('ns')} * nd - {_total('m')} AS no_match"))
         return _summary_from_totals(totals, [(C.MATCH, C.SIDE_BOTH, "match"),
                                              (C.NO_MATCH, C.SIDE_BOTH, "no_match")])
 

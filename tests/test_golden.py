@@ -160,12 +160,13 @@ def test_counts_beyond_bigint(spark):
     """Folded counts whose product passes the largest BIGINT."""
     from parity.operators import compare
     from parity.operators.side import prepare
-    src = spark.createDataFrame([(1, "a", 4_000_000_000), (1, "b", 4_000_000_000)], "k int, v string, c long")
-    kt = src.selectExpr("k", "v", "c", "c AS d")
-    m = kt.agg(compare.F.expr(f"sum({compare._BIG.format('c')} * d)").alias("m")).first()["m"]
-    assert m == 2 * 4_000_000_000 ** 2
-    out = compare._summary_from_totals(kt.groupBy().agg(compare.F.expr("CAST(32000000000000000000 AS DECIMAL(38,0))")
-                                                        .alias("m")), [(C.NO_MATCH, "both", "m")])
+    big = [0, 1, 7, 2**31 - 1, 2**31, 2**32 - 1, 2**32 + 5, 4_000_000_000, 3 * 10**12]
+    src = spark.createDataFrame([(a, b) for a in big for b in big], "c long, d long")
+    for frame, want in ((src, sum(big) ** 2), (src.where("c < 100"), 8 * sum(big)), (src.where("c < 0"), 0)):
+        halves = frame.agg(*[F.expr(e) for e in compare._sum_of_products("m", "c", "d")])
+        assert halves.selectExpr(f"{compare._total('m')} AS m").first()["m"] == want
+    out = compare._summary_from_totals(spark.sql("SELECT CAST(32000000000000000000 AS DECIMAL(38,0)) AS m"),
+                                       [(C.NO_MATCH, "both", "m")])
     assert out.first()["n"] == 9223372036854775807
     assert compare.verdict_of(out.union(out)).first()["result"] == "NOK"
     assert prepare(spark, src, "count(1)").single_row
