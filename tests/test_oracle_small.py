@@ -27,7 +27,9 @@ def _canon(cols, rows):
 FAST = ["vol_orders_lineitem", "vol_params_report", "con_keyed_rows", "con_keyed_side", "con_keys",
         "con_composite_dupkeys", "con_cross_rows", "ref_both_directions", "ref_null_keys", "ref_orphan_keys",
         "cat_returnflag", "obg_segment", "dup_keys", "dup_documents_text", "union_trim_source",
-        "vol_named_params", "cat_param", "con_cross_grouped_keys", "ref_star", "dml_rewrite_column"]
+        "vol_named_params", "cat_param", "con_cross_grouped_keys", "ref_star", "dml_rewrite_column",
+        "con_keys_wide", "ref_orphan_keys_wide", "ref_source_only", "con_mixed_decimal", "con_mixed_int",
+        "suite_mixed_case"]
 
 
 @pytest.mark.parametrize("name", FAST)
