@@ -220,7 +220,7 @@ class Model:
     def to_bytes(self) -> bytes:
         out = [np.array([len(self.levels), *(len(x.key) for x in self.levels)], "<i8").tobytes()]
         for x in self.levels:
-            out += [x.key.astype("<i8").tobytes(), *(a.astype("<f4").tobytes() for a in (x.w, x.p, x.other))]
+            out += [x.key.astype("<i8").tobytes(), *(a.astype("<f8").tobytes() for a in (x.w, x.p, x.other))]
         return b"".join(out)
 
     @staticmethod
@@ -230,8 +230,8 @@ class Model:
         at, levels = 8 * (n + 1), []
         for size in sizes:
             key = np.frombuffer(data, "<i8", size, at)
-            levels.append(Level(key, *np.frombuffer(data, "<f4", 3 * size, at + 8 * size).reshape(3, size)))
-            at += 20 * size
+            levels.append(Level(key, *np.frombuffer(data, "<f8", 3 * size, at + 8 * size).reshape(3, size)))
+            at += 32 * size
         return Model(levels)
 
 

@@ -232,6 +232,19 @@ def test_pruned_tree_is_a_distribution(spark):
         assert math.isclose((10 ** model.bits(key)).sum(), 1.0, rel_tol=1e-6)
 
 
+def test_a_bit_never_seen_after_many_equal_ones_has_a_finite_code():
+    n, byte = 1 << 25, ord("a")
+    levels = []
+    for d in range(C.DEPTH + 1):
+        context = int.from_bytes(b"a" * d, "big")
+        nodes = [(context << 8 | 1 << i | byte >> (8 - i), byte >> (7 - i) & 1) for i in range(8)]
+        levels.append((np.array([k for k, _ in nodes]), *(np.array([n * (b == bit) for _, b in nodes]) for bit in (0, 1))))
+    model = C.Model.from_bytes(C.Model(C.build(levels)).to_bytes())
+    got = model.bits(np.array([int.from_bytes(b"aaaaa_", "big")], np.uint64))
+    # "_" agrees with "a" in two bits, and after the third nothing was counted
+    assert math.isclose(got[0], math.log10(.5 / (n + 1)) + 5 * math.log10(.5), rel_tol=1e-6)
+
+
 def test_scores_of_nothing(spark):
     assert C.score(data.empty(spark)).count() == 0
     only_held = [r for r in [(i, "some text here", "en", "s", 1) for i in range(60)]
