@@ -9,20 +9,27 @@ its children's.  From the training counts follows the weight w of a node's own
 estimate against its children's, so that the next bit's probability is
 w * KT + (1 - w) * child's, from the deepest known context up.
 
-1. Training texts (crc32(doc_id as text) mod 7 is not 2) give, a batch of
-   documents at a time, the counts of their words (64-bit hashes) and of their
-   (DEPTH + 1)-byte strings.  Both are summed by Spark and written.
-2. String counts are added up to bit counts for each (context, decision) of
-   each depth.  A node is kept if it has at least 1 / ``NODES`` of the bits
-   counted, so a depth has at most NODES nodes whatever the corpus: the tree
-   grows where the corpus has most.  Strings below a node that aren't kept
-   share one child ("other").  Weights are computed from the kept nodes, which
-   have a fixed size, in one task, and broadcast.
-3. Texts are scored in chunks: every distinct string of a chunk once.
+The tree has every node of the training texts (crc32(doc_id as text) mod 7 is
+not 2), however rare.
+
+1. One pass over the texts forms groups of documents of about ``GROUP`` bytes
+   and writes their symbols, the counts of their training words (64-bit
+   hashes) and, dealt into ``BUCKETS`` by the ``TOP`` bytes before the last,
+   their distinct (DEPTH + 1)-byte strings with the training counts.
+2. A bucket has whole subtrees: their weights are computed in it, and what its
+   nodes of depth TOP sum to is added up, over all buckets, for the nodes above.
+   Those are at most 255 * 256 ** d of depth d < TOP whatever the corpus, and
+   broadcast.
+3. A bucket gives each of its distinct strings its score once; the strings of a
+   group go back to it, and the group's documents add theirs up.
 4. Base score: words with at least 1 / ``HEAVY`` of all tokens (so at most HEAVY of them)
    are broadcast; each document's other distinct words are joined with the
    counts, which no frequent word takes part in.
 
+With a number of ``nodes``, ``score`` takes a pruned tree instead, which is
+broadcast: a node is kept if it has at least 1 / nodes of the bits counted, and
+strings below a node that aren't kept share one child ("other").
+
 Nulls, ties, emptiness: a null text is empty (one token, the end); a null
 doc_id stays null (its remainder is the empty text's); repeated rows each give
 their row and, if trained on, count each; with nothing to learn from, counts
@@ -43,8 +50,14 @@ from pyspark.sql import functions as F
 from parity.llm import common
 
 DEPTH = 5
-#: Kept nodes of a depth, at most.
+#: Kept nodes of a depth of a pruned tree, at most.
 NODES = 1 << 20
+#: Bytes of a group of documents, about; its distinct strings are looked up once.
+GROUP = 64_000_000
+#: Parts the strings are dealt into by the TOP bytes before their last.
+BUCKETS = 1024
+#: Depths above this one are broadcast.
+TOP = 3
 #: Broadcast words, at most.
 HEAVY = 1 << 20
 #: Words whose hashes a worker keeps before it begins anew.
@@ -60,6 +73,14 @@ _END_BYTE = b"\n"
 
 _HASHES: dict[str, int] = {}
 COUNTS = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
+DOC, STRINGS, WORDS = range(3)
+GATHERED = pa.schema([("kind", pa.int32()), ("grp", pa.int64()), ("row_id", pa.int64()), ("doc_id", pa.int64()),
+                      ("symbols", pa.binary()), ("bucket", pa.int32()), ("key", pa.binary()), ("n", pa.binary()),
+                      ("words", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
+PART = pa.schema([("key", pa.binary()), ("n", pa.binary()), ("grp", pa.binary()), ("size", pa.binary()),
+                  ("at", pa.binary()), ("top", pa.list_(pa.int64())), ("n0", pa.list_(pa.int64())),
+                  ("n1", pa.list_(pa.int64())), ("total", pa.list_(pa.float64()))])
+LOGS = pa.schema([("grp", pa.int64()), ("key", pa.binary()), ("log", pa.binary())])
 SCORED = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
                     ("heavy_known", pa.int64()), ("heavy_score", pa.float64()), ("score", pa.float64()),
                     ("light", pa.list_(pa.int64())), ("light_n", pa.list_(pa.int32()))])
@@ -86,6 +107,11 @@ def symbols(words: list[str]) -> bytes:
     return " ".join(words).encode("utf-8", "surrogatepass") + _END_BYTE
 
 
+def words_in(doc: bytes) -> list[str]:
+    """The words whose symbols these are."""
+    return doc[:-1].decode("utf-8", "surrogatepass").split(" ") if len(doc) > 1 else []
+
+
 def strings(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(the DEPTH + 1 bytes that end at each symbol of the documents, as one
     number; where each document begins).  Before a document stand ends."""
@@ -103,13 +129,13 @@ def strings(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return key[keep], start
 
 
-def chunks(docs: Iterator[tuple]) -> Iterator[list[tuple]]:
-    """Documents (their symbols last) in chunks of about CHUNK bytes."""
+def chunks(docs: Iterator[tuple], size: int = CHUNK) -> Iterator[list[tuple]]:
+    """Documents (their symbols last) in chunks of about ``size`` bytes."""
     held, n = [], 0
     for d in docs:
         held.append(d)
         n += len(d[-1])
-        if n >= CHUNK:
+        if n >= size:
             yield held
             held, n = [], 0
     if held:
@@ -146,12 +172,37 @@ class Level:
         return at, self.key[at] == want
 
 
-def build(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[Level]:
-    """Weights of the kept nodes (key ascending, zeros, ones) of each depth."""
+def parent(key: np.ndarray, d: int) -> np.ndarray:
+    """Keys of the parents of depth-d nodes: the context lacks the farthest byte."""
+    return (((key >> 8) & ((1 << (8 * (d - 1))) - 1)) << 8) | (key & 255)
+
+
+def summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys, ascending, and the sums of each one's values (of whole numbers, exact to 2^53)."""
+    key, back = np.unique(key, return_inverse=True)
+    return key, *(np.bincount(back, v, len(key)).astype(v.dtype) for v in values)
+
+
+def nodes_of(key: np.ndarray, n: np.ndarray, first: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All nodes (key ascending, zeros, ones) of depths ``first`` to DEPTH of counted strings."""
+    seen = n > 0
+    context, byte, n = (key[seen] >> 8).astype(np.int64), (key[seen] & 255).astype(np.int64), n[seen]
+    node = np.concatenate([(context << 8) | (1 << i) | (byte >> (8 - i)) for i in range(8)])
+    ones = np.concatenate([n * ((byte >> (7 - i)) & 1) for i in range(8)])
+    out = [summed(node, np.tile(n, 8) - ones, ones)]
+    for d in range(DEPTH, first, -1):
+        out.append(summed(parent(out[-1][0], d), *out[-1][1:]))
+    return out[::-1]
+
+
+def weigh(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], first: int = 0,
+          below: tuple | None = None) -> tuple[list[Level], tuple | None]:
+    """Weights of the nodes (key ascending, zeros, ones) of each depth from
+    ``first`` on, and what the depth above needs of them.  ``below``: keys of
+    the parents of the nodes under the last depth, their counts and ln P_w."""
     out: list[Level | None] = [None] * len(levels)
-    below: tuple | None = None  # keys of the parents of the depth below, their counts and ln P_w
-    for d in range(len(levels) - 1, -1, -1):
-        key, n0, n1 = levels[d]
+    for i in range(len(levels) - 1, -1, -1):
+        key, n0, n1 = levels[i]
         own = kt_log(n0, n1)
         rest0, rest1, children = n0.astype(float), n1.astype(float), np.zeros(len(key))
         has = np.zeros(len(key), bool)
@@ -165,12 +216,14 @@ def build(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[Level
         # ln P_w = ln(P_e / 2 + P_children / 2); a leaf has its estimate alone
         w = np.where(has, 1 / (1 + np.exp(np.clip(children - own, -700, 700))), 1.0)
         total = np.where(has, np.logaddexp(own, children) - np.log(2), own)
-        out[d] = Level(key, w, (n1 + 0.5) / (n0 + n1 + 1.0), (rest1 + 0.5) / (rest0 + rest1 + 1.0))
-        if d:
-            # the parent's context lacks the farthest byte
-            parent = (((key >> 8) & ((1 << (8 * (d - 1))) - 1)) << 8) | (key & 255)
-            below = (parent, n0, n1, total)
-    return out
+        out[i] = Level(key, w, (n1 + 0.5) / (n0 + n1 + 1.0), (rest1 + 0.5) / (rest0 + rest1 + 1.0))
+        below = (parent(key, first + i), n0, n1, total) if first + i else None
+    return out, below
+
+
+def build(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[Level]:
+    """Weights of the kept nodes (key ascending, zeros, ones) of each depth from 0 on."""
+    return weigh(levels)[0]
 
 
 class Model:
@@ -314,21 +367,175 @@ def read_model(made: DataFrame) -> bytes:
     return bytes(row[0]) if row else Model([]).to_bytes()
 
 
-def score(docs: DataFrame, heavy_words: int = HEAVY, nodes: int = NODES) -> DataFrame:
-    spark = docs.sparkSession
-    counts = corpus_counts(docs)
-    words = counts.filter("kind = 0").select("key", "n")
-    n_train, n_distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
-    base = n_train + n_distinct + 1
-    is_heavy = F.col("n") * heavy_words >= n_train
-    heavy = words.filter(is_heavy).orderBy("key").toArrow()
-    shared = spark.sparkContext.broadcast((
-        heavy.column("key").to_numpy(), np.log10((heavy.column("n").to_numpy() + 1) / base),
-        read_model(model_of(tree_counts(counts, nodes)))))
+def string_counts(docs: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct strings, ascending, of (held out, symbols) and their number in training texts."""
+    found = []
+    for held in chunks(iter(docs)):
+        for out in (False, True):
+            some = [d for h, d in held if h == out]
+            if some:
+                key, n = np.unique(strings(some)[0], return_counts=True)
+                found.append((key, n * (not out)))
+    return summed(*(np.concatenate(x) for x in zip(*found)))
+
+
+def bucket_of(key: np.ndarray) -> np.ndarray:
+    context = (key >> np.uint64(8)) & np.uint64((1 << (8 * TOP)) - 1)
+    mixed = (context * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)
+    return ((mixed * np.uint64(BUCKETS)) >> np.uint64(32)).astype(np.int32)
+
+
+def gathered(docs: DataFrame) -> DataFrame:
+    """Rows of three kinds: documents (grp, row_id, doc_id, symbols), strings of
+    a group in a bucket (uint64 keys, int32 training counts), training words of
+    a group.  A group is the row_id of its first document."""
+    def rows(kind: int, grp: int, size: int, **columns) -> pa.RecordBatch:
+        made = {"kind": np.full(size, kind, np.int32), "grp": np.full(size, grp, np.int64)} | columns
+        return pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) if f.name in made else pa.nulls(size, f.type)
+                                           for f in GATHERED], schema=GATHERED)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def read() -> Iterator[tuple]:
+            for batch in parts:
+                ids = zip(*(batch.column(i).to_pylist() for i in range(3)))
+                for (r, d, h), w in zip(ids, map(word_list, common.texts(batch))):
+                    yield r, d, h, None if h else hashes(w), symbols(w)
+
+        for group in chunks(read(), GROUP):
+            grp = group[0][0]
+            for held in chunks(iter(group)):
+                yield rows(DOC, grp, len(held), row_id=[x[0] for x in held], doc_id=[x[1] for x in held],
+                           symbols=[x[-1] for x in held])
+            key, n = string_counts([(x[2], x[-1]) for x in group])
+            bucket = bucket_of(key)
+            order = np.argsort(bucket, kind="stable")
+            key, n, bucket = key[order], n[order].astype("<i4"), bucket[order]
+            cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+            ends = [*cut[1:].tolist(), len(key)]
+            yield rows(STRINGS, grp, len(cut), bucket=bucket[cut],
+                       key=[key[a:b].tobytes() for a, b in zip(cut.tolist(), ends)],
+                       n=[n[a:b].tobytes() for a, b in zip(cut.tolist(), ends)])
+            found = [x[3] for x in group if not x[2]]
+            if found:
+                words, times = np.unique(np.concatenate(found), return_counts=True)
+                yield rows(WORDS, grp, 1, words=[np.append(words, END)], times=[np.append(times, len(found))])
+
+    made = common.doc_columns(docs).select(F.monotonically_increasing_id().alias("row_id"), "doc_id",
+                                           held_out().alias("held_out"), "text")
+    return common.written(made.mapInArrow(
+        run, "kind int, grp long, row_id long, doc_id long, symbols binary, bucket int, key binary, n binary, "
+             "words array<long>, times array<long>"), "gathered")
+
+
+def parts_of(strings_: DataFrame) -> DataFrame:
+    """One row a bucket: its distinct strings and their counts, the groups that
+    have them with the strings' places, and the sums for the nodes above."""
+    def part(rows: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(x, np.uint64) for x in rows.column("key").to_pylist()]
+        n = np.concatenate([np.frombuffer(x, "<i4") for x in rows.column("n").to_pylist()]).astype(np.int64)
+        key, back = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.bincount(back, n, len(key)).astype(np.int64)
+        top = summed(*weigh(nodes_of(key, n, TOP), TOP)[1])
+        blobs = (key, n, rows.column("grp").to_numpy(), np.array([len(k) for k in keys], np.int64), back.astype(np.int32))
+        return pa.table([pa.array([x], f.type) for x, f in zip([*(b.tobytes() for b in blobs), *top], PART)], schema=PART)
+
+    return common.written(strings_.groupBy("bucket").applyInArrow(
+        part, "key binary, n binary, grp binary, size binary, at binary, top array<long>, n0 array<long>, "
+              "n1 array<long>, total array<double>"), "string-parts")
+
+
+def top_model(parts: DataFrame) -> bytes:
+    """The model of the depths above TOP (at most 255 * 256 ** (TOP - 1) nodes each)."""
+    each = parts.select(F.inline(F.arrays_zip(F.col("top").alias("key"), "n0", "n1", "total")))
+    # added up in one order, so that scores don't change from run to run
+    rows = (each.groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
+                                    F.sort_array(F.collect_list("total")).alias("total"))
+            .select("key", "n0", "n1", F.aggregate("total", F.lit(0.0), lambda a, x: a + x).alias("total"))
+            .orderBy("key").toArrow())
+    key, n0, n1, total = (c.to_numpy() for c in rows.columns)
+    levels = [(key, n0, n1)]
+    for d in range(TOP - 1, 0, -1):
+        levels.append(summed(parent(levels[-1][0], d), *levels[-1][1:]))
+    return Model(weigh(levels[::-1], 0, (key, n0, n1, total))[0]).to_bytes()
+
+
+def string_logs(parts: DataFrame) -> DataFrame:
+    """(grp, keys, log10 probabilities) of the strings of each group and bucket."""
+    shared = parts.sparkSession.sparkContext.broadcast(top_model(parts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = Model.from_bytes(shared.value).levels
+        for batch in batches:
+            for row in zip(*batch.columns):
+                key, n, grp, size, at = (np.frombuffer(x.as_buffer(), t) for x, t in zip(
+                    row, (np.uint64, np.int64, np.int64, np.int64, np.int32)))
+                logs = Model(top + weigh(nodes_of(key, n, TOP), TOP)[0]).bits(key)
+                cut = np.cumsum(size)[:-1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(grp), *(pa.array([x.tobytes() for x in np.split(v, cut)], pa.binary())
+                                      for v in (key[at], logs[at]))], schema=LOGS)
+
+    return parts.select("key", "n", "grp", "size", "at").mapInArrow(run, "grp long, key binary, log binary")
+
+
+def scored(held: list[tuple], scores: np.ndarray, keys: np.ndarray, logs: np.ndarray) -> pa.RecordBatch:
+    """Rows of documents (row_id, doc_id, word list) with these scores; keys and
+    logs of the broadcast words."""
+    known, known_score, light, light_n = [], [], [], []
+    for _, _, w in held:
+        h, n = np.unique(np.concatenate([hashes(w), [END]]), return_counts=True)
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            has = keys[at] == h
+            known.append(int(n[has].sum()))
+            known_score.append(float(n[has] @ logs[at[has]]))
+        else:
+            has = np.zeros(len(h), bool)
+            known.append(0)
+            known_score.append(0.0)
+        light.append(h[~has])
+        light_n.append(n[~has].astype(np.int32))
+    cut = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in light])]).astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.int64()),
+         pa.array([len(x[2]) + 1 for x in held], pa.int64()), pa.array(known, pa.int64()),
+         pa.array(known_score, pa.float64()), pa.array(scores),
+         pa.ListArray.from_arrays(cut, pa.array(np.concatenate(light))),
+         pa.ListArray.from_arrays(cut, pa.array(np.concatenate(light_n)))], schema=SCORED)
+
+
+_SCORED = ("row_id long, doc_id long, n_tokens long, heavy_known long, heavy_score double, score double, "
+           "light array<long>, light_n array<int>")
+
+
+def scored_by_tree(made: DataFrame, heavy) -> DataFrame:
+    """Rows of the documents in ``made`` (see ``gathered``), by the whole tree."""
+    logs = string_logs(parts_of(made.filter(F.col("kind") == STRINGS).select("bucket", "grp", "key", "n")))
+    docs = made.filter(F.col("kind") == DOC).select("grp", "row_id", "doc_id", "symbols")
+
+    def run(group: pa.Table, found: pa.Table) -> pa.Table:
+        key, log = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in found.column(c)])
+                    for c, t in (("key", np.uint64), ("log", np.float64)))
+        order = np.argsort(key)
+        key, log = key[order], log[order]
+        rows = zip(*(group.column(c).to_pylist() for c in ("row_id", "doc_id", "symbols")))
+        out = []
+        for held in chunks(rows):
+            want, start = strings([x[-1] for x in held])
+            distinct, back = np.unique(want, return_inverse=True)
+            scores = np.add.reduceat(log[np.searchsorted(key, distinct)][back], start)
+            out.append(scored([(r, d, words_in(x)) for r, d, x in held], scores, *heavy.value))
+        return pa.Table.from_batches(out, SCORED)
+
+    return docs.groupBy("grp").cogroup(logs.groupBy("grp")).applyInArrow(run, _SCORED)
+
+
+def scored_by_pruned(docs: DataFrame, counts: DataFrame, nodes: int, heavy) -> DataFrame:
+    """Rows of the documents, by a tree of at most ``nodes`` nodes a depth."""
+    shared = docs.sparkSession.sparkContext.broadcast(read_model(model_of(tree_counts(counts, nodes))))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, logs, data = shared.value
-        model = Model.from_bytes(data)
+        model = Model.from_bytes(shared.value)
         for batch in parts:
             ids = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             made = ((r, d, w, symbols(w)) for (r, d), w in zip(ids, map(word_list, common.texts(batch))))
@@ -336,38 +543,36 @@ def score(docs: DataFrame, heavy_words: int = HEAVY, nodes: int = NODES) -> Data
                 key, start = strings([x[-1] for x in held])
                 distinct, back = np.unique(key, return_inverse=True)
                 scores = np.add.reduceat(model.logs_of(distinct)[back], start)
-                known, known_score, light, light_n = [], [], [], []
-                for _, _, w, _ in held:
-                    h, n = np.unique(np.concatenate([hashes(w), [END]]), return_counts=True)
-                    if len(keys):
-                        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                        has = keys[at] == h
-                        known.append(int(n[has].sum()))
-                        known_score.append(float(n[has] @ logs[at[has]]))
-                    else:
-                        has = np.zeros(len(h), bool)
-                        known.append(0)
-                        known_score.append(0.0)
-                    light.append(h[~has])
-                    light_n.append(n[~has].astype(np.int32))
-                cut = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in light])]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.int64()),
-                     pa.array([len(x[2]) + 1 for x in held], pa.int64()), pa.array(known, pa.int64()),
-                     pa.array(known_score, pa.float64()), pa.array(scores),
-                     pa.ListArray.from_arrays(cut, pa.array(np.concatenate(light))),
-                     pa.ListArray.from_arrays(cut, pa.array(np.concatenate(light_n)))], schema=SCORED)
+                yield scored([x[:3] for x in held], scores, *heavy.value)
 
     rows = common.doc_columns(docs).select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text")
-    rows = common.written(rows.mapInArrow(
-        run, "row_id long, doc_id long, n_tokens long, heavy_known long, heavy_score double, score double, "
-             "light array<long>, light_n array<int>"), "scored")
+    return rows.mapInArrow(run, _SCORED)
+
+
+def score(docs: DataFrame, heavy_words: int = HEAVY, nodes: int | None = None) -> DataFrame:
+    if nodes is None:
+        made = gathered(docs)
+        words = common.written(
+            made.filter(F.col("kind") == WORDS)
+            .select(F.inline(F.arrays_zip(F.col("words").alias("key"), F.col("times").alias("n"))))
+            .groupBy("key").agg(F.sum("n").alias("n")), "word-counts")
+    else:
+        counts = corpus_counts(docs)
+        words = counts.filter("kind = 0").select("key", "n")
+    n_train, n_distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
+    base = n_train + n_distinct + 1
+    is_heavy = F.col("n") * heavy_words >= n_train
+    frequent = words.filter(is_heavy).orderBy("key").toArrow()
+    heavy = docs.sparkSession.sparkContext.broadcast((
+        frequent.column("key").to_numpy(), np.log10((frequent.column("n").to_numpy() + 1) / base)))
+    rows = scored_by_tree(made, heavy) if nodes is None else scored_by_pruned(docs, counts, nodes, heavy)
+    rows = common.written(rows, "scored")
     light = rows.select("row_id", F.inline(F.arrays_zip(F.col("light").alias("key"), F.col("light_n").alias("times"))))
     n = F.coalesce("n", F.lit(0))
-    summed = (light.join(words.filter(~is_heavy), "key", "left").groupBy("row_id")
-              .agg(F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
-                   F.sum(F.col("times") * F.log10((n + 1) / F.lit(float(base)))).alias("base")))
-    return (rows.drop("light", "light_n").join(summed, "row_id", "left")
+    summed_ = (light.join(words.filter(~is_heavy), "key", "left").groupBy("row_id")
+               .agg(F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
+                    F.sum(F.col("times") * F.log10((n + 1) / F.lit(float(base)))).alias("base")))
+    return (rows.drop("light", "light_n").join(summed_, "row_id", "left")
             .select("doc_id", held_out().alias("held_out"), "n_tokens",
                     (F.col("heavy_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
                     F.lit(n_train).cast("long").alias("train_tokens"),

@@ -222,6 +222,21 @@ def test_scores_equal_a_plain_context_tree(spark):
         assert sorted(got, key=data.key) == sorted(want, key=data.key)
 
 
+def test_every_node_is_kept(spark):
+    """Contexts of one occurrence count in a larger corpus too, however it is dealt."""
+    some = [r for r in data.rows() if len(r[1] or "") < 400]
+    some += [(1000 + i, f"the river number {i % 9} runs by the old stone mill", "en", "s", 1) for i in range(3500)]
+    words, held = score_rows(some)
+    docs = [" ".join(w).encode() + b"\n" for w in words]
+    train = [d for d, h in zip(docs, held) if not h]
+    assert sum(map(len, train)) * 8 / C.NODES > 1      # a pruned tree drops them
+    model = cache(ctw(train, C.DEPTH))
+    want = sorted(((r[0], model(d)) for r, d in zip(some, docs)), key=data.key)
+    got = sorted(((r.doc_id, r.score) for r in C.score(data.docs(spark, some, 7)).collect()), key=data.key)
+    assert [d for d, _ in got] == [d for d, _ in want]
+    assert all(math.isclose(a, b, abs_tol=1e-5) for (_, a), (_, b) in zip(got, want))
+
+
 def test_pruned_tree_is_a_distribution(spark):
     some = [r for r in data.rows() if len(r[1] or "") < 400]
     counts = C.corpus_counts(data.docs(spark, some))
