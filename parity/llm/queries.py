@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parity.llm import (op01_quality_lines, op02_toxicity, op03_jaccard_join, op04_packing, op05_nearest,
                         op06_licences, op07_token_files, op08_bpe, op09_context_tree,
-                        op10_secrets)
+                        op10_secrets, op11_divergence)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_lines": op01_quality_lines.query,
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op08_bpe.query,
     "op9_context_tree": op09_context_tree.query,
     "op10_secrets": op10_secrets.query,
+    "op11_divergence": op11_divergence.query,
 }
 
 ORACLE: dict[str, str] = {
@@ -29,4 +30,5 @@ ORACLE: dict[str, str] = {
     "op3_jaccard_join": op03_jaccard_join.SQL,
     "op5_nearest": op05_nearest.SQL,
     "op6_licences": op06_licences.SQL,
+    "op11_divergence": op11_divergence.SQL,
 }
