@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parity.llm import (op01_quality_lines, op02_toxicity, op03_jaccard_join, op04_packing, op05_nearest,
                         op06_licences, op07_token_files, op08_bpe, op09_context_tree,
-                        op10_secrets, op11_divergence)
+                        op10_secrets, op11_divergence, op12_language, op13_spelling)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_lines": op01_quality_lines.query,
@@ -23,6 +23,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_context_tree": op09_context_tree.query,
     "op10_secrets": op10_secrets.query,
     "op11_divergence": op11_divergence.query,
+    "op12_language": op12_language.query,
+    "op13_spelling": op13_spelling.query,
 }
 
 ORACLE: dict[str, str] = {
