@@ -4,6 +4,7 @@ A definition filter may hold placeholders ``field = ?``.  They are rewritten
 into Spark named parameter markers ``field = :field`` and bound with typed
 values through ``spark.sql(..., args=...)``, so values are literals, never
 spliced SQL text.  Names match case-insensitively and are bound lowercase.
+What looks like a placeholder inside quotes or a comment is none.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from decimal import Decimal
 
-_PLACEHOLDER = re.compile(r"\b(\w+)\s*=\s*\?")
+# A quoted text, a comment, or a placeholder; only the last has a group.
+_PLACEHOLDER = re.compile(r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`[^`]*`|--[^\n]*|/\*.*?\*/"""
+                          r"""|\b(\w+)\s*=\s*\?""", re.DOTALL)
 
 # Fixed values of the parameter report.
 NO_PARAMETERS = "N/A"
@@ -35,7 +38,13 @@ def placeholders(text: str | None) -> list[str]:
     """Field names of ``field = ?`` placeholders, lowercase, first occurrence order."""
     if not text:
         return []
-    return list(dict.fromkeys(m.group(1).lower() for m in _PLACEHOLDER.finditer(text)))
+    return list(dict.fromkeys(m.group(1).lower() for m in _PLACEHOLDER.finditer(text) if m.group(1)))
+
+
+def _replaced(text: str, by) -> str:
+    """``text`` with its placeholders replaced by ``by(match)``; quoted texts and
+    comments stay as they are."""
+    return _PLACEHOLDER.sub(lambda m: by(m) if m.group(1) else m.group(0), text)
 
 
 def bind(text: str | None, params: Mapping[str, object] | None) -> Bound:
@@ -44,7 +53,7 @@ def bind(text: str | None, params: Mapping[str, object] | None) -> Bound:
     if not names:
         return Bound(text)
     missing = [n for n in names if n not in params]
-    rewritten = _PLACEHOLDER.sub(lambda m: f"{m.group(1)} = :{m.group(1).lower()}", text)
+    rewritten = _replaced(text, lambda m: f"{m.group(1)} = :{m.group(1).lower()}")
     used = [n for n in names if n in params]
     return Bound(rewritten, {n: params[n] for n in used}, used, missing)
 
@@ -71,7 +80,7 @@ def bound_text(text: str | None, params: Mapping[str, object] | None) -> str | N
         name = m.group(1).lower()
         return f"{m.group(1)} = {sql_literal(values[name])}" if name in values else m.group(0)
 
-    return _PLACEHOLDER.sub(value, text) if text else text
+    return _replaced(text, value) if text else text
 
 
 def report(params: Mapping[str, object] | None, *bounds: Bound) -> str:

@@ -71,6 +71,26 @@ def output_name(expr: str) -> str:
     return re.sub(r"\W", "_", name)
 
 
+def output_names(items: list[str], reserved=()) -> list[str]:
+    """Names of select items, all different without regard to case.  An
+    identifier keeps its name; an expression whose name is taken, by one or
+    among ``reserved``, and a repeated identifier get a number: ``v_1``,
+    ``v_1_2``."""
+    names = [output_name(i) for i in items]
+    taken, out = {r.lower() for r in reserved}, {}
+    order = sorted(range(len(items)), key=lambda i: (not is_identifier(items[i]), i))
+    for i in order:
+        name, n = names[i], 1
+        # a plain column may use the name reserved for it
+        free = is_identifier(items[i]) and name.lower() not in {v.lower() for v in out.values()}
+        while not free and name.lower() in taken:
+            n += 1
+            name = f"{names[i]}_{n}"
+        taken.add(name.lower())
+        out[i] = name
+    return [out[i] for i in range(len(items))]
+
+
 def parse_join_key(text: str | None) -> list[tuple[str, str]]:
     """``a = b AND c = d`` -> [(a, b), (c, d)]; blank or ``1 = 1`` -> [] (no key).
 

@@ -14,12 +14,13 @@ Nothing is collected: a caller may ``write`` the keys straight to a table.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parity.functions import columns as C
-from parity.functions.params import bound_text, report
+from parity.functions.params import Bound, bound_text, report
 from parity.functions.text import NO_JOIN_KEY, parse_join_key, split_list, unique
 from parity.operators.compare import CrossComparison, KeyedComparison
 from parity.operators.side import Side, prepare
@@ -30,13 +31,24 @@ VOL, CON, CAT, FORM, OBG, REF, DUP = "VOL", "CON", "CAT", "FORM", "OBG", "REF",
 SUBTYPES = (VOL, CON, CAT, FORM, REF, OBG, DUP)
 
 
+@dataclass(frozen=True)
+class Scan:
+    """A count over a relation that a check's verdict follows from: checks
+    with scans of one relation can share a pass over it."""
+
+    df: DataFrame          # the relation before its filter
+    relation: tuple        # what it is: equal for the same table, query or frame
+    bound: Bound           # the filter
+
+
 class CheckResult:
     """Lazy outputs of one check; each DataFrame is built on first access
     (building a plan runs the analyzer, so unused outputs cost nothing)."""
 
     def __init__(self, subtype: str, verdict, keys, rows=None, description: str = "", comparison=None,
-                 key_fields=(), execution_parameter: str = ""):
+                 key_fields=(), execution_parameter: str = "", scans: tuple[Scan, ...] = ()):
         self.subtype = subtype
+        self.scans = scans
         self.execution_parameter = execution_parameter
         self.bad_word = C.NOT_OK if subtype == DUP else C.NOK
         self.key_fields = tuple(key_fields)
@@ -116,13 +128,25 @@ def _keys_list(key_fields) -> list[str]:
     return unique([k.strip() for k in key_fields if k and k.strip()])
 
 
+def _scan(spec, df: DataFrame, bound: Bound, predicate, tables) -> tuple[Scan, ...]:
+    """The scan of a relation under a filter given as text."""
+    if predicate is not None and not isinstance(predicate, str):
+        return ()
+    text = spec if isinstance(spec, DataFrame) else strip_parens(str(spec))
+    named = text if isinstance(text, DataFrame) else (tables or {}).get(text)
+    if named is not None:
+        return (Scan(df, ("frame", id(named)), bound),)
+    return (Scan(df, ("query", text) if is_query(text) else ("table", text.lower()), bound),)
+
+
 # ------------------------------------------------------------------ VOL --
 
 def volume(spark: SparkSession, src, dest, src_filter=None, dest_filter=None, params=None,
            tables=None) -> CheckResult:
     """Row counts of two filtered relations; OK iff equal."""
-    s, sb = where(spark, relation(spark, src, tables), src_filter, params)
-    d, db = where(spark, relation(spark, dest, tables), dest_filter, params)
+    sr, dr = relation(spark, src, tables), relation(spark, dest, tables)
+    s, sb = where(spark, sr, src_filter, params)
+    d, db = where(spark, dr, dest_filter, params)
 
     def verdict():
         sc = s.agg(F.count(F.lit(1)).alias("src_count"))
@@ -133,8 +157,9 @@ def volume(spark: SparkSession, src, dest, src_filter=None, dest_filter=None, pa
 
     text = (f"SELECT (SELECT COUNT(*) {_from(src, src_filter, params, tables)}) AS src_count, "
             f"(SELECT COUNT(*) {_from(dest, dest_filter, params, tables)}) AS dest_count")
+    scans = (*_scan(src, sr, sb, src_filter, tables), *_scan(dest, dr, db, dest_filter, tables))
     return CheckResult(VOL, verdict, lambda: _no_keys(spark), description=text,
-                       execution_parameter=report(params, sb, db))
+                       execution_parameter=report(params, sb, db), scans=scans if len(scans) == 2 else ())
 
 
 # ------------------------------------------------------------- CON / REF --
@@ -193,7 +218,8 @@ def violations(spark: SparkSession, src, predicate, key_fields=None, params=None
                tables=None) -> CheckResult:
     """Rows matching ``predicate`` are violations (catalogue, format or
     mandatory-fill rule); grouped by the key fields with their count."""
-    df, b = where(spark, relation(spark, src, tables), predicate, params)
+    rel = relation(spark, src, tables)
+    df, b = where(spark, rel, predicate, params)
     kf = _keys_list(key_fields)
 
     def groups():
@@ -213,7 +239,8 @@ def violations(spark: SparkSession, src, predicate, key_fields=None, params=None
         return res.rows.select(C.key_text(kf, sep=C.KEY_SEP_GROUPED).alias("key_fields"))
 
     res = CheckResult(subtype, verdict, keys, groups, _grouped_sql(_from(src, predicate, params, tables), kf),
-                      key_fields=kf, execution_parameter=report(params, b))
+                      key_fields=kf, execution_parameter=report(params, b),
+                      scans=_scan(src, rel, b, predicate, tables))
     return res
 
 

@@ -1,7 +1,7 @@
 """One side of a check: relation -> filter -> (group) -> projected columns.
 
 Items of the select list are SQL expressions; each gets an output name
-(``output_name``).  Columns the check needs but the select list lacks
+(``output_name``), made unique where two items would share one.  Columns the check needs but the select list lacks
 (join keys, key fields) are added as extra items, so a definition never
 fails on an unresolved column.  With a group-by the extra items must be
 grouping expressions, as in SQL.
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parity.functions.params import Bound
-from parity.functions.text import ALL_COLUMNS, NO_JOIN_KEY, is_blank, output_name, split_list, unique
+from parity.functions.text import ALL_COLUMNS, NO_JOIN_KEY, is_blank, output_names, split_list, unique
 from parity.sources.relation import relation, where
 
 @dataclass
@@ -61,9 +61,10 @@ def prepare(spark: SparkSession, rel, select=None, filter=None, group_by=None, p
     df = relation(spark, rel, tables)
     df, bound = where(spark, df, filter, params)
     items = _items(select, df)
-    names = [output_name(i) for i in items]
     present = {c.lower() for c in df.columns}
     wanted = list(extra) + [c for c in optional_extra if c.lower() in present]
+    # a column that the check needs keeps its name, whatever expressions are named like it
+    names = output_names(items, [c for c in wanted if c.lower() in present])
     # names match without regard to case, as Spark SQL resolves them
     have = {n.lower() for n in names}
     extras = []

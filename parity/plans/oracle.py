@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from parity.plans.scenarios import (
     CUSTOMER_NULL_KEYS_SQL, DEST_ORDERS_SQL, LINES_AS_DECIMAL_SQL, LINES_AS_TEXT_SQL, ORDERS_AS_INT_SQL,
-    ORDERS_AS_TEXT_SQL, ORDERS_BY_PRIORITY_SQL, ORDERS_SHIFTED_SQL, LINESTATUS_WITH_NULLS_SQL, NATION_RENAMED_SQL, NATION_SUBSET_SQL,
+    ORDERS_AS_TEXT_SQL, ORDERS_BY_PRIORITY_SQL, ORDERS_MOVED_SQL, ORDERS_SHIFTED_SQL, LINESTATUS_WITH_NULLS_SQL, NATION_RENAMED_SQL, NATION_SUBSET_SQL,
     SEGMENT_WITH_NULLS_SQL, UNION_TRIM_SQL, UNION_TRIM_SRC_FILTER,
 )
 
@@ -88,6 +88,10 @@ FLAGSHIP = _joined("SELECT o_orderkey, o_orderstatus FROM orders", DEST_ORDERS_S
                    [("o_orderkey", "o_orderkey"), ("o_orderstatus", "o_orderstatus")])
 FLAGSHIP_COLS = _cols([("o_orderkey", "o_orderkey"), ("o_orderstatus", "o_orderstatus")])
 
+_SAME_NAMES = "SELECT o_orderkey, o_custkey + 1 AS o_custkey_1, o_custkey - 1 AS o_custkey_1_2, o_orderstatus, o_orderstatus AS o_orderstatus_2 FROM {}"
+_SAME_PAIRS = [(c, c) for c in ("o_orderkey", "o_custkey_1", "o_custkey_1_2", "o_orderstatus", "o_orderstatus_2")]
+_SAME = _joined(_SAME_NAMES.format("orders"), _SAME_NAMES.format(ORDERS_MOVED_SQL), [("o_orderkey", "o_orderkey")], _SAME_PAIRS)
+
 _AGG_SIDE = "SELECT l_orderkey, CAST(SUM(l_linenumber) AS BIGINT) AS SUM_l_linenumber FROM lineitem {w} GROUP BY l_orderkey"
 _AGG_PAIRS = [("l_orderkey", "l_orderkey"), ("SUM_l_linenumber", "SUM_l_linenumber")]
 
@@ -117,6 +121,7 @@ ORACLE = {
         "o_orderpriority='1-URGENT' | o_orderstatus='F'"),
     "con_keyed_rows": (f"SELECT {FLAGSHIP_COLS}, status, side, COUNT(*) AS pairs FROM ({FLAGSHIP}) j "
                        f"WHERE status <> 'MATCH' GROUP BY ALL"),
+    "con_same_names": f"SELECT {_cols(_SAME_PAIRS)}, status, side, 1 AS pairs FROM ({_SAME}) j WHERE status <> 'MATCH'",
     "con_keyed_status_counts": f"SELECT status, COUNT(*) AS n FROM ({FLAGSHIP}) j GROUP BY status",
     "con_keyed_side": _summary(FLAGSHIP),
     "con_verdict": _verdict(FLAGSHIP),

@@ -71,6 +71,11 @@ ORDERS_AS_INT_SQL = "(SELECT CAST(o_orderkey AS INT) AS k, CAST(o_custkey AS INT
 ALLOWED_PART_TYPES = ("PROMO", "SMALL", "LARGE")
 
 
+# A copy of ``orders`` with some customers changed and some rows lost.
+ORDERS_MOVED_SQL = ("(SELECT o_orderkey, CASE WHEN o_orderkey % 29 = 0 THEN o_custkey + 2 ELSE o_custkey END AS o_custkey, "
+                    "o_orderstatus FROM orders WHERE o_orderkey % 31 <> 0)")
+
+
 def _views(spark: SparkSession, sf_dir: str, *names: str) -> None:
     testdata.register_views(spark, sf_dir, names)
 
@@ -182,6 +187,14 @@ def con_cross_multiset(spark, sf_dir):
                           "o_orderstatus", "l_linestatus").verdict
 
 
+def con_same_names(spark, sf_dir):
+    """Select items that reduce to one name, and a repeated column."""
+    _views(spark, sf_dir, "orders")
+    items = "o_orderkey, o_custkey + 1, o_custkey - 1, o_orderstatus, o_orderstatus"
+    return checks.content(spark, "orders", ORDERS_MOVED_SQL, "o_orderkey = o_orderkey", items, items,
+                          key_fields="o_orderkey").rows
+
+
 # -------------------------------------------------------------- reference --
 
 def ref_documents_labels(spark, sf_dir):
@@ -425,4 +438,5 @@ QUERIES = {
     "ref_source_only": ref_source_only,
     "con_mixed_decimal": con_mixed_decimal,
     "con_mixed_int": con_mixed_int,
+    "con_same_names": con_same_names,
 }

@@ -1,12 +1,13 @@
 """Run a set of check definitions and shape the results.
 
 Definitions (a small control table) are read on the driver; each becomes a
-check plan over its relations.  Isolated (the default), every check is a job of
-its own, several submitted at once: a check with key fields computes its
-offending keys once, into a checkpoint, and its verdict follows from whether
-there are any; the others compute their one-row verdict.  A check that fails,
-on its data or in its plan, becomes an ERROR result and stops no other.  Not
-isolated, all verdicts are one union and all keys another.  Offending keys
+check plan over its relations.  Isolated (the default), VOL, CAT, FORM and OBG
+checks of one relation share a scan of it (``plans.fused``), and every other
+check is a job of its own, several submitted at once: a check with key fields
+computes its offending keys once, into a checkpoint, and its verdict follows
+from whether there are any; the others compute their one-row verdict.  A check
+that fails, on its data or in its plan, becomes an ERROR result and stops no
+other.  Not isolated, all verdicts are one union and all keys another.  Offending keys
 never leave the cluster: they are written to the details table by the sink.
 
 Result ids are allocated once per run (previous maximum + the check's
@@ -26,6 +27,7 @@ from parity.functions import columns as C
 from parity.functions.params import placeholders
 from parity.operators import checks
 from parity.operators.ids import checkpoint_dir, with_sequential_ids
+from parity.plans.fused import FusedScan, Item, first_line
 from parity.sources.definitions import select_by_set, with_defaults
 from parity.sources.local import literal_frame
 
@@ -101,13 +103,17 @@ class SuiteRun:
     ``details`` (RESULT_ID, KEY_FIELDS); each is built on first use, so
     asking for the verdicts never plans the key extraction."""
 
-    def __init__(self, spark: SparkSession, checks_: list, timestamp: _dt.datetime, isolate: bool = False):
+    def __init__(self, spark: SparkSession, checks_: list, timestamp: _dt.datetime, isolate: bool = False,
+                 fuse: bool = True):
         self._spark = spark
+        self.fuse = fuse
         self._checks = checks_            # (position, definition, CheckResult | error message)
         self.timestamp = timestamp
         self.isolate = isolate
         self._verdict_rows: dict[int, str] | None = None   # position -> RESULT, once isolated
         self._keys: dict[int, DataFrame] = {}              # position -> offending keys, once isolated
+        self._shared_keys: list[DataFrame] = []            # keys of checks that shared a scan, per relation
+        self._in_shared: set[int] = set()                  # positions whose keys are in those
         self._results: DataFrame | None = None
         self._details: DataFrame | None = None
 
@@ -123,29 +129,85 @@ class SuiteRun:
         return self._results
 
     def _isolate(self) -> None:
-        """Run every check as its own job, concurrently; a check that fails
-        (its plan, or bad data under ANSI casts, ...) becomes an ERROR result
-        and leaves no details."""
+        """Run the fused scans and every other check as jobs of their own,
+        concurrently; a check that fails (its plan, or bad data under ANSI
+        casts, ...) becomes an ERROR result and leaves no details."""
         from concurrent.futures import ThreadPoolExecutor
         checkpoint_dir(self._spark)
+        scans, fused = self.fused_scans() if self.fuse else ([], {})
 
         def one(item):
             pos, d, res = item
             try:
                 if not isinstance(res, checks.CheckResult):
                     raise ValueError(res)
-                return pos, (pos, d.TEST_ID, res.description, self._outcome(pos, d, res), res.execution_parameter)
+                return self._row(item, self._outcome(pos, d, res))
             except Exception as e:  # noqa: BLE001 -- recorded as the check's result
-                message = (str(e).strip().splitlines() or [type(e).__name__])[0]
-                return pos, (pos, d.TEST_ID, f"{d.SUBTYPE_ID}: {message}", ERROR, "N/A")
-
-        with ThreadPoolExecutor(max_workers=max(1, min(8, len(self._checks)))) as pool:
-            rows = [row for _, row in sorted(pool.map(one, self._checks))]
+                return self._row(item, ERROR, first_line(e))
+
+        alone = [item for item in self._checks if item[0] not in fused]
+        with ThreadPoolExecutor(max_workers=max(1, min(8, len(alone) + len(scans)))) as pool:
+            counted = [pool.submit(self._counted, scan) for scan in scans]
+            rows = list(pool.map(one, alone))
+            counts = {owner: n for done in counted for owner, n in done.result().items()}
+        rows += [self._fused_row(item, [counts[o] for o in fused[item[0]]]) for item in self._checks if item[0] in fused]
+        rows.sort()
         self._verdict_rows = {r[0]: r[3] for r in rows}
         ts = F.lit(self.timestamp).cast("timestamp")
         schema = "RESULT_ID long, TEST_ID int, QUERY string, RESULT string, EXECUTION_PARAMETER string"
         self._results = literal_frame(self._spark, rows, schema).withColumn("TIMESTAMP", ts)
 
+    @staticmethod
+    def _row(item, result: str, fault: str = "") -> tuple:
+        pos, d, res = item
+        if result == ERROR:
+            return pos, d.TEST_ID, f"{d.SUBTYPE_ID}: {fault}", ERROR, "N/A"
+        return pos, d.TEST_ID, res.description, result, res.execution_parameter
+
+    # -- scans that several checks share ------------------------------------
+    def fused_scans(self) -> tuple[list[FusedScan], dict[int, list[tuple]]]:
+        """The scans that answer every check of a relation that two or more
+        checks count, and position -> owners of the counts a verdict takes."""
+        by_relation: dict[tuple, set[int]] = {}
+        for pos, _, res in self._checks:
+            for scan in res.scans if isinstance(res, checks.CheckResult) else ():
+                by_relation.setdefault(scan.relation, set()).add(pos)
+        shared = {pos for some in by_relation.values() if len(some) > 1 for pos in some}
+        items: dict[tuple, tuple[DataFrame, list[Item]]] = {}
+        owners: dict[int, list[tuple]] = {}
+        for pos, d, res in self._checks:
+            if pos not in shared:
+                continue
+            mine = []
+            for k, scan in enumerate(res.scans):
+                df = items[scan.relation][0] if scan.relation in items else scan.df
+                item = Item((pos, k), scan.bound, pos, res.key_fields)
+                if FusedScan(self._spark, df, []).accepts(item):
+                    mine.append((scan.relation, df, item))
+            if len(mine) == len(res.scans):        # else the check runs on its own
+                owners[pos] = [i.owner for _, _, i in mine]
+                for key, df, item in mine:
+                    items.setdefault(key, (df, []))[1].append(item)
+        return [FusedScan(self._spark, df, some) for df, some in items.values()], owners
+
+    def _counted(self, scan: FusedScan) -> dict[tuple, int | str]:
+        """Counts of a scan; then the keys of its failed checks, in one pass."""
+        counts = scan.run()
+        failed = [i for i in scan.items if i.key_fields and isinstance(counts[i.owner], int) and counts[i.owner] > 0]
+        if failed:
+            keys = scan.keys(failed).checkpoint(eager=True)
+            self._shared_keys.append(keys)
+            self._in_shared.update(i.result_id for i in failed)
+        return counts
+
+    def _fused_row(self, item, counts: list[int | str]) -> tuple:
+        res = item[2]
+        faults = [n for n in counts if isinstance(n, str)]
+        if faults:
+            return self._row(item, ERROR, faults[0])
+        bad = counts[0] != counts[1] if res.subtype == checks.VOL else counts[0] > 0
+        return self._row(item, res.bad_word if bad else C.OK)
+
     def _outcome(self, pos: int, d: Definition, res: checks.CheckResult) -> str:
         """RESULT of one check.  Keys, where the check has key fields, are
         computed once: any key means a difference.  Only a referential check
@@ -164,9 +226,9 @@ class SuiteRun:
         if self._details is None and self.isolate and self._verdict_rows is None:
             self._isolate()
         if self._details is None:
-            frames = []
+            frames = list(self._shared_keys)
             for pos, d, res in self._checks:
-                if not isinstance(res, checks.CheckResult) or res.subtype == checks.VOL:
+                if not isinstance(res, checks.CheckResult) or res.subtype == checks.VOL or pos in self._in_shared:
                     continue
                 try:
                     if self._verdict_rows is not None:
@@ -197,7 +259,7 @@ class SuiteRun:
             try:
                 return self._verdict(pos, d, res)
             except Exception as e:  # noqa: BLE001 -- recorded as the check's result
-                res = (str(e).strip().splitlines() or [type(e).__name__])[0]
+                res = first_line(e)
         return self._verdict(pos, d, res)
 
     def _verdict(self, pos: int, d: Definition, res) -> DataFrame:
@@ -242,7 +304,7 @@ class SuiteRun:
 
 
 def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict: bool = True,
-              isolate: bool = True, members: DataFrame | None = None, set_ids=None) -> SuiteRun:
+              isolate: bool = True, members: DataFrame | None = None, set_ids=None, fuse: bool = True) -> SuiteRun:
     """Prepare every definition's check (in TEST_ID order); plans are run
     when the results or details are asked for.
 
@@ -253,6 +315,8 @@ def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict
     that can't be resolved, data that a cast rejects -- yields an ``ERROR``
     result carrying the message.  ``isolate`` (default) runs each check as its
     own job, several at once; ``isolate=False`` plans all verdicts as one union.
+    ``fuse`` (default) lets isolated VOL, CAT, FORM and OBG checks of one
+    relation share a scan; results and details are the same without it.
     """
     if not isinstance(definitions, DataFrame) and members is not None:
         definitions = definitions_frame(spark, list(definitions))
@@ -270,9 +334,9 @@ def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict
         try:
             res = run_check(spark, d, params, tables)
         except Exception as e:  # noqa: BLE001 -- recorded as the check's result
-            res = (str(e).strip().splitlines() or [type(e).__name__])[0]
+            res = first_line(e)
         prepared.append((pos, d, res))
-    return SuiteRun(spark, prepared, _dt.datetime.now(), isolate)
+    return SuiteRun(spark, prepared, _dt.datetime.now(), isolate, fuse)
 
 
 def _details(res: checks.CheckResult, verdict: DataFrame, rid) -> DataFrame:

@@ -81,7 +81,54 @@ def definitions_members(spark):
     return literal_frame(spark, [(1, 1), (1, 2), (1, 3), (2, 4)], schemas.SET_MEMBERS)
 
 
-QUERIES = {"suite_mixed_case": suite_mixed_case, "suite_results": suite_results, "suite_details": suite_details, "history": history}
+# One-table checks of three tables: (code, table, rule or filters, key fields).
+# The rules read the same in both dialects but for the parameter.
+FUSED = [
+    ("VOL", "orders", (None, "o_orderkey >= 0"), None),
+    ("VOL", "orders", ("o_orderstatus = ?", "o_orderstatus <> 'F'"), None),
+    ("CAT", "orders", "o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')", "o_orderpriority"),
+    ("FORM", "orders", "o_orderstatus NOT IN ('F', 'O', 'P')", "o_orderstatus"),
+    ("OBG", "orders", "o_custkey IS NULL", "o_orderkey"),
+    ("CAT", "orders", "o_totalprice > 495000", "o_orderkey"),
+    ("FORM", "orders", "CAST(o_orderpriority AS INT) > 0", "o_orderkey"),      # fails on the data
+    ("OBG", "orders", "o_orderstatus = ? AND o_totalprice < 9000", "o_custkey, o_orderstatus"),
+    ("VOL", "lineitem", ("l_linenumber > 3", "l_linenumber <= 3"), None),
+    ("CAT", "lineitem", "l_returnflag NOT IN ('A', 'R')", "l_returnflag, l_linestatus"),
+    ("CAT", "lineitem", "l_linestatus NOT IN ('F', 'O')", "l_orderkey"),
+    ("FORM", "lineitem", "l_quantity <> floor(l_quantity)", "l_orderkey, l_linenumber"),
+    ("OBG", "lineitem", "l_shipdate IS NULL", "l_orderkey"),
+    ("CAT", "lineitem", "l_discount > 0.1", "l_linenumber"),
+    ("CAT", "lineitem", "l_tax > 0.07 AND l_quantity > 49", "l_orderkey, l_linenumber"),
+    ("FORM", "lineitem", "l_linenumber NOT BETWEEN 1 AND 6", "l_linenumber"),
+    ("VOL", "customer", (None, "c_acctbal > -5000"), None),
+    ("OBG", "customer", "c_name IS NULL OR c_mktsegment = ''", "c_custkey"),
+    ("FORM", "customer", "c_name NOT LIKE 'Customer#%'", "c_name"),
+    ("CAT", "customer", "c_mktsegment NOT IN ('BUILDING', 'MACHINERY')", "c_mktsegment"),
+    ("CAT", "customer", "c_acctbal < -900", "c_custkey"),
+    ("FORM", "customer", "length(c_name) <> 18", None),
+    ("CAT", "customer", "c_nationkey = 7", None),
+]
+FUSED_ERROR = 7
+
+
+def fused_definitions() -> list[Definition]:
+    out = []
+    for test_id, (code, table, rule, keys) in enumerate(FUSED, 1):
+        source, dest = rule if code == "VOL" else (rule, None)
+        out.append(Definition(test_id, "MAP" if code != "VOL" else "VOL", code, table, table if code == "VOL" else None,
+                              SOURCE_FILTER=source, DEST_FILTER=dest, KEY_FIELDS=keys))
+    return out
+
+
+def suite_fused(spark, sf_dir):
+    """Checks that share one scan a table; one of them fails on the data, alone."""
+    _views(spark, sf_dir, "orders", "lineitem", "customer")
+    results, details = run_suite(spark, fused_definitions(), {"o_orderstatus": "F"}).with_ids()
+    return _history(results, details).select("RESULT_ID", "TEST_ID", "RESULT", "EXECUTION_PARAMETER", "KEY_FIELDS")
+
+
+QUERIES = {"suite_mixed_case": suite_mixed_case, "suite_results": suite_results, "suite_details": suite_details,
+           "history": history, "suite_fused": suite_fused}
 
 
 # ------------------------------------------------------------------ oracle --
@@ -128,7 +175,27 @@ _KEYS = " UNION ALL ".join([
 _DETAILS = (f"SELECT ROW_NUMBER() OVER (ORDER BY RESULT_ID, KEY_FIELDS) AS DETAILS_ID, RESULT_ID, KEY_FIELDS "
             f"FROM ({_KEYS}) k")
 
+def _fused_sql() -> str:
+    """Each check by a query of its own."""
+    out = []
+    for test_id, (code, table, rule, keys) in enumerate(FUSED, 1):
+        head = f"CAST({test_id} AS BIGINT) AS RESULT_ID, {test_id} AS TEST_ID"
+        params = "o_orderstatus=''F''" if "= ?" in str(rule) else "N/A"
+        if test_id == FUSED_ERROR:
+            out.append(f"SELECT {head}, 'ERROR' AS RESULT, 'N/A' AS EXECUTION_PARAMETER, NULL AS KEY_FIELDS")
+        elif code == "VOL":
+            a, b = (f"(SELECT count(*) FROM {table} WHERE {(x or 'true').replace('?', chr(39) + 'F' + chr(39))})" for x in rule)
+            out.append(f"SELECT {head}, CASE WHEN {a} = {b} THEN 'OK' ELSE 'NOK' END, '{params}', NULL")
+        else:
+            bad = f"FROM {table} WHERE {rule.replace('?', chr(39) + 'F' + chr(39))}"
+            text = O._ktext(keys.split(", "), ", ") if keys else "''"
+            out.append(f"SELECT {head}, 'NOK', '{params}', k FROM (SELECT DISTINCT {text} AS k {bad}) x")
+            out.append(f"SELECT {head}, 'OK', '{params}', NULL WHERE NOT EXISTS (SELECT 1 {bad})")
+    return " UNION ALL ".join(out)
+
+
 ORACLE = {
+    "suite_fused": _fused_sql(),
     "suite_mixed_case": (
         "SELECT CAST(1 AS BIGINT) AS RESULT_ID, 1 AS TEST_ID, 'NOK' AS RESULT, 'N_NATIONKEY=''' || n_nationkey || '''' "
         "AS KEY_FIELDS FROM nation WHERE n_nationkey = 7 UNION ALL "

@@ -94,3 +94,23 @@ def test_key_text_quotes_nulls_and_separators(spark):
     # the text is a usable predicate
     assert df.where(row.x.replace(" , ", " AND ")).count() == 1
     assert df.where(F.expr(row.y.replace(", ", " AND "))).count() == 1
+
+
+def test_output_names_are_unique():
+    from parity.functions.text import output_names
+    assert output_names(["k", "v + 1", "v - 1"]) == ["k", "v_1", "v_1_2"]
+    assert output_names(["k", "v", "V", "v"]) == ["k", "v", "V_2", "v_3"]
+    assert output_names(["v + 1", "v_1"]) == ["v_1_2", "v_1"]            # a column keeps its own name
+    assert output_names(["v + 1"], reserved=["v_1"]) == ["v_1_2"]
+    assert output_names(["v_1", "v + 1", "v - 1", "v_1_2"]) == ["v_1", "v_1_3", "v_1_4", "v_1_2"]
+
+
+def test_placeholders_inside_quotes_or_comments_are_none():
+    from parity.functions.params import bound_text
+    text = """n <> 'x = ?' AND s <> "y = ?" AND `z = ?` = 1 AND k = ? -- w = ?
+              AND t <> 'it''s u = ?' /* v = ? */ AND e <> 'a\\'b = ?'"""
+    assert placeholders(text) == ["k"]
+    b = bind(text, {"k": 3})
+    assert b.missing == [] and b.text == text.replace("k = ?", "k = :k") and b.args == {"k": 3}
+    assert bound_text(text, {"k": 3}) == text.replace("k = ?", "k = 3")
+    assert bind("n <> 'x = ?'", {}).missing == []
