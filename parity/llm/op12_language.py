@@ -12,7 +12,7 @@ letters and bytes from 0x80 on) are averaged over the whole document; the
 language with the largest average is predicted, and the average is its score.
 
 Learning: Spark picks at most ``PER_LANG`` documents a language and ``SAMPLE``
-in all (the smallest hashes of doc_id, the languages in turn, among the rows
+in all (the smallest hashes of their rows, the languages in turn, among those
 that may be learned from), and at most ``VIEWS`` windows of ``VIEW`` bytes of
 each, spread evenly over the text.  One task fits the network to these few bytes by
 backpropagation through time (Adam, fixed seed): position by position, every
@@ -47,6 +47,7 @@ WINDOW = 128
 #: Documents that the network is fitted to: a language, and in all; windows of each, and their bytes.
 PER_LANG = 800
 SAMPLE = 20_000
+SPARE = 4
 VIEWS = 4
 VIEW = 64
 #: Steps of learning, and windows of a step.
@@ -256,18 +257,24 @@ def fit(rows: list[tuple[str, bytes]], units: int = UNITS, steps: int = STEPS, s
 # ------------------------------------------------------------------ Spark --
 
 def sample_of(docs: DataFrame, per_lang: int, sample: int, view: int, views: int) -> DataFrame:
-    """lang and windows of the documents to learn from."""
+    """lang and windows of the documents to learn from.  A language with more
+    than ``SPARE`` times the documents needed is first thinned by their hashes
+    to about that many, so no task ranks more, however large the corpus."""
+    docs = docs.filter("lang IS NOT NULL AND length(text) > 0").withColumn("lang", F.col("lang").cast("string"))
+    sizes = (docs.groupBy("lang").agg(F.count(F.lit(1)).alias("in_lang"))
+             .orderBy(F.desc("in_lang"), "lang").limit(sample))   # more languages than documents can't be learned
     n = f"least({views}, CAST(ceil(length(bytes) / {view}) AS INT))"
     spread = F.expr(f"transform(sequence(0, {n} - 1), i -> substring(bytes, 1 + CAST(i * greatest(0, length(bytes) - {view}) "
                     f"div greatest(1, {n} - 1) AS INT), {view}))")
-    rows = (docs.select(F.col("lang").cast("string").alias("lang"), F.xxhash64(F.col("doc_id").cast("long")).alias("h"),
+    rows = (docs.select("lang", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("h"),
                         F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").cast("binary").alias("bytes"))
-            .filter("lang IS NOT NULL AND length(bytes) > 0")
+            .join(F.broadcast(sizes), "lang")   # at most ``sample`` rows
+            .filter(F.pmod("h", F.lit(1 << 30)) * F.col("in_lang").cast("double") < F.lit(float(SPARE * per_lang << 30)))
             .select("lang", "h", "doc_id", spread.alias("windows")))
     in_lang = Window.partitionBy("lang").orderBy("h", "doc_id", "windows")
     return (rows.withColumn("rank", F.row_number().over(in_lang)).filter(F.col("rank") <= per_lang)
-              .orderBy("rank", "lang").limit(sample).select("lang", "windows"))
+            .orderBy("rank", "lang").limit(sample).select("lang", "windows"))
 
 
 def train(docs: DataFrame, per_lang: int = PER_LANG, sample: int = SAMPLE, view: int = VIEW,
