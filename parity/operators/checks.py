@@ -28,6 +28,8 @@ from parity.sources.local import literal_frame
 from parity.sources.relation import is_query, relation, strip_parens, where
 
 VOL, CON, CAT, FORM, OBG, REF, DUP = "VOL", "CON", "CAT", "FORM", "OBG", "REF", "DUP"
+EXACT, FINGERPRINT = "exact", "fingerprint"     # ways to a content check's verdict
+METHODS = (EXACT, FINGERPRINT)
 SUBTYPES = (VOL, CON, CAT, FORM, REF, OBG, DUP)
 
 
@@ -165,7 +167,8 @@ def volume(spark: SparkSession, src, dest, src_filter=None, dest_filter=None, pa
 # ------------------------------------------------------------- CON / REF --
 
 def _compare(spark, subtype, src, dest, join_key, src_select, dest_select, src_filter, dest_filter,
-             src_group_by, dest_group_by, key_fields, params, tables) -> CheckResult:
+             src_group_by, dest_group_by, key_fields, params, tables, method=EXACT,
+             unique_keys=False) -> CheckResult:
     on = parse_join_key(join_key) if (join_key is None or isinstance(join_key, str)) else list(join_key)
     kf = _keys_list(key_fields)
     mapping = {a.lower(): b for a, b in on}
@@ -182,26 +185,30 @@ def _compare(spark, subtype, src, dest, join_key, src_select, dest_select, src_f
         cmp = CrossComparison(s, d, tuple(kf))
     param_text = report(params, s.bound, d.bound)
 
+    if method not in METHODS or (method == FINGERPRINT and not on):
+        raise ValueError(f"no method {method!r} for this comparison")
+
     def verdict():
-        return cmp.verdict().withColumn("execution_parameter", F.lit(param_text))
+        found = cmp.fingerprint_verdict(unique_keys=unique_keys) if method == FINGERPRINT else cmp.verdict()
+        return found.withColumn("execution_parameter", F.lit(param_text))
 
-    def rows():
-        try:
-            return cmp.differences()
-        except ValueError:
-            return None      # keyless compare of two row-level sides: counts only
     desc = _compare_sql(subtype, s, d, on, _from(src, src_filter, params, tables),
                         _from(dest, dest_filter, params, tables))
-    return CheckResult(subtype, verdict, cmp.keys, rows, desc, cmp, kf, param_text)
+    return CheckResult(subtype, verdict, cmp.keys, cmp.differences, desc, cmp, kf, param_text)
 
 
 def content(spark: SparkSession, src, dest, join_key=None, src_select=None, dest_select=None,
             src_filter=None, dest_filter=None, src_group_by=None, dest_group_by=None,
-            key_fields=None, params=None, tables=None) -> CheckResult:
+            key_fields=None, params=None, tables=None, method: str = EXACT,
+            unique_keys: bool = False) -> CheckResult:
     """Values agree between two relations: keyed (full outer on ``join_key``)
-    or, without a key, every source row against every destination row."""
+    or, without a key, every source row against every destination row.
+
+    ``method="fingerprint"`` (keyed) reaches the verdict by comparing hash sums
+    per range of keys, and tuples only where these differ; ``unique_keys``
+    promises that no source key has two tuples.  ``exact`` compares tuples alone."""
     return _compare(spark, CON, src, dest, join_key, src_select, dest_select, src_filter, dest_filter,
-                    src_group_by, dest_group_by, key_fields, params, tables)
+                    src_group_by, dest_group_by, key_fields, params, tables, method, unique_keys)
 
 
 def reference(spark: SparkSession, src, dest, join_key, src_select=None, dest_select=None,

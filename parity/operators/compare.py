@@ -21,7 +21,16 @@ between the aggregate and the join).
 
 Join-key equality is not null-safe: a NULL key never matches and its row is
 one-sided.  In ``rows()`` NULL-key rows get a salt in the join key so they
-spread over all partitions instead of landing in one.
+spread over all partitions instead of landing in one, keys that hold far more
+records than others are joined apart, in a grid of cells, and sides that are
+bucketed by the join key are joined without an exchange.
+
+``fingerprint_verdict()`` compares order-free sums of hashes per range of keys
+first and tuples only in ranges that differ.
+
+Sides that Spark's own statistics show to be small are dealt by their join key
+once, and aggregated in place; large ones are pre-aggregated before every
+exchange.  Both give the same rows.
 
 Both ways compare values under the type that Spark's own ``a = b`` uses.
 Products of counts are summed in two halves, so none overflows, and put
@@ -31,8 +40,8 @@ BIGINT, so the verdict holds at any size.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import lru_cache
+from dataclasses import dataclass, replace
+from functools import cached_property, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,6 +103,42 @@ def _tuple_null(n: int) -> Column:
     return C.all_null([F.col(f"t.v{i}") for i in range(n)])
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a frame's size (huge where it knows nothing)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _dealt_by(df: DataFrame, columns: list[str]) -> bool:
+    """Whether the planned scan already deals the rows by exactly these columns
+    (a table bucketed by them)."""
+    dealt = df._jdf.queryExecution().sparkPlan().outputPartitioning()
+    ways = [dealt]
+    if dealt.getClass().getSimpleName() == "PartitioningCollection":       # a column selected under two names
+        ways = [dealt.partitionings().apply(i) for i in range(dealt.partitionings().size())]
+    for way in ways:
+        if way.getClass().getSimpleName() == "HashPartitioning":
+            by = way.expressions()
+            if sorted(by.apply(i).sql() for i in range(by.size())) == sorted(columns):
+                return True
+    return False
+
+
+def _hash_args(cols: list[Column]) -> list[Column]:
+    """Arguments that make a hash tell NULL in one column from NULL in another."""
+    return [x for c in cols for x in (c.isNull(), c)]
+
+
+#: Sides of fewer estimated bytes are dealt by key once; hot keys are looked
+#: for where a side has more than the second number.
+SMALL_BYTES = 64 << 20
+LARGE_BYTES = 256 << 20
+#: Buckets of the count sketch, and records from which on a bucket can be hot.
+SKETCH = 1 << 16
+HOT_RECORDS = 4_000_000
+#: Ranges of keys that have a fingerprint each.
+RANGES = 1 << 16
+
+
 def _count_rows(name: str) -> Column:
     return F.count(F.lit(1)).alias(name)
 
@@ -175,7 +220,7 @@ class KeyedComparison:
         self._types = _common_types(self.src.df, self.src.names, self.dest.df, self.dest.names)
 
     # -- pair level ---------------------------------------------------------
-    def rows(self, collapse: bool = True) -> DataFrame:
+    def rows(self, collapse: bool = True, hot: int | None = None) -> DataFrame:
         """Joined pairs with ``<c>_src`` / ``<c>_dest``, ``status``, ``side``
         and ``pairs`` -- how many record pairs the row stands for.
 
@@ -185,27 +230,37 @@ class KeyedComparison:
         record pair instead of every m*n combination; on unique keys every
         row has ``pairs = 1``.  A side that is grouped by its join key has
         unique keys and isn't folded again.  ``collapse=False`` joins the
-        records as they are (one shuffle less; for keys known to be unique).
-
-        The full outer join is a left outer join, whose skewed source
-        partitions AQE can split, and the destination's rows without a
-        source key (an anti join, likewise)."""
-        n = len(self.src.names)
+        records as they are.
+
+        Each side is dealt by its key once, folded in place and joined (full
+        outer); sides bucketed by their keys aren't dealt again.  Before that,
+        where a side is large, a count sketch (records per hash of the key,
+        ``SKETCH`` numbers) finds buckets of more than ``hot`` records that
+        also hold more than four times the average.  Their rows are folded
+        before they are dealt and joined in a grid of cells: a bucket's source
+        records are split over the rows of the grid, its destination records
+        over the columns, so the largest task doesn't grow with a hot key.
+        ``hot`` given asks for the sketch at any size; it runs as a job when
+        this method is called."""
         s = self.src.df.select(*[c.alias(f"__k{i}") for i, c in enumerate(self._skc)],
                                *[F.col(c).alias(f"__sv{j}") for j, c in enumerate(self.src.names)])
         d = self.dest.df.select(*[c.alias(f"__j{i}") for i, c in enumerate(self._dkc)],
                                 *[F.col(c).alias(f"__dv{j}") for j, c in enumerate(self.dest.names)])
-        parts = _shuffle_partitions(self.src.df)
-        s = self._folded(s, "__cs", collapse and not self.src.unique_by(self._sk))
-        d = self._folded(d, "__cd", collapse and not self.dest.unique_by(self._dk))
-        s = s.withColumn("__salt", self._salt(s, "__k", parts))
-        d = d.withColumn("__dsalt", self._salt(d, "__j", parts))
-        cond = F.col("__salt") == F.col("__dsalt")
-        for i in range(len(self.on)):
-            cond = cond & (F.col(f"__k{i}") == F.col(f"__j{i}"))
-        with_source = s.join(d, cond, "left")
-        dest_only = d.join(s.select("__salt", *[f"__k{i}" for i in range(len(self.on))]), cond, "left_anti")
-        j = with_source.unionByName(dest_only, allowMissingColumns=True)
+        fold_s = collapse and not self.src.unique_by(self._sk)
+        fold_d = collapse and not self.dest.unique_by(self._dk)
+        grid = self._hot_buckets(s, d, hot)
+        parts = []
+        if grid is not None:
+            parts = self._joined_in_cells(s, d, grid, fold_s, fold_d)
+            s, d = (f.join(F.broadcast(grid), self._bucket(p) == F.col("__b"), "left_anti")
+                    for f, p in ((s, "__k"), (d, "__j")))
+        j = self._joined(s, d, fold_s, fold_d)
+        for part in parts:
+            j = j.unionByName(part, allowMissingColumns=True)
+        return self._reported(j)
+
+    def _reported(self, j: DataFrame) -> DataFrame:
+        n = len(self.src.names)
         sv = [F.col(f"__sv{i}") for i in range(n)]
         dv = [F.col(f"__dv{i}") for i in range(n)]
         if self.mode == "reference":
@@ -223,6 +278,92 @@ class KeyedComparison:
             out += [sv[i].alias(f"{a}_src"), dv[i].alias(f"{b}_dest")]
         return j.select(*out, status.alias("status"), side.alias("side"), pairs.alias("pairs"))
 
+    def _kj(self, prefix: str) -> list[str]:
+        return [f"{prefix}{i}" for i in range(len(self.on))]
+
+    def _same_key(self) -> Column:
+        cond = F.lit(True)
+        for k, j in zip(self._kj("__k"), self._kj("__j")):
+            cond = cond & (F.col(k) == F.col(j))
+        return cond
+
+    def _joined(self, s: DataFrame, d: DataFrame, fold_s: bool, fold_d: bool) -> DataFrame:
+        """Full outer join of the sides' (folded) records."""
+        if _dealt_by(s, self._kj("__k")) and _dealt_by(d, self._kj("__j")):
+            # in place: rows without a full key, which never match, take no part in the join
+            s_null, d_null = (C.any_null([F.col(c) for c in self._kj(p)]) for p in ("__k", "__j"))
+            both = self._folded(s.where(~s_null), "__cs", fold_s).join(
+                self._folded(d.where(~d_null), "__cd", fold_d), self._same_key(), "full")
+            return (both.unionByName(self._folded(s.where(s_null), "__cs", fold_s), allowMissingColumns=True)
+                    .unionByName(self._folded(d.where(d_null), "__cd", fold_d), allowMissingColumns=True))
+        parts = _shuffle_partitions(self.src.df)
+        s = s.withColumn("__salt", self._salt(s, "__k", parts))
+        d = d.withColumn("__dsalt", self._salt(d, "__j", parts))
+        if fold_s:
+            s = s.repartition("__salt", *self._kj("__k"))
+        if fold_d:
+            d = d.repartition("__dsalt", *self._kj("__j"))
+        return self._folded(s, "__cs", fold_s).join(
+            self._folded(d, "__cd", fold_d), (F.col("__salt") == F.col("__dsalt")) & self._same_key(), "full")
+
+    def _bucket(self, prefix: str) -> Column:
+        """Bucket of a row's key in the count sketch; NULL without a full key."""
+        keys = [F.col(c) for c in self._kj(prefix)]
+        return F.when(~C.any_null(keys), F.pmod(F.xxhash64(*keys), F.lit(SKETCH)).cast("int"))
+
+    def _hot_buckets(self, s: DataFrame, d: DataFrame, hot: int | None) -> DataFrame | None:
+        """Hot buckets with the cells of their grid (``__b``, ``__rows``,
+        ``__columns``), at most a quarter of the sketch a side; None if none."""
+        if hot is None and max(_estimated_bytes(s), _estimated_bytes(d)) < LARGE_BYTES:
+            return None
+        least = HOT_RECORDS if hot is None else hot
+        sketch = (s.select(self._bucket("__k").alias("b"), F.lit(1).alias("s"))
+                  .unionByName(d.select(self._bucket("__j").alias("b"), F.lit(0).alias("s")))
+                  .where("b IS NOT NULL").groupBy("b").agg(F.expr("count_if(s = 1)").alias("ns"),
+                                                           F.expr("count_if(s = 0)").alias("nd")).collect())
+        limits = [max(least, 4 * sum(r[c] for r in sketch) // SKETCH) for c in ("ns", "nd")]
+        cells = [(r["b"], -(-r["ns"] // limits[0]), -(-r["nd"] // limits[1])) for r in sketch
+                 if r["ns"] > limits[0] or r["nd"] > limits[1]]
+        if not cells:
+            return None
+        text = "[" + ",".join(f'{{"__b":{b},"__rows":{max(1, i)},"__columns":{max(1, j)}}}' for b, i, j in cells) + "]"
+        return self.src.df.sparkSession.range(1).select(F.inline(F.from_json(
+            F.lit(text), "array<struct<__b: int, __rows: int, __columns: int>>")))
+
+    def _joined_in_cells(self, s: DataFrame, d: DataFrame, grid: DataFrame, fold_s: bool, fold_d: bool) -> list[DataFrame]:
+        """Pairs, source-only and destination-only records of the hot buckets."""
+        def split(df, prefix, count, fold, own, other):
+            """Records of hot buckets, each in a row (column) of its bucket's grid."""
+            columns = df.columns
+            df = df.join(F.broadcast(grid), self._bucket(prefix) == F.col("__b"))
+            if fold:       # by whole record: partial counts in each task, a hot key's records in many tasks
+                df = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(count))
+            else:
+                df = df.withColumn(count, F.lit(1).cast("long"))
+            at = F.pmod(F.xxhash64(*_hash_args([F.col(c) for c in columns])), F.col(other)).cast("int")
+            return df.select(*columns, count, at.alias(own), "__rows", "__columns")
+
+        def over(df, other, name):
+            return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+
+        k, j = self._kj("__k"), self._kj("__j")
+        s = split(s, "__k", "__cs", fold_s, "__row", "__rows")
+        d = split(d, "__j", "__cd", fold_d, "__dcolumn", "__columns")
+        s_out, d_out = [c for c in s.columns if c[:4] in ("__sv", "__cs")], [c for c in d.columns if c[:4] in ("__dv", "__cd")]
+        s_cells = over(s, "__columns", "__column").drop("__rows", "__columns")
+        d_cells = over(d, "__rows", "__drow").drop("__rows", "__columns")
+        # a cell is small, its pairs may be many: a fixed number of tasks, which AQE doesn't merge by input size
+        n = _shuffle_partitions(self.src.df)
+        s_cells = s_cells.repartition(n, *k, "__row", "__column")
+        d_cells = d_cells.repartition(n, *j, "__drow", "__dcolumn")
+        pairs = s_cells.join(d_cells, self._same_key() & (F.col("__row") == F.col("__drow"))
+                             & (F.col("__column") == F.col("__dcolumn"))).select(*s_out, *d_out)
+        d_keys = over(d.select(*j, "__rows").distinct(), "__rows", "__drow")
+        s_keys = over(s.select(*k, "__columns").distinct(), "__columns", "__column")
+        s_only = s.join(d_keys.select(*j, "__drow"), self._same_key() & (F.col("__row") == F.col("__drow")), "left_anti")
+        d_only = d.join(s_keys.select(*k, "__column"), self._same_key() & (F.col("__column") == F.col("__dcolumn")), "left_anti")
+        return [pairs, s_only.select(*s_out), d_only.select(*d_out)]
+
     @staticmethod
     def _folded(df: DataFrame, count: str, fold: bool) -> DataFrame:
         if fold:
@@ -264,6 +405,10 @@ class KeyedComparison:
     def _keys(self, cols: list[Column]) -> list[Column]:
         return [c.alias(f"k{i}") for i, c in enumerate(cols)]
 
+    @cached_property
+    def _small(self) -> bool:
+        return _estimated_bytes(self.src.df) + _estimated_bytes(self.dest.df) < SMALL_BYTES
+
     @property
     def _kn(self) -> list[str]:
         return [f"k{i}" for i in range(len(self.on))]
@@ -285,7 +430,8 @@ class KeyedComparison:
         u = (part(self.src.df, self._skc, self._sv, 0, None)
              .unionByName(part(self.dest.df, self._dkc, self._dv, 1, extra_dest)))
         any_null_key = " OR ".join(f"{k} IS NULL" for k in self._kn)
-        return u.withColumn("nk", F.expr(f"CASE WHEN {any_null_key} THEN side + 1 ELSE 0 END"))
+        u = u.withColumn("nk", F.expr(f"CASE WHEN {any_null_key} THEN side + 1 ELSE 0 END"))
+        return u.repartition(*self._kn, "nk") if with_tuple and self._small else u
 
     def summary(self) -> DataFrame:
         """Counts per (status, side) without building pairs.
@@ -294,6 +440,9 @@ class KeyedComparison:
         source and destination counts (what a full outer join of the
         collapsed sides would give, without the join); a second aggregation
         per key and a global sum finish the counts."""
+        if self.src.unique_by(self._sk) and self.dest.unique_by(self._dk):
+            # no key repeats: the pairs are as few as the keys, and the sides are dealt by them already
+            return self.rows().groupBy("status", "side").agg(F.sum("pairs").alias("n"))
         if self.mode == "reference":
             return self._reference_summary()
         n = len(self.src.names)
@@ -337,6 +486,63 @@ class KeyedComparison:
     def verdict(self) -> DataFrame:
         return verdict_of(self.summary())
 
+    # -- fingerprints -----------------------------------------------------------
+    def differing_ranges(self, ranges: int = RANGES, unique_keys: bool = False) -> DataFrame:
+        """``__range``: the ranges of keys (by hash) that aren't surely equal, at
+        most ``ranges`` rows.
+
+        A range is equal if both sides have the same number of records in it and
+        the same sums of two 64-bit hashes of (key, tuple), taken in pieces that
+        no sum overflows, if no record lacks a key part or has an all-NULL tuple,
+        and if no key of the source has two tuples.  The last point takes the
+        least and largest hash of every key, an exchange of key hashes alone;
+        ``unique_keys`` promises it (a DUP check, a declared key) and saves that.
+        Sums that agree on different records: about 2^-126 for a pair of sets;
+        two tuples of a key that agree in both hashes: 2^-128."""
+        if self.mode != "content":
+            raise ValueError("fingerprints compare contents")
+
+        def part(df, keys, vals, sign):
+            args = _hash_args(keys) + _hash_args(vals)
+            return df.select(self._range(keys, ranges).alias("__range"), F.xxhash64(*_hash_args(keys)).alias("kh"),
+                             F.xxhash64(*args).alias("a"), F.xxhash64(F.lit("second"), *args).alias("b"),
+                             F.lit(sign).cast("long").alias("sign"), (C.any_null(keys) | C.all_null(vals)).alias("odd"))
+
+        src = part(self.src.df, self._skc, self._sv, 1)
+        pieces = [f"sum(sign * ({shift}({h}, {at}) & {mask}))" for h in "ab"
+                  for shift, at, mask in (("shiftrightunsigned", 0, (1 << 22) - 1), ("shiftrightunsigned", 22, (1 << 21) - 1),
+                                          ("shiftrightunsigned", 43, (1 << 21) - 1))]
+        sums = [F.expr(e).alias(f"s{i}") for i, e in enumerate(["sum(sign)", *pieces])]
+        differ = " OR ".join(f"s{i} <> 0" for i in range(len(sums)))
+        bad = (src.unionByName(part(self.dest.df, self._dkc, self._dv, -1)).groupBy("__range")
+               .agg(*sums, F.expr("bool_or(odd)").alias("odd")).where(f"odd OR {differ}").select("__range"))
+        if not unique_keys:
+            per_key = src.groupBy("__range", "kh").agg(*[F.expr(f"{f}({h})").alias(f"{f}_{h}")
+                                                         for f in ("min", "max") for h in "ab"])
+            bad = bad.unionByName(per_key.where("min_a <> max_a OR min_b <> max_b").select("__range")).distinct()
+        return bad
+
+    @staticmethod
+    def _range(keys: list[Column], ranges: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit("range"), *_hash_args(keys)), F.lit(ranges)).cast("int")
+
+    def in_differing_ranges(self, ranges: int = RANGES, unique_keys: bool = False) -> "KeyedComparison":
+        """The comparison of the records in ranges that may differ.  The ranges
+        are broadcast, being at most ``ranges`` numbers; where there are none,
+        the sides aren't read again."""
+        bad = F.broadcast(self.differing_ranges(ranges, unique_keys))
+
+        def only(side: Side, keys: list[Column]) -> Side:
+            df = side.df.withColumn("__range", self._range(keys, ranges)).join(bad, "__range", "left_semi")
+            return replace(side, df=df.drop("__range"))
+
+        return KeyedComparison(only(self.src, self._skc), only(self.dest, self._dkc), self.on, self.mode, self.key_fields)
+
+    def fingerprint_verdict(self, ranges: int = RANGES, unique_keys: bool = False) -> DataFrame:
+        """``verdict`` that compares tuples only in ranges of keys whose
+        fingerprints differ: equal sides cost one reading and no exchange of tuples."""
+        return self.in_differing_ranges(ranges, unique_keys).verdict()
+
     # -- offending keys ---------------------------------------------------------
     def keys(self) -> DataFrame:
         """Distinct key text of the records behind the differences, one column
@@ -393,26 +599,33 @@ class KeyedComparison:
     def _content_keys(self, kf: list[str]) -> DataFrame:
         """A source record (key k, tuple t) takes part in a difference unless
         every destination row of k carries exactly t and t is not all NULL:
-        the destination has one distinct tuple under k, and (k, t) is it.
-        Source records (copies folded) meet both facts in left outer joins,
-        whose skewed partitions AQE can split; destination-only keys come from
-        an anti join and add the all-NULL key text."""
+        the destination has one distinct tuple under k, and it is t.  Source
+        records (copies folded) meet the destination's one row a key in a left
+        outer join, whose skewed partitions AQE can split; destination-only
+        keys come from an anti join and add the all-NULL key text.  Small
+        sides, dealt by key once, do with one full outer join."""
         pos = self._key_positions(kf)
         if pos is not None:
             return self._content_keys_by_key(kf, pos)
         n = len(self.src.names)
         s = self.src.df.select(*self._keys(self._skc), _tuple(self._sv).alias("t"),
-                               F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf")).distinct()
-        tuples = self.dest.df.select(*self._keys(self._dkc), _tuple(self._dv).alias("t")).distinct()
-        per_key = tuples.groupBy(*self._kn).agg(F.count(F.lit(1)).alias("n_tuples"))
-        j = (s.join(tuples.withColumn("same", F.lit(True)), [*self._kn, "t"], "left")
-             .join(per_key, self._kn, "left"))
-        clean = F.coalesce((F.col("n_tuples") == 1) & F.col("same"), F.lit(False)) & ~_tuple_null(n)
-        kf_cols = [F.col(f"kf.{c}") for c in kf]
-        src_keys = j.where(~clean).select(C.key_text(kf, kf_cols).alias("key_fields"))
+                               F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf"))
+        tuples = self.dest.df.select(*self._keys(self._dkc), _tuple(self._dv).alias("t"))
+        if self._small:
+            s, tuples = s.repartition(*self._kn), tuples.repartition(*self._kn)
+        s = s.distinct()
+        per_key = (tuples.distinct().groupBy(*self._kn)
+                   .agg(F.count(F.lit(1)).alias("n_tuples"), F.min("t").alias("only")))
+        clean = (F.coalesce((F.col("n_tuples") == 1) & F.col("t").eqNullSafe(F.col("only")), F.lit(False))
+                 & ~_tuple_null(n))
+        text, no_text = C.key_text(kf, [F.col(f"kf.{c}") for c in kf]), F.lit(C.null_key_text(kf))
+        if self._small:
+            j = s.join(per_key, self._kn, "full")
+            found = F.when(F.col("kf").isNull(), no_text).otherwise(text)     # no source record: destination alone
+            return j.where(F.col("kf").isNull() | ~clean).select(found.alias("key_fields")).distinct()
+        src_keys = s.join(per_key, self._kn, "left").where(~clean).select(text.alias("key_fields"))
         dest_only = per_key.select(*self._kn).join(s.select(*self._kn).distinct(), self._kn, "left_anti")
-        null_text = dest_only.select(F.lit(C.null_key_text(kf)).alias("key_fields"))
-        return src_keys.unionByName(null_text).distinct()
+        return src_keys.unionByName(dest_only.select(no_text.alias("key_fields"))).distinct()
 
     def _reference_keys(self, kf: list[str]) -> DataFrame:
         """Source-only records give their key text (anti join of distinct
@@ -426,11 +639,16 @@ class KeyedComparison:
         pos = self._key_positions(kf)
         if pos is not None:
             return self._reference_keys_by_key(kf, pos, mapped)
-        s = self.src.df.select(*self._keys(self._skc),
-                               F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf")).distinct()
+        s = self.src.df.select(*self._keys(self._skc), F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf"))
+        s = (s.repartition(*self._kn) if self._small else s).distinct()
         d = (self.dest.df.select(*self._keys(self._dkc), C.all_null([F.col(c) for c in mapped]).alias("mn"))
              .groupBy(*self._kn).agg(F.max("mn").alias("mapped_null")))
         kf_cols = [F.col(f"kf.{c}") for c in kf]
+        if self._small:
+            j = s.join(d.withColumn("in_dest", F.lit(True)), self._kn, "full")
+            found = F.when(F.col("kf").isNull(), F.lit(C.null_key_text(kf))).otherwise(C.key_text(kf, kf_cols))
+            return (j.where(F.col("in_dest").isNull() | (F.col("kf").isNull() & F.col("mapped_null")))
+                    .select(found.alias("key_fields")).distinct())
         src_keys = s.join(d, self._kn, "left_anti").select(C.key_text(kf, kf_cols).alias("key_fields"))
         dest_only = (d.where(F.col("mapped_null")).select(*self._kn)
                      .join(s.select(*self._kn).distinct(), self._kn, "left_anti"))
@@ -448,7 +666,8 @@ class CrossComparison:
     sum over tuples of cnt_S(t)*cnt_D(t) (NULL-safe); a source row takes
     part in a difference iff |D| > cnt_D(its tuple).  Pairs themselves are
     only built when one side is a single row by construction (a global
-    aggregate), via a broadcast of that row."""
+    aggregate), via a broadcast of that row; ``report`` lists the differing
+    tuples of two row-level sides with their counts."""
 
     src: Side
     dest: Side
@@ -470,7 +689,7 @@ class CrossComparison:
             j = F.broadcast(s).crossJoin(d)
         else:
             raise ValueError("pair rows of a keyless comparison need one single-row side "
-                             "(a global aggregate); use summary()/verdict()/keys() for row-level sides")
+                             "(a global aggregate); use report()/summary()/verdict()/keys() for row-level sides")
         sv = [F.col(f"__sv{i}") for i in range(n)]
         dv = [F.col(f"__dv{i}") for i in range(n)]
         out = []
@@ -481,24 +700,43 @@ class CrossComparison:
         return j.select(*out, C.cross_status(pairs).alias("status"), F.lit(C.SIDE_BOTH).alias("side"))
 
     def differences(self) -> DataFrame:
+        """Differing pairs where one side is a single row, else the ``report``."""
+        if not (self.src.single_row or self.dest.single_row):
+            return self.report()
         return self.rows().where(F.col("status") != C.MATCH)
 
-    def _collapsed(self):
-        a_s = self.src.df.groupBy(_tuple(self._sv).alias("t")).agg(_count_rows("cs"))
-        a_d = self.dest.df.groupBy(_tuple(self._dv).alias("t")).agg(_count_rows("cd"))
-        return a_s, a_d
-
-    def summary(self) -> DataFrame:
-        """One aggregation of both sides per tuple gives cnt_S(t), cnt_D(t);
-        one global sum gives |S|, |D| and the matching pairs."""
+    def _per_tuple(self) -> DataFrame:
+        """cnt_S(t) and cnt_D(t) of every tuple, by one aggregation of both sides."""
         u = (self.src.df.select(_tuple(self._sv).alias("t"), F.lit(0).alias("side"))
              .unionByName(self.dest.df.select(_tuple(self._dv).alias("t"), F.lit(1).alias("side"))))
-        per_t = u.groupBy("t").agg(F.expr("count_if(side = 0)").alias("cs"), F.expr("count_if(side = 1)").alias("cd"))
-        totals = (per_t.agg(*[F.expr(e) for e in ("sum(cs) AS ns", "sum(cd) AS nd", *_sum_of_products("m", "cs", "cd"))])
+        return u.groupBy("t").agg(F.expr("count_if(side = 0)").alias("cs"), F.expr("count_if(side = 1)").alias("cd"))
+
+    def summary(self) -> DataFrame:
+        """Counts per tuple, then one global sum for |S|, |D| and the matching pairs."""
+        totals = (self._per_tuple()
+                  .agg(*[F.expr(e) for e in ("sum(cs) AS ns", "sum(cd) AS nd", *_sum_of_products("m", "cs", "cd"))])
                   .selectExpr(f"{_total('m')} AS match", f"{_BIG.format('ns')} * nd - {_total('m')} AS no_match"))
         return _summary_from_totals(totals, [(C.MATCH, C.SIDE_BOTH, "match"),
                                              (C.NO_MATCH, C.SIDE_BOTH, "no_match")])
 
+    def report(self) -> DataFrame:
+        """The differing records of both sides, one row a distinct tuple and side:
+        the values (under the source's names and the compared types), ``side``
+        (``src`` / ``dest``), ``records`` that have them, and ``pairs``, the pairs
+        in difference that these records are part of: records times the other
+        side's records with another tuple.  No pair is built; the work is linear in
+        the sides.  The ``pairs`` of either side alone add up to ``n_differences``."""
+        per_tuple = self._per_tuple()
+        totals = per_tuple.agg(F.expr("coalesce(sum(cs), 0) AS ns"), F.expr("coalesce(sum(cd), 0) AS nd"))
+        entry = "named_struct('side', '{side}', 'records', {own}, 'pairs', " + _BIGINT.format(
+            f"{_BIG.format('{own}')} * ({{total}} - {{other}})") + ")"
+        both = ", ".join([entry.format(side=C.SIDE_SRC, own="cs", total="nd", other="cd"),
+                          entry.format(side=C.SIDE_DEST, own="cd", total="ns", other="cs")])
+        values = [F.col(f"t.v{i}").alias(n) for i, n in enumerate(self.src.names)]
+        return (per_tuple.crossJoin(F.broadcast(totals))       # one row
+                .select("t", F.expr(f"inline(filter(array({both}), x -> x.pairs > 0))"))
+                .select(*values, "side", "records", "pairs"))
+
     def verdict(self) -> DataFrame:
         return verdict_of(self.summary())
 
@@ -506,7 +744,7 @@ class CrossComparison:
         if not self.key_fields:
             return literal_frame(self.src.df.sparkSession, [], "key_fields string")
         kf = list(self.key_fields)
-        _, a_d = self._collapsed()
+        a_d = self.dest.df.groupBy(_tuple(self._dv).alias("t")).agg(_count_rows("cd"))
         nd = a_d.agg(F.coalesce(F.sum("cd"), F.lit(0)).alias("nd"))
         s = self.src.df.select(_tuple(self._sv).alias("t"),
                                F.struct(*[F.col(c).alias(c) for c in kf]).alias("kf")).distinct()

@@ -9,7 +9,7 @@ CASE per joined pair -- so it shares no logic with the Spark operators
 from __future__ import annotations
 
 from parity.plans.scenarios import (
-    CUSTOMER_NULL_KEYS_SQL, DEST_ORDERS_SQL, LINES_AS_DECIMAL_SQL, LINES_AS_TEXT_SQL, ORDERS_AS_INT_SQL,
+    CUSTOMER_NULL_KEYS_SQL, DEST_ORDERS_SQL, HOT_LINES_OPEN_SQL, HOT_LINES_SQL, LINES_AS_DECIMAL_SQL, LINES_AS_TEXT_SQL, ORDERS_AS_INT_SQL,
     ORDERS_AS_TEXT_SQL, ORDERS_BY_PRIORITY_SQL, ORDERS_MOVED_SQL, ORDERS_SHIFTED_SQL, LINESTATUS_WITH_NULLS_SQL, NATION_RENAMED_SQL, NATION_SUBSET_SQL,
     SEGMENT_WITH_NULLS_SQL, UNION_TRIM_SQL, UNION_TRIM_SRC_FILTER,
 )
@@ -92,6 +92,32 @@ _SAME_NAMES = "SELECT o_orderkey, o_custkey + 1 AS o_custkey_1, o_custkey - 1 AS
 _SAME_PAIRS = [(c, c) for c in ("o_orderkey", "o_custkey_1", "o_custkey_1_2", "o_orderstatus", "o_orderstatus_2")]
 _SAME = _joined(_SAME_NAMES.format("orders"), _SAME_NAMES.format(ORDERS_MOVED_SQL), [("o_orderkey", "o_orderkey")], _SAME_PAIRS)
 
+_FINGERPRINTS = " UNION ALL ".join(f"SELECT '{name}' AS copy, * FROM ({_verdict(j)}) v" for name, j in [
+    ("equal", _joined("SELECT o_orderkey, o_orderstatus FROM orders", "SELECT o_orderkey, o_orderstatus FROM orders",
+                      [("o_orderkey", "o_orderkey")], [(c, c) for c in ("o_orderkey", "o_orderstatus")])),
+    ("faulty", FLAGSHIP),
+    ("repeated", _joined("SELECT l_orderkey, l_returnflag FROM lineitem", "SELECT l_orderkey, l_returnflag FROM lineitem",
+                         [("l_orderkey", "l_orderkey")], [("l_returnflag", "l_returnflag")]))])
+
+_CROSS_REPORT = """WITH s AS (SELECT o_orderstatus, o_orderkey, COUNT(*) AS n FROM orders GROUP BY ALL),
+d AS (SELECT l_linestatus, l_orderkey, COUNT(*) AS n FROM lineitem GROUP BY ALL),
+j AS (SELECT coalesce(o_orderstatus, l_linestatus) AS o_orderstatus, coalesce(o_orderkey, l_orderkey) AS o_orderkey,
+        coalesce(s.n, 0) AS cs, coalesce(d.n, 0) AS cd FROM s FULL OUTER JOIN d
+      ON o_orderstatus IS NOT DISTINCT FROM l_linestatus AND o_orderkey IS NOT DISTINCT FROM l_orderkey),
+r AS (SELECT o_orderstatus, o_orderkey, 'src' AS side, cs AS records,
+        cs * ((SELECT COUNT(*) FROM lineitem) - cd) AS pairs FROM j
+      UNION ALL SELECT o_orderstatus, o_orderkey, 'dest', cd, cd * ((SELECT COUNT(*) FROM orders) - cs) FROM j)
+SELECT o_orderstatus, o_orderkey, side, records, CAST(pairs AS BIGINT) AS pairs FROM r WHERE pairs > 0"""
+
+_HOT_ROWS = f"""WITH s AS (SELECT k, v, COUNT(*) AS cs FROM {HOT_LINES_SQL} x GROUP BY k, v),
+d AS (SELECT k, v, COUNT(*) AS cd FROM {HOT_LINES_OPEN_SQL} x GROUP BY k, v),
+j AS (SELECT CASE WHEN s.k IS DISTINCT FROM d.k OR s.v IS DISTINCT FROM d.v THEN {_NO} WHEN d.k IS NULL AND d.v IS NULL
+        THEN {_A} WHEN s.k IS NULL AND s.v IS NULL THEN {_B} ELSE {_MATCH} END AS status,
+        CASE WHEN cs IS NULL THEN 'dest' WHEN cd IS NULL THEN 'src' ELSE 'both' END AS side,
+        coalesce(s.v, d.v) % 7 AS v, coalesce(cs, 1) * coalesce(cd, 1) AS pairs
+      FROM s FULL OUTER JOIN d ON s.k = d.k)
+SELECT status, side, v, COUNT(*) AS n, CAST(SUM(pairs) AS BIGINT) AS pairs FROM j GROUP BY status, side, v"""
+
 _AGG_SIDE = "SELECT l_orderkey, CAST(SUM(l_linenumber) AS BIGINT) AS SUM_l_linenumber FROM lineitem {w} GROUP BY l_orderkey"
 _AGG_PAIRS = [("l_orderkey", "l_orderkey"), ("SUM_l_linenumber", "SUM_l_linenumber")]
 
@@ -121,6 +147,9 @@ ORACLE = {
         "o_orderpriority='1-URGENT' | o_orderstatus='F'"),
     "con_keyed_rows": (f"SELECT {FLAGSHIP_COLS}, status, side, COUNT(*) AS pairs FROM ({FLAGSHIP}) j "
                        f"WHERE status <> 'MATCH' GROUP BY ALL"),
+    "con_fingerprint": _FINGERPRINTS,
+    "con_cross_report": _CROSS_REPORT,
+    "con_hot_rows": _HOT_ROWS,
     "con_same_names": f"SELECT {_cols(_SAME_PAIRS)}, status, side, 1 AS pairs FROM ({_SAME}) j WHERE status <> 'MATCH'",
     "con_keyed_status_counts": f"SELECT status, COUNT(*) AS n FROM ({FLAGSHIP}) j GROUP BY status",
     "con_keyed_side": _summary(FLAGSHIP),

@@ -76,6 +76,14 @@ ORDERS_MOVED_SQL = ("(SELECT o_orderkey, CASE WHEN o_orderkey % 29 = 0 THEN o_cu
                     "o_orderstatus FROM orders WHERE o_orderkey % 31 <> 0)")
 
 
+# Lines dealt to one key for a good quarter of the rows, with many values under it.
+HOT_LINES_SQL = ("(SELECT CASE WHEN l_linenumber <= 2 THEN 0 WHEN l_linenumber = 7 AND l_orderkey % 5 = 0 THEN NULL "
+                 "ELSE l_orderkey END AS k, l_partkey % 2000 AS v FROM lineitem)")
+HOT_LINES_OPEN_SQL = HOT_LINES_SQL.replace("FROM lineitem", "FROM lineitem WHERE l_linestatus = 'O'")
+#: Records from which on con_hot_rows treats a bucket of keys as hot.
+HOT_LINES_FROM = 1000
+
+
 def _views(spark: SparkSession, sf_dir: str, *names: str) -> None:
     testdata.register_views(spark, sf_dir, names)
 
@@ -187,6 +195,33 @@ def con_cross_multiset(spark, sf_dir):
                           "o_orderstatus", "l_linestatus").verdict
 
 
+def con_cross_report(spark, sf_dir):
+    """Differing tuples of two row-level sides without a join key, no pair built."""
+    _views(spark, sf_dir, "orders", "lineitem")
+    return checks.content(spark, "orders", "lineitem", None, "o_orderstatus, o_orderkey", "l_linestatus, l_orderkey").rows
+
+
+def con_hot_rows(spark, sf_dir):
+    """The pair report of a hot key, joined in cells, counted by status, side and value."""
+    _views(spark, sf_dir, "lineitem")
+    rows = checks.content(spark, HOT_LINES_SQL, HOT_LINES_OPEN_SQL, "k = k", "k, v", "k, v").comparison.rows(hot=HOT_LINES_FROM)
+    return (rows.groupBy("status", "side", F.expr("coalesce(v_src, v_dest) % 7").alias("v"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("pairs").alias("pairs")))
+
+
+def con_fingerprint(spark, sf_dir):
+    """Verdicts by fingerprints: an equal copy, a faulty one, and equal sides whose keys repeat with other values."""
+    _views(spark, sf_dir, "orders", "lineitem")
+
+    def verdict(name, src, dest, key, select):
+        found = checks.content(spark, src, dest, f"{key} = {key}", select, select, method=checks.FINGERPRINT).verdict
+        return found.select(F.lit(name).alias("copy"), "n_differences", "result", "execution_parameter")
+
+    return (verdict("equal", "orders", "(SELECT o_orderstatus, o_orderkey FROM orders)", "o_orderkey", "o_orderkey, o_orderstatus")
+            .unionByName(verdict("faulty", "orders", f"({DEST_ORDERS_SQL})", "o_orderkey", "o_orderkey, o_orderstatus"))
+            .unionByName(verdict("repeated", "lineitem", "lineitem", "l_orderkey", "l_returnflag")))
+
+
 def con_same_names(spark, sf_dir):
     """Select items that reduce to one name, and a repeated column."""
     _views(spark, sf_dir, "orders")
@@ -439,4 +474,7 @@ QUERIES = {
     "con_mixed_decimal": con_mixed_decimal,
     "con_mixed_int": con_mixed_int,
     "con_same_names": con_same_names,
+    "con_cross_report": con_cross_report,
+    "con_hot_rows": con_hot_rows,
+    "con_fingerprint": con_fingerprint,
 }

@@ -185,7 +185,8 @@ def _fused_sql() -> str:
             out.append(f"SELECT {head}, 'ERROR' AS RESULT, 'N/A' AS EXECUTION_PARAMETER, NULL AS KEY_FIELDS")
         elif code == "VOL":
             a, b = (f"(SELECT count(*) FROM {table} WHERE {(x or 'true').replace('?', chr(39) + 'F' + chr(39))})" for x in rule)
-            out.append(f"SELECT {head}, CASE WHEN {a} = {b} THEN 'OK' ELSE 'NOK' END, '{params}', NULL")
+            out.append(f"SELECT {head}, CASE WHEN {a} = {b} THEN 'OK' ELSE 'NOK' END AS RESULT, '{params}' AS EXECUTION_PARAMETER, "
+                       "NULL AS KEY_FIELDS")
         else:
             bad = f"FROM {table} WHERE {rule.replace('?', chr(39) + 'F' + chr(39))}"
             text = O._ktext(keys.split(", "), ", ") if keys else "''"
