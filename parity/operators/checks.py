@@ -23,6 +23,7 @@ from parity.functions import columns as C
 from parity.functions.params import Bound, bound_text, report
 from parity.functions.text import NO_JOIN_KEY, parse_join_key, split_list, unique
 from parity.operators.compare import CrossComparison, KeyedComparison
+from parity.operators.ids import checkpoint_dir
 from parity.operators.side import Side, prepare
 from parity.sources.local import literal_frame
 from parity.sources.relation import is_query, relation, strip_parens, where
@@ -279,10 +280,37 @@ def outside_catalogue(df: DataFrame, column: str, allowed: DataFrame, allowed_co
 
 # ------------------------------------------------------------------- DUP --
 
+#: Repeated hashes that the two-phase duplicate check broadcasts, at most (8 bytes each).
+MOST_HASHES = 4_000_000
+
+
+def _repeated(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The rows whose key may occur more than once: those whose 64-bit key hash does.
+
+    Hashes are counted first (8 bytes a row in the exchange, partial counts in
+    each task) and the repeated ones written to the shared folder; if they are
+    few enough to broadcast, only rows that hold one go on.  Rows of one key
+    share a hash, so no duplicate is lost; a chance collision only lets rows
+    through that the exact grouping then finds single.  Beyond ``MOST_HASHES``
+    repeated hashes most rows are repeats, and all go on."""
+    spark = df.sparkSession
+    args = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]
+    checkpoint_dir(spark)
+    hashes = (df.groupBy(F.xxhash64(*args).alias("__h")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+              .select("__h").checkpoint(eager=True))
+    if hashes.count() > MOST_HASHES:
+        return df
+    return df.join(F.broadcast(hashes), F.xxhash64(*args) == F.col("__h"), "left_semi")
+
+
 def duplicates(spark: SparkSession, src, key_fields, filter=None, group_by=None, params=None,
-               tables=None) -> CheckResult:
+               tables=None, two_phase: bool = False) -> CheckResult:
     """Key combinations occurring more than once.  Group columns are the
-    extra group-by followed by the key fields, each once."""
+    extra group-by followed by the key fields, each once.
+
+    ``two_phase`` is for wide keys (texts) that seldom repeat: key hashes are
+    counted first, and only rows whose hash repeats are grouped by the key
+    itself.  It runs the first phase when an answer is asked for."""
     df, b = where(spark, relation(spark, src, tables), filter, params)
     neutral = isinstance(group_by, str) and group_by.replace(" ", "") == NO_JOIN_KEY.replace(" ", "")
     cols = unique(_keys_list(None if neutral else group_by) + _keys_list(key_fields))
@@ -290,7 +318,8 @@ def duplicates(spark: SparkSession, src, key_fields, filter=None, group_by=None,
         raise ValueError("duplicate check needs key fields")
 
     def groups():
-        return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > 1)
+        some = _repeated(df, cols) if two_phase else df
+        return some.groupBy(*cols).agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > 1)
 
     def verdict():
         return (res.rows.agg(F.count(F.lit(1)).alias("n_duplicate_groups"))

@@ -29,6 +29,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of the shared storage; whether there was one."""
+    files, folder = _folder(spark, path)
+    return files.delete(folder, True)
+
+
 def with_sequential_ids(df: DataFrame, order_by: list, id_col: str, start: Column | int = 1) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... in ``order_by`` order (ties broken
     arbitrarily but stably).  ``start`` may be a Column over a one-row frame's

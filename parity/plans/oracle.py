@@ -148,6 +148,11 @@ ORACLE = {
     "con_keyed_rows": (f"SELECT {FLAGSHIP_COLS}, status, side, COUNT(*) AS pairs FROM ({FLAGSHIP}) j "
                        f"WHERE status <> 'MATCH' GROUP BY ALL"),
     "con_fingerprint": _FINGERPRINTS,
+    "dup_wide": ("SELECT md5(text) AS text_md5, lang, source, COUNT(*) AS count FROM documents GROUP BY text, lang, source "
+                 "HAVING COUNT(*) > 1"),
+    "dml_rewrite_files": ("SELECT c_custkey, CASE WHEN c_name LIKE '%Customer#00000001%' THEN replace(c_name, "
+                          "'Customer#00000001', 'Client#00000001') ELSE c_name END AS c_name, c_mktsegment, c_nationkey "
+                          "FROM customer"),
     "con_cross_report": _CROSS_REPORT,
     "con_hot_rows": _HOT_ROWS,
     "con_same_names": f"SELECT {_cols(_SAME_PAIRS)}, status, side, 1 AS pairs FROM ({_SAME}) j WHERE status <> 'MATCH'",

@@ -355,6 +355,13 @@ def dup_filtered(spark, sf_dir):
     return checks.duplicates(spark, "orders", "o_custkey, o_orderdate", filter="o_orderstatus = 'O'").rows
 
 
+def dup_wide(spark, sf_dir):
+    """Wide keys in two phases: hashes counted first, texts grouped only where a hash repeats."""
+    _views(spark, sf_dir, "documents")
+    rows = checks.duplicates(spark, "documents", "text, lang, source", two_phase=True).rows
+    return rows.select(F.md5(F.col("text").cast("binary")).alias("text_md5"), "lang", "source", "count")
+
+
 def dup_keys(spark, sf_dir):
     _views(spark, sf_dir, "lineitem")
     return checks.duplicates(spark, "lineitem", "l_orderkey, l_linenumber").keys
@@ -427,6 +434,19 @@ def dml_rewrite_column(spark, sf_dir):
             .groupBy("p_type").agg(F.count(F.lit(1)).alias("count")))
 
 
+def dml_rewrite_files(spark, sf_dir):
+    """A column rewritten in a stored copy of a table, partition by affected partition."""
+    import uuid
+
+    from parity.operators.ids import shared_folder
+    from parity.sinks.rewrite import rewrite_files
+    path = f"{shared_folder(spark)}/parity-customer-{uuid.uuid4().hex}"
+    customer = testdata.read(spark, sf_dir, "customer")
+    customer.write.partitionBy("c_nationkey").parquet(path)
+    rewrite_files(spark, path, "c_name", "Customer#00000001", "Client#00000001", ["c_nationkey"])
+    return spark.read.parquet(path).select("c_custkey", "c_name", "c_mktsegment", F.col("c_nationkey").cast("int").alias("c_nationkey"))
+
+
 QUERIES = {
     "vol_orders_lineitem": vol_orders_lineitem,
     "vol_bound_param": vol_bound_param,
@@ -477,4 +497,6 @@ QUERIES = {
     "con_cross_report": con_cross_report,
     "con_hot_rows": con_hot_rows,
     "con_fingerprint": con_fingerprint,
+    "dup_wide": dup_wide,
+    "dml_rewrite_files": dml_rewrite_files,
 }

@@ -17,6 +17,7 @@ position); detail ids are gap-free over (RESULT_ID, KEY_FIELDS) order.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,7 +106,8 @@ class SuiteRun:
 
     def __init__(self, spark: SparkSession, checks_: list, timestamp: _dt.datetime, isolate: bool = False,
                  fuse: bool = True):
-        self._spark = spark
+        self._spark = self.spark = spark
+        self.run_id = uuid.uuid4().hex    # names the run when it is recorded
         self.fuse = fuse
         self._checks = checks_            # (position, definition, CheckResult | error message)
         self.timestamp = timestamp
@@ -304,7 +306,8 @@ class SuiteRun:
 
 
 def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict: bool = True,
-              isolate: bool = True, members: DataFrame | None = None, set_ids=None, fuse: bool = True) -> SuiteRun:
+              isolate: bool = True, members: DataFrame | None = None, set_ids=None, fuse: bool = True,
+              timestamp: _dt.datetime | None = None) -> SuiteRun:
     """Prepare every definition's check (in TEST_ID order); plans are run
     when the results or details are asked for.
 
@@ -317,6 +320,7 @@ def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict
     own job, several at once; ``isolate=False`` plans all verdicts as one union.
     ``fuse`` (default) lets isolated VOL, CAT, FORM and OBG checks of one
     relation share a scan; results and details are the same without it.
+    ``timestamp`` is the run's TIMESTAMP (default: now).
     """
     if not isinstance(definitions, DataFrame) and members is not None:
         definitions = definitions_frame(spark, list(definitions))
@@ -336,7 +340,7 @@ def run_suite(spark: SparkSession, definitions, params=None, tables=None, strict
         except Exception as e:  # noqa: BLE001 -- recorded as the check's result
             res = first_line(e)
         prepared.append((pos, d, res))
-    return SuiteRun(spark, prepared, _dt.datetime.now(), isolate, fuse)
+    return SuiteRun(spark, prepared, timestamp or _dt.datetime.now(), isolate, fuse)
 
 
 def _details(res: checks.CheckResult, verdict: DataFrame, rid) -> DataFrame:
@@ -362,8 +366,19 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def history(results: DataFrame, details: DataFrame) -> DataFrame:
-    """Verdicts with their details, newest first (of one time, the larger RESULT_ID first)."""
+def history(results: DataFrame, details: DataFrame, since=None, latest: int | None = None) -> DataFrame:
+    """Verdicts with their details, newest first (of one time, the larger RESULT_ID first).
+
+    ``since`` (a date) leaves out earlier days: where the frames have a DAY
+    column, both are filtered by it, so partitions of earlier days aren't read.
+    ``latest`` takes the first rows alone, by a top-n of each task."""
+    if since is not None:
+        results, details = (f.where(F.col(schemas.DAY) >= F.lit(since).cast("date")) if schemas.DAY in f.columns
+                            else f.where(F.col("TIMESTAMP") >= F.lit(since).cast("timestamp"))
+                            if "TIMESTAMP" in f.columns else f for f in (results, details))
     d = details.select("DETAILS_ID", "RESULT_ID", "KEY_FIELDS")
-    return (results.join(d, "RESULT_ID", "left")
-            .orderBy(F.desc("TIMESTAMP"), F.desc("RESULT_ID"), F.col("DETAILS_ID")))
+    if latest is not None:      # every verdict gives a row at least, so no older one can be among the first
+        results = results.orderBy(F.desc("TIMESTAMP"), F.desc("RESULT_ID")).limit(latest)
+    out = (results.join(d, "RESULT_ID", "left")
+           .orderBy(F.desc("TIMESTAMP"), F.desc("RESULT_ID"), F.col("DETAILS_ID")))
+    return out if latest is None else out.limit(latest)

@@ -5,10 +5,14 @@ key with plain SQL."""
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 
 from parity.plans import oracle as O
 from parity.plans.scenarios import DEST_ORDERS_SQL, _views
 from parity.plans.suite import Definition, definitions_frame, history as _history, run_suite
+from parity.sinks import tables as sinks
+from parity.sources.definitions import read_table
 
 PARAMS = {"o_orderstatus": "F", "l_linestatus": "F"}
 
@@ -127,8 +131,46 @@ def suite_fused(spark, sf_dir):
     return _history(results, details).select("RESULT_ID", "TEST_ID", "RESULT", "EXECUTION_PARAMETER", "KEY_FIELDS")
 
 
+#: Days that history_latest records a run on.
+HISTORY_DAYS = ("2025-12-29", "2025-12-30", "2025-12-31")
+HISTORY_ROWS = 8
+
+RECORDED = [
+    Definition(1, "MAP", "CAT", "customer", SOURCE_FILTER="c_mktsegment NOT IN ('BUILDING', 'MACHINERY')",
+               KEY_FIELDS="c_mktsegment"),
+    Definition(2, "VOL", "VOL", "orders", "customer"),
+    Definition(3, "MAP", "CON", "nation", "(SELECT n_nationkey, CASE WHEN n_nationkey = 7 THEN 'RENAMED' ELSE n_name END "
+               "AS n_name FROM nation)", "n_nationkey = n_nationkey", "n_nationkey, n_name", "n_nationkey, n_name",
+               KEY_FIELDS="n_nationkey"),
+    Definition(4, "MAP", "OBG", "customer", SOURCE_FILTER="c_name IS NULL", KEY_FIELDS="c_custkey"),
+    Definition(5, "MAP", "CON", "region", "region", "", "COUNT(1)", "COUNT(1) - 1"),
+    Definition(6, "VOL", "VOL", "region", "nation"),
+]
+
+
+def history_latest(spark, sf_dir):
+    """Definitions and a set in control tables, run and recorded on three days,
+    once of them twice, into tables partitioned by day; the newest rows from the
+    second day on."""
+    _views(spark, sf_dir, "customer", "orders", "nation", "region")
+    db = f"history_{uuid.uuid4().hex}"
+    sinks.create_tables(spark, db, by_day=True, names=["test_config_parameters", "test_rel_set_parameter",
+                                                       sinks.RESULTS_TABLE, sinks.DETAILS_TABLE])
+    sinks.append(definitions_frame(spark, RECORDED), f"{db}.test_config_parameters")
+    for test_id in range(1, 6):     # the sixth isn't a member
+        sinks.add_set_member(spark, 1, test_id, f"{db}.test_rel_set_parameter")
+    results, details = f"{db}.{sinks.RESULTS_TABLE}", f"{db}.{sinks.DETAILS_TABLE}"
+    for day in HISTORY_DAYS:
+        run = run_suite(spark, read_table(spark, f"{db}.test_config_parameters"), set_ids=[1],
+                        members=spark.table(f"{db}.test_rel_set_parameter"), timestamp=_dt.datetime.fromisoformat(f"{day} 12:00:00"))
+        sinks.record(run, results, details, run_id=day)
+    sinks.record(run, results, details, run_id=day)      # a retry adds nothing
+    return sinks.history(spark, results, details, since=HISTORY_DAYS[1], latest=HISTORY_ROWS).select(
+        "RESULT_ID", "TEST_ID", "RESULT", "DETAILS_ID", "KEY_FIELDS")
+
+
 QUERIES = {"suite_mixed_case": suite_mixed_case, "suite_results": suite_results, "suite_details": suite_details,
-           "history": history, "suite_fused": suite_fused}
+           "history": history, "suite_fused": suite_fused, "history_latest": history_latest}
 
 
 # ------------------------------------------------------------------ oracle --
@@ -195,7 +237,27 @@ def _fused_sql() -> str:
     return " UNION ALL ".join(out)
 
 
+_RECORDED = f"""WITH r AS (
+  SELECT 1 AS t, CASE WHEN EXISTS (SELECT 1 FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY'))
+      THEN 'NOK' ELSE 'OK' END AS RESULT
+  UNION ALL SELECT 2, CASE WHEN (SELECT COUNT(*) FROM orders) = (SELECT COUNT(*) FROM customer) THEN 'OK' ELSE 'NOK' END
+  UNION ALL SELECT 3, CASE WHEN EXISTS (SELECT 1 FROM nation WHERE n_nationkey = 7 AND n_name <> 'RENAMED') THEN 'NOK' ELSE 'OK' END
+  UNION ALL SELECT 4, CASE WHEN EXISTS (SELECT 1 FROM customer WHERE c_name IS NULL) THEN 'NOK' ELSE 'OK' END
+  UNION ALL SELECT 5, 'NOK'),
+k AS (
+  SELECT DISTINCT 1 AS t, {O._kt('c_mktsegment')} AS KEY_FIELDS FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')
+  UNION ALL SELECT 3, {O._kt('n_nationkey')} FROM nation WHERE n_nationkey = 7 AND n_name <> 'RENAMED'
+  UNION ALL SELECT 4, {O._kt('c_custkey')} FROM customer WHERE c_name IS NULL
+  UNION ALL SELECT 5, ''),
+d AS (SELECT ROW_NUMBER() OVER (ORDER BY t, KEY_FIELDS) AS i, t, KEY_FIELDS FROM k),
+days AS (SELECT * FROM (VALUES (1), (2)) v(day))
+SELECT CAST(r.t + day * 5 AS BIGINT) AS RESULT_ID, r.t AS TEST_ID, r.RESULT,
+  CAST(d.i + day * (SELECT COUNT(*) FROM k) AS BIGINT) AS DETAILS_ID, d.KEY_FIELDS
+FROM days CROSS JOIN r LEFT JOIN d ON d.t = r.t ORDER BY RESULT_ID DESC, DETAILS_ID LIMIT {HISTORY_ROWS}"""
+
+
 ORACLE = {
+    "history_latest": _RECORDED,
     "suite_fused": _fused_sql(),
     "suite_mixed_case": (
         "SELECT CAST(1 AS BIGINT) AS RESULT_ID, 1 AS TEST_ID, 'NOK' AS RESULT, 'N_NATIONKEY=''' || n_nationkey || '''' "

@@ -26,6 +26,10 @@ CHECK_SUBTYPES = _struct(("SUBTYPE_ID", _S), ("NAME", _S), ("DESCRIPTION", _S))
 TYPE_SUBTYPE = _struct(("TYPE_ID", _S), ("SUBTYPE_ID", _S), ("NAME", _S), ("DESCRIPTION", _S))
 RESULTS = _struct(("RESULT_ID", _L), ("TEST_ID", _I), ("QUERY", _S), ("RESULT", _S),
                   ("EXECUTION_PARAMETER", _S), ("TIMESTAMP", T.TimestampType()))
+# The log of recorded runs: which ids each took, and how many rows it has.
+RUNS = _struct(("RUN_ID", _S), ("RESULT_BASE", _L), ("DETAILS_BASE", _L), ("N_RESULTS", _L), ("N_DETAILS", _L),
+               ("TIMESTAMP", T.TimestampType()))
+DAY = "DAY"     # partition column of history tables made by day
 DETAILS = _struct(("DETAILS_ID", _L), ("RESULT_ID", _L), ("KEY_FIELDS", _S), ("TIMESTAMP", T.TimestampType()))
 
 # Default names of the control and result tables, and (above) their

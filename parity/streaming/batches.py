@@ -8,8 +8,9 @@ history tables.  The stream's progress lives in a folder named after the query
 under the cluster's ``spark.checkpoint.dir``, the same for every session, so a
 restarted stream goes on where it stopped.
 
-Delivery is at-least-once: a batch replayed after a failure is checked and
-recorded again (the replay's rows carry a later TIMESTAMP).
+Every batch is recorded once: its run is named after the streaming query and the
+batch's number, so a batch replayed after a failure finds itself recorded (and
+is finished, if the failure came between the appends).
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from parity.operators.ids import shared_folder
 from parity.plans.suite import Definition, run_suite
-from parity.sinks.tables import DETAILS_TABLE, RESULTS_TABLE, record
+from parity.sinks.tables import DETAILS_TABLE, RESULTS_TABLE, record, recorded, recover
 
 
 def check_each_batch(stream: DataFrame, definitions: list[Definition], params=None, *,
@@ -35,13 +36,20 @@ def check_each_batch(stream: DataFrame, definitions: list[Definition], params=No
     defs = list(definitions)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
+        # the query's own id outlives restarts and differs for a stream begun anew
+        query = session.sparkContext.getLocalProperty("sql.streaming.queryId") or location
+        run_id = f"{query_name}-{query}-{epoch_id}"
+        if recorded(session, run_id, results_table):
+            recover(session, results_table, details_table)
+            return
         # every check reads the batch; keep it instead of re-reading the source
         # per check (recomputable from the source if an executor is lost)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             batch.createOrReplaceTempView(batch_name)
-            run = run_suite(batch.sparkSession, defs, params, tables={batch_name: batch}, isolate=True)
-            record(run, results_table, details_table)
+            run = run_suite(session, defs, params, tables={batch_name: batch}, isolate=True)
+            record(run, results_table, details_table, run_id)
         finally:
             batch.unpersist()
 
