@@ -2,18 +2,21 @@
 
 1. One pass over the texts gives each document's counts (below) and, for each
    line with a word, the 64-bit hash of the normalised line and its number of
-   words.  Normalised: A-Z to a-z, digits to 0, runs of white space to one
-   space, trimmed.  The profile (a few numbers a line, no text) is written to
-   the shared folder, as several branches read it.
-2. For each host (``source``) and line hash: the number of distinct documents.
-   Documents with the same whole text count once, so exact copies don't turn
-   a document into boilerplate.  Spark's distinct count pre-aggregates before
-   each shuffle and spreads a frequent line over its documents' hashes.
+   words.  Normalised: A-Z to a-z, runs of white space to one space, trimmed;
+   digits stay, so lines that differ in a number are different lines.  The
+   profile (a few numbers a line, no text) is written to the shared folder, as
+   several branches read it.
+2. For each host (``source``) and line hash: the number of documents that have
+   the line, each document counted once.  Partial counts are formed before
+   each shuffle, so a frequent line is one row a task.
 3. A line is above the limits if it is in more than ``max_docs`` documents of
-   a host and in more than ``max_share`` percent of them.  It is removed from
-   all documents of the host but the one with the smallest doc_id.
+   a host, or in at least ``min_docs`` of them that are more than ``max_share``
+   percent of the host: the first limit holds for large hosts, where
+   boilerplate may be a small share, the second for small ones.  It is removed
+   from all documents of the host but the one with the smallest doc_id.
 4. A document is depleted, and rejected, if less than ``min_left`` percent of
-   its words are left.
+   its words are left.  Of copies under one host, once they are more than the
+   limits allow, the first one stays.
 
 Base counts: ``n_words`` words ``[^\\x20\\x09-\\x0D]+``; ``word_chars`` code
 points in them; ``n_symbols`` characters of ``#*$%&|<>``; ``n_dup_lines``
@@ -25,8 +28,9 @@ them repeated in that sense.
 Nulls, ties, emptiness: a null text is empty (no words, base_failed); a null
 source is a host of its own (the empty one); a null doc_id stays null and
 never is a line's first document; repeated rows are documents of their own,
-with the same text counted once; an empty table gives no rows; other columns
-are ignored by ``quality`` and kept by ``keep_good``.
+each counted, and all first if they have the smallest doc_id; an empty table
+gives no rows; other columns are ignored by ``quality`` and kept by
+``keep_good``, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,13 +45,16 @@ from parity.llm import common
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
-MAX_DOCS = 50
-MAX_SHARE = 1
+#: Documents of a host that may have a line, however large the host.
+MAX_DOCS = 100
+#: Percent of a host's documents that may have a line, once MIN_DOCS have it.
+MAX_SHARE = 5
+MIN_DOCS = 5
 MIN_LEFT = 30
 SYMBOLS = "#*$%&|<>"
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
-_LOWER = "abcdefghijklmnopqrstuvwxyz0000000000"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -114,41 +121,71 @@ def profile(docs: DataFrame) -> DataFrame:
         line_rows.alias("lines"))
 
 
-def quality(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE,
-            min_left: int = MIN_LEFT) -> DataFrame:
-    """One row a document: row_id, doc_id, host, text_hash, base counts, base_failed, kept,
-    n_removed_words."""
-    p = common.written(profile(docs), "line-profile")
-    lines = p.select("row_id", "doc_id", "host", "text_hash", F.inline("lines"))
-    hosts = p.groupBy("host").agg(F.count_distinct("text_hash").alias("host_docs"))
-    above = (lines.groupBy("host", "h")
-             .agg(F.count_distinct("text_hash").alias("docs"), F.min("doc_id").alias("first_doc"))
-             .filter(F.col("docs") > max_docs)
-             .join(hosts, "host").filter(F.col("docs") * 100 > F.col("host_docs") * max_share)
-             .select("host", "h", "first_doc"))
-    removed = (lines.join(above, ["host", "h"])
+def above_limits(p: DataFrame, max_docs: int, max_share: float, min_docs: int) -> DataFrame:
+    """host, h, first_doc of the lines to remove, from profiles."""
+    hosts = p.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
+    once = p.select("host", "doc_id", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+    return (once.groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first_doc"))
+            .filter(F.col("docs") >= min(min_docs, max_docs + 1)).join(hosts, "host")
+            .filter((F.col("docs") > max_docs) | ((F.col("docs") >= min_docs)
+                                                  & (F.col("docs") * 100 > F.col("host_docs") * max_share)))
+            .select("host", "h", "first_doc"))
+
+
+def _decided(p: DataFrame, max_docs: int, max_share: float, min_docs: int, min_left: int) -> DataFrame:
+    """The profiles with base_failed, kept, n_removed_words and ``gone``, the
+    hashes of the removed lines."""
+    lines = p.select("row_id", "doc_id", "host", F.inline("lines"))
+    removed = (lines.join(above_limits(p, max_docs, max_share, min_docs), ["host", "h"])
                .filter(~F.coalesce(F.col("doc_id") == F.col("first_doc"), F.lit(False)))
-               .groupBy("row_id").agg(F.sum("n").alias("n_removed_words")))
+               .groupBy("row_id").agg(F.sum("n").alias("n_removed_words"), F.collect_set("h").alias("gone")))
     n_words, n_repeat = F.col("w.n_words"), F.col("w.n_repeat_words")
     base_failed = (n_words < MIN_WORDS) | (100 * n_repeat > MAX_REPEAT_PERCENT * n_words)
-    gone = F.coalesce(F.col("n_removed_words"), F.lit(0))
+    n_gone = F.coalesce(F.col("n_removed_words"), F.lit(0))
     return (p.drop("lines").join(removed, "row_id", "left")
             .select("row_id", "doc_id", "host", "text_hash", n_words.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
                     n_repeat.alias("n_repeat_words"), base_failed.alias("base_failed"),
-                    (~base_failed & (100 * (n_words - gone) >= min_left * n_words)).alias("kept"),
-                    gone.alias("n_removed_words")))
+                    (~base_failed & (100 * (n_words - n_gone) >= min_left * n_words)).alias("kept"),
+                    n_gone.alias("n_removed_words"), "gone"))
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that ``quality`` keeps, with all their columns.  Rejected
-    ones, the fewer, are taken away by (doc_id, host, text)."""
-    bad = (quality(docs).filter(~F.col("kept"))
-           .select(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), F.col("text_hash").alias("_hash"))
-           .distinct())
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-                     & (F.coalesce(F.col("source").cast("string"), F.lit("")) == F.col("_host"))
-                     & (F.xxhash64(text) == F.col("_hash")), "left_anti")
+def quality(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
+            min_left: int = MIN_LEFT) -> DataFrame:
+    """One row a document: row_id, doc_id, host, text_hash, base counts, base_failed, kept,
+    n_removed_words."""
+    return _decided(common.written(profile(docs), "line-profile"), max_docs, max_share, min_docs, min_left).drop("gone")
+
+
+def _without(text: Column, gone: Column) -> Column:
+    """A text without the lines whose normalised hash is in ``gone``."""
+    return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(gone, F.xxhash64(normalised(x)))), "\n")
+
+
+def keep_good(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
+              min_left: int = MIN_LEFT) -> DataFrame:
+    """The documents that ``quality`` keeps, with all their columns, their texts
+    without the removed lines (``n_chars`` follows where a text changed).
+
+    Decisions that change a document are found by (doc_id, host, text), which
+    decide them; columns of the table are held in one, so none can clash."""
+    decided = _decided(common.written(profile(docs), "line-profile"), max_docs, max_share, min_docs, min_left)
+    changed = (decided.filter(~F.col("kept") | F.col("gone").isNotNull())
+               .groupBy("doc_id", "host", "text_hash").agg(F.first("kept").alias("kept"), F.first("gone").alias("gone"))
+               .select(*[F.col(c).alias(f"changed_{c}") for c in ("doc_id", "host", "text_hash", "kept", "gone")]))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(row, F.col("doc_id").cast("long").alias("id"),
+                        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"),
+                        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_hash"))
+    gone = F.col("changed_gone")
+    text = F.when(gone.isNull(), F.col("row.text")).otherwise(_without(F.col("row.text"), gone))
+    out = {"text": text.cast(docs.schema["text"].dataType)}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.when(gone.isNull(), F.col("row.n_chars")).otherwise(F.length(text)).cast(
+            docs.schema["n_chars"].dataType)
+    return (keyed.join(changed, F.col("id").eqNullSafe(F.col("changed_doc_id")) & (F.col("host") == F.col("changed_host"))
+                       & (F.col("text_hash") == F.col("changed_text_hash")), "left")
+            .filter(F.coalesce("changed_kept", F.lit(True)))
+            .select(*[out.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,11 +206,12 @@ win AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS g
 rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
 cov AS (SELECT doc_id, count(DISTINCT i + k)::BIGINT AS n_repeat_words
         FROM rep, (SELECT unnest(range(0, 8)) AS k) GROUP BY doc_id),
-nl AS (SELECT doc_id, host, text, trim(regexp_replace(translate(line, '{_UPPER}', '{_LOWER}'),
-         '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line FROM lw JOIN (SELECT doc_id, text FROM d) USING (doc_id)),
-hd AS (SELECT host, count(DISTINCT text) AS host_docs FROM d GROUP BY host),
+nl AS (SELECT doc_id, host, trim(regexp_replace(translate(line, '{_UPPER}', '{_LOWER}'),
+         '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line FROM lw),
+hd AS (SELECT host, count(*) AS host_docs FROM d GROUP BY host),
 ab AS (SELECT host, line, min(doc_id) AS first_doc FROM nl JOIN hd USING (host) GROUP BY host, line, host_docs
-       HAVING count(DISTINCT text) > {MAX_DOCS} AND count(DISTINCT text) * 100 > host_docs * {MAX_SHARE}),
+       HAVING count(DISTINCT doc_id) > {MAX_DOCS}
+         OR (count(DISTINCT doc_id) >= {MIN_DOCS} AND count(DISTINCT doc_id) * 100 > host_docs * {MAX_SHARE})),
 rm AS (SELECT doc_id, sum(len(string_split(line, ' ')))::BIGINT AS n_removed_words
        FROM nl JOIN ab USING (host, line) WHERE doc_id <> first_doc GROUP BY doc_id),
 c AS (SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_symbols,

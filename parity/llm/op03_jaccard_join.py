@@ -49,7 +49,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parity.llm import common
@@ -480,29 +480,49 @@ def _large_links(large: DataFrame, block: int) -> DataFrame:
     return first.union(common.written(search(again.union(queries(asked))), "left-links"))
 
 
-def components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id of each document."""
+def labelled(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id of each document, and
+    ``label``, which tells components apart whose smallest rows share an id."""
     sets, edges = sets_and_edges(docs)
     linked = connected(class_links(docs, sets, edges, block), "links")
     classes = (sets.filter("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("least"))
                .join(linked.withColumnRenamed("node", "f1"), "f1", "left")
                .withColumn("label", F.coalesce("label", "f1")))
     least = classes.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = classes.join(least, "label").select("f1", "f2", "component_id")
+    named = classes.join(least, "label").select("f1", "f2", "component_id", "label")
     return (sets.join(named, ["f1", "f2"], "left")
             .select("doc_id", "text_hash", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
-                    .alias("component_id")))
+                    .alias("component_id"), "label"))
+
+
+def components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id of each document."""
+    return labelled(docs, block).drop("label")
 
 
 def keep_one(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The document with the smallest doc_id of each component (rows repeated
-    under that id with the same text all stay), with all columns; documents
-    that link with nothing stay."""
-    drop = (components(docs, block).filter("doc_id != component_id")
-            .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
-    return docs.join(drop, (F.col("doc_id").cast("long") == F.col("_id")) & (text_hash() == F.col("_hash")),
-                     "left_anti")
+    """One document of each component, with all columns: that with the smallest
+    doc_id; of several rows under this id, one whose text has the smallest hash.
+    Documents that link with nothing stay, repeated rows without words too.
+    Columns of the table are held in one, so none can clash with a helper's."""
+    found = common.written(labelled(docs, block).filter("doc_id is not null and n_shingles > 0"), "join-decisions")
+    first = (found.filter("doc_id = component_id").groupBy("label", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+             .groupBy("label").agg(F.min("text_hash").alias("first_hash"), F.min_by("copies", "text_hash").alias("copies")))
+    stays = (F.col("doc_id") == F.col("component_id")) & (F.col("text_hash") == F.col("first_hash"))
+    gone = (found.join(first, "label").filter(~stays | (F.col("copies") > 1))
+            .select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), stays.alias("again")).distinct())
+    gone = common.written(gone, "join-gone")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        F.col("doc_id").cast("long").alias("id"), text_hash().alias("hash"))
+    same = (F.col("id") == F.col("gone_id")) & (F.col("hash") == F.col("gone_hash"))
+    out = keyed.join(gone, same, "left_anti").select("row")
+    again = gone.filter("again")
+    if not again.isEmpty():     # the one row of several under the same id and text
+        order = Window.partitionBy("id", "hash").orderBy(F.xxhash64("row"))
+        out = out.unionByName(keyed.join(again, same, "left_semi").withColumn("place", F.row_number().over(order))
+                              .filter("place = 1").select("row"))
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import data
 from parity.llm import op03_jaccard_join as J
@@ -99,13 +100,31 @@ def test_nothing_and_no_links(spark):
     same(J.components(data.docs(spark, some)).collect(), some)
 
 
+def left_of(some):
+    """How many documents stay under each id: one of each component, and all that link with nothing."""
+    sets = [grams(t) if d is not None else set() for d, t, *_ in some]
+    ids, groups = [d for d, *_ in some], []
+    for i, s in enumerate(sets):
+        joined = [g for g in groups if s and any(linked(s, sets[j]) for j in g)]
+        groups = [g for g in groups if g not in joined] + [sum(joined, [i])]
+    return Counter(min(ids[i] for i in g) if len(g) > 1 else ids[g[0]] for g in groups)
+
+
 def test_keep_one(spark):
-    some = data.rows()
+    text = " ".join(f"same{i}" for i in range(30))
+    some = data.rows() + [(5000, text, "en", str(i), i) for i in range(40)] + [(5000, text + " more", "en", "s", 1),
+                                                                           (5000, "other words " + text[::-1], "en", "s", 1),
+                                                                           (5001, text, "en", "s", 1), (4999, "", "en", "a", 1),
+                                                                           (4999, "", "en", "b", 1)]
     df = data.docs(spark, some)
+    for c in ("_id", "_hash", "id", "hash", "row", "gone_id", "again", "place", "label", "a.b"):
+        df = df.withColumn(c, F.lit(c))
     out = J.keep_one(df)
     assert out.schema == df.schema
-    want = Counter(d for d, _, c in brute(some) if d is None or d == c)
-    assert Counter(r.doc_id for r in out.collect()) == want
+    rows = out.collect()
+    assert Counter(r.doc_id for r in rows) == left_of(some)
+    assert sum(r.doc_id == 5000 for r in rows) == 2       # the copies' component, and a text of its own
+    assert all(r["_id"] == "_id" and r["a.b"] == "a.b" for r in rows)
 
 
 # ----------------------------------------------------------------- pieces --

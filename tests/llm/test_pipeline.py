@@ -6,8 +6,8 @@ import pytest
 
 import data
 from test_jaccard import brute as components
-from test_rules import brute as rules
-from parity.llm import common, op01_quality_lines as Q, op02_toxicity, op10_secrets
+from test_rules import cleaned
+from parity.llm import common, op02_toxicity, op10_secrets
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -22,6 +22,7 @@ def sf_dir(spark, some, labels):
 def corpus():
     text = " ".join(f"word{i}" for i in range(60))
     some = [(i, f"{text} {i}" if i < 6 else " ".join(f"d{i}w{k}" for k in range(50)), "en", "s", None) for i in range(30)]
+    some += [(200 + i, " ".join(f"p{i}w{k}" for k in range(50)) + "\nAll rights reserved by the site", "en", "s", None) for i in range(9)]
     some += [(100, "too short", "en", "s", 9), (101, "again and again " * 20, "en", "s", 1), (102, None, None, None, None),
              (103, " ".join(f"z{k}" for k in range(40)) + " password=hunter2abc", "en", None, 7), (None, text, None, None, 1)]
     return some
@@ -39,7 +40,7 @@ def test_stages(spark):
         docs = common.written(stage(spark, docs, d), name)
         assert docs.schema == schema
         if name == "quality_rules":
-            kept = [r for r, w in zip(kept, rules(kept, Q.MAX_DOCS, Q.MAX_SHARE, Q.MIN_LEFT)) if w[-2]]
+            kept = cleaned(kept)
         if name == "jaccard_join":
             kept = [r for r, (i, _, c) in zip(kept, components(kept)) if i is None or i == c]
         if name == "secret_scans":
@@ -47,6 +48,7 @@ def test_stages(spark):
         assert Counter((r.doc_id, r.text) for r in docs.collect()) == Counter((r[0], r[1]) for r in kept), name
     packed = corpus_pipeline.run(spark, d).collect()
     assert Counter(r.doc_id for r in packed) == Counter(r[0] for r in kept)
+    assert sum("All rights" in r[1] for r in kept) == 1      # the footer is left in its first document
     assert any("[SECRET]" in r[1] for r in kept) and len(kept) < len(some) - 5
 
 
