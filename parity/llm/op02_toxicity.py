@@ -13,10 +13,21 @@ with the best F0.5 on the sample.
 
 Learning: a sample of labelled documents, bounded by ``SAMPLE`` (the smallest
 hashes of doc_id among the rows that may be learned from), is hashed by Spark
-and fitted in one task: the ``TERMS`` term numbers most associated with the
-label (chi-square over the sample) are kept, and AdaGrad with a fixed seed fits
-their weights and factors.  The model has a fixed size (TERMS * (FACTORS + 2)
-numbers), so it is broadcast to score all texts, whole, without a shuffle.
+and fitted in one task.  Every term number in at least ``MIN_DOCS`` documents of
+the sample takes part, whether or not it says anything alone.  Values are
+divided by their root mean square, so that the noise in every weight's gradient
+has one scale, and the penalties are multiples of it: an absolute-value penalty
+on weights, a group penalty on the length of each term's factors, which leave
+a term out unless what it adds, alone or in pairs, stands out of that noise.
+The minimum is sought by accelerated proximal gradient steps, first of the
+linear weights, then, from there, with factors; of every run the step with the
+least loss on a fifth of the sample (the others are learned from) counts, and
+among the penalties and beginnings tried the run with the least.  The model is
+the terms with a weight or a factor, at most as many as the sample has distinct
+ones; it is broadcast to score all texts, whole, without a shuffle.  A sampled
+document sends at most ``MAX_TERMS`` terms (those that come first in a scrambled
+order of the numbers), and rows under one doc_id send one, so the task's input
+is bounded in bytes as well.
 
 Nulls, ties, emptiness: a null or empty text has no terms and scores w0; a
 null doc_id stays null (its remainder is the empty text's); repeated label
@@ -40,15 +51,19 @@ from pyspark.sql import functions as F
 from parity.llm import common
 
 BUCKETS = 1 << 18
-FACTORS = 8
-#: Term numbers that the model keeps.
-TERMS = 1024
-#: Documents of the sample that a kept term is in, at least, and its least chi-square.
+FACTORS = 4
+#: Documents of the sample that a term is in, at least.
 MIN_DOCS = 4
-MIN_CHI = 15
-#: Labelled documents that the model is fitted on, at most.
-SAMPLE = 20_000
-EPOCHS = 6
+#: Labelled documents that the model is fitted on, at most, and terms of each that it learns from.
+SAMPLE = 6000
+MAX_TERMS = 8192
+#: Penalties on weights, in units of the gradient's noise.
+WEIGHT_PENALTIES = (0.35, 0.7)
+#: (penalty on factors, size that a document's factor sums begin with).
+FACTOR_RUNS = ((0.1, 0.6), (0.5, 3.0))
+STEPS = 100
+#: Steps without a better loss on held-back rows that end a run.
+PATIENCE = 12
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
 #: Words whose term numbers a worker keeps before it begins anew.
@@ -120,55 +135,149 @@ class FactorizationMachine:
                                     a[1 + 2 * n:].reshape(n, k))
 
 
-def select(rows: list[tuple[np.ndarray, np.ndarray, int]], terms: int = TERMS, buckets: int = BUCKETS) -> np.ndarray:
-    """Terms most associated with the label, ascending."""
-    both, toxic = np.zeros(buckets), np.zeros(buckets)
-    for ids, _, y in rows:
-        both[ids] += 1
-        if y:
-            toxic[ids] += 1
-    n, p = len(rows), sum(y for *_, y in rows)
-    other = both - toxic
-    chi = n * (toxic * (n - p - other) - other * (p - toxic)) ** 2 / np.maximum(both * (n - both) * p * (n - p), 1)
-    chi[(both < MIN_DOCS) | (chi < MIN_CHI)] = 0
-    best = np.argsort(-chi, kind="stable")[:terms]
-    return np.sort(best[chi[best] > 0])
-
-
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], terms: int = TERMS, factors: int = FACTORS,
-        epochs: int = EPOCHS, rate: float = 0.1, decay: float = 1e-6, seed: int = 7) -> FactorizationMachine:
-    """AdaGrad on the logistic loss; both classes weigh the same in all."""
+class Samples:
+    """Labelled rows of (term places, values) as flat arrays."""
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray, int]]) -> None:
+        self.size = np.array([len(ids) for ids, *_ in rows], np.int64)
+        self.ids = np.concatenate([np.empty(0, np.int64), *(ids for ids, *_ in rows)])
+        self.x = np.concatenate([np.empty(0, np.float32), *(x for _, x, _ in rows)]).astype(np.float32)
+        self.y = np.array([y for *_, y in rows], np.int64)
+        self.doc = np.repeat(np.arange(len(rows)), self.size)
+        self.some = np.flatnonzero(self.size)
+        self.begin = (np.cumsum(self.size) - self.size)[self.some]
+        share = np.clip(self.y.mean() if len(rows) else .5, 1e-9, 1 - 1e-9)
+        self.weight = np.where(self.y == 1, .5 / share, .5 / (1 - share)) / max(len(rows), 1)   # classes weigh the same
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Sums of values of the entries by document."""
+        out = np.zeros((len(self.size), *values.shape[1:]))
+        if len(self.some):
+            out[self.some] = np.add.reduceat(values, self.begin, axis=0)
+        return out
+
+
+class Objective:
+    """Mean logistic loss of a machine of ``n`` terms and ``k`` factors over
+    rows, and its gradient.  The machine is one vector: w0, w, v."""
+
+    def __init__(self, rows: Samples, n: int, k: int) -> None:
+        self.rows, self.n, self.k = rows, n, k
+        order = np.argsort(rows.ids, kind="stable")
+        self.doc, self.x = rows.doc[order], rows.x[order]
+        self.term, self.begin = np.unique(rows.ids[order], return_index=True)
+
+    def parts(self, z: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        return z[0], z[1:1 + self.n], z[1 + self.n:].reshape(self.n, self.k)
+
+    def raw(self, z: np.ndarray, rows: Samples) -> tuple[np.ndarray, np.ndarray]:
+        """Raw scores of rows, and their factor sums."""
+        w0, w, v = self.parts(z)
+        v32 = v.astype(np.float32)
+        s = rows.sums(v32[rows.ids] * rows.x[:, None])
+        own = rows.sums((v32 * v32).sum(axis=1)[rows.ids] * rows.x * rows.x)
+        return w0 + rows.sums(w.astype(np.float32)[rows.ids] * rows.x) + 0.5 * ((s * s).sum(axis=1) - own), s
+
+    def loss(self, z: np.ndarray, rows: Samples | None = None) -> float:
+        rows = rows or self.rows
+        raw, _ = self.raw(z, rows)
+        return float((rows.weight * np.logaddexp(0, np.where(rows.y == 1, -raw, raw))).sum())
+
+    def gradient(self, z: np.ndarray) -> tuple[float, np.ndarray]:
+        rows, out = self.rows, np.zeros(len(z))
+        raw, s = self.raw(z, rows)
+        turned = np.where(rows.y == 1, -raw, raw)
+        d = rows.weight * np.where(rows.y == 1, -1, 1) / (1 + np.exp(-np.clip(turned, -40, 40)))
+        out[0] = d.sum()
+        if len(self.term):
+            _, w, v = self.parts(out)
+            dx = d[self.doc].astype(np.float32) * self.x
+            w[self.term] = np.add.reduceat(dx, self.begin)
+            if self.k:
+                own = np.add.reduceat(dx * self.x, self.begin)[:, None] * self.parts(z)[2][self.term]
+                v[self.term] = np.add.reduceat(dx[:, None] * s.astype(np.float32)[self.doc], self.begin, axis=0) - own
+        return float((rows.weight * np.logaddexp(0, turned)).sum()), out
+
+    def noise(self) -> float:
+        """Scale of the largest entry of a gradient that is noise alone."""
+        return float(np.sqrt((self.rows.weight ** 2).sum() * 0.25 * 2 * np.log(max(self.n, 2))))
+
+    def shrunk(self, z: np.ndarray, lw: float, lv: float) -> np.ndarray:
+        """The penalties' proximal step."""
+        z = z.copy()
+        _, w, v = self.parts(z)
+        w[:] = np.sign(w) * np.maximum(np.abs(w) - lw, 0)
+        length = np.sqrt((v * v).sum(axis=1))
+        v *= np.maximum(1 - lv / np.maximum(length, 1e-12), 0)[:, None]
+        return z
+
+
+def descend(f: Objective, z: np.ndarray, lw: float, lv: float, held: Samples, steps: int = STEPS) -> tuple[float, np.ndarray]:
+    """(least loss on the held-back rows, the machine there) of accelerated
+    proximal gradient steps with backtracking and restarts."""
+    best, best_z, since = f.loss(z, held), z, 0
+    ahead, curve, t = z, 1.0, 1.0
+    for _ in range(steps):
+        at, g = f.gradient(ahead)
+        while True:
+            new = f.shrunk(ahead - g / curve, lw / curve, lv / curve)
+            move = new - ahead
+            if f.loss(new) <= at + g @ move + 0.5 * curve * (move @ move) + 1e-6 or curve > 1e8:
+                break
+            curve *= 2
+        if (ahead - new) @ (new - z) > 0:       # momentum points uphill
+            ahead, t = new.copy(), 1.0
+        else:
+            t, last = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
+            ahead = new + (last - 1) / t * (new - z)
+        z, curve, since = new, 0.9 * curve, since + 1
+        loss = f.loss(z, held)
+        if loss < best - 1e-4:
+            best, best_z, since = loss, z, 0
+        elif since >= PATIENCE:
+            break
+    return best, best_z
+
+
+def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], factors: int = FACTORS, seed: int = 7) -> FactorizationMachine:
+    """The machine of labelled rows (term numbers, values, label)."""
     n_toxic = sum(y for *_, y in rows)
+    none = FactorizationMachine(0.0, np.empty(0, np.int64), np.empty(0), np.empty((0, factors)))
     if not 0 < n_toxic < len(rows):
-        return FactorizationMachine(0.0, np.empty(0, np.int64), np.empty(0), np.empty((0, factors)))
-    rng = np.random.default_rng(seed)
-    kept = select(rows, terms)
-    if not len(kept):
-        return FactorizationMachine(0.0, kept, np.empty(0), np.empty((0, factors)))
-    fm = FactorizationMachine(0.0, kept, np.zeros(len(kept)), rng.normal(0, 0.02, (len(kept), factors)))
-    local = []
+        return none
+    kept, seen = np.unique(np.concatenate([np.empty(0, np.int64), *(ids for ids, *_ in rows)]), return_counts=True)
+    kept = kept[seen >= MIN_DOCS]
+    local, squares = [], np.zeros(len(kept))
     for ids, x, y in rows:
-        has = np.isin(ids, kept)
-        local.append((np.searchsorted(kept, ids[has]), x[has], y))
-    weight = {1: 0.5 * len(rows) / n_toxic, 0: 0.5 * len(rows) / (len(rows) - n_toxic)}
-    gw, gv, g0 = np.full(len(kept), 1e-6), np.full((len(kept), factors), 1e-6), 1e-6
-    for _ in range(epochs):
-        for i in rng.permutation(len(local)).tolist():
-            ids, x, y = local[i]
-            v = fm.v[ids]
-            xv = v * x[:, None]
-            s = xv.sum(axis=0)
-            raw = fm.w0 + fm.w[ids] @ x + 0.5 * (s @ s - (xv * xv).sum())
-            d0 = weight[y] * float(1.0 / (1.0 + np.exp(-np.clip(raw, -30, 30))) - y)
-            dw = d0 * x + decay * fm.w[ids]
-            dv = d0 * (x[:, None] * s - xv * x[:, None]) + decay * v
-            g0 += d0 * d0
-            gw[ids] += dw * dw
-            gv[ids] += dv * dv
-            fm.w0 -= rate * d0 / np.sqrt(g0)
-            fm.w[ids] -= rate * dw / np.sqrt(gw[ids])
-            fm.v[ids] -= 0.25 * rate * dv / np.sqrt(gv[ids])
-    fm.w0 += np.log(THRESHOLD / (1 - THRESHOLD)) - _cut([fm.raw(i, x) for i, x, _ in local], [y for *_, y in local])
+        place = np.searchsorted(kept, ids)
+        has = kept[np.minimum(place, max(len(kept) - 1, 0))] == ids if len(kept) else np.zeros(len(ids), bool)
+        local.append((place[has], x[has], y))
+        squares[place[has]] += x[has] ** 2
+    scale = np.sqrt(squares / len(rows))
+    local = [(at, x / scale[at], y) for at, x, y in local]
+    rng = np.random.default_rng(seed)
+    held = np.zeros(len(rows), bool)
+    for label in (0, 1):                        # a fifth of either class is held back
+        mine = rng.permutation([i for i, (*_, y) in enumerate(local) if y == label])
+        held[mine[:len(mine) // 5].astype(int)] = True
+    learn = Samples([r for r, h in zip(local, held) if not h])
+    back = Samples([r for r, h in zip(local, held) if h]) if held.any() else learn
+    n, width = len(kept), max(1.0, float(np.mean([len(i) for i, *_ in local])))
+    linear, full = Objective(learn, n, 0), Objective(learn, n, factors)
+    unit = linear.noise()
+    runs = [(*descend(linear, np.zeros(1 + n), p * unit, 0.0, back), p) for p in WEIGHT_PENALTIES]
+    loss, start, penalty = min(runs, key=lambda r: r[0])
+    z = np.concatenate([start, np.zeros(n * factors)])
+    for p, size in FACTOR_RUNS:
+        v = rng.normal(0, size / np.sqrt(width), (n, factors)) * scale[:, None]
+        other, other_z = descend(full, np.concatenate([start, v.ravel()]), penalty * unit, p * unit, back)
+        if other < loss:
+            loss, z = other, other_z
+    w0, w, v = full.parts(z)
+    some = (w != 0) | (v != 0).any(axis=1)
+    fm = FactorizationMachine(float(w0), kept[some], w[some] / scale[some], v[some] / scale[some, None])
+    raw, _ = full.raw(z, Samples(local))
+    fm.w0 += np.log(THRESHOLD / (1 - THRESHOLD)) - _cut(raw.tolist(), [y for *_, y in local])
     return fm
 
 
@@ -194,12 +303,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
     chosen = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
               .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    texts = common.doc_columns(docs).join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows
+    texts = (common.doc_columns(docs).join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows
+             .groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
+
+    def sent(ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(ids) <= MAX_TERMS:
+            return ids, x
+        some = np.sort(np.argsort(ids * 40_503 % BUCKETS, kind="stable")[:MAX_TERMS])
+        return ids[some], x[some]
 
     def hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()
         for batch in parts:
-            made = [terms.values(t) for t in common.texts(batch)]
+            made = [sent(*terms.values(t)) for t in common.texts(batch)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("doc_id")), batch.column(batch.schema.get_field_index("toxic")),
                  pa.array([i.astype("<i4").tobytes() for i, _ in made], pa.binary()),

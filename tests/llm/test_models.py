@@ -30,20 +30,130 @@ def test_pair_term_of_the_machine():
     assert again.raw(ids, x) == fm.raw(ids, x) and again.kept.tolist() == fm.kept.tolist()
 
 
-def test_interactions_are_learned():
-    """Neither word alone marks the label, both together do."""
-    rnd = random.Random(2)
+def probe(kind, letters="", n=4200, seed=1):
+    """Texts of random words, an insult and one of twenty group words, and labels:
+    both of them (``and``), or both or neither (``same``)."""
+    rnd = random.Random(seed)
+
+    def word(a, b):
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(a, b)))
+    words, groups = [word(4, 9) for _ in range(2000)], [letters + word(7, 7) for _ in range(20)]
     rows = []
-    for i in range(2400):
-        a, b = rnd.random() < .5, rnd.random() < .5
-        words = [f"w{rnd.randrange(40)}" for _ in range(5)] + ["insult"] * a + ["group"] * b
-        rows.append((*T.Terms().values(" ".join(words)), int(a and b)))
-    fm = T.fit(rows[:1800], epochs=12)
-    terms = T.Terms(fm.kept)
-    both, one, other = (fm.raw(*terms.values(f"w1 w2 w3 {x}")) for x in ("insult group", "insult", "group"))
-    assert both > max(one, other)
-    pair = (fm.v[np.searchsorted(fm.kept, T.terms_of("insult")[0])] @ fm.v[np.searchsorted(fm.kept, T.terms_of("group")[0])])
-    assert pair > 0.1
+    for _ in range(n):
+        if kind == "and":
+            y = rnd.random() < .215
+            insult = y or rnd.random() < .3
+            group = y or (not insult and rnd.random() < .5)
+        else:
+            insult, group = rnd.random() < .5, rnd.random() < .5
+            y = insult == group
+        text = rnd.choices(words, k=rnd.randint(20, 60)) + ["insultword"] * insult + [rnd.choice(groups)] * group
+        rnd.shuffle(text)
+        rows.append((*T.Terms().values(" ".join(text)), int(y)))
+    return rows
+
+
+@pytest.mark.parametrize("kind,letters,recall", [("and", "", .9), ("and", "grou", .9), ("same", "", .7)])
+def test_pairs_of_words_are_learned(kind, letters, recall):
+    """Held-out recall with at most 1 % of the clean ones flagged: terms that say
+    little (and ``same``: nothing) alone take part in pairs."""
+    rows = probe(kind, letters)
+    fm = T.fit(rows[:2800])
+    place = {b: i for i, b in enumerate(fm.kept.tolist())}
+    hit, wrong, toxic = 0, 0, 0
+    for ids, x, y in rows[2800:]:
+        has = np.array([b in place for b in ids.tolist()], bool)
+        p = fm.score(np.array([place[b] for b in ids[has].tolist()], np.int64), x[has]) >= T.THRESHOLD
+        toxic, hit, wrong = toxic + y, hit + (p and y), wrong + (p and not y)
+    assert hit >= recall * toxic and wrong <= .01 * (1400 - toxic)
+    if kind == "same":
+        terms = T.Terms(fm.kept)
+        assert np.abs(fm.v).max() > 0
+        assert fm.raw(*terms.values("insultword")) < fm.raw(np.empty(0, np.int64), np.empty(0))
+
+
+def plain_machine(z, rows, n, k):
+    """Loss and gradient of a machine by sums over all pairs, one number at a time."""
+    w0, w, v = z[0], z[1:1 + n], z[1 + n:].reshape(n, k)
+    share = sum(y for *_, y in rows) / len(rows)
+    loss, grad = 0.0, np.zeros(len(z))
+    for ids, x, y in rows:
+        raw = w0 + sum(w[i] * a for i, a in zip(ids, x))
+        raw += sum(v[i] @ v[j] * a * b for p, (i, a) in enumerate(zip(ids, x)) for j, b in list(zip(ids, x))[:p])
+        c = (.5 / share if y else .5 / (1 - share)) / len(rows)
+        loss += c * math.log1p(math.exp(-raw if y else raw))
+        d = c * (1 / (1 + math.exp(-raw)) - y)
+        grad[0] += d
+        for p, (i, a) in enumerate(zip(ids, x)):
+            grad[1 + i] += d * a
+            grad[1 + n + i * k:1 + n + (i + 1) * k] += d * a * sum((v[j] * b for q, (j, b) in enumerate(zip(ids, x)) if q != p),
+                                                                  np.zeros(k))
+    return loss, grad
+
+
+def test_objective_is_that_of_a_plain_machine():
+    rnd = np.random.default_rng(4)
+    n, k = 7, 3
+    rows = []
+    for i in range(20):
+        ids = np.sort(rnd.choice(n, rnd.integers(0, n), replace=False)).astype(np.int64)
+        rows.append((ids, rnd.random(len(ids)) * 2, int(i % 3 == 0)))
+    z = rnd.normal(0, .5, 1 + n + n * k)
+    loss, grad = T.Objective(T.Samples(rows), n, k).gradient(z)
+    want, want_grad = plain_machine(z, rows, n, k)
+    assert math.isclose(loss, want, rel_tol=1e-5) and np.allclose(grad, want_grad, atol=1e-5)
+
+
+def test_a_run_ends_where_plain_steps_end():
+    """The minimum that the accelerated steps find against many small plain ones."""
+    rnd = np.random.default_rng(6)
+    n, k = 6, 2
+    rows = []
+    for _ in range(60):
+        ids = np.sort(rnd.choice(n, 3, replace=False)).astype(np.int64)
+        rows.append((ids, np.ones(3), int((0 in ids and 1 in ids) != (rnd.random() < .1))))
+    f = T.Objective(T.Samples(rows), n, k)
+    z0 = rnd.normal(0, .3, 1 + n + n * k)
+    z0[:1 + n] = 0
+
+    def value(z):
+        _, w, v = f.parts(z)
+        return f.loss(z) + .01 * np.abs(w).sum() + .01 * np.sqrt((v * v).sum(axis=1)).sum()
+    z = z0
+    for _ in range(4000):
+        z = f.shrunk(z - .3 * plain_machine(z, rows, n, k)[1], .003, .003) if _ < 300 else f.shrunk(z - .3 * f.gradient(z)[1], .003, .003)
+    seen = []
+    old = T.PATIENCE
+    T.PATIENCE = 10**6
+    try:
+        f.loss, real = (lambda q, rows=None: seen.append(q) or real(q, rows)), f.loss
+        T.descend(f, z0, .01, .01, f.rows, steps=400)
+    finally:
+        T.PATIENCE = old
+        f.loss = real
+    assert min(map(value, seen)) <= value(z) + 1e-3
+
+
+def test_scores_are_those_of_a_plain_machine(spark):
+    """The query's scores against a plain sum over all pairs of a text's terms."""
+    docs, labels = (common.read(spark, f"{SF}/sf0.001", t) for t in ("documents", "labels"))
+    model = T.FactorizationMachine.from_bytes(bytes(T.train(docs, T.learnable(labels)).first()[0]))
+    rnd = np.random.default_rng(3)
+    some = np.sort(rnd.choice(T.BUCKETS, 20_000, replace=False))
+    for fm in (model, T.FactorizationMachine(-1.0, some, rnd.normal(0, .02, len(some)), rnd.normal(0, .05, (len(some), 3)))):
+        frame = spark.createDataFrame([(fm.to_bytes(),)], "model binary")
+        place = {b: i for i, b in enumerate(fm.kept.tolist())}
+        texts = {r.doc_id: r.text or "" for r in docs.limit(40).collect()}
+        for r in T.score(docs.limit(40), frame).collect():
+            x = Counter()
+            for w in texts[r.doc_id].lower().split():
+                for b in T.terms_of(w):
+                    x[b] += 1
+            terms = [(place[b], math.log1p(c)) for b, c in x.items() if b in place]
+            raw = fm.w0 + sum(fm.w[i] * a for i, a in terms)
+            if len(terms) < 300:
+                raw += sum(fm.v[i] @ fm.v[j] * a * b for p, (i, a) in enumerate(terms) for j, b in terms[:p])
+                assert math.isclose(r.score, 1 / (1 + math.exp(-max(-30, min(30, raw)))), rel_tol=1e-6, abs_tol=1e-9)
 
 
 def test_held_out_accuracy(spark):
@@ -51,7 +161,7 @@ def test_held_out_accuracy(spark):
     got = T.classify(docs, labels).join(labels, "doc_id").filter("held_out").collect()
     hit = sum(r.toxic and r.predicted for r in got)
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= .7) for r in got)
-    assert hit >= 0.85 * sum(r.toxic for r in got)
+    assert hit >= 0.9 * sum(r.toxic for r in got)
     assert sum(r.predicted and not r.toxic for r in got) <= 0.01 * sum(not r.toxic for r in got)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got)
 
