@@ -14,22 +14,22 @@ not 2), however rare.
 
 1. One pass over the texts forms groups of documents of about ``GROUP`` bytes
    and writes their symbols, the counts of their training words (64-bit
-   hashes) and, dealt into ``BUCKETS`` by the ``TOP`` bytes before the last,
-   their distinct (DEPTH + 1)-byte strings with the training counts.
-2. A bucket has whole subtrees: their weights are computed in it, and what its
-   nodes of depth TOP sum to is added up, over all buckets, for the nodes above.
-   Those are at most 255 * 256 ** d of depth d < TOP whatever the corpus, and
-   broadcast.
-3. A bucket gives each of its distinct strings its score once; the strings of a
-   group go back to it, and the group's documents add theirs up.
+   hashes) and, dealt into ``CELLS`` by the ``TOP`` bytes before the last, their
+   distinct (DEPTH + 1)-byte strings with the training counts, packed.
+2. Cells are put together to buckets of about ``BUCKET`` bytes.  A bucket's
+   strings are added up over ``FAN`` groups in a task, then over those sums, so
+   neither the groups nor the corpus decide what a task holds, but the distinct
+   strings of its contexts.  A bucket has whole subtrees: their weights are
+   computed in it, and what its nodes of depth TOP sum to is added up, over all
+   buckets, for the nodes above.  Those are at most 255 * 256 ** d of depth
+   d < TOP whatever the corpus, and broadcast.
+3. Each distinct string of a bucket is scored once; the scores meet the groups
+   that ask for them, FAN groups in a task, and go back to the groups, whose
+   documents add theirs up.
 4. Base score: words with at least 1 / ``HEAVY`` of all tokens (so at most HEAVY of them)
    are broadcast; each document's other distinct words are joined with the
    counts, which no frequent word takes part in.
 
-With a number of ``nodes``, ``score`` takes a pruned tree instead, which is
-broadcast: a node is kept if it has at least 1 / nodes of the bits counted, and
-strings below a node that aren't kept share one child ("other").
-
 Nulls, ties, emptiness: a null text is empty (one token, the end); a null
 doc_id stays null (its remainder is the empty text's); repeated rows each give
 their row and, if trained on, count each; with nothing to learn from, counts
@@ -50,12 +50,14 @@ from pyspark.sql import functions as F
 from parity.llm import common
 
 DEPTH = 5
-#: Kept nodes of a depth of a pruned tree, at most.
-NODES = 1 << 20
 #: Bytes of a group of documents, about; its distinct strings are looked up once.
 GROUP = 64_000_000
-#: Parts the strings are dealt into by the TOP bytes before their last.
-BUCKETS = 1024
+#: Cells the strings are dealt into by the TOP bytes before their last.
+CELLS = 1 << 12
+#: Bytes of packed strings of a bucket, about; a bucket is some cells.
+BUCKET = 4 << 20
+#: Groups whose strings of a bucket meet in one task.
+FAN = 64
 #: Depths above this one are broadcast.
 TOP = 3
 #: Broadcast words, at most.
@@ -64,23 +66,24 @@ HEAVY = 1 << 20
 MAX_WORDS = 400_000
 #: Bytes scored at once, about.
 CHUNK = 4_000_000
-#: Distinct strings whose scores a task keeps.
-MAX_SCORED = 2_000_000
+#: Entries of string counts that are added up at once.
+FOLD = 4_000_000
 
 #: The end's key among the words' hashes.
 END = 0
 _END_BYTE = b"\n"
 
 _HASHES: dict[str, int] = {}
-COUNTS = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
 DOC, STRINGS, WORDS = range(3)
 GATHERED = pa.schema([("kind", pa.int32()), ("grp", pa.int64()), ("row_id", pa.int64()), ("doc_id", pa.int64()),
-                      ("symbols", pa.binary()), ("bucket", pa.int32()), ("key", pa.binary()), ("n", pa.binary()),
+                      ("symbols", pa.binary()), ("cell", pa.int32()), ("size", pa.int32()), ("key", pa.binary()),
+                      ("n", pa.binary()),
                       ("words", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
-PART = pa.schema([("key", pa.binary()), ("n", pa.binary()), ("grp", pa.binary()), ("size", pa.binary()),
-                  ("at", pa.binary()), ("top", pa.list_(pa.int64())), ("n0", pa.list_(pa.int64())),
+MERGED = pa.schema([("bucket", pa.int32()), ("size", pa.int32()), ("key", pa.binary()), ("n", pa.binary())])
+PART = pa.schema([*MERGED, ("top", pa.list_(pa.int64())), ("n0", pa.list_(pa.int64())),
                   ("n1", pa.list_(pa.int64())), ("total", pa.list_(pa.float64()))])
-LOGS = pa.schema([("grp", pa.int64()), ("key", pa.binary()), ("log", pa.binary())])
+LOGS = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("log", pa.binary())])
+FOUND = pa.schema([("grp", pa.int64()), ("key", pa.binary()), ("log", pa.binary())])
 SCORED = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
                     ("heavy_known", pa.int64()), ("heavy_score", pa.float64()), ("score", pa.float64()),
                     ("light", pa.list_(pa.int64())), ("light_n", pa.list_(pa.int32()))])
@@ -229,8 +232,6 @@ def build(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[Level
 class Model:
     def __init__(self, levels: list[Level]) -> None:
         self.levels = levels
-        self.keys = np.empty(0, np.uint64)
-        self.logs = np.empty(0)
 
     def bits(self, key: np.ndarray) -> np.ndarray:
         """log10 probability of the last byte of each string after the others."""
@@ -251,25 +252,6 @@ class Model:
             out += np.log10(np.where((byte >> (7 - i)) & 1, p, 1 - p))
         return out
 
-    def logs_of(self, key: np.ndarray) -> np.ndarray:
-        """The same of distinct ascending strings, of which earlier ones are kept."""
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            known = self.keys[at] == key
-        else:
-            at, known = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
-        out = np.empty(len(key))
-        out[known] = self.logs[at[known]]
-        if not known.all():
-            new = key[~known]
-            out[~known] = self.bits(new)
-            if len(self.keys) + len(new) > MAX_SCORED:
-                self.keys, self.logs = key, out.copy()
-            else:
-                where = np.searchsorted(self.keys, new)
-                self.keys, self.logs = np.insert(self.keys, where, new), np.insert(self.logs, where, out[~known])
-        return out
-
     def to_bytes(self) -> bytes:
         out = [np.array([len(self.levels), *(len(x.key) for x in self.levels)], "<i8").tobytes()]
         for x in self.levels:
@@ -294,104 +276,53 @@ def held_out():
     return common.crc_remainder(7) == 2
 
 
-def corpus_counts(docs: DataFrame) -> DataFrame:
-    """(kind, key, n): kind 0 words by hash (and the end), kind 1 strings."""
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(key), kind, np.int32)), pa.array(key.view(np.int64)), pa.array(n)], schema=COUNTS)
-
-        for batch in parts:
-            words, found, n_docs = [], [], 0
-            for held in chunks((w, symbols(w)) for w in map(word_list, common.texts(batch))):
-                words += [hashes(w) for w, _ in held]
-                n_docs += len(held)
-                key, _ = strings([d for _, d in held])
-                found.append(np.unique(key, return_counts=True))
-            if n_docs:
-                key, back = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-                n = np.zeros(len(key), np.int64)
-                np.add.at(n, back, np.concatenate([n for _, n in found]))
-                yield rows(1, key, n)
-                yield rows(0, *np.unique(np.concatenate(words), return_counts=True))
-                yield rows(0, np.array([END], np.int64), np.array([n_docs]))
-
-    train = common.doc_columns(docs).filter(~held_out())
-    return common.written(train.mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key")
-                          .agg(F.sum("n").alias("n")), "corpus-counts")
-
-
-def tree_counts(counts: DataFrame, nodes: int = NODES, depth: int = DEPTH) -> DataFrame:
-    """(depth, key, n0, n1) of the nodes kept at each depth."""
-    of = counts.filter("kind = 1")
-    least = of.agg(F.coalesce(F.sum("n"), F.lit(0)) * 8 / nodes).first()[0]
-    byte = F.col("key").bitwiseAND(255)
-    out = None
-    for d in range(depth, -1, -1):
-        mask = (1 << (8 * (d + 1))) - 1
-        of = of.groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.sum("n").alias("n"))
-        if d == depth:
-            of = common.written(of, "string-counts")
-        spread = of.select("n", F.shiftright("key", 8).alias("context"), byte.alias("byte"),
-                           F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i"))
-        node = F.expr("shiftleft(1L, i) | shiftright(byte, 8 - i)")
-        bit = F.expr("shiftright(byte, 7 - i) & 1")
-        level = (spread.groupBy(F.shiftleft("context", 8).bitwiseOR(node).alias("key"))
-                 .agg(F.sum(F.when(bit == 0, F.col("n")).otherwise(0)).alias("n0"),
-                      F.sum(F.when(bit == 1, F.col("n")).otherwise(0)).alias("n1"))
-                 .filter(F.col("n0") + F.col("n1") >= least).select(F.lit(d).alias("depth"), "key", "n0", "n1"))
-        out = level if out is None else out.union(level)
-    return out
-
-
-def model_of(kept: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """One row: the model as bytes (at most NODES nodes a depth, in one task)."""
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols = [np.concatenate(x) for x in zip(*([c.to_numpy() for c in b.columns] for b in parts if b.num_rows))]
-        levels = []
-        for d in range(depth + 1):
-            if cols:
-                here = cols[0] == d
-                order = np.argsort(cols[1][here])
-                levels.append(tuple(c[here][order] for c in cols[1:]))
-            else:
-                levels.append(tuple(np.empty(0, np.int64) for _ in range(3)))
-        yield pa.RecordBatch.from_arrays([pa.array([Model(build(levels)).to_bytes()], pa.binary())], names=["model"])
+def squeezed(values: np.ndarray) -> bytes:
+    """64-bit numbers, compressed."""
+    return pa.compress(values.tobytes(), "zstd", asbytes=True) if len(values) else b""
 
-    return kept.repartition(1).mapInArrow(run, "model binary")
 
+def restored(blob: bytes, size: int, dtype=np.int64) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, 8 * size, "zstd"), dtype) if size else np.empty(0, dtype)
 
-def read_model(made: DataFrame) -> bytes:
-    """The model's bytes; with no node kept at all, those of a model without any."""
-    row = made.first()
-    return bytes(row[0]) if row else Model([]).to_bytes()
+
+def packed(key: np.ndarray) -> bytes:
+    """Ascending strings as compressed differences."""
+    return squeezed(np.diff(key, prepend=np.uint64(0)))
+
+
+def unpacked(blob: bytes, size: int) -> np.ndarray:
+    return np.cumsum(restored(blob, size, np.uint64), dtype=np.uint64)
 
 
 def string_counts(docs: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct strings, ascending, of (held out, symbols) and their number in training texts."""
-    found = []
+    found, held_rows = [], 0
     for held in chunks(iter(docs)):
         for out in (False, True):
             some = [d for h, d in held if h == out]
             if some:
                 key, n = np.unique(strings(some)[0], return_counts=True)
                 found.append((key, n * (not out)))
+                held_rows += len(key)
+        if held_rows > FOLD:                       # so that the parts of a group never add up to many times it
+            found = [summed(*(np.concatenate(x) for x in zip(*found)))]
+            held_rows = 0
     return summed(*(np.concatenate(x) for x in zip(*found)))
 
 
-def bucket_of(key: np.ndarray) -> np.ndarray:
+def cell_of(key: np.ndarray) -> np.ndarray:
     context = (key >> np.uint64(8)) & np.uint64((1 << (8 * TOP)) - 1)
     mixed = (context * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)
-    return ((mixed * np.uint64(BUCKETS)) >> np.uint64(32)).astype(np.int32)
+    return ((mixed * np.uint64(CELLS)) >> np.uint64(32)).astype(np.int32)
 
 
 def gathered(docs: DataFrame) -> DataFrame:
     """Rows of three kinds: documents (grp, row_id, doc_id, symbols), strings of
-    a group in a bucket (uint64 keys, int32 training counts), training words of
+    a group in a cell (packed, with their training counts), training words of
     a group.  A group is the row_id of its first document."""
-    def rows(kind: int, grp: int, size: int, **columns) -> pa.RecordBatch:
-        made = {"kind": np.full(size, kind, np.int32), "grp": np.full(size, grp, np.int64)} | columns
-        return pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) if f.name in made else pa.nulls(size, f.type)
+    def rows(kind: int, grp: int, n_rows: int, **columns) -> pa.RecordBatch:
+        made = {"kind": np.full(n_rows, kind, np.int32), "grp": np.full(n_rows, grp, np.int64)} | columns
+        return pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) if f.name in made else pa.nulls(n_rows, f.type)
                                            for f in GATHERED], schema=GATHERED)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,14 +338,14 @@ def gathered(docs: DataFrame) -> DataFrame:
                 yield rows(DOC, grp, len(held), row_id=[x[0] for x in held], doc_id=[x[1] for x in held],
                            symbols=[x[-1] for x in held])
             key, n = string_counts([(x[2], x[-1]) for x in group])
-            bucket = bucket_of(key)
-            order = np.argsort(bucket, kind="stable")
-            key, n, bucket = key[order], n[order].astype("<i4"), bucket[order]
-            cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+            cell = cell_of(key)
+            order = np.argsort(cell, kind="stable")
+            key, n, cell = key[order], n[order], cell[order]
+            cut = np.flatnonzero(np.diff(cell, prepend=-1))
             ends = [*cut[1:].tolist(), len(key)]
-            yield rows(STRINGS, grp, len(cut), bucket=bucket[cut],
-                       key=[key[a:b].tobytes() for a, b in zip(cut.tolist(), ends)],
-                       n=[n[a:b].tobytes() for a, b in zip(cut.tolist(), ends)])
+            spans = list(zip(cut.tolist(), ends))
+            yield rows(STRINGS, grp, len(cut), cell=cell[cut], size=[b - a for a, b in spans],
+                       key=[packed(key[a:b]) for a, b in spans], n=[squeezed(n[a:b]) for a, b in spans])
             found = [x[3] for x in group if not x[2]]
             if found:
                 words, times = np.unique(np.concatenate(found), return_counts=True)
@@ -423,25 +354,59 @@ def gathered(docs: DataFrame) -> DataFrame:
     made = common.doc_columns(docs).select(F.monotonically_increasing_id().alias("row_id"), "doc_id",
                                            held_out().alias("held_out"), "text")
     return common.written(made.mapInArrow(
-        run, "kind int, grp long, row_id long, doc_id long, symbols binary, bucket int, key binary, n binary, "
+        run, "kind int, grp long, row_id long, doc_id long, symbols binary, cell int, size int, key binary, n binary, "
              "words array<long>, times array<long>"), "gathered")
 
 
-def parts_of(strings_: DataFrame) -> DataFrame:
-    """One row a bucket: its distinct strings and their counts, the groups that
-    have them with the strings' places, and the sums for the nodes above."""
-    def part(rows: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, np.uint64) for x in rows.column("key").to_pylist()]
-        n = np.concatenate([np.frombuffer(x, "<i4") for x in rows.column("n").to_pylist()]).astype(np.int64)
-        key, back = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.bincount(back, n, len(key)).astype(np.int64)
-        top = summed(*weigh(nodes_of(key, n, TOP), TOP)[1])
-        blobs = (key, n, rows.column("grp").to_numpy(), np.array([len(k) for k in keys], np.int64), back.astype(np.int32))
-        return pa.table([pa.array([x], f.type) for x, f in zip([*(b.tobytes() for b in blobs), *top], PART)], schema=PART)
+def added(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct strings of packed rows, ascending, and the sums of their counts."""
+    found, held = [], 0
+    for size, key, n in zip(*(rows.column(c).to_pylist() for c in ("size", "key", "n"))):
+        found.append((unpacked(key, size), restored(n, size)))
+        held += size
+        if held > FOLD:
+            found, held = [summed(*(np.concatenate(x) for x in zip(*found)))], 0
+    return summed(*(np.concatenate(x) for x in zip(*found)))
+
+
+def bucketed(made: DataFrame) -> tuple[DataFrame, int, int]:
+    """(bucket, grp, key, n of the strings, number of buckets, number of groups).
+    Buckets are as many as the strings' bytes ask for, up to one a cell."""
+    rows = made.filter(F.col("kind") == STRINGS)
+    size, groups = rows.agg(F.coalesce(F.sum(F.length("key") + F.length("n")), F.lit(0)), F.count_distinct("grp")).first()
+    buckets = int(min(CELLS, max(1, -(-size // BUCKET))))
+    return (rows.select(F.pmod("cell", F.lit(buckets)).cast("int").alias("bucket"), "grp", "size", "key", "n"), buckets,
+            groups)
+
+
+def _shard(groups: int):
+    return F.pmod(F.xxhash64("grp"), F.lit(max(1, -(-groups // FAN)))).cast("int").alias("shard")
+
+
+def parts_of(strings_: DataFrame, groups: int) -> DataFrame:
+    """One row a bucket: its distinct strings, their counts, and the sums for the
+    nodes above.  Strings of about FAN groups are added up in a task, then those
+    sums, and so on, so a task's input doesn't grow with the number of groups."""
+    def row(schema: pa.Schema, *values) -> pa.Table:
+        return pa.table([pa.array([x], f.type) for x, f in zip(values, schema)], schema=schema)
+
+    def merge(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        k, n = added(rows)
+        return row(MERGED, key[0].as_py(), len(k), packed(k), squeezed(n))
 
-    return common.written(strings_.groupBy("bucket").applyInArrow(
-        part, "key binary, n binary, grp binary, size binary, at binary, top array<long>, n0 array<long>, "
-              "n1 array<long>, total array<double>"), "string-parts")
+    def part(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        k, n = added(rows)
+        return row(PART, key[0].as_py(), len(k), packed(k), squeezed(n), *summed(*weigh(nodes_of(k, n, TOP), TOP)[1]))
+
+    rows, shard = strings_, _shard(groups)
+    while groups > FAN:
+        rows = common.written(rows.groupBy("bucket", shard).applyInArrow(merge, "bucket int, size int, key binary, n binary"), "string-sums")
+        groups = -(-groups // FAN)
+        rows = rows.withColumn("grp", F.monotonically_increasing_id())
+        shard = _shard(groups)
+    return common.written(rows.groupBy("bucket").applyInArrow(
+        part, "bucket int, size int, key binary, n binary, top array<long>, n0 array<long>, n1 array<long>, "
+              "total array<double>"), "string-parts")
 
 
 def top_model(parts: DataFrame) -> bytes:
@@ -459,23 +424,38 @@ def top_model(parts: DataFrame) -> bytes:
     return Model(weigh(levels[::-1], 0, (key, n0, n1, total))[0]).to_bytes()
 
 
-def string_logs(parts: DataFrame) -> DataFrame:
-    """(grp, keys, log10 probabilities) of the strings of each group and bucket."""
+def string_logs(parts: DataFrame, strings_: DataFrame, groups: int) -> DataFrame:
+    """(grp, keys, log10 probabilities) of the strings of each group and bucket.
+
+    A bucket's strings are scored once; the scores meet the groups that ask for
+    them FAN groups at a time."""
     shared = parts.sparkSession.sparkContext.broadcast(top_model(parts))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = Model.from_bytes(shared.value).levels
         for batch in batches:
-            for row in zip(*batch.columns):
-                key, n, grp, size, at = (np.frombuffer(x.as_buffer(), t) for x, t in zip(
-                    row, (np.uint64, np.int64, np.int64, np.int64, np.int32)))
-                logs = Model(top + weigh(nodes_of(key, n, TOP), TOP)[0]).bits(key)
-                cut = np.cumsum(size)[:-1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(grp), *(pa.array([x.tobytes() for x in np.split(v, cut)], pa.binary())
-                                      for v in (key[at], logs[at]))], schema=LOGS)
+            for bucket, size, key, n in zip(*(c.to_pylist() for c in batch.columns)):
+                k, n = unpacked(key, size), restored(n, size)
+                logs = Model(top + weigh(nodes_of(k, n, TOP), TOP)[0]).bits(k)
+                yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((bucket, key, logs.tobytes()), LOGS)],
+                                                 schema=LOGS)
+
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        if not asked.num_rows:
+            return FOUND.empty_table()
+        logs = np.frombuffer(known.column("log")[0].as_py(), np.float64)
+        key = unpacked(known.column("key")[0].as_py(), len(logs))
+        out = []
+        for grp, size, k in zip(*(asked.column(c).to_pylist() for c in ("grp", "size", "key"))):
+            out.append((grp, k, logs[np.searchsorted(key, unpacked(k, size))].tobytes()))
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), FOUND)], schema=FOUND)
 
-    return parts.select("key", "n", "grp", "size", "at").mapInArrow(run, "grp long, key binary, log binary")
+    shards = max(1, -(-groups // FAN))
+    logs = (parts.select("bucket", "size", "key", "n").mapInArrow(score_all, "bucket int, key binary, log binary")
+            .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
+    asked = strings_.drop("n").withColumn("shard", _shard(groups))
+    return (asked.groupBy("bucket", "shard").cogroup(logs.groupBy("bucket", "shard"))
+            .applyInArrow(answer, "grp long, key binary, log binary"))
 
 
 def scored(held: list[tuple], scores: np.ndarray, keys: np.ndarray, logs: np.ndarray) -> pa.RecordBatch:
@@ -510,12 +490,14 @@ _SCORED = ("row_id long, doc_id long, n_tokens long, heavy_known long, heavy_sco
 
 def scored_by_tree(made: DataFrame, heavy) -> DataFrame:
     """Rows of the documents in ``made`` (see ``gathered``), by the whole tree."""
-    logs = string_logs(parts_of(made.filter(F.col("kind") == STRINGS).select("bucket", "grp", "key", "n")))
+    strings_, _, groups = bucketed(made)
+    logs = string_logs(parts_of(strings_, groups), strings_, groups)
     docs = made.filter(F.col("kind") == DOC).select("grp", "row_id", "doc_id", "symbols")
 
     def run(group: pa.Table, found: pa.Table) -> pa.Table:
-        key, log = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in found.column(c)])
-                    for c, t in (("key", np.uint64), ("log", np.float64)))
+        logs = [np.frombuffer(x, np.float64) for x in found.column("log").to_pylist()]
+        key = np.concatenate([unpacked(k, len(x)) for k, x in zip(found.column("key").to_pylist(), logs)])
+        log = np.concatenate(logs)
         order = np.argsort(key)
         key, log = key[order], log[order]
         rows = zip(*(group.column(c).to_pylist() for c in ("row_id", "doc_id", "symbols")))
@@ -530,43 +512,19 @@ def scored_by_tree(made: DataFrame, heavy) -> DataFrame:
     return docs.groupBy("grp").cogroup(logs.groupBy("grp")).applyInArrow(run, _SCORED)
 
 
-def scored_by_pruned(docs: DataFrame, counts: DataFrame, nodes: int, heavy) -> DataFrame:
-    """Rows of the documents, by a tree of at most ``nodes`` nodes a depth."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_model(model_of(tree_counts(counts, nodes))))
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model.from_bytes(shared.value)
-        for batch in parts:
-            ids = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            made = ((r, d, w, symbols(w)) for (r, d), w in zip(ids, map(word_list, common.texts(batch))))
-            for held in chunks(made):
-                key, start = strings([x[-1] for x in held])
-                distinct, back = np.unique(key, return_inverse=True)
-                scores = np.add.reduceat(model.logs_of(distinct)[back], start)
-                yield scored([x[:3] for x in held], scores, *heavy.value)
-
-    rows = common.doc_columns(docs).select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text")
-    return rows.mapInArrow(run, _SCORED)
-
-
-def score(docs: DataFrame, heavy_words: int = HEAVY, nodes: int | None = None) -> DataFrame:
-    if nodes is None:
-        made = gathered(docs)
-        words = common.written(
-            made.filter(F.col("kind") == WORDS)
-            .select(F.inline(F.arrays_zip(F.col("words").alias("key"), F.col("times").alias("n"))))
-            .groupBy("key").agg(F.sum("n").alias("n")), "word-counts")
-    else:
-        counts = corpus_counts(docs)
-        words = counts.filter("kind = 0").select("key", "n")
+def score(docs: DataFrame, heavy_words: int = HEAVY) -> DataFrame:
+    made = gathered(docs)
+    words = common.written(
+        made.filter(F.col("kind") == WORDS)
+        .select(F.inline(F.arrays_zip(F.col("words").alias("key"), F.col("times").alias("n"))))
+        .groupBy("key").agg(F.sum("n").alias("n")), "word-counts")
     n_train, n_distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
     base = n_train + n_distinct + 1
     is_heavy = F.col("n") * heavy_words >= n_train
     frequent = words.filter(is_heavy).orderBy("key").toArrow()
     heavy = docs.sparkSession.sparkContext.broadcast((
         frequent.column("key").to_numpy(), np.log10((frequent.column("n").to_numpy() + 1) / base)))
-    rows = scored_by_tree(made, heavy) if nodes is None else scored_by_pruned(docs, counts, nodes, heavy)
-    rows = common.written(rows, "scored")
+    rows = common.written(scored_by_tree(made, heavy), "scored")
     light = rows.select("row_id", F.inline(F.arrays_zip(F.col("light").alias("key"), F.col("light_n").alias("times"))))
     n = F.coalesce("n", F.lit(0))
     summed_ = (light.join(words.filter(~is_heavy), "key", "left").groupBy("row_id")

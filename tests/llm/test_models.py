@@ -328,7 +328,7 @@ def test_scores_equal_a_plain_context_tree(spark):
                      round(model(" ".join(ws).encode() + b"\n"), 2)))
     for heavy in (1 << 20, 4, 1):      # every word, some and next to none broadcast
         got = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 7), round(r.score, 2))
-               for r in C.score(data.docs(spark, some), heavy_words=heavy, nodes=1 << 40).collect()]
+               for r in C.score(data.docs(spark, some), heavy_words=heavy).collect()]
         assert sorted(got, key=data.key) == sorted(want, key=data.key)
 
 
@@ -339,7 +339,6 @@ def test_every_node_is_kept(spark):
     words, held = score_rows(some)
     docs = [" ".join(w).encode() + b"\n" for w in words]
     train = [d for d, h in zip(docs, held) if not h]
-    assert sum(map(len, train)) * 8 / C.NODES > 1      # a pruned tree drops them
     model = cache(ctw(train, C.DEPTH))
     want = sorted(((r[0], model(d)) for r, d in zip(some, docs)), key=data.key)
     got = sorted(((r.doc_id, r.score) for r in C.score(data.docs(spark, some, 7)).collect()), key=data.key)
@@ -347,12 +346,36 @@ def test_every_node_is_kept(spark):
     assert all(math.isclose(a, b, abs_tol=1e-5) for (_, a), (_, b) in zip(got, want))
 
 
-def test_pruned_tree_is_a_distribution(spark):
+def test_many_groups_in_a_bucket(spark, monkeypatch):
+    """Strings added up over several rounds of groups, buckets of several cells:
+    the scores are the same."""
     some = [r for r in data.rows() if len(r[1] or "") < 400]
-    counts = C.corpus_counts(data.docs(spark, some))
-    model = C.Model.from_bytes(bytes(C.model_of(C.tree_counts(counts, nodes=600)).first()[0]))
-    assert all(len(x.key) <= 600 for x in model.levels) and len(model.levels[0].key) > 0
-    for context in (0, 0x0A0A0A0A0A, 0x2074686520, 0xFFFFFFFFFF):
+    some += [(1000 + i, f"mill {i % 7} by the river {i % 4}", "en", "s", 1) for i in range(60)]
+    want = sorted(((r.doc_id, round(r.score, 6)) for r in C.score(data.docs(spark, some)).collect()), key=data.key)
+    for group, fan, bucket in ((300, 2, 1 << 12), (150, 3, 1), (300, 4, 1 << 30)):
+        for name, value in (("GROUP", group), ("FAN", fan), ("BUCKET", bucket), ("CHUNK", 100), ("FOLD", 50)):
+            monkeypatch.setattr(C, name, value)
+        made = C.gathered(data.docs(spark, some))
+        strings_, buckets, groups = C.bucketed(made)
+        assert groups > 8 and (buckets == 1 if bucket > 1 << 20 else buckets > 1)
+        got = sorted(((r.doc_id, round(r.score, 6)) for r in C.score(data.docs(spark, some)).collect()), key=data.key)
+        assert got == want
+
+
+def test_packed_strings():
+    rnd = np.random.default_rng(2)
+    for n in (0, 1, 5000):
+        key = np.unique(rnd.integers(0, 1 << 48, n).astype(np.uint64))
+        assert (C.unpacked(C.packed(key), len(key)) == key).all()
+        assert (C.restored(C.squeezed(key.astype(np.int64)), len(key)) == key.astype(np.int64)).all()
+
+
+def test_tree_is_a_distribution():
+    rnd = random.Random(3)
+    docs = [bytes(rnd.choice(b"abc ") for _ in range(40)) + b"\n" for _ in range(50)]
+    key, n = C.string_counts([(False, d) for d in docs])
+    model = C.Model(C.build(C.nodes_of(key, n, 0)))
+    for context in (0, 0x0A0A0A0A0A, 0x6161626320, 0x2074686520, 0xFFFFFFFFFF):
         key = (np.uint64(context) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
         assert math.isclose((10 ** model.bits(key)).sum(), 1.0, rel_tol=1e-6)
 
