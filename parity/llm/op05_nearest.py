@@ -1,20 +1,22 @@
 """Nearest neighbours by a block matrix join of int8 tiles with error bounds.
 
-1. Vectors that take part are scaled to length one and packed into tiles of
-   ``TILE`` rows: their ids, their originals, and int8 codes q = round(127 x / s),
-   s the tile's largest component.
-2. Tiles of queries meet tiles of candidates by an equi-join on the candidates'
-   tile group: every candidate tile is in one group, and every query tile is
-   sent to each group.  The work is the stated query set against all rows, in
-   blocks; no row is copied but the queries, once a group.
+1. Vectors that take part are written with a row id and packed into tiles of
+   ``TILE`` rows: their ids, their originals, and, made where they are used,
+   int8 codes q = round(127 x / s) of the vectors scaled to length one, s the
+   tile's largest component.
+2. Every candidate tile is in one group of about ``GROUP`` tiles, and every query
+   tile is sent to each group once.  The work is the stated query set against
+   all rows, in blocks.  A task takes a group's candidate tiles first, codes them
+   once, and then lets the query tiles pass one after another.
 3. A pair of tiles gives one product of codes.  With e the largest length of
    x - s q / 127 in a tile (at most s sqrt(d) / 254), the true cosine is within
    e1 + e2 + e1 e2 of it.  A candidate survives if its upper bound reaches the
-   k-th largest lower bound, or the k-th best score so far.  Survivors are
-   recomputed from the original vectors in double precision and kept in a heap
-   a query.  So every neighbour is exact, and the recall is 1.
-4. The k best of each group are merged with heaps, a query tile at a time: at
-   most groups * k rows a query.
+   k-th largest lower bound of its tile and the k-th best score that the query
+   has so far among the group's tiles.  Survivors are recomputed from the
+   original vectors in double precision and kept in a heap a query.  So every
+   neighbour is exact, and the recall is 1.
+4. The k best of each group are merged with heaps, by query: at most groups * k
+   rows a query.
 
 Score: the dot product over the root of the product of the squared lengths, each
 summed in order in double precision.  Ties go to the smaller vec_id.
@@ -22,9 +24,9 @@ summed in order in double precision.  Ties go to the smaller vec_id.
 Nulls, ties, emptiness: a vector that is null, empty, zero, or holds a null or
 a non-finite component takes no part, neither does a row with a null vec_id;
 vectors of different lengths are never compared; rows with an equal vec_id are
-one vector's repetition and are no candidates of each other, the first in
-component order stands for them; fewer candidates than k give all of them; an
-empty table gives no rows; other columns are ignored.
+rows of their own, each a query if the id is one, and candidates of each other;
+fewer candidates than k give all of them; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -46,8 +48,9 @@ TILE = 2048
 #: Tiles of candidates that meet the queries in one task, about.
 GROUP = 8
 
-TILES = pa.schema([("grp", pa.int64()), ("dim", pa.int32()), ("ids", pa.binary()), ("vectors", pa.binary())])
-NEAR = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+TILES = pa.schema([("grp", pa.int64()), ("dim", pa.int32()), ("rows", pa.binary()), ("ids", pa.binary()),
+                   ("vectors", pa.binary())])
+NEAR = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
 def usable(vector: str = "embedding") -> Column:
@@ -58,28 +61,30 @@ def usable(vector: str = "embedding") -> Column:
 
 
 def vectors(table: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """vec_id and v (array<double>) of the rows that take part, one a vec_id."""
-    return (table.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
-            .filter(F.col("vec_id").isNotNull() & usable("v"))
-            .groupBy("vec_id").agg(F.min("v").alias("v")))
+    """row_id, vec_id and v (array<double>) of the rows that take part, written,
+    so that a row keeps its number."""
+    return common.written(
+        table.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
+        .filter(F.col("vec_id").isNotNull() & usable("v"))
+        .select(F.monotonically_increasing_id().alias("row_id"), "vec_id", "v"), "vectors")
 
 
 def tiles(rows: DataFrame, groups: int) -> DataFrame:
-    """Packed tiles: grp, dim, ids (int64 bytes), vectors (float64 bytes)."""
+    """Packed tiles: grp, dim, rows and ids (int64 bytes), vectors (float64 bytes)."""
     def pack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], list[tuple[int, list[float]]]] = {}
+        held: dict[tuple[int, int], list[tuple[int, int, list[float]]]] = {}
 
         def tile(key: tuple[int, int]) -> tuple:
             some = held.pop(key)
-            return (*key, np.array([i for i, _ in some], "<i8").tobytes(), np.array([v for _, v in some], "<f8").tobytes())
+            return (*key, *(np.array([x[i] for x in some], t).tobytes() for i, t in enumerate(("<i8", "<i8", "<f8"))))
 
         def batch_of(made: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), TILES)], schema=TILES)
 
         for batch in parts:
             made = []
-            for g, i, v in zip(*(c.to_pylist() for c in batch.columns)):
-                held.setdefault((g, len(v)), []).append((i, v))
+            for g, r, i, v in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault((g, len(v)), []).append((r, i, v))
                 if len(held[g, len(v)]) == TILE:
                     made.append(tile((g, len(v))))
             if made:
@@ -87,17 +92,17 @@ def tiles(rows: DataFrame, groups: int) -> DataFrame:
         if held:
             yield batch_of([tile(k) for k in list(held)])
 
-    dealt = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(groups)).alias("grp"), "vec_id", "v")
+    dealt = rows.select(F.pmod(F.xxhash64("row_id"), F.lit(groups)).alias("grp"), "row_id", "vec_id", "v")
     if groups > 1:
         dealt = dealt.repartition(groups, "grp")  # a group's rows together, so that tiles are full
-    return (dealt.mapInArrow(pack, "grp long, dim int, ids binary, vectors binary"))
+    return dealt.mapInArrow(pack, "grp long, dim int, rows binary, ids binary, vectors binary")
 
 
 class Tile:
     """A tile's vectors: originals, unit vectors' int8 codes, scale, largest code error."""
 
-    def __init__(self, dim: int, ids: bytes, data: bytes) -> None:
-        self.ids = np.frombuffer(ids, "<i8")
+    def __init__(self, dim: int, rows: bytes, ids: bytes, data: bytes) -> None:
+        self.rows, self.ids = np.frombuffer(rows, "<i8"), np.frombuffer(ids, "<i8")
         self.v = np.frombuffer(data, "<f8").reshape(-1, dim)
         # scaled first, so that neither very large nor very small components leave the doubles
         unit = self.v / np.abs(self.v).max(axis=1, keepdims=True)
@@ -147,66 +152,72 @@ class Best:
         return np.array([h[0][0] if len(h) == self.k else -2.0 for h in self.heaps])
 
 
-def join_tiles(queries: Tile, others: Iterator[Tile], k: int) -> Iterator[tuple[int, int, float]]:
-    """(query id, vec_id, score) of the k best among some tiles."""
+def join_tiles(queries: Tile, others: list[Tile], k: int) -> Iterator[tuple[int, int, int, float]]:
+    """(query's row, query id, vec_id, score) of the k best among some tiles."""
     best = Best(len(queries.ids), k)
     for tile in others:
         cos, bound = queries.cosines(tile)
-        cos[queries.ids[:, None] == tile.ids[None, :]] = -4.0
+        cos[queries.rows[:, None] == tile.rows[None, :]] = -4.0
         floor = best.floor()
         if cos.shape[1] > k:
             kth = np.partition(cos, cos.shape[1] - k, axis=1)[:, cos.shape[1] - k] - bound
             floor = np.maximum(floor, kth)
         for q, c in zip(*(x.tolist() for x in np.nonzero((cos + bound >= floor[:, None]) & (cos > -3.0)))):
             best.add(q, exact(queries.v[q], tile.v[c]), int(tile.ids[c]))
-    for q, heap in zip(queries.ids.tolist(), best.heaps):
+    for row, q, heap in zip(queries.rows.tolist(), queries.ids.tolist(), best.heaps):
         for score, negative in heap:
-            yield q, -negative, score
+            yield row, q, -negative, score
 
 
 def nearest(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
-    """query_id, rank, vec_id, score.  Both tables: vec_id long, v array<double>."""
-    candidates = common.written(candidates, "vectors")
+    """query_id, rank, vec_id, score.  Both tables have the columns of ``vectors``;
+    a row is no candidate of itself."""
     groups = max(1, -(-candidates.count() // (TILE * GROUP)))
-    base = tiles(candidates, groups)
-    asked = (tiles(queries, 1).drop("grp").select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("grp"), F.col("dim"),
-        F.col("ids").alias("query_ids"), F.col("vectors").alias("query_vectors")))
-    pairs = asked.join(base, ["grp", "dim"])
-    names = ["grp", "dim", "query_ids", "query_vectors", "ids", "vectors"]
+    base = tiles(candidates, groups).withColumn("asks", F.lit(False))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("grp")
+    asked = tiles(queries, 1).drop("grp").select(every, "dim", "rows", "ids", "vectors", F.lit(True).alias("asks"))
 
     def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, {}
         for batch in parts:
             for at in range(batch.num_rows):
-                _, dim, qi, qv, ids, v = (c[at].as_py() for c in batch.columns)
-                found = list(join_tiles(Tile(dim, qi, qv), iter([Tile(dim, ids, v)]), k))
+                grp, dim, rows, ids, v, asks = (c[at].as_py() for c in batch.columns)
+                if grp != group:
+                    group, held = grp, {}
+                if not asks:
+                    held.setdefault(dim, []).append(Tile(dim, rows, ids, v))
+                    continue
+                found = list(join_tiles(Tile(dim, rows, ids, v), held.get(dim, []), k))
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), NEAR)],
                                                      schema=NEAR)
 
-    near = pairs.select(names).mapInArrow(compare, "query_id long, vec_id long, score double")
+    # a fixed number of tasks: AQE would merge them by the size of what they read, which is small beside their work
+    dealt = base.unionByName(asked).repartition(2 * groups, "grp").sortWithinPartitions("grp", "asks")
+    near = dealt.select("grp", "dim", "rows", "ids", "vectors", "asks").mapInArrow(
+        compare, "query_row long, query_id long, vec_id long, score double")
     return merged(near, k)
 
 
 def merged(near: DataFrame, k: int) -> DataFrame:
-    """The k best of each query's rows (k a tile), with heaps, by query."""
+    """The k best of each query row's rows (k a group), with heaps."""
     def merge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heaps: dict[int, list[tuple[float, int]]] = {}
+        heaps: dict[tuple[int, int], list[tuple[float, int]]] = {}
         for batch in parts:
-            for q, v, s in zip(*(c.to_pylist() for c in batch.columns)):
-                heap = heaps.setdefault(q, [])
+            for row, q, v, s in zip(*(c.to_pylist() for c in batch.columns)):
+                heap = heaps.setdefault((row, q), [])
                 if len(heap) < k:
                     heapq.heappush(heap, (s, -v))
                 else:
                     heapq.heappushpop(heap, (s, -v))
-        rows = [(q, r, -v, s) for q, heap in heaps.items()
+        rows = [(q, r, -v, s) for (_, q), heap in heaps.items()
                 for r, (s, v) in enumerate(sorted(heap, reverse=True), 1)]
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.float64())
         for lo in range(0, len(rows), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[lo:lo + 50_000]), kinds)],
                                              names=["query_id", "rank", "vec_id", "score"])
 
-    return near.repartition("query_id").mapInArrow(merge, "query_id long, rank int, vec_id long, score double")
+    return near.repartition("query_row").mapInArrow(merge, "query_id long, rank int, vec_id long, score double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,12 +226,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL = f"""
-WITH v AS (SELECT vec_id, min(embedding::DOUBLE[]) AS v FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS row_id, vec_id, embedding::DOUBLE[] AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, lambda x: x <> 0)) > 0 GROUP BY vec_id),
-p AS (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % {EVERY} = 0)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT q.row_id, q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
+  FROM v q JOIN v c ON q.row_id <> c.row_id AND len(q.v) = len(c.v) WHERE q.vec_id % {EVERY} = 0)
 SELECT query_id, rank, vec_id, score FROM (
-  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM p)
+  SELECT *, (row_number() OVER (PARTITION BY row_id ORDER BY score DESC, vec_id))::INT AS rank FROM p)
 WHERE rank <= {K}
 """

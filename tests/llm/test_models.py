@@ -191,14 +191,13 @@ def test_toxicity_edges(spark):
 # ----------------------------------------------------------------- nearest --
 
 def brute_near(rows, every, k):
-    best = {}
-    for i, v in rows:
-        if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
-            best[i] = min(best.get(i, v), v)
+    some = [(i, v) for i, v in rows
+            if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
     out = []
-    for q, v in best.items():
+    for at, (q, v) in enumerate(some):
         if q % every == 0:
-            found = sorted((-N.exact(np.array(v), np.array(u)), c) for c, u in best.items() if c != q and len(u) == len(v))
+            found = sorted((-N.exact(np.array(v), np.array(u)), c) for other, (c, u) in enumerate(some)
+                           if other != at and len(u) == len(v))
             out += [(q, r, c, -s) for r, (s, c) in enumerate(found[:k], 1)]
     return out
 
@@ -216,9 +215,25 @@ def test_nearest_equals_brute_force(spark, monkeypatch, tile, group):
     v = N.vectors(df)
     got = N.nearest(v.filter("vec_id % 10 = 0"), v).collect()
     want = brute_near(rows, 10, 5)
-    assert {(r.query_id, r["rank"]): r.vec_id for r in got} == {(q, r): c for q, r, c, _ in want}
-    assert all(math.isclose(r.score, s, abs_tol=1e-12)
-               for r in got for q, k, _, s in want if (q, k) == (r.query_id, r["rank"]))
+    assert Counter((r.query_id, r["rank"], r.vec_id, round(r.score, 12)) for r in got) == Counter(
+        (q, r, c, round(s, 12)) for q, r, c, s in want)
+
+
+def test_rows_that_share_an_id(spark):
+    """Each row is a query and a candidate; only itself it isn't."""
+    import duckdb
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (50, [1.0, 1.0]), (7, [3.0, 1.0]), (7, [1.0, 3.0])]
+    v = N.vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = N.nearest(v.filter("vec_id % 50 = 0"), v).select("query_id", "rank", "vec_id", "score").collect()
+    assert len(got) == 4 * 5
+
+    def of(found):
+        return Counter((q, r, c, round(s, 9)) for q, r, c, s in found)
+    assert of(got) == of(brute_near(rows, 50, 5))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    assert of(got) == of(con.execute(N.SQL).fetchall())
 
 
 def test_nearest_of_nothing(spark):
@@ -231,7 +246,7 @@ def test_nearest_of_nothing(spark):
 def test_codes_bound_the_error():
     rnd = np.random.default_rng(3)
     a, b = (rnd.normal(size=(50, 24)) * rnd.choice([1e-6, 1, 1e5], size=(50, 1)) for _ in range(2))
-    tiles = [N.Tile(24, np.arange(50).tobytes(), x.tobytes()) for x in (a, b)]
+    tiles = [N.Tile(24, np.arange(50).tobytes(), np.arange(50).tobytes(), x.tobytes()) for x in (a, b)]
     cos, bound = tiles[0].cosines(tiles[1])
     true = (a / np.linalg.norm(a, axis=1, keepdims=True)) @ (b / np.linalg.norm(b, axis=1, keepdims=True)).T
     assert np.abs(cos - true).max() <= bound < 0.1
