@@ -111,13 +111,14 @@ def find(text: str) -> list[tuple[int, int, int]]:
                 spans.append((start, kind, m.end()))
     data = text.encode("utf-8", "surrogatepass")
     marks = data.translate(_HEX_TABLE)
-    at = marks.find(_RUN)
+    at, upto, points = marks.find(_RUN), 0, 0      # code points before the byte ``upto``
     while at >= 0:
         end = at + HEX_RUN
         while marks[end:end + 1] == b"x":
             end += 1
-        start = at if len(data) == len(text) else len(data[:at].decode("utf-8", "surrogatepass"))
-        spans.append((start, 2, start + end - at))
+        points += at - upto if len(data) == len(text) else len(data[upto:at].decode("utf-8", "surrogatepass"))
+        upto = at
+        spans.append((points, 2, points + end - at))
         at = marks.find(_RUN, end)
     spans.sort()
     return spans

@@ -80,3 +80,13 @@ def test_redact_keeps_rows_and_columns(spark):
     got = {(r.doc_id, r.text, r.n_chars) for r in out.collect()}
     assert got == {(d, t, n) for d, t, _, _, n in some if d != 900} | {(900, "a [SECRET] b", 12)}
     assert S.redact(data.empty(spark)).count() == 0
+
+
+def test_many_runs_of_a_long_text_beyond_ascii():
+    """Places are counted on from run to run, whatever stands between."""
+    import time
+    text = "é😀中 " + " ü ".join("0123456789abcdef" * 2 + "日本" * (i % 3) for i in range(40_000))
+    t0 = time.process_time()
+    spans = [(a, b) for a, k, b in S.find(text) if k == 2]
+    assert time.process_time() - t0 < 20
+    assert len(spans) == 40_000 and all(text[a:b] == "0123456789abcdef" * 2 for a, b in spans)
