@@ -41,17 +41,31 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders that ``written`` has made, by application.
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: cuts the lineage,
     survives a lost executor, and fixes the rows that several later branches
-    read."""
+    read.  ``drop_written`` removes the folder."""
     spark = df.sparkSession
     path = shared_path(spark, name)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def drop_written(spark: SparkSession) -> int:
+    """Remove the folders of intermediate tables that this application has
+    written, once the results that read them are stored; returns their number."""
+    made = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return sum(path(p).getFileSystem(conf).delete(path(p), True) for p in made)
+
+
 def doc_columns(docs: DataFrame) -> DataFrame:
     """doc_id and text alone (null text -> empty), whatever else the table has."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),

@@ -63,3 +63,13 @@ def test_toxic_documents_go(spark):
     out = corpus_pipeline.toxicity(spark, docs, d)
     gone = {r.doc_id for r in op02_toxicity.classify(docs, common.read(spark, d, "labels")).collect() if r.predicted}
     assert gone and {r.doc_id for r in docs.collect()} - {r.doc_id for r in out.collect()} == gone
+
+
+def test_intermediate_tables_go_with_one_call(spark):
+    common.drop_written(spark)
+    made = [common.written(spark.range(3).toDF("id"), "drop-test") for _ in range(2)]
+    paths = [m.inputFiles()[0].rsplit("/", 1)[0] for m in made]
+    assert [m.count() for m in made] == [3, 3]
+    assert common.drop_written(spark) == 2 and common.drop_written(spark) == 0
+    import os
+    assert not any(os.path.exists(p.removeprefix("file:").replace("///", "/")) for p in paths)
