@@ -55,7 +55,7 @@ FACTORS = 4
 #: Documents of the sample that a term is in, at least.
 MIN_DOCS = 4
 #: Labelled documents that the model is fitted on, at most, and terms of each that it learns from.
-SAMPLE = 6000
+SAMPLE = 4000
 MAX_TERMS = 8192
 #: Penalties on weights, in units of the gradient's noise.
 WEIGHT_PENALTIES = (0.35, 0.7)
@@ -135,27 +135,38 @@ class FactorizationMachine:
                                     a[1 + 2 * n:].reshape(n, k))
 
 
+#: Entries that sums are formed over at a time, about.
+ENTRIES = 1 << 18
+
+
+def _blocks(sizes: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(first, end, first entry, end of entries) of consecutive groups of
+    entries, ENTRIES together or a larger one alone."""
+    ends = np.cumsum(sizes)
+    out, at = [], 0
+    while at < len(sizes):
+        before = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + ENTRIES, "right")))
+        out.append((at, to, before, int(ends[to - 1])))
+        at = to
+    return out
+
+
 class Samples:
-    """Labelled rows of (term places, values) as flat arrays."""
+    """Labelled rows of (term places, values) as flat arrays, documents with terms first."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray, int]]) -> None:
+        rows = sorted(rows, key=lambda r: not len(r[0]))
         self.size = np.array([len(ids) for ids, *_ in rows], np.int64)
-        self.ids = np.concatenate([np.empty(0, np.int64), *(ids for ids, *_ in rows)])
-        self.x = np.concatenate([np.empty(0, np.float32), *(x for _, x, _ in rows)]).astype(np.float32)
+        self.some = int((self.size > 0).sum())
+        self.ids = np.concatenate([np.empty(0, np.int32), *(ids for ids, *_ in rows)]).astype(np.int32, copy=False)
+        self.x = np.concatenate([np.empty(0, np.float32), *(x for _, x, _ in rows)]).astype(np.float32, copy=False)
         self.y = np.array([y for *_, y in rows], np.int64)
-        self.doc = np.repeat(np.arange(len(rows)), self.size)
-        self.some = np.flatnonzero(self.size)
-        self.begin = (np.cumsum(self.size) - self.size)[self.some]
+        self.blocks = _blocks(self.size[:self.some])
+        self.begin = np.cumsum(self.size) - self.size
         share = np.clip(self.y.mean() if len(rows) else .5, 1e-9, 1 - 1e-9)
         self.weight = np.where(self.y == 1, .5 / share, .5 / (1 - share)) / max(len(rows), 1)   # classes weigh the same
 
-    def sums(self, values: np.ndarray) -> np.ndarray:
-        """Sums of values of the entries by document."""
-        out = np.zeros((len(self.size), *values.shape[1:]))
-        if len(self.some):
-            out[self.some] = np.add.reduceat(values, self.begin, axis=0)
-        return out
-
 
 class Objective:
     """Mean logistic loss of a machine of ``n`` terms and ``k`` factors over
@@ -164,8 +175,11 @@ class Objective:
     def __init__(self, rows: Samples, n: int, k: int) -> None:
         self.rows, self.n, self.k = rows, n, k
         order = np.argsort(rows.ids, kind="stable")
-        self.doc, self.x = rows.doc[order], rows.x[order]
-        self.term, self.begin = np.unique(rows.ids[order], return_index=True)
+        self.doc = np.repeat(np.arange(len(rows.size), dtype=np.int32), rows.size)[order]
+        self.x = rows.x[order]
+        self.term, count = np.unique(rows.ids, return_counts=True)
+        self.begin = np.cumsum(count) - count
+        self.blocks = _blocks(count)
 
     def parts(self, z: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         return z[0], z[1:1 + self.n], z[1 + self.n:].reshape(self.n, self.k)
@@ -173,10 +187,16 @@ class Objective:
     def raw(self, z: np.ndarray, rows: Samples) -> tuple[np.ndarray, np.ndarray]:
         """Raw scores of rows, and their factor sums."""
         w0, w, v = self.parts(z)
-        v32 = v.astype(np.float32)
-        s = rows.sums(v32[rows.ids] * rows.x[:, None])
-        own = rows.sums((v32 * v32).sum(axis=1)[rows.ids] * rows.x * rows.x)
-        return w0 + rows.sums(w.astype(np.float32)[rows.ids] * rows.x) + 0.5 * ((s * s).sum(axis=1) - own), s
+        w, v = w.astype(np.float32), v.astype(np.float32)
+        length = (v * v).sum(axis=1)
+        out, s = np.full(len(rows.size), float(w0)), np.zeros((len(rows.size), self.k), np.float32)
+        for lo, hi, a, b in rows.blocks:
+            ids, x, at = rows.ids[a:b], rows.x[a:b], rows.begin[lo:hi] - a
+            out[lo:hi] += np.add.reduceat(w[ids] * x, at)
+            if self.k:
+                s[lo:hi] = np.add.reduceat(v[ids] * x[:, None], at, axis=0)
+                out[lo:hi] += 0.5 * ((s[lo:hi] * s[lo:hi]).sum(axis=1) - np.add.reduceat(length[ids] * x * x, at))
+        return out, s
 
     def loss(self, z: np.ndarray, rows: Samples | None = None) -> float:
         rows = rows or self.rows
@@ -189,13 +209,16 @@ class Objective:
         turned = np.where(rows.y == 1, -raw, raw)
         d = rows.weight * np.where(rows.y == 1, -1, 1) / (1 + np.exp(-np.clip(turned, -40, 40)))
         out[0] = d.sum()
-        if len(self.term):
-            _, w, v = self.parts(out)
-            dx = d[self.doc].astype(np.float32) * self.x
-            w[self.term] = np.add.reduceat(dx, self.begin)
+        _, w, v = self.parts(out)
+        held = self.parts(z)[2]
+        d = d.astype(np.float32)
+        for lo, hi, a, b in self.blocks:
+            term, doc, x, at = self.term[lo:hi], self.doc[a:b], self.x[a:b], self.begin[lo:hi] - a
+            dx = d[doc] * x
+            w[term] = np.add.reduceat(dx, at)
             if self.k:
-                own = np.add.reduceat(dx * self.x, self.begin)[:, None] * self.parts(z)[2][self.term]
-                v[self.term] = np.add.reduceat(dx[:, None] * s.astype(np.float32)[self.doc], self.begin, axis=0) - own
+                own = np.add.reduceat(dx * x, at)[:, None] * held[term]
+                v[term] = np.add.reduceat(dx[:, None] * s[doc], at, axis=0) - own
         return float((rows.weight * np.logaddexp(0, turned)).sum()), out
 
     def noise(self) -> float:
@@ -251,10 +274,11 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], factors: int = FACTORS,
     for ids, x, y in rows:
         place = np.searchsorted(kept, ids)
         has = kept[np.minimum(place, max(len(kept) - 1, 0))] == ids if len(kept) else np.zeros(len(ids), bool)
-        local.append((place[has], x[has], y))
+        local.append((place[has].astype(np.int32), x[has].astype(np.float32), y))
         squares[place[has]] += x[has] ** 2
     scale = np.sqrt(squares / len(rows))
-    local = [(at, x / scale[at], y) for at, x, y in local]
+    for at, x, _ in local:
+        x /= scale[at]
     rng = np.random.default_rng(seed)
     held = np.zeros(len(rows), bool)
     for label in (0, 1):                        # a fifth of either class is held back
@@ -263,6 +287,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], factors: int = FACTORS,
     learn = Samples([r for r, h in zip(local, held) if not h])
     back = Samples([r for r, h in zip(local, held) if h]) if held.any() else learn
     n, width = len(kept), max(1.0, float(np.mean([len(i) for i, *_ in local])))
+    del local
     linear, full = Objective(learn, n, 0), Objective(learn, n, factors)
     unit = linear.noise()
     runs = [(*descend(linear, np.zeros(1 + n), p * unit, 0.0, back), p) for p in WEIGHT_PENALTIES]
@@ -276,8 +301,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], factors: int = FACTORS,
     w0, w, v = full.parts(z)
     some = (w != 0) | (v != 0).any(axis=1)
     fm = FactorizationMachine(float(w0), kept[some], w[some] / scale[some], v[some] / scale[some, None])
-    raw, _ = full.raw(z, Samples(local))
-    fm.w0 += np.log(THRESHOLD / (1 - THRESHOLD)) - _cut(raw.tolist(), [y for *_, y in local])
+    raws, labels = zip(*((full.raw(z, some)[0], some.y) for some in ((learn, back) if back is not learn else (learn,))))
+    fm.w0 += np.log(THRESHOLD / (1 - THRESHOLD)) - _cut(np.concatenate(raws).tolist(), np.concatenate(labels).tolist())
     return fm
 
 
