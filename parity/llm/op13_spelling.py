@@ -328,7 +328,9 @@ def near_words(words: DataFrame, shard: int = SHARD) -> DataFrame:
              .withColumn("column", F.when(F.col("search"), F.col("own")).otherwise(F.col("other")))
              .select("side", F.pmod(F.xxhash64("half", "row", "column"), F.lit(n_shards)).alias("shard"),
                      "search", "word", "n"))
-    pairs = dealt.groupBy("side", "shard").applyInArrow(_shard, "word string, near string, near_n long")
+    # as many tasks as shards: AQE would merge them by the size of what they read, which is small beside their work
+    pairs = (dealt.repartition(2 * n_shards, "side", "shard").groupBy("side", "shard")
+             .applyInArrow(_shard, "word string, near string, near_n long"))
     return pairs.repartition("word").distinct()
 
 
