@@ -382,7 +382,7 @@ class KeyedComparison:
         for i, c in enumerate(self._skc):
             e = c == F.col(f"__j{i}")
             cond = e if cond is None else cond & e
-        return self.src.df.join(d, cond, "left_anti").select(*self.src.names)
+        return self.src.df.join(self._merged(d), cond, "left_anti").select(*self.src.names)
 
     def only_in_destination(self) -> DataFrame:
         """Destination rows with no source row of the same key (right anti)."""
@@ -392,7 +392,7 @@ class KeyedComparison:
         for i, c in enumerate(self._dkc):
             e = c == F.col(f"__k{i}")
             cond = e if cond is None else cond & e
-        return self.dest.df.join(s, cond, "left_anti").select(*self.dest.names)
+        return self.dest.df.join(self._merged(s), cond, "left_anti").select(*self.dest.names)
 
     def _salt(self, df: DataFrame, prefix: str, parts: int) -> Column:
         """0 for rows with a full key; rows with a NULL key part (which can
@@ -409,6 +409,12 @@ class KeyedComparison:
     def _small(self) -> bool:
         return _estimated_bytes(self.src.df) + _estimated_bytes(self.dest.df) < SMALL_BYTES
 
+    def _merged(self, df: DataFrame) -> DataFrame:
+        """``df`` as the right side of a join by key.  Of large sides it is sorted
+        and merged: its estimate is a share of compressed bytes, by which Spark
+        would broadcast millions of keys into every task."""
+        return df if self._small else df.hint("merge")
+
     @property
     def _kn(self) -> list[str]:
         return [f"k{i}" for i in range(len(self.on))]
@@ -623,8 +629,9 @@ class KeyedComparison:
             j = s.join(per_key, self._kn, "full")
             found = F.when(F.col("kf").isNull(), no_text).otherwise(text)     # no source record: destination alone
             return j.where(F.col("kf").isNull() | ~clean).select(found.alias("key_fields")).distinct()
-        src_keys = s.join(per_key, self._kn, "left").where(~clean).select(text.alias("key_fields"))
-        dest_only = per_key.select(*self._kn).join(s.select(*self._kn).distinct(), self._kn, "left_anti")
+        src_keys = s.join(self._merged(per_key), self._kn, "left").where(~clean).select(text.alias("key_fields"))
+        in_source = self._merged(s.select(*self._kn).distinct())
+        dest_only = per_key.select(*self._kn).join(in_source, self._kn, "left_anti")
         return src_keys.unionByName(dest_only.select(no_text.alias("key_fields"))).distinct()
 
     def _reference_keys(self, kf: list[str]) -> DataFrame:
@@ -649,9 +656,9 @@ class KeyedComparison:
             found = F.when(F.col("kf").isNull(), F.lit(C.null_key_text(kf))).otherwise(C.key_text(kf, kf_cols))
             return (j.where(F.col("in_dest").isNull() | (F.col("kf").isNull() & F.col("mapped_null")))
                     .select(found.alias("key_fields")).distinct())
-        src_keys = s.join(d, self._kn, "left_anti").select(C.key_text(kf, kf_cols).alias("key_fields"))
+        src_keys = s.join(self._merged(d), self._kn, "left_anti").select(C.key_text(kf, kf_cols).alias("key_fields"))
         dest_only = (d.where(F.col("mapped_null")).select(*self._kn)
-                     .join(s.select(*self._kn).distinct(), self._kn, "left_anti"))
+                     .join(self._merged(s.select(*self._kn).distinct()), self._kn, "left_anti"))
         null_text = dest_only.select(F.lit(C.null_key_text(kf)).alias("key_fields"))
         return src_keys.unionByName(null_text).distinct()
 

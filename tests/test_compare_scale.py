@@ -195,3 +195,20 @@ def test_cross_report_reads_each_side_once(spark):
     plan.collect()
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in text and "ReusedExchange" in text
+
+
+def test_no_keys_are_broadcast_where_sides_are_large(spark, monkeypatch):
+    """The keys of a large side are merged, however few bytes Spark takes them for."""
+    src, dst = _hot_frames(spark, 200)
+    src, dst = src.selectExpr("k", "v", "v % 3 AS w"), dst.selectExpr("k", "v", "v % 3 AS w")
+    con = checks.content(spark, src, dst, "k = k", "k, v", "k, v", key_fields="w").comparison
+    ref = checks.reference(spark, src, dst, "k = k", "k", "k", key_fields="w").comparison
+    ways = [(c, name) for c in (con, ref) for name in ("keys", "only_in_source", "only_in_destination")]
+    small = [sorted(map(tuple, getattr(c, name)().collect()), key=str) for c, name in ways]
+    monkeypatch.setattr(compare, "SMALL_BYTES", 0)
+    for c in (con, ref):
+        c.__dict__.pop("_small", None)
+    for (c, name), want in zip(ways, small):
+        df = getattr(c, name)()
+        assert want and sorted(map(tuple, df.collect()), key=str) == want
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
