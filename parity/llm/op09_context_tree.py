@@ -43,6 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,9 +66,9 @@ HEAVY = 1 << 20
 #: Words whose hashes a worker keeps before it begins anew.
 MAX_WORDS = 400_000
 #: Bytes scored at once, about.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 #: Entries of string counts that are added up at once.
-FOLD = 4_000_000
+FOLD = 2_000_000
 
 #: The end's key among the words' hashes.
 END = 0
@@ -181,9 +182,21 @@ def parent(key: np.ndarray, d: int) -> np.ndarray:
 
 
 def summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys, ascending, and the sums of each one's values (of whole numbers, exact to 2^53)."""
-    key, back = np.unique(key, return_inverse=True)
-    return key, *(np.bincount(back, v, len(key)).astype(v.dtype) for v in values)
+    """Distinct keys, ascending, and the sums of each one's values, added up in their order."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+    key = key[first]
+    if not len(key):
+        return key, *values
+    out = []
+    for v in values:
+        if v.dtype.kind == "f":
+            label = np.repeat(np.arange(len(first)), np.diff(first, append=len(v)))
+            out.append(np.bincount(label, v[order], len(first)))
+        else:
+            out.append(np.add.reduceat(v[order], first))
+    return key, *out
 
 
 def nodes_of(key: np.ndarray, n: np.ndarray, first: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -458,6 +471,20 @@ def string_logs(parts: DataFrame, strings_: DataFrame, groups: int) -> DataFrame
             .applyInArrow(answer, "grp long, key binary, log binary"))
 
 
+def together(found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """A group's strings, ascending, and their log10 probabilities, from its rows
+    of FOUND: filled and sorted in place, a row of them unpacked at a time."""
+    n = (pc.sum(pc.binary_length(found.column("log"))).as_py() or 0) // 8
+    key, log, at = np.empty(n, np.uint64), np.empty(n), 0
+    for k, x in zip(found.column("key"), found.column("log")):
+        part = np.frombuffer(x.as_buffer(), np.float64)
+        end = at + len(part)
+        key[at:end], log[at:end], at = unpacked(k.as_buffer(), len(part)), part, end
+    log = log[np.argsort(key)]
+    key.sort()
+    return key, log
+
+
 def scored(held: list[tuple], scores: np.ndarray, keys: np.ndarray, logs: np.ndarray) -> pa.RecordBatch:
     """Rows of documents (row_id, doc_id, word list) with these scores; keys and
     logs of the broadcast words."""
@@ -495,12 +522,9 @@ def scored_by_tree(made: DataFrame, heavy) -> DataFrame:
     docs = made.filter(F.col("kind") == DOC).select("grp", "row_id", "doc_id", "symbols")
 
     def run(group: pa.Table, found: pa.Table) -> pa.Table:
-        logs = [np.frombuffer(x, np.float64) for x in found.column("log").to_pylist()]
-        key = np.concatenate([unpacked(k, len(x)) for k, x in zip(found.column("key").to_pylist(), logs)])
-        log = np.concatenate(logs)
-        order = np.argsort(key)
-        key, log = key[order], log[order]
-        rows = zip(*(group.column(c).to_pylist() for c in ("row_id", "doc_id", "symbols")))
+        key, log = together(found)
+        rows = (x for some in group.select(["row_id", "doc_id", "symbols"]).to_batches(max_chunksize=512)
+                for x in zip(*(c.to_pylist() for c in some.columns)))
         out = []
         for held in chunks(rows):
             want, start = strings([x[-1] for x in held])

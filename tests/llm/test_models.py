@@ -422,3 +422,34 @@ def test_scores_of_nothing(spark):
 def test_model_beats_the_base_on_held_out_texts(spark):
     rows = [r for r in C.score(common.read(spark, f"{SF}/sf0.1", "documents")).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_memory_of_added_strings():
+    """Sums of sorted parts take a few numbers a string beside the parts; chunks
+    are small beside a group."""
+    import tracemalloc
+    rnd = np.random.default_rng(5)
+    parts = [np.unique(rnd.integers(0, 1 << 48, 200_000).astype(np.uint64)) for _ in range(4)]
+    key, n = np.concatenate([*parts, parts[0]]), np.arange(sum(map(len, parts)) + len(parts[0]))
+    tracemalloc.start()
+    got = C.summed(key, n, n / 7)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60 * len(key)
+    want, back = np.unique(key, return_inverse=True)
+    assert (got[0] == want).all() and got[1].dtype == n.dtype
+    assert (got[1] == np.bincount(back, n)).all() and (got[2] == np.bincount(back, n / 7)).all()
+    assert [len(x) for x in C.summed(key[:0], n[:0])] == [0, 0]
+    assert 60 * C.CHUNK <= C.GROUP
+
+
+def test_strings_of_a_group_together():
+    import pyarrow as pa
+    rnd = np.random.default_rng(6)
+    key = np.unique(rnd.integers(0, 1 << 48, 5000).astype(np.uint64))
+    log, cell = rnd.random(len(key)), C.cell_of(key)
+    rows = [(0, C.packed(key[cell == c]), log[cell == c].tobytes()) for c in rnd.permutation(np.unique(cell)).tolist()]
+    found = pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows), C.FOUND)], schema=C.FOUND)
+    for got in (C.together(found), C.together(pa.concat_tables([found.slice(0, 7), found.slice(7)]))):
+        assert (got[0] == key).all() and (got[1] == log).all()
+    assert [len(x) for x in C.together(C.FOUND.empty_table())] == [0, 0]
