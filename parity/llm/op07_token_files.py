@@ -182,10 +182,10 @@ def write_token_files(docs: DataFrame, vocabulary_path: str, folder: str, end_id
         first = None
         for batch in parts:
             ids_of = batch.column(0)
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.slice(lo, 256)
+            for lo in range(0, batch.num_rows, 1024):
+                some = batch.slice(lo, 1024)
                 encoded = enc.encode(list(common.texts(some)))
-                for doc_id, ids in zip(ids_of.slice(lo, 256).to_pylist(), encoded):
+                for doc_id, ids in zip(ids_of.slice(lo, 1024).to_pylist(), encoded):
                     if out is None:
                         files, root = _filesystem(folder)
                         files.create_dir(root, recursive=True)

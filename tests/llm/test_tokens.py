@@ -186,3 +186,27 @@ def test_round_trip(spark, library):
                      hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
     assert got == sorted(want, key=data.key)
     assert op08_bpe.round_trip(data.empty(spark), PATH).count() == 0
+
+
+# ------------------------------------------------------------ word encoder --
+
+PARTS = ["'", "'S", "'re", "'LL", "don", "A", "b7", "42", "--", "...", "<|endoftext|>", "<", "É", "ß", "_", "\x7f", "\x1c", "x" * 150]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS) | st.text("aZ09'.-!é<|>", max_size=6), max_size=6).map("".join), max_size=12))
+def test_words_of_several_pieces(words):
+    enc = word_tokens.encoder(PATH)
+    text = " ".join(words)
+    assert [enc.encode([text])[0].tolist()] == [ids_of(enc.tok, text).tolist()[:-1]]
+
+
+def test_plain_words_go_to_the_model_alone(library):
+    """ASCII words never pass the library's normalizer and pattern, a chunk of texts is looked up at once."""
+    enc = word_tokens.WordEncoder(PATH)
+    asked = []
+    direct = enc._direct
+    enc._direct = lambda texts: asked.extend(texts) or direct(texts)
+    texts = [f"The mill's wheel-{i} turned {i} times, it's said!" for i in range(600)]
+    assert [x.tolist() for x in enc.encode(texts)] == [ids_of(library, t).tolist()[:-1] for t in texts]
+    assert enc.plain and asked == []
