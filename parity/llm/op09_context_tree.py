@@ -76,8 +76,8 @@ _END_BYTE = b"\n"
 
 _HASHES: dict[str, int] = {}
 DOC, STRINGS, WORDS = range(3)
-GATHERED = pa.schema([("kind", pa.int32()), ("grp", pa.int64()), ("row_id", pa.int64()), ("doc_id", pa.int64()),
-                      ("symbols", pa.binary()), ("cell", pa.int32()), ("size", pa.int32()), ("key", pa.binary()),
+GATHERED = pa.schema([("kind", pa.int32()), ("grp", pa.int64()), ("row_ids", pa.list_(pa.int64())),
+                      ("doc_ids", pa.list_(pa.int64())), ("symbols", pa.binary()), ("cell", pa.int32()), ("size", pa.int32()), ("key", pa.binary()),
                       ("n", pa.binary()),
                       ("words", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
 MERGED = pa.schema([("bucket", pa.int32()), ("size", pa.int32()), ("key", pa.binary()), ("n", pa.binary())])
@@ -323,6 +323,17 @@ def string_counts(docs: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     return summed(*(np.concatenate(x) for x in zip(*found)))
 
 
+def word_counts(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct word hashes, ascending, of symbols, and their numbers."""
+    found, held_rows = [], 0
+    for held in chunks((d,) for d in docs):
+        found.append(np.unique(np.concatenate([hashes(words_in(d)) for d, in held]), return_counts=True))
+        held_rows += len(found[-1][0])
+        if held_rows > FOLD:
+            found, held_rows = [summed(*(np.concatenate(x) for x in zip(*found)))], 0
+    return summed(*(np.concatenate(x) for x in zip(*found)))
+
+
 def cell_of(key: np.ndarray) -> np.ndarray:
     context = (key >> np.uint64(8)) & np.uint64((1 << (8 * TOP)) - 1)
     mixed = (context * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)
@@ -330,8 +341,8 @@ def cell_of(key: np.ndarray) -> np.ndarray:
 
 
 def gathered(docs: DataFrame) -> DataFrame:
-    """Rows of three kinds: documents (grp, row_id, doc_id, symbols), strings of
-    a group in a cell (packed, with their training counts), training words of
+    """Rows of three kinds: documents (grp, row_ids, doc_ids and, compressed, the
+    symbols of about CHUNK bytes of them), strings of a group in a cell (packed, with their training counts), training words of
     a group.  A group is the row_id of its first document."""
     def rows(kind: int, grp: int, n_rows: int, **columns) -> pa.RecordBatch:
         made = {"kind": np.full(n_rows, kind, np.int32), "grp": np.full(n_rows, grp, np.int64)} | columns
@@ -343,13 +354,14 @@ def gathered(docs: DataFrame) -> DataFrame:
             for batch in parts:
                 ids = zip(*(batch.column(i).to_pylist() for i in range(3)))
                 for (r, d, h), w in zip(ids, map(word_list, common.texts(batch))):
-                    yield r, d, h, None if h else hashes(w), symbols(w)
+                    yield r, d, h, symbols(w)
 
         for group in chunks(read(), GROUP):
             grp = group[0][0]
             for held in chunks(iter(group)):
-                yield rows(DOC, grp, len(held), row_id=[x[0] for x in held], doc_id=[x[1] for x in held],
-                           symbols=[x[-1] for x in held])
+                some = b"".join(x[-1] for x in held)
+                yield rows(DOC, grp, 1, row_ids=[[x[0] for x in held]], doc_ids=[[x[1] for x in held]],
+                           size=[len(some)], symbols=[pa.compress(some, "zstd", asbytes=True)])
             key, n = string_counts([(x[2], x[-1]) for x in group])
             cell = cell_of(key)
             order = np.argsort(cell, kind="stable")
@@ -359,15 +371,16 @@ def gathered(docs: DataFrame) -> DataFrame:
             spans = list(zip(cut.tolist(), ends))
             yield rows(STRINGS, grp, len(cut), cell=cell[cut], size=[b - a for a, b in spans],
                        key=[packed(key[a:b]) for a, b in spans], n=[squeezed(n[a:b]) for a, b in spans])
-            found = [x[3] for x in group if not x[2]]
-            if found:
-                words, times = np.unique(np.concatenate(found), return_counts=True)
-                yield rows(WORDS, grp, 1, words=[np.append(words, END)], times=[np.append(times, len(found))])
+            learned = [x[-1] for x in group if not x[2]]
+            if learned:
+                words, times = word_counts(learned)
+                yield rows(WORDS, grp, 1, words=[np.append(words, END)], times=[np.append(times, len(learned))])
+            pa.default_memory_pool().release_unused()
 
     made = common.doc_columns(docs).select(F.monotonically_increasing_id().alias("row_id"), "doc_id",
                                            held_out().alias("held_out"), "text")
     return common.written(made.mapInArrow(
-        run, "kind int, grp long, row_id long, doc_id long, symbols binary, cell int, size int, key binary, n binary, "
+        run, "kind int, grp long, row_ids array<long>, doc_ids array<long>, symbols binary, cell int, size int, key binary, n binary, "
              "words array<long>, times array<long>"), "gathered")
 
 
@@ -519,18 +532,20 @@ def scored_by_tree(made: DataFrame, heavy) -> DataFrame:
     """Rows of the documents in ``made`` (see ``gathered``), by the whole tree."""
     strings_, _, groups = bucketed(made)
     logs = string_logs(parts_of(strings_, groups), strings_, groups)
-    docs = made.filter(F.col("kind") == DOC).select("grp", "row_id", "doc_id", "symbols")
+    docs = made.filter(F.col("kind") == DOC).select("grp", "row_ids", "doc_ids", "size", "symbols")
 
     def run(group: pa.Table, found: pa.Table) -> pa.Table:
         key, log = together(found)
-        rows = (x for some in group.select(["row_id", "doc_id", "symbols"]).to_batches(max_chunksize=512)
-                for x in zip(*(c.to_pylist() for c in some.columns)))
         out = []
-        for held in chunks(rows):
+        for some in group.drop_columns("grp").to_batches(max_chunksize=1):
+            row_ids, doc_ids, size, blob = (c[0] for c in some.columns)
+            docs_ = pa.decompress(blob.as_buffer(), size.as_py(), "zstd", asbytes=True).split(_END_BYTE)[:-1]
+            held = [(r, d, x + _END_BYTE) for r, d, x in zip(row_ids.as_py(), doc_ids.as_py(), docs_)]
             want, start = strings([x[-1] for x in held])
             distinct, back = np.unique(want, return_inverse=True)
             scores = np.add.reduceat(log[np.searchsorted(key, distinct)][back], start)
             out.append(scored([(r, d, words_in(x)) for r, d, x in held], scores, *heavy.value))
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_batches(out, SCORED)
 
     return docs.groupBy("grp").cogroup(logs.groupBy("grp")).applyInArrow(run, _SCORED)
