@@ -77,7 +77,8 @@ _END_BYTE = b"\n"
 _HASHES: dict[str, int] = {}
 DOC, STRINGS, WORDS = range(3)
 GATHERED = pa.schema([("kind", pa.int32()), ("grp", pa.int64()), ("row_ids", pa.list_(pa.int64())),
-                      ("doc_ids", pa.list_(pa.int64())), ("symbols", pa.binary()), ("cell", pa.int32()), ("size", pa.int32()), ("key", pa.binary()),
+                      ("doc_ids", pa.list_(pa.int64())), ("symbols", pa.binary()), ("cell", pa.int32()),
+                      ("size", pa.int32()), ("key", pa.binary()),
                       ("n", pa.binary()),
                       ("words", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
 MERGED = pa.schema([("bucket", pa.int32()), ("size", pa.int32()), ("key", pa.binary()), ("n", pa.binary())])
