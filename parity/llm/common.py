@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -57,6 +58,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Collect the driver's garbage, so that Spark removes the shuffle files of
+    jobs whose results are written; else they stay until its heap is full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_written(spark: SparkSession) -> int:
     """Remove the folders of intermediate tables that this application has
     written, once the results that read them are stored; returns their number."""

@@ -16,6 +16,13 @@ A document's set is its distinct 5-word shingles (64-bit hashes); two link when
    to the smallest of them, first within a batch of documents, so that only
    one row for a slice and batch is shuffled, then across batches.  Connected
    components of those edges are blocks: every link is inside one.
+   Passages that many documents have let unlinked sets percolate into one
+   block, the faster the larger the corpus.  So blocks of more than an eighth of
+   ``BLOCK`` shingles are parted: of every slice in them all classes are compared
+   by sketches of their sets, a bit for the parity of each of K parts of the
+   shingle space.  Sketches differ in no more bits than the sets in shingles,
+   so a pair that differs in more bits than linked sets may is no link.  The
+   components of the pairs left are the blocks.
 3. *Search.*  A block's sets are indexed by inverted lists.  A query set needs
    T = ceil(0.8 a) occurrences: all but the L longest of its lists are merged
    with a heap, which yields the candidates with T - L occurrences; these are
@@ -59,6 +66,8 @@ WORDS = 5
 PERCENT = 80
 #: Shingles that a search block holds at most (bounds a task's memory).
 BLOCK = 2_000_000
+#: Blocks that hold more than this part of ``BLOCK`` are parted by sketches.
+PARTED = 8
 #: Words whose hashes a worker keeps before it begins anew.
 MAX_WORDS = 400_000
 
@@ -143,6 +152,64 @@ def slices(s: np.ndarray) -> np.ndarray:
     return np.concatenate(made)
 
 
+# --------------------------------------------------------------- sketches --
+
+def sketch_words(n: int) -> int:
+    """64-bit words of a sketch: a power of two, of at least 3/4 n bits."""
+    words = 1
+    while 4 * 64 * words < 3 * n:
+        words *= 2
+    return words
+
+
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of the number of members in each part of the shingle space."""
+    bits = 64 * sketch_words(len(s))
+    at = ((s >> np.uint64(8)) & np.uint64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<u8")
+
+
+def folded(x: np.ndarray, words: int) -> np.ndarray:
+    """The sketch with fewer words (a power of two) of the same set."""
+    while len(x) > words:
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return x
+
+
+def may_link(n: int, x: np.ndarray, sizes: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+    """Which of the sets, by sizes and sketches (rows as long as ``x``), the set
+    of size ``n`` and sketch ``x`` isn't known not to link with."""
+    most = n + sizes - 2 * needed(n, sizes)
+    return ((100 * np.minimum(n, sizes) >= PERCENT * np.maximum(n, sizes))
+            & (np.bitwise_count(sketches ^ x).sum(axis=1, dtype=np.int64) <= most))
+
+
+def sketch_links(sizes: np.ndarray, sketches: list[np.ndarray], label: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of sets that may link and connect, beyond ``label``, the components
+    of all pairs that may."""
+    out, label = [], label.copy()
+    words = np.array([len(x) for x in sketches])
+    for w in np.unique(words).tolist():
+        # sizes within a factor 1.25 have sketches of as many words or twice as many
+        at = np.concatenate([np.flatnonzero(words == w), np.flatnonzero(words == 2 * w)])
+        own, n, labels = int((words == w).sum()), sizes[at], label[at]
+        if (labels == labels[0]).all():
+            continue
+        rows = np.stack([folded(sketches[i], w) for i in at.tolist()])
+        for q in range(own):
+            c = q + 1 + np.flatnonzero(labels[q + 1:] != labels[q])
+            c = c[may_link(int(n[q]), rows[q], n[c], rows[c])]
+            if len(c):
+                joined, first = np.unique(labels[c], return_index=True)
+                out += [(int(at[q]), int(at[i])) for i in c[first].tolist()]
+                label[np.isin(label, joined)] = labels[q]
+                labels = label[at]
+                if (labels == labels[0]).all():
+                    break
+    return out
+
+
 # ----------------------------------------------------------------- search --
 
 class Lists:
@@ -168,7 +235,7 @@ class Lists:
         return [self.owner[a:b] for a, b in zip(self.first[at].tolist(), self.end[at].tolist())]
 
 
-def needed(a: int, b: int) -> int:
+def needed(a, b):
     """Least overlap of linked sets of these sizes: ceil of 80 (a + b) / 180."""
     return -(-PERCENT * (a + b) // (100 + PERCENT))
 
@@ -248,9 +315,12 @@ def block_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 # ------------------------------------------------------------------ Spark --
 
 #: What a batch of documents shows, packed: arrays of one bucket a row.
-SHOWN = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("sig", "f1", "a", "b", "sets"))])
-#: An edge (a, b) between classes, or (a null) a document's set.
-FOUND = pa.schema([(c, pa.int64()) for c in ("a", "b", "doc_id", "text_hash", "n", "f1", "f2")])
+SHOWN = pa.schema([("part", pa.int32()),
+                   *((c, pa.binary()) for c in ("sig", "f1", "a", "b", "sets", "slice", "member", "class", "words"))])
+#: An edge (a, b) between classes, or a document's set (f2 not null), or a class
+#: (f1) of a slice, or a class's size and sketch.
+FOUND = pa.schema([*((c, pa.int64()) for c in ("a", "b", "doc_id", "text_hash", "n", "f1", "f2", "slice")),
+                   ("sketch", pa.binary())])
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -258,23 +328,36 @@ def text_hash():
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
-def _stars(sig: np.ndarray, f1: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of (slice, class) rows: each slice once with its smallest class, and the
-    distinct edges (a, b) from that one to the slice's other classes."""
-    order = np.lexsort((f1, sig))
+def _stars(sig: np.ndarray, f1: np.ndarray, last: bool) -> tuple[np.ndarray, ...]:
+    """Of (slice, class) rows: each slice once with its smallest class, the
+    distinct edges (a, b) from that one to the slice's other classes, and the
+    (slice, class) rows of slices of several classes.
+
+    A slice's last bit tells that it stands for several classes of a batch.
+    The ``last`` time, slices of two classes in all are left out of the rows:
+    their edge says the same."""
+    order = np.lexsort((f1, sig >> np.uint64(1)))
     sig, f1 = sig[order], f1[order]
-    new = np.concatenate([[True], sig[1:] != sig[:-1]])
-    least = f1[new][np.cumsum(new) - 1]
+    key, many = sig >> np.uint64(1), (sig & np.uint64(1)).astype(bool)
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    fresh = new | np.concatenate([[True], f1[1:] != f1[:-1]])
+    start = np.flatnonzero(new)
+    group = np.cumsum(new, dtype=np.int32) - 1
+    least = f1[start][group]
     other = least != f1
     edges = np.unique(np.stack([least[other], f1[other]], axis=1), axis=0)
-    return sig[new], f1[new], edges[:, 0], edges[:, 1]
+    classes = np.add.reduceat(fresh.astype(np.int64), start)
+    several = classes > 1
+    known = fresh & (several & ((classes + np.logical_or.reduceat(many, start) > 2) | (not last)))[group]
+    return ((key[start] << np.uint64(1)) | several.astype(np.uint64), f1[start], edges[:, 0], edges[:, 1],
+            key[known].view(np.int64), f1[known])
 
 
 def _show(parts: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Each batch's sets, and the slices of the classes not seen before in the task."""
+    """Each batch's sets, and the slices and sketches of the classes not seen before in the task."""
     seen: set[int] = set()
     for batch in parts:
-        sigs, owners, rows = [], [], []
+        sigs, owners, rows, classes, words = [], [], [], [], []
         for doc_id, h, t in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), common.texts(batch)):
             s = shingles(t)
             f, f2 = fingerprint(s)
@@ -287,36 +370,55 @@ def _show(parts: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBa
             x = slices(s)
             sigs.append(x)
             owners.append(np.full(len(x), f, np.int64))
-        out = [(lo % buckets, b"", b"", b"", b"", np.array(rows[lo:lo + 1000], "<i8").tobytes())
-               for lo in range(0, len(rows), 1000)]
+            classes.append((f, len(s)))
+            words.append(sketch(s).tobytes())
+        out: list[dict] = [{"part": lo % buckets, "sets": np.array(rows[lo:lo + 1000], "<i8").tobytes()}
+                           for lo in range(0, len(rows), 1000)]
         if sigs:
-            sig, f1, a, b = _stars(np.concatenate(sigs), np.concatenate(owners))
-            bucket = (sig % np.uint64(buckets)).astype(np.int64)
+            sig = np.concatenate(sigs) & ~np.uint64(1)
+            sig, f1, a, b, shown, member = _stars(sig, np.concatenate(owners), False)
+            bucket = ((sig >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             sig, f1 = sig[order], f1[order]
             cut = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
-            out += [(i, sig[x:y].tobytes(), f1[x:y].tobytes(), b"", b"", b"")
+            out += [{"part": i, "sig": sig[x:y].tobytes(), "f1": f1[x:y].tobytes()}
                     for i, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
-            out += [(lo % buckets, b"", b"", a[lo:lo + 100_000].tobytes(), b[lo:lo + 100_000].tobytes(), b"")
-                    for lo in range(0, len(a), 100_000)]
+            for one, two, x, y in (("a", "b", a, b), ("slice", "member", shown, member)):
+                out += [{"part": lo % buckets, one: x[lo:lo + 100_000].tobytes(), two: y[lo:lo + 100_000].tobytes()}
+                        for lo in range(0, len(x), 100_000)]
+            out += [{"part": lo % buckets, "class": np.array(classes[lo:lo + 1000], "<i8").tobytes(),
+                     "words": b"".join(words[lo:lo + 1000])} for lo in range(0, len(classes), 1000)]
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), SHOWN)], schema=SHOWN)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row.get(f.name, b"") for row in out], f.type) for f in SHOWN], schema=SHOWN)
 
 
-def _found(a=None, b=None, sets=None) -> pa.RecordBatch:
-    none = pa.nulls(len(a if sets is None else sets), pa.int64())
-    if sets is None:
-        columns = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), *[none] * 5]
-    else:
-        ids = pa.array(sets[:, 0], mask=sets[:, 1] != 0)
-        columns = [none, none, ids, *(pa.array(np.ascontiguousarray(sets[:, i])) for i in range(2, 6))]
-    return pa.RecordBatch.from_arrays(columns, schema=FOUND)
+def _found(**columns) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in FOUND], schema=FOUND)
+
+
+def _found_edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return _found(a=np.minimum(a, b), b=np.maximum(a, b))
+
+
+def _found_sets(sets: np.ndarray) -> pa.RecordBatch:
+    named = {c: np.ascontiguousarray(sets[:, i]) for i, c in enumerate(("text_hash", "n", "f1", "f2"), 2)}
+    return _found(doc_id=pa.array(sets[:, 0], mask=sets[:, 1] != 0), **named)
 
 
-def sets_and_edges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _found_sketches(classes: np.ndarray, words: bytes) -> pa.RecordBatch:
+    ends = np.cumsum([8 * sketch_words(n) for n in classes[:, 1].tolist()]).tolist()
+    return _found(f1=np.ascontiguousarray(classes[:, 0]), n=np.ascontiguousarray(classes[:, 1]),
+                  sketch=[words[lo:hi] for lo, hi in zip([0, *ends], ends)])
+
+
+def sets_and_edges(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(doc_id, text_hash, n, f1, f2 of each document; edges a < b from each
-    class to the smallest that shows the same slice), from one pass over the
-    texts.
+    class to the smallest that shows the same slice; slice, f1 of slices that
+    more than two classes show; f1, n, sketch of each class), from one pass
+    over the texts.
 
     Slices travel as arrays, one row for a batch and bucket; buckets are as
     many as four times the shuffle partitions, so their size is set by those."""
@@ -328,25 +430,35 @@ def sets_and_edges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     def meet(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig, f1 = [], []
         for batch in parts:
-            for s, f, a, b, rows in zip(*(batch.column(i).to_pylist() for i in range(1, 6))):
+            for s, f, a, b, rows, at, member, classes, words in zip(
+                    *(batch.column(i).to_pylist() for i in range(1, len(SHOWN)))):
                 if s:
                     sig.append(np.frombuffer(s, np.uint64))
                     f1.append(np.frombuffer(f, np.int64))
                 if a:
-                    yield _found(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64))
+                    yield _found_edges(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64))
                 if rows:
-                    yield _found(sets=np.frombuffer(rows, "<i8").reshape(-1, 6))
+                    yield _found_sets(np.frombuffer(rows, "<i8").reshape(-1, 6))
+                if at:
+                    yield _found(slice=np.frombuffer(at, np.int64), f1=np.frombuffer(member, np.int64))
+                if classes:
+                    yield _found_sketches(np.frombuffer(classes, "<i8").reshape(-1, 2), words)
         if sig:
-            _, _, a, b = _stars(np.concatenate(sig), np.concatenate(f1))
+            _, _, a, b, at, member = _stars(np.concatenate(sig), np.concatenate(f1), True)
             if len(a):
-                yield _found(a, b)
+                yield _found_edges(a, b)
+            if len(at):
+                yield _found(slice=at, f1=member)
 
     shown = common.doc_columns(docs).withColumn("text_hash", text_hash()).mapInArrow(
         show, "part int, " + ", ".join(f"{f.name} binary" for f in list(SHOWN)[1:]))
     found = common.written(shown.repartition(buckets // 4, "part").mapInArrow(
-        meet, ", ".join(f"{f.name} long" for f in FOUND)), "sets")
-    return (found.filter("a is null").drop("a", "b"),
-            found.filter("a is not null").select("a", "b").distinct())
+        meet, ", ".join(f"{f.name} {'binary' if f.type == pa.binary() else 'long'}" for f in FOUND)), "sets")
+    common.let_go(docs.sparkSession)
+    return (found.filter("f2 is not null").select("doc_id", "text_hash", "n", "f1", "f2"),
+            found.filter("a is not null").select("a", "b").distinct(),
+            found.filter("slice is not null").select("slice", "f1"),
+            found.filter("sketch is not null").select("f1", "n", "sketch"))
 
 
 def _edge_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -432,17 +544,95 @@ def search(rows: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, "a long, b long")
 
 
-def class_links(docs: DataFrame, sets: DataFrame, edges: DataFrame, block: int = BLOCK) -> DataFrame:
+def near_edges(edges: DataFrame) -> DataFrame:
+    """The edges (a, b) whose sets may link, by sizes na, nb and sketches sa, sb."""
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            kept = []
+            for a, b, n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "na", "nb", "sa", "sb"))):
+                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                w = min(len(x), len(y))
+                if may_link(n, folded(x, w), np.array([m]), folded(y, w)[None, :])[0]:
+                    kept.append((a, b))
+            if kept:
+                yield _edge_batch(*np.array(kept, np.int64).T)
+
+    return edges.mapInArrow(run, "a long, b long")
+
+
+def near_in_slices(rows: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect, of each slice, the classes that may link.
+    Rows: slice, f1, n, sketch.  What one slice of a task has connected isn't
+    compared again in another."""
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers: dict[int, int] = {}
+        forest = Forest(0)
+        made: list[tuple[int, int]] = []
+
+        def compare(group: dict[int, tuple]) -> None:
+            for f in group:
+                if f not in numbers:
+                    numbers[f] = len(numbers)
+                    forest.parent.append(numbers[f])
+            names = list(group)
+            label = np.array([forest.find(numbers[f]) for f in names])
+            for i, j in sketch_links(np.array([n for n, _ in group.values()], np.int64),
+                                     [np.frombuffer(x, "<u8") for _, x in group.values()], label):
+                if forest.join(numbers[names[i]], numbers[names[j]]):
+                    made.append((names[i], names[j]))
+
+        at, group = None, {}
+        for batch in parts:
+            for key, f, n, x in zip(*(batch.column(c).to_pylist() for c in ("slice", "f1", "n", "sketch"))):
+                if key != at:
+                    if len(group) > 1:
+                        compare(group)
+                    at, group = key, {}
+                group[f] = n, x
+            if len(made) > 50_000:
+                yield _edge_batch(*np.array(made, np.int64).T)
+                made.clear()
+        if len(group) > 1:
+            compare(group)
+        if made:
+            yield _edge_batch(*np.array(made, np.int64).T)
+
+    return rows.repartition("slice").sortWithinPartitions("slice").mapInArrow(run, "a long, b long")
+
+
+def parted(blocks: DataFrame, large: DataFrame, edges: DataFrame, shown: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``blocks`` (node, label), those whose label is in ``large`` parted by
+    sketches.  ``large`` has few rows: a block of it has many shingles."""
+    held = common.written(blocks.join(F.broadcast(large), "label", "left_semi").select(F.col("node").alias("f1"))
+                          .join(sketches.dropDuplicates(["f1"]), "f1"), "block-sketches")
+    ends = edges.join(held.select(F.col("f1").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a").join(
+        held.select(F.col("f1").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
+    near = common.written(near_edges(ends).union(near_in_slices(shown.join(held, "f1"))), "near")
+    common.let_go(blocks.sparkSession)
+    return common.written(blocks.join(F.broadcast(large), "label", "left_anti").select("node", "label")
+                          .union(connected(near, "parted").select("node", "label")), "blocks")
+
+
+def class_links(docs: DataFrame, sets: DataFrame, edges: DataFrame, shown: DataFrame, sketches: DataFrame,
+                block: int = BLOCK) -> DataFrame:
     """Links (a, b) between classes (by f1) that connect each component."""
     blocks = connected(edges, "blocks")
     # one document for each class of a block; its text is what the search reads
-    members = (sets.filter("n > 0 and doc_id is not null").groupBy("f1")
-               .agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
-               .join(blocks.withColumnRenamed("node", "f1"), "f1"))
-    sizes = members.groupBy("label").agg(F.sum("n").alias("total"), F.min("f1").alias("pivot"))
+    named = (sets.filter("n > 0 and doc_id is not null").groupBy("f1")
+             .agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")))
+
+    def of(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+        members = named.join(blocks.withColumnRenamed("node", "f1"), "f1")
+        return members, members.groupBy("label").agg(F.sum("n").alias("total"), F.min("f1").alias("pivot"))
+
+    members, sizes = of(blocks)
+    large = common.written(sizes.filter(F.col("total") > block // PARTED).select("label"), "large-blocks")
+    if not large.isEmpty():
+        members, sizes = of(parted(blocks, large, edges, shown, sketches))
     members = members.join(sizes, "label").select("f1", "doc_id", "label", "total", "pivot")
     text = common.written(common.doc_columns(docs.filter(F.col("doc_id").isNotNull())).join(members, "doc_id"),
                           "block-members")
+    common.let_go(docs.sparkSession)
     small = text.filter(F.col("total") <= block).select(
         F.struct(F.col("label").alias("label"), F.lit(0).alias("chunk"), F.lit(0).alias("part")).alias("task"),
         F.lit(None).cast("boolean").alias("query"), "f1", "text")
@@ -483,8 +673,8 @@ def _large_links(large: DataFrame, block: int) -> DataFrame:
 def labelled(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id of each document, and
     ``label``, which tells components apart whose smallest rows share an id."""
-    sets, edges = sets_and_edges(docs)
-    linked = connected(class_links(docs, sets, edges, block), "links")
+    sets, *found = sets_and_edges(docs)
+    linked = connected(class_links(docs, sets, *found, block), "links")
     classes = (sets.filter("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("least"))
                .join(linked.withColumnRenamed("node", "f1"), "f1", "left")
                .withColumn("label", F.coalesce("label", "f1")))

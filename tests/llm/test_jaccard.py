@@ -87,6 +87,29 @@ def test_large_blocks_in_chunks(spark, block):
     same(J.components(data.docs(spark, some), block).collect(), some)
 
 
+def pages(n, seed=5):
+    """Unlinked pages of sentences from one pool and words of their own, and a
+    near copy of each tenth."""
+    rnd = random.Random(seed)
+    pool = [" ".join(f"p{rnd.randrange(3000)}" for _ in range(12)) for _ in range(40)]
+    out = []
+    for i in range(n):
+        words = " ".join(rnd.sample(pool, 6)).split() + [f"own{i}x{k}" for k in range(40)]
+        out.append((2 * i, " ".join(words), "en", "s", 1))
+        if i % 10 == 0:
+            out.append((2 * i + 1, " ".join(words[:50] + ["changed"] + words[51:]), "en", "s", 1))
+    return out
+
+
+def test_pages_from_one_pool_are_not_all_compared(spark, monkeypatch):
+    """Passages that unlinked pages share make one block of them; what the
+    search is sent must stay in proportion to the pages."""
+    some, sent, search = pages(400), [], J.search
+    monkeypatch.setattr(J, "search", lambda rows: (sent.append(rows.count()), search(rows))[1])
+    same(J.components(data.docs(spark, some), 4000).collect(), some)
+    assert sum(sent) <= len(some)
+
+
 def test_chains_are_one_component(spark):
     words = [f"w{i}" for i in range(100)]
     some = [(50 - i, " ".join(words[4 * i:] + [f"t{k}" for k in range(4 * i)]), "en", "s", 1) for i in range(12)]
@@ -185,6 +208,47 @@ def test_linked_sets_show_a_common_slice(n, seed, change):
         assert set(J.slices(x).tolist()) & set(J.slices(y).tolist())
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.integers(1, 700), st.integers(0, 10 ** 6), st.floats(0, 0.3))
+def test_sketches_rule_out_no_link(n, seed, change):
+    rnd = random.Random(seed)
+    a = {rnd.randrange(2 ** 63) for _ in range(n)}
+    b = {x for x in a if rnd.random() > change / 2} | {rnd.randrange(2 ** 63) for _ in range(int(change * n / 2))}
+    x, y = (np.sort(J.mix(np.array(sorted(s), np.uint64))) for s in (a, b))
+    p, q = J.sketch(x), J.sketch(y)
+    w = min(len(p), len(q))
+    near = bool(J.may_link(len(x), J.folded(p, w), np.array([len(y)]), J.folded(q, w)[None, :])[0]) if b else False
+    assert near or not linked(a, b)
+    if b:
+        found = J.sketch_links(np.array([len(x), len(y)]), [p, q], np.arange(2))
+        assert bool(found) == near and (not found or J.sketch_links(np.array([len(x), len(y)]), [p, q], np.zeros(2)) == [])
+
+
+def test_sketch_links_connect_all_that_may_link():
+    rnd = random.Random(8)
+    base = [[rnd.randrange(2 ** 63) for _ in range(n)] for n in (5, 60, 80, 85, 90, 170, 180, 700)]
+    sets = [np.sort(J.mix(np.array(sorted(set(x[rnd.randrange(4):] + [rnd.randrange(2 ** 63) for _ in range(rnd.randrange(9))])),
+                                   np.uint64))) for x in base for _ in range(12)]
+    rnd.shuffle(sets)
+    label = list(range(len(sets)))
+    for i, j in J.sketch_links(np.array([len(s) for s in sets]), [J.sketch(s) for s in sets], np.arange(len(sets))):
+        label = [label[i] if k == label[j] else k for k in label]
+    assert all(label[i] == label[j] for i, j in pairs(sets)) and len(set(label)) >= len(base) - 1
+
+
+def test_a_slice_is_compared_over_all_batches():
+    """Classes that meet in a batch, and those that meet only later, are all known of a slice."""
+    def u(*x):
+        return np.array(x, np.uint64) << np.uint64(1)
+    one = J._stars(u(7, 7, 9, 5), np.array([3, 4, 4, 8]), False)
+    two = J._stars(u(7, 9, 5), np.array([5, 6, 9]), False)
+    end = J._stars(np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]]), True)
+    known = {tuple(x) for part in (one, two, end) for x in zip(part[4].tolist(), part[5].tolist())}
+    assert known == {(7, 3), (7, 4), (7, 5)}
+    edges = {tuple(x) for part in (one, two, end) for x in zip(part[2].tolist(), part[3].tolist())}
+    assert edges == {(3, 4), (3, 5), (4, 6), (8, 9)}
+
+
 def test_difference_bound_of_the_schemes():
     for a in range(1, 600):
         for b in range(a, 5 * a // 4 + 1):
