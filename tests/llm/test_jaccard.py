@@ -110,6 +110,15 @@ def test_pages_from_one_pool_are_not_all_compared(spark, monkeypatch):
     assert sum(sent) <= len(some)
 
 
+def test_keep_one_of_pages_from_one_pool(spark, monkeypatch):
+    """The pipeline's stage: the near copies go, and no more texts are sent than there are."""
+    some, sent, search = pages(150, 6), [], J.search
+    monkeypatch.setattr(J, "search", lambda rows: (sent.append(rows.count()), search(rows))[1])
+    out = J.keep_one(data.docs(spark, some), 3000).collect()
+    assert Counter(r.doc_id for r in out) == left_of(some) == Counter(range(0, 300, 2))
+    assert sum(sent) <= len(some)
+
+
 def test_chains_are_one_component(spark):
     words = [f"w{i}" for i in range(100)]
     some = [(50 - i, " ".join(words[4 * i:] + [f"t{k}" for k in range(4 * i)]), "en", "s", 1) for i in range(12)]
